@@ -79,10 +79,10 @@ def tract_code_from_boundary(district: Column, section: Column) -> Column:
     return F.concat(F.ltrim(district, F.lit("0")), section).try_cast("bigint")
 
 
-def tract_code_from_income(district: Column, section: Column) -> Column:
-    """District number followed by the section padded (and cut, as LPAD does) to three digits."""
-    return F.concat(district.cast("int").cast("string"),
-                    F.lpad(section.cast("int").cast("string"), 3, "0")).try_cast("bigint")
+def tract_code_from_income(district: Column, section: Column, width: int = 3) -> Column:
+    """District number followed by the section padded (and cut, as LPAD does) to ``width`` digits."""
+    return F.concat(district.try_cast("int").cast("string"),
+                    F.lpad(section.try_cast("int").cast("string"), width, "0")).try_cast("bigint")
 
 
 def padded_code(c: Column, width: int) -> Column:

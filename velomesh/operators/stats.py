@@ -11,6 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from velomesh.operators.quantiles import exact_quantiles
 
@@ -131,7 +132,7 @@ def _incomplete_beta(a: np.ndarray, b: float, x: np.ndarray) -> np.ndarray:
     return np.where(swap, 1 - value, value)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def pearson_p_value(r: pd.Series, n: pd.Series) -> pd.Series:
     """Two-sided p-value of Pearson r over n pairs; only ever runs on the small pair table."""
     dof = n.to_numpy(dtype=float) - 2

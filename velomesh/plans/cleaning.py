@@ -66,12 +66,12 @@ def lane_type_distribution(lanes: DataFrame) -> DataFrame:
     return value_counts(lanes, "lane_type").withColumnsRenamed({"value": "lane_type", "n_rows": "n_lanes"})
 
 
-def clean_income(raw: DataFrame) -> DataFrame:
+def clean_income(raw: DataFrame, section_width: int = 3) -> DataFrame:
     """Tract code and income scaled to 0..1 over the whole table, all years together."""
     euros = F.col("import_euros").try_cast("double")
     span = raw.agg(F.struct(F.min(euros).alias("lo"), F.max(euros).alias("hi"))).scalar()
-    coded = raw.select("any", p.tract_code_from_income(F.col("codi_districte"), F.col("seccio_censal"))
-                       .alias("seccio_censal"), euros.alias("import_euros")).withColumn("_s", span)
+    coded = raw.select("any", p.tract_code_from_income(F.col("codi_districte"), F.col("seccio_censal"),
+                                                       section_width).alias("seccio_censal"), euros.alias("import_euros")).withColumn("_s", span)
     return coded.withColumn("income_norm", measures.min_max(
         F.col("import_euros"), F.col("_s.lo"), F.col("_s.hi")).cast("decimal(18,6)")).drop("_s")
 

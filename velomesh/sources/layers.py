@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from velomesh.functions import geodesy
 from velomesh.operators.stats import union_all
@@ -32,13 +33,16 @@ def scan_geojson(spark: SparkSession, paths: Sequence[str] | str, properties: st
     splits over tasks; a plain collection is one document per file. Broken files or lines are
     skipped.
     """
-    feature = (f"type string, properties struct<{', '.join(_ddl(properties))}>, "
-               "geometry struct<type:string, coordinates:string>")
+    feature = T.StructType([
+        T.StructField("type", T.StringType()), T.StructField("properties", T.StructType.fromDDL(properties)),
+        T.StructField("geometry", T.StructType.fromDDL("type string, coordinates string"))])
+    reader = spark.read.option("mode", "DROPMALFORMED")
     if by_line:
-        raw = spark.read.schema(feature).option("mode", "DROPMALFORMED").json(paths)
+        raw = reader.schema(feature).json(paths)
     else:
-        raw = (spark.read.schema(f"features array<struct<{_as_struct(feature)}>>").option("multiLine", "true")
-               .option("mode", "DROPMALFORMED").json(paths).select(F.explode("features").alias("f")).select("f.*"))
+        collection = T.StructType([T.StructField("features", T.ArrayType(feature))])
+        raw = (reader.schema(collection).option("multiLine", "true").json(paths)
+               .select(F.explode("features").alias("f")).select("f.*"))
     text, kind_name = F.col("geometry.coordinates"), F.col("geometry.type")
     depth = {"line": "array<array<double>>", "polygon": "array<array<array<double>>>"}[kind]
     single, multi = {"line": ("LineString", "MultiLineString"), "polygon": ("Polygon", "MultiPolygon")}[kind]
@@ -54,18 +58,6 @@ def scan_geojson(spark: SparkSession, paths: Sequence[str] | str, properties: st
     return out.withColumnsRenamed(names)
 
 
-def _ddl(columns: str) -> list[str]:
-    return [f"{n}:{t}" for n, t in (c.split(maxsplit=1) for c in columns.split(",") if (c := c.strip()))]
-
-
-def _as_struct(ddl: str) -> str:
-    depth, out = 0, []
-    for part in ddl.split(" "):
-        out.append(part + ":" if depth == 0 and part in ("type", "properties", "geometry") else part + " ")
-        depth += part.count("<") - part.count(">")
-    return "".join(out).strip()
-
-
 def concat_layers(layers: Sequence[DataFrame], keep: Sequence[str], levels: Sequence[str] | None = None) -> DataFrame:
     """Stack layers, each reduced to the wanted columns it has; ``level`` names the layer."""
     cut = []

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 INFORMATION_STATION = ("station_id long, name string, lat double, lon double, capacity int, cross_street string, "
                        "post_code string, address string, is_charging_station boolean")
@@ -14,22 +15,11 @@ STATUS_STATION = ("station_id long, num_bikes_available int, "
                   "status string, last_reported long, is_charging_station boolean")
 
 
-def _struct_ddl(columns: str) -> str:
-    """Top-level ``name type`` pairs turned into ``name:type``."""
-    parts, depth, start = [], 0, 0
-    for i, ch in enumerate(columns + ","):
-        depth += (ch == "<") - (ch == ">")
-        if ch == "," and depth == 0:
-            name, kind = columns[start:i].strip().split(maxsplit=1)
-            parts.append(f"{name}:{kind}")
-            start = i + 1
-    return f"struct<{', '.join(parts)}>"
-
-
-def scan_snapshot(spark: SparkSession, paths: Sequence[str] | str, station: str) -> DataFrame:
-    """One row per element of ``data.stations``."""
-    schema = f"data struct<stations: array<{_struct_ddl(station)}>>"
-    raw = spark.read.schema(schema).option("multiLine", "true").json(paths)
+def scan_snapshot(spark: SparkSession, paths: Sequence[str] | str, station: str, by_line: bool = False) -> DataFrame:
+    """One row per element of ``data.stations``; ``by_line`` reads one snapshot per text line."""
+    stations = T.StructType([T.StructField("stations", T.ArrayType(T.StructType.fromDDL(station)))])
+    schema = T.StructType([T.StructField("data", stations)])
+    raw = spark.read.schema(schema).option("multiLine", str(not by_line).lower()).json(paths)
     return raw.select(F.explode("data.stations").alias("s")).select("s.*")
 
 

@@ -85,10 +85,10 @@ def scan_population(spark: SparkSession, paths: Sequence[str] | str) -> DataFram
             .csv(paths))
 
 
-def scan_income(spark: SparkSession, folder: str) -> DataFrame:
+def scan_income(spark: SparkSession, folder: str, pattern: str = "income_*.csv") -> DataFrame:
     """Income files; a bare year in ``any`` becomes the first of January."""
     raw = (spark.read.schema(INCOME_SCHEMA).option("header", "true")
-           .option("pathGlobFilter", "income_*.csv").csv(folder))
+           .option("pathGlobFilter", pattern).csv(folder))
     year = F.left(F.trim("any"), F.lit(4)).try_cast("int")
     return raw.withColumn("any", F.when(F.length(F.trim("any")) == 4, F.make_date(year, F.lit(1), F.lit(1)))
                           .otherwise(F.try_to_date("any")))
