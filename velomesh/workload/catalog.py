@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from velomesh.workload import feeds  # noqa: F401
+from velomesh.workload import feeds, network, star  # noqa: F401
 from velomesh.workload.registry import REGISTRY  # noqa: F401

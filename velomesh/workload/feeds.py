@@ -303,7 +303,7 @@ SELECT lane_id, year, trimester, coalesce(spoiled, mode_type, 'unknown') AS lane
   SELECT *, CASE WHEN lane_id LIKE '%5' THEN NULL ELSE lane_type END AS spoiled FROM lanes) l LEFT JOIN (
   SELECT year, trimester, layer_code, sublayer_code, lane_type AS mode_type FROM (SELECT year, trimester, layer_code, sublayer_code, lane_type,
     row_number() OVER (PARTITION BY year, trimester, layer_code, sublayer_code ORDER BY count(*) DESC, lane_type) AS rn
-    FROM lanes WHERE lane_id NOT LIKE '%5' GROUP BY ALL) WHERE rn = 1) USING (year, trimester, layer_code, sublayer_code)""")
+    FROM lanes WHERE lane_id NOT LIKE '%5' GROUP BY 1, 2, 3, 4, 5) WHERE rn = 1) USING (year, trimester, layer_code, sublayer_code)""")
 def cleaned_lanes(spark: SparkSession, folder: str) -> DataFrame:
     """Mode imputation where the type of every lane ending in 5 went missing."""
     from velomesh.operators.impute import impute
