@@ -92,34 +92,50 @@ _DELTA = (
 
 def utm_from_lonlat(p: Column, central_meridian: float = ZONE_31_MERIDIAN) -> Column:
     """Longitude/latitude to northern-hemisphere UTM metres."""
-    lam = F.radians(p["x"] - central_meridian)
-    s = F.sin(F.radians(p["y"]))
     e = math.sqrt(ECC2)
-    t = F.sinh(F.atanh(s) - e * F.atanh(e * s))
-    xi = F.atan2(t, F.cos(lam))
-    eta = F.atanh(F.sin(lam) / F.sqrt(1 + t * t))
-    north, east = xi, eta
-    for k, a in enumerate(_ALPHA, start=1):
-        north = north + a * F.sin(2 * k * xi) * F.cosh(2 * k * eta)
-        east = east + a * F.cos(2 * k * xi) * F.sinh(2 * k * eta)
     scale = UTM_SCALE * _RECTIFYING
-    return g.point(UTM_FALSE_EASTING + scale * east, scale * north)
+
+    def conformal(sin_lat):
+        return F.sinh(F.atanh(sin_lat) - e * F.atanh(e * sin_lat))
+
+    def sphere(q):
+        return F.struct(F.atan2(q["t"], F.cos(q["lam"])).alias("xi"),
+                        F.atanh(F.sin(q["lam"]) / F.sqrt(1 + q["t"] * q["t"])).alias("eta"))
+
+    def series(q):
+        north, east = q["xi"], q["eta"]
+        for k, a in enumerate(_ALPHA, start=1):
+            north = north + a * F.sin(2 * k * q["xi"]) * F.cosh(2 * k * q["eta"])
+            east = east + a * F.cos(2 * k * q["xi"]) * F.sinh(2 * k * q["eta"])
+        return g.point(UTM_FALSE_EASTING + scale * east, scale * north)
+
+    start = F.struct(g.bind(F.sin(F.radians(p["y"])), conformal).alias("t"),
+                     F.radians(p["x"] - central_meridian).alias("lam"))
+    return g.bind(g.bind(start, sphere), series)
 
 
 def lonlat_from_utm(p: Column, central_meridian: float = ZONE_31_MERIDIAN) -> Column:
     scale = UTM_SCALE * _RECTIFYING
-    xi0 = p["y"] / scale
-    eta0 = (p["x"] - UTM_FALSE_EASTING) / scale
-    xi, eta = xi0, eta0
-    for k, b in enumerate(_BETA, start=1):
-        xi = xi - b * F.sin(2 * k * xi0) * F.cosh(2 * k * eta0)
-        eta = eta - b * F.cos(2 * k * xi0) * F.sinh(2 * k * eta0)
-    chi = F.asin(F.sin(xi) / F.cosh(eta))
-    lat = chi
-    for k, d in enumerate(_DELTA, start=1):
-        lat = lat + d * F.sin(2 * k * chi)
-    lon = F.atan2(F.sinh(eta), F.cos(xi))
-    return g.point(F.degrees(lon) + central_meridian, F.degrees(lat))
+
+    def sphere(q):
+        xi, eta = q["xi"], q["eta"]
+        for k, b in enumerate(_BETA, start=1):
+            xi = xi - b * F.sin(2 * k * q["xi"]) * F.cosh(2 * k * q["eta"])
+            eta = eta - b * F.cos(2 * k * q["xi"]) * F.sinh(2 * k * q["eta"])
+        return F.struct(xi.alias("xi"), eta.alias("eta"))
+
+    def angles(q):
+        return F.struct(F.asin(F.sin(q["xi"]) / F.cosh(q["eta"])).alias("chi"),
+                        F.atan2(F.sinh(q["eta"]), F.cos(q["xi"])).alias("lon"))
+
+    def latitude(q):
+        lat = q["chi"]
+        for k, d in enumerate(_DELTA, start=1):
+            lat = lat + d * F.sin(2 * k * q["chi"])
+        return g.point(F.degrees(q["lon"]) + central_meridian, F.degrees(lat))
+
+    start = F.struct((p["y"] / scale).alias("xi"), ((p["x"] - UTM_FALSE_EASTING) / scale).alias("eta"))
+    return g.bind(g.bind(g.bind(start, sphere), angles), latitude)
 
 
 def web_mercator_from_lonlat(p: Column) -> Column:
@@ -156,25 +172,36 @@ def reproject_polygon(polygon: Column, source: int, target: int) -> Column:
     return F.transform(polygon, lambda ring: reproject_line(ring, source, target))
 
 
+def utm_line(line: Column) -> Column:
+    return reproject_line(line, WGS84, UTM31_WGS84)
+
+
 def utm_length(line: Column) -> Column:
-    return g.line_length(reproject_line(line, WGS84, UTM31_WGS84))
+    return g.line_length(utm_line(line))
 
 
-def sinuosity(line: Column) -> Column:
-    """Projected length over straight distance; 1 for closed or single-vertex lines."""
-    flat = reproject_line(line, WGS84, UTM31_WGS84)
+def flat_sinuosity(flat: Column) -> Column:
+    """Length over straight distance of a projected line; 1 for closed or single-vertex lines."""
     a, b = g.start_point(flat), g.end_point(flat)
     straight = F.hypot(b["x"] - a["x"], b["y"] - a["y"])
-    return F.when(F.size(line) < 2, F.lit(1.0)).otherwise(
+    return F.when(F.size(flat) < 2, F.lit(1.0)).otherwise(
         F.coalesce(F.try_divide(g.line_length(flat), straight), F.lit(1.0)))
 
 
+def sinuosity(line: Column) -> Column:
+    return g.bind(utm_line(line), flat_sinuosity)
+
+
 # Fixed value: the reference point distances to the centre are taken from.
 CITY_CENTRE = (2.17, 41.387)
 
 
+def flat_distance_to_centre(flat: Column, centre: tuple[float, float] = CITY_CENTRE) -> Column:
+    """Metres from the centroid of a projected line to a fixed centre."""
+    ends = F.struct(g.line_centroid(flat).alias("c"),
+                    utm_from_lonlat(g.point(F.lit(centre[0]), F.lit(centre[1]))).alias("q"))
+    return g.bind(ends, lambda s: F.hypot(s["c"]["x"] - s["q"]["x"], s["c"]["y"] - s["q"]["y"]))
+
+
 def distance_to_centre(line: Column, centre: tuple[float, float] = CITY_CENTRE) -> Column:
-    """UTM metres from the centroid of the projected line to a fixed centre."""
-    c = g.line_centroid(reproject_line(line, WGS84, UTM31_WGS84))
-    q = utm_from_lonlat(g.point(F.lit(centre[0]), F.lit(centre[1])))
-    return F.hypot(c["x"] - q["x"], c["y"] - q["y"])
+    return g.bind(utm_line(line), lambda flat: flat_distance_to_centre(flat, centre))

@@ -11,6 +11,8 @@ never disagree about the same triple of points.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +20,11 @@ from pyspark.sql import functions as F
 BORDER_TOLERANCE = 1e-11
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and hand it to ``use``, however often that refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def point(x: Column, y: Column) -> Column:
     return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
 

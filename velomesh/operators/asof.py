@@ -37,7 +37,8 @@ def nearest_time_join(rows: DataFrame, area: str, ts: str, present: str, toleran
     out = near.withColumn("is_fallback", F.lit(False))
     if fallback:
         out = out.unionByName(_fallback(timed, near, area, present, step_s, steps))
-    return out.select("date_value", "step", *[F.col(f"_row.{c}").alias(c) for c in cols], "gap_s", "is_fallback")
+    return out.select("date_value", "step", *[F.col(f"_row.{c}").alias(c) for c in cols if c != "date_value"],
+                      "gap_s", "is_fallback")
 
 
 def _fallback(timed: DataFrame, near: DataFrame, area: str, present: str, step_s: int, steps: int) -> DataFrame:

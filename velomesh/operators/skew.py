@@ -7,33 +7,34 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than 1/HOT_PARTS of the rows, so there are never more than
-# HOT_PARTS hot keys: the list of them is safe to broadcast whatever the data size.
-HOT_PARTS = 200
+# Rows of one key that a single task should compare with the other side.
+SLICE_ROWS = 100_000
+# Only this many keys are cut, the largest ones; any other key then holds less than 1/HOT_KEYS of
+# the rows. It also bounds the table that is broadcast, whatever the data size.
+HOT_KEYS = 256
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], parts: int = HOT_PARTS) -> DataFrame:
-    """(keys, fan): keys above the share limit and the number of slices each is cut into."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
-    return (counts.where(F.col("n") * parts > total)
-            .select(*keys, F.ceil(F.col("n") * parts / total).cast("int").alias("fan")))
+def hot_keys(df: DataFrame, keys: Sequence[str], slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """(keys, fan): the largest keys with more than ``slice_rows`` rows and the slices to cut each into."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > slice_rows)
+    return (counts.orderBy(F.desc("n"), *keys).limit(HOT_KEYS)
+            .select(*keys, F.ceil(F.col("n") / slice_rows).cast("int").alias("fan")))
 
 
 def spread_join(big: DataFrame, small: DataFrame, keys: Sequence[str], spread_by: Sequence[str],
-                condition: Column | None = None, parts: int = HOT_PARTS) -> DataFrame:
+                condition: Column | None = None, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Inner equi-join that cuts hot keys of ``big`` into slices and copies ``small`` per slice.
 
-    ``spread_by`` names columns of ``big`` that differ between rows of one key. A hot key with
-    share s is cut into about ``s * parts`` slices, so the copies stay within ``parts`` in total.
+    ``spread_by`` names columns of ``big`` that differ between rows of one key. Copies add at most
+    one row of ``small`` per key and ``slice_rows`` rows of ``big``.
     """
-    hot = F.broadcast(hot_keys(big, keys, parts))
+    hot = F.broadcast(hot_keys(big, keys, slice_rows))
     fan = F.coalesce(F.col("fan"), F.lit(1))
     cut = (big.join(hot, list(keys), "left")
-           .withColumn("slice", F.when(fan > 1, F.pmod(F.xxhash64(*spread_by), fan))
-                       .otherwise(F.lit(0)).cast("int")).drop("fan"))
+           .select(*big.columns, F.when(fan > 1, F.pmod(F.xxhash64(*spread_by), fan))
+                   .otherwise(F.lit(0)).cast("int").alias("slice")))
     copied = (small.join(hot, list(keys), "left")
-              .withColumn("slice", F.explode(F.sequence(F.lit(0), fan - 1))).drop("fan"))
+              .select(*small.columns, F.explode(F.sequence(F.lit(0), fan - 1)).alias("slice")))
     joined = cut.join(copied, [*keys, "slice"]).drop("slice")
     return joined if condition is None else joined.where(condition)
 

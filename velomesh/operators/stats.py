@@ -54,7 +54,7 @@ def box_stats(df: DataFrame, by: str, value: str) -> DataFrame:
     reach = 1.5 * (F.col("q75") - F.col("q25"))
     v = F.col("_v")
     inside = (v >= F.col("q25") - reach) & (v <= F.col("q75") + reach)
-    counted = df.groupBy(by, F.col(value).cast("double").alias("_v")).agg(F.count("_v").alias("_n"))
+    counted = df.groupBy(by, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
     return counted.where(v.isNotNull()).join(box, by).groupBy(by, "q25", "q50", "q75").agg(
         F.min(F.when(inside, v)).alias("whisker_low"), F.max(F.when(inside, v)).alias("whisker_high"),
         F.coalesce(F.sum(F.when(~inside, F.col("_n"))), F.lit(0)).alias("n_outliers"))

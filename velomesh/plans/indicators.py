@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from velomesh.functions import geometry as g, measures
 from velomesh.operators.history import latest_value
 from velomesh.operators.nearest import nearest_line
+from velomesh.session import checkpointed
 
 
 def _names(location: DataFrame) -> DataFrame:
@@ -71,7 +72,11 @@ def district_metrics(information: DataFrame, areas: DataFrame, location: DataFra
 
 
 def capacity_equity(metrics: DataFrame) -> DataFrame:
-    """Latest year of ``district_metrics`` with the class of each district against the city mean."""
+    """Latest year of ``district_metrics`` with the class of each district against the city mean.
+
+    The metrics, one row per district and year, are read three times and so written out first.
+    """
+    metrics = checkpointed(metrics)
     service = "capacity_per_1000_inhabitants_per_sqkm"
     latest = metrics.where(F.col("year") == metrics.agg(F.max("year")).scalar())
     city = latest.agg(F.struct(F.avg("avg_income").alias("income"), F.avg(service).alias("service"))).scalar()

@@ -51,13 +51,13 @@ def coverage_grid(coverage: DataFrame, areas: DataFrame, trimesters: DataFrame,
 
 def lane_profile(lanes: DataFrame, line_id: str = "lane_id") -> DataFrame:
     """Length, vertices, sinuosity, bearing, sector, distance to the centre and its bin per lane."""
-    line = F.col("geometry")
-    heading = g.bearing(line)
-    away = geodesy.distance_to_centre(line)
-    return lanes.select(
-        line_id, geodesy.utm_length(line).alias("length_meters"), g.vertex_count(line).alias("num_points"),
-        geodesy.sinuosity(line).alias("sinuosity"), heading.alias("bearing"), g.cardinal(heading).alias("direction"),
-        away.alias("dist_to_center"), measures.distance_bin(away).alias("dist_bin"))
+    line, flat = F.col("geometry"), F.col("_flat")
+    measured = lanes.select(line_id, "geometry", geodesy.utm_line(line).alias("_flat")).select(
+        line_id, g.line_length(flat).alias("length_meters"), g.vertex_count(line).alias("num_points"),
+        geodesy.flat_sinuosity(flat).alias("sinuosity"), g.bearing(line).alias("bearing"),
+        geodesy.flat_distance_to_centre(flat).alias("dist_to_center"))
+    return measured.withColumns({"direction": g.cardinal(F.col("bearing")),
+                                 "dist_bin": measures.distance_bin(F.col("dist_to_center"))})
 
 
 def lane_topology(lanes: DataFrame, line_id: str = "lane_id") -> DataFrame:

@@ -17,19 +17,25 @@ _RUNTIME = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+_STATIC = {
+    "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+    # Plans here are long; recording a Python call site per expression would dominate their build.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app: str = "velomesh") -> SparkSession:
     """Session for tests, benches and jobs; a cluster passes its own master and sizes."""
-    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false") \
-        .config("spark.ui.showConsoleProgress", "false")
+    builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
         if master.startswith("local"):
             builder = builder.config("spark.driver.memory", "12g")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in _RUNTIME.items():
+    for key, value in (_RUNTIME | _STATIC).items():
         builder = builder.config(key, value)
     return pin(builder.getOrCreate())
 

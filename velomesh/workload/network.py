@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 from velomesh.functions import geodesy, geometry as g
 from velomesh.operators import dissolve as d, history, spatial
 from velomesh.plans import frames, indicators, lanes as lane_plans, studies
+from velomesh.session import checkpointed
 from velomesh.workload import views as v
 from velomesh.workload.registry import register, rounded
 from velomesh.workload.sqltext import distance, pieces_meet
 
 
 def _lane_tract(spark: SparkSession, folder: str) -> DataFrame:
-    return lane_plans.lane_tract(v.lane_state(spark, folder), v.location(spark, folder))
+    """The fact table of metres per tract, written out since several metrics read it."""
+    return checkpointed(lane_plans.lane_tract(v.lane_state(spark, folder), v.location(spark, folder)))
 
 
 def _tract_metrics(spark: SparkSession, folder: str) -> DataFrame:
@@ -46,7 +48,7 @@ def lane_lengths(spark: SparkSession, folder: str) -> DataFrame:
 
 @register("lane_tract", "J4 G4 G5 F3 Q8", "SELECT lane_id, year_trimester, census_tract_id, round(length_in_tract, 2) AS length_in_tract FROM lane_tract")
 def lane_tract(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(_lane_tract(spark, folder), 2, "length_in_tract")
+    return rounded(lane_plans.lane_tract(v.lane_state(spark, folder), v.location(spark, folder)), 2, "length_in_tract")
 
 
 @register("lane_connections", "J5 G4", """
@@ -190,9 +192,6 @@ def neighbourhood_coverage(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(studies.coverage_grid(c, names, tri, "neighbourhood_name"), 5, "avg_coverage_score")
 
 
-_BOX = "b.x + cx * 0.01e0"
-
-
 @register("grid_density", "J21 G15 F10 G4", """
 WITH b AS (SELECT least(min(x0), min(x1), min(x2)) AS x, least(min(y0), min(y1), min(y2)) AS y, greatest(max(x0), max(x1), max(x2)) AS xx, greatest(max(y0), max(y1), max(y2)) AS yy FROM lanes),
 g AS (SELECT cx AS cell_x, cy AS cell_y, b.x + cx * 0.01e0 AS gx, b.y + cy * 0.01e0 AS gy FROM b, (SELECT unnest(range(60)) AS cx), (SELECT unnest(range(60)) AS cy)

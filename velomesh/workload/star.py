@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from velomesh.operators import dims, history, quality
 from velomesh.plans import demographics, frames, indicators, stations, studies
+from velomesh.session import checkpointed
 from velomesh.workload import views as v
 from velomesh.workload.registry import register, rounded
 
@@ -208,9 +209,6 @@ def animation_frames(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(f.select("district_code", "ten_min_datetime", "avg_bike_availability"), 6, "avg_bike_availability")
 
 
-_STEPS = "SELECT DISTINCT CAST(ten_min_datetime AS DATE) AS d, s.step FROM view_neighbourhood, (SELECT unnest(range(145)) AS step) s"
-
-
 @register("slider_frames", "J18 W8 F13 P27 Q14", f"""
 WITH vals AS (SELECT neighbourhood_code, CAST(ten_min_datetime AS DATE) AS d, ten_min_datetime,
     hour(ten_min_datetime) * 3600 + minute(ten_min_datetime) * 60 AS s, avg_bike_availability AS a
@@ -228,7 +226,7 @@ SELECT strftime(d, {DAY}) AS date_value, CAST(step AS INTEGER) AS step, neighbou
 FROM (SELECT *, false AS is_fallback FROM near UNION ALL SELECT *, true FROM far WHERE rn = 1)""")
 def slider_frames(spark: SparkSession, folder: str) -> DataFrame:
     """Frames of one district's neighbourhoods, few enough for steps without any reading to occur."""
-    view = v.availability(spark, folder, "neighborhood").where("neighbourhood_name LIKE 'N01-%'")
+    view = checkpointed(v.availability(spark, folder, "neighborhood").where("neighbourhood_name LIKE 'N01-%'"))
     out = frames.slider_frames(view).select("date_value", "step", "neighbourhood_code", "ten_min_datetime",
                                             "avg_bike_availability", "gap_s", "is_fallback")
     return rounded(out, 6, "avg_bike_availability")
@@ -263,10 +261,11 @@ m AS (SELECT p.district_name, year, CAST(sum(population) AS BIGINT) AS total_pop
 
 
 @register("district_metrics", "A13 A14 A15 W3 P31", _EQUITY + """
-SELECT district_name, year, total_population, round(avg_income, 4) AS avg_income, total_capacity, round(area, 6) AS district_area,
+SELECT district_name, year, total_population, round(avg_income, 7) AS avg_income, total_capacity, round(area, 6) AS district_area,
   round(density, 4) AS population_density, service AS capacity_per_1000_inhabitants_per_sqkm FROM m""")
 def district_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(rounded(_district_metrics(spark, folder), 4, "avg_income", "population_density"), 6, "district_area")
+    m = rounded(_district_metrics(spark, folder), 4, "population_density")
+    return rounded(rounded(m, 6, "district_area"), 7, "avg_income")
 
 
 def _district_metrics(spark: SparkSession, folder: str) -> DataFrame:
@@ -276,20 +275,20 @@ def _district_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 @register("capacity_equity", "Q12 A16 F8 P21 J7", _EQUITY + """,
 l AS (SELECT * FROM m WHERE year = (SELECT max(year) FROM m)), c AS (SELECT avg(avg_income) AS ci, avg(service) AS cs FROM l)
-SELECT district_name, year, total_population, round(avg_income, 4) AS avg_income, service AS capacity_per_1000_inhabitants_per_sqkm,
+SELECT district_name, year, total_population, round(avg_income, 7) AS avg_income, service AS capacity_per_1000_inhabitants_per_sqkm,
   CASE WHEN avg_income BETWEEN ci * 0.9e0 AND ci * 1.1e0 AND service BETWEEN cs * 0.9e0 AND cs * 1.1e0 THEN 'Fair Distribution'
   WHEN avg_income < ci * 0.9e0 AND service < cs * 0.9e0 THEN 'Potential Underservice' WHEN avg_income > ci * 1.1e0 AND service > cs * 1.1e0 THEN 'Privileged Access'
   WHEN avg_income < ci * 0.9e0 AND service > cs * 1.1e0 THEN 'Good Service Despite Low Income'
   WHEN avg_income > ci * 1.1e0 AND service < cs * 0.9e0 THEN 'Poor Service Despite High Income' ELSE 'Moderate Distribution' END AS equity_status FROM l, c""")
 def capacity_equity(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(indicators.capacity_equity(_district_metrics(spark, folder)), 4, "avg_income")
+    return rounded(indicators.capacity_equity(_district_metrics(spark, folder)), 7, "avg_income")
 
 
 @register("district_averages", "A24 J24", """
-SELECT district_name AS district, round(avg(population), 4) AS avg_population, round(avg(income_euros), 4) AS avg_income
+SELECT district_name AS district, round(avg(population), 7) AS avg_population, round(avg(income_euros), 7) AS avg_income
 FROM population_income JOIN location USING (census_tract_id) GROUP BY 1""")
 def district_averages(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(demographics.averages(v.population_income(spark, folder), v.location(spark, folder)), 4, "avg_population", "avg_income")
+    return rounded(demographics.averages(v.population_income(spark, folder), v.location(spark, folder)), 7, "avg_population", "avg_income")
 
 
 @register("income_by_district", "A18 J24 Q19", """
@@ -304,9 +303,9 @@ def income_by_year(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @register("income_at_centroids", "A21 F6 G2 Q19", """
-SELECT census_tract_id, round((x0 + x1) / 2, 8) AS x, round((y0 + y1) / 2, 8) AS y, round(avg(import_euros), 4) AS avg_income
+SELECT census_tract_id, round((x0 + x1) / 2, 8) AS x, round((y0 + y1) / 2, 8) AS y, round(avg(import_euros), 6) AS avg_income
 FROM income JOIN tracts ON seccio_censal = census_tract_id WHERE import_euros IS NOT NULL GROUP BY ALL""")
 def income_at_centroids(spark: SparkSession, folder: str) -> DataFrame:
     rows = studies.income_at_centroids(v.income(spark, folder).dropna(subset=["import_euros"]), v.location(spark, folder))
     flat = rows.select("census_tract_id", F.col("centroid.x").alias("x"), F.col("centroid.y").alias("y"), "avg_income")
-    return rounded(rounded(flat, 8, "x", "y"), 4, "avg_income")
+    return rounded(rounded(flat, 8, "x", "y"), 6, "avg_income")
