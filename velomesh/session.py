@@ -47,19 +47,21 @@ def pin(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """New sub-folder of the folder every executor can reach.
-
-    The cluster names it in ``spark.checkpoint.dir``. Only a single-machine session without
-    that setting falls back to a folder of its own.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+def _shared_base(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; single-machine sessions without it get one of their own."""
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="velomesh-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+        context.setCheckpointDir(base)
+    return base.rstrip("/")
+
+
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """Name of a new sub-folder of the folder every executor can reach."""
+    return f"{_shared_base(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -69,5 +71,5 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession, "checkpoints"))
+        context.setCheckpointDir(_shared_base(df.sparkSession))
     return df.checkpoint(eager=True)
