@@ -14,11 +14,11 @@ COUNT_PATTERN = r"^[0-9]+$"
 COMPACT_DATE_PATTERN = r"^[0-9]{8}$"
 EPOCH_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
 TIMESTAMP_FORMATS = (
-    "yyyy-M-d'T'H:m:s.SSSSSS'Z'",
-    "yyyy-M-d'T'H:m:s'Z'",
-    "yyyy-M-d H:m:s",
-    "yyyy-M-d H:m:s.SSSSSS",
-    "d/M/yyyy H:m",
+    (r"^[0-9-]+T[0-9:]+\.[0-9]+Z$", "yyyy-M-d'T'H:m:s.SSSSSS'Z'"),
+    (r"^[0-9-]+T[0-9:]+Z$", "yyyy-M-d'T'H:m:s'Z'"),
+    (r"^[0-9-]+ [0-9:]+$", "yyyy-M-d H:m:s"),
+    (r"^[0-9-]+ [0-9:]+\.[0-9]+$", "yyyy-M-d H:m:s.SSSSSS"),
+    (r"^[0-9/]+ [0-9:]+$", "d/M/yyyy H:m"),
 )
 LANE_TYPE_WORDS = (("bidireccional", "bidirectional"), ("unidireccional", "unidirectional"))
 LANE_TYPE_OTHER = "unknown"
@@ -53,7 +53,8 @@ def parse_instant(c: Column) -> Column:
 def parse_sampling_time(c: Column) -> Column:
     """Integer epoch, else the first of five text formats that fits, else NULL."""
     epoch = F.when(c.rlike(EPOCH_PATTERN), F.timestamp_seconds(F.trim(c).try_cast("bigint")))
-    texts = [F.try_to_timestamp(c, F.lit(fmt)) for fmt in TIMESTAMP_FORMATS]
+    # The shape is tested first: a failed parse costs far more than a regular expression.
+    texts = [F.when(c.rlike(shape), F.try_to_timestamp(c, F.lit(fmt))) for shape, fmt in TIMESTAMP_FORMATS]
     return F.coalesce(epoch, *texts).cast("timestamp_ntz")
 
 

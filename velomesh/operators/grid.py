@@ -50,21 +50,28 @@ def _grid_crossings(a: Column, b: Column, size: float) -> Column:
     return F.filter(at, lambda t: (t > 0) & (t < 1))
 
 
+def consecutive(cuts: Column) -> Column:
+    """Neighbouring parameters of a sorted array as array<struct<t0, t1>>, empty spans left out."""
+    def spans(c):
+        n = F.size(c) - 1
+        return F.filter(F.zip_with(F.slice(c, F.lit(1), n), F.slice(c, F.lit(2), n),
+                                   lambda s, t: F.struct(s.alias("t0"), t.alias("t1"))),
+                        lambda s: s["t1"] > s["t0"])
+    return g.bind(cuts, spans)
+
+
 def edge_pieces(e: Column, size: float) -> Column:
     """An edge cut at every grid line: array<struct<cx, cy, t0, t1>>, disjoint and complete."""
     ax, ay, bx, by = (e[k] for k in ("ax", "ay", "bx", "by"))
     inner = F.concat(_grid_crossings(ax, bx, size), _grid_crossings(ay, by, size))
     cuts = F.array_sort(F.concat(F.array(F.lit(0.0), F.lit(1.0)), inner))
-    spans = F.zip_with(F.slice(cuts, F.lit(1), F.size(cuts) - 1), F.slice(cuts, F.lit(2), F.size(cuts) - 1),
-                       lambda s, t: F.struct(s.alias("t0"), t.alias("t1")))
-    spans = F.filter(spans, lambda s: s["t1"] > s["t0"])
 
     def place(s):
         m = (s["t0"] + s["t1"]) / 2
         return F.struct(cell_of(ax + m * (bx - ax), size).alias("cx"),
                         cell_of(ay + m * (by - ay), size).alias("cy"),
                         s["t0"].alias("t0"), s["t1"].alias("t1"))
-    return F.transform(spans, place)
+    return F.transform(consecutive(cuts), place)
 
 
 def edge_cells(e: Column, size: float) -> Column:

@@ -1,10 +1,8 @@
-"""Nearest line for each (point, group), searched in growing rings of grid cells."""
+"""Nearest line for each (point, group) without comparing every point with every line."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from velomesh.functions import geodesy, geometry as g
@@ -13,8 +11,8 @@ from velomesh.operators.skew import spread_join
 from velomesh.operators.spatial import line_shapes
 from velomesh.session import checkpointed
 
-# Each ring looks at cells as wide as its reach; the last one covers the full radius.
-RING_SHARES = (1 / 16, 1 / 4, 1.0)
+# Fine cells per search radius and axis.
+CELLS_PER_RADIUS = 16
 
 
 def nearest_line(points: DataFrame, lines: DataFrame, point_id: str, by: str, line_id: str,
@@ -26,42 +24,65 @@ def nearest_line(points: DataFrame, lines: DataFrame, point_id: str, by: str, li
     ``order`` picks the winner by spheroid metres or by planar degrees (``"planar"``); metres are
     those of the winner either way. ``points`` has one row per (point_id, by).
 
-    A ring settles a point when the winner is nearer in metres than anything outside the ring can
-    be, so most points meet a few neighbours only and just the lonely ones look further. Between
-    rings the open points are written out, which keeps every ring a plan of its own.
+    First every point looks at the fine cells around it. It is settled when the winner is nearer in
+    metres than anything outside those cells can be. A point still open takes one known lane spot
+    per occupied cell as a bound and then compares itself with the few cells that can beat it. The
+    number of cells a point looks at is limited by the radius, not by the data.
     """
     if order not in ("geodesic", "planar"):
         raise ValueError(f"unknown order {order!r}")
+    fine = radius_deg / CELLS_PER_RADIUS
     shapes = line_shapes(lines, [by], line_id, geom)
-    edges = checkpointed(grid.explode_edges(shapes, "geometry", [by, "shape_id"]))
+    edges = checkpointed(grid.with_edge_cells(
+        grid.explode_edges(shapes, "geometry", [by, "shape_id"]), fine))
+    start = points.select(point_id, by, F.col(f"{point}.x").alias("px"), F.col(f"{point}.y").alias("py"))
     px, py = F.col("px"), F.col("py")
-    pending = points.select(point_id, by, F.col(f"{point}.x").alias("px"), F.col(f"{point}.y").alias("py"))
-    done = []
-    for share in RING_SHARES:
-        last = share == RING_SHARES[-1]
-        size = radius_deg * share
-        floor_m = geodesy.degree_floor_m(py, 2 * radius_deg)
-        # A line within the radius may be nearest in metres at a spot a little beyond it.
-        reach = radius_deg * (geodesy.METRES_PER_DEGREE_CEILING / floor_m) if last else F.lit(size)
-        cells = grid.box_cells(px - reach, py - reach, px + reach, py + reach, size)
-        around = (pending.withColumn("_c", F.explode(cells))
-                  .select(point_id, by, "px", "py", F.col("_c.cx").alias("cx"), F.col("_c.cy").alias("cy")))
-        found = spread_join(grid.with_edge_cells(edges, size), around, [by, "cx", "cy"], ["shape_id", "edge"])
-        flat = F.min(g.planar_point_edge(px, py, F.col("edge"))).alias("flat")
-        metres = F.min(geodesy.point_edge_distance(px, py, F.col("edge"))).alias("m")
-        per_line = found.groupBy(point_id, by, "shape_id").agg(flat, metres)
+    floor_m = geodesy.degree_floor_m(py, 2 * radius_deg)
+
+    def winners(candidates: DataFrame) -> DataFrame:
+        """Best line per point among the edges of its candidate cells (point_id, by, px, py, cx, cy)."""
+        met = spread_join(edges, candidates, [by, "cx", "cy"], ["shape_id", "edge"])
+        per_line = met.groupBy(point_id, by, "shape_id").agg(
+            F.min(g.planar_point_edge(px, py, F.col("edge"))).alias("flat"),
+            F.min(geodesy.point_edge_distance(px, py, F.col("edge"))).alias("m"))
         rank = ("m", "flat") if order == "geodesic" else ("flat", "m")
-        best = (per_line.where(F.col("flat") <= radius_deg)
+        return (per_line.where(F.col("flat") <= radius_deg)
                 .groupBy(point_id, by).agg(F.min(F.struct(*rank, "shape_id")).alias("best")))
-        scored = pending.join(best, [point_id, by], "left")
-        if last:
-            done.append(scored)
-            break
-        scored = checkpointed(scored)
-        settled = F.coalesce(F.col("best.m") <= size * floor_m, F.lit(False))
-        done.append(scored.where(settled))
-        pending = scored.where(~settled).drop("best")
-        if pending.isEmpty():
-            break
-    out = reduce(DataFrame.unionByName, done)
-    return out.select(point_id, by, F.col("best.shape_id").alias(line_id), F.col("best.m").alias("metres"))
+
+    around = F.explode(grid.box_cells(px - fine, py - fine, px + fine, py + fine, fine)).alias("c")
+    close = start.select("*", around).select(point_id, by, "px", "py", "c.cx", "c.cy")
+    scored = checkpointed(start.join(winners(close), [point_id, by], "left"))
+    settled = F.coalesce(F.col("best.m") <= fine * floor_m, F.lit(False))
+    done, open_ = scored.where(settled), scored.where(~settled).drop("best")
+    if not open_.isEmpty():
+        cells = _cells_in_reach(open_, edges, point_id, by, radius_deg, fine)
+        done = done.unionByName(open_.join(winners(cells), [point_id, by], "left"))
+    return done.select(point_id, by, F.col("best.shape_id").alias(line_id), F.col("best.m").alias("metres"))
+
+
+def _cells_in_reach(points: DataFrame, edges: DataFrame, point_id: str, by: str, radius_deg: float,
+                    fine: float) -> DataFrame:
+    """(point_id, by, px, py, cx, cy): the occupied cells that can hold a point's nearest line."""
+    px, py = F.col("px"), F.col("py")
+    # How much a planar order can differ from the order in metres near this latitude.
+    stretch = geodesy.METRES_PER_DEGREE_CEILING / geodesy.degree_floor_m(py, 2 * radius_deg)
+    reach = radius_deg * stretch
+    block = F.lit(CELLS_PER_RADIUS)
+    occupied = edges.groupBy(by, "cx", "cy").agg(F.min(F.struct("edge.ax", "edge.ay")).alias("spot")).select(
+        "*", F.floor(F.col("cx") / block).alias("kx"), F.floor(F.col("cy") / block).alias("ky"))
+    pad = reach + fine
+    blocks = F.explode(grid.box_cells(px - pad, py - pad, px + pad, py + pad, radius_deg)).alias("k")
+    asking = points.select(point_id, by, "px", "py", blocks).select(
+        point_id, by, "px", "py", F.col("k.cx").alias("kx"), F.col("k.cy").alias("ky"))
+    pairs = spread_join(asking, occupied, [by, "kx", "ky"], [point_id])
+
+    def outside(p, cell):
+        return F.greatest(cell * fine - p, p - (cell + 1) * fine, F.lit(0.0))
+    nearest_corner = F.hypot(outside(px, F.col("cx")), outside(py, F.col("cy")))
+    to_spot = F.hypot(px - F.col("spot.ax"), py - F.col("spot.ay"))
+    # One window row per occupied cell within the radius.
+    bound = F.min("_spot").over(Window.partitionBy(point_id, by))
+    limit = F.when(bound <= radius_deg, bound * stretch).otherwise(reach) + grid.COVER_PAD
+    return (pairs.select(point_id, by, "px", "py", "cx", "cy", nearest_corner.alias("_low"), to_spot.alias("_spot"))
+            .withColumn("_limit", limit).where(F.col("_low") <= F.col("_limit"))
+            .select(point_id, by, "px", "py", "cx", "cy"))

@@ -13,24 +13,28 @@ from velomesh.operators.skew import spread_join
 
 
 def polygon_cover(polygons: DataFrame, geom: str = "geometry", size: float = grid.CELL) -> DataFrame:
-    """One row per (polygon, cell of its box) with ``inside`` and, only where needed, ``edges``.
+    """One row per (polygon, cell of its box) with ``box``, ``inside`` and, where needed, ``edges``.
 
     ``inside`` cells lie wholly in the polygon, so a join on them needs no exact test and does not
     carry the geometry. Cells of the box that the polygon does not touch are dropped.
     """
-    keep = [c for c in polygons.columns if c != geom]
-    cells = grid.with_box_cells(
-        polygons.select(*keep, g.polygon_edges(F.col(geom)).alias("edges"),
-                        g.polygon_bounds(F.col(geom)).alias("_b")), F.col("_b"), size)
-    x0, y0 = F.col("cx") * size - grid.COVER_PAD, F.col("cy") * size - grid.COVER_PAD
-    x1, y1 = (F.col("cx") + 1) * size + grid.COVER_PAD, (F.col("cy") + 1) * size + grid.COVER_PAD
-    bordered = F.exists(F.col("edges"), lambda e: g.edge_meets_box(e, x0, y0, x1, y1))
-    middle = g.edges_contain(F.col("edges"), (F.col("cx") + 0.5) * size, (F.col("cy") + 0.5) * size)
-    return (cells.withColumn("_bordered", bordered)
-            .withColumn("inside", ~F.col("_bordered") & middle)
-            .where(F.col("_bordered") | F.col("inside"))
-            .withColumn("edges", F.when(~F.col("inside"), F.col("edges")))
-            .drop("_b", "_bordered"))
+    keep = [F.col(c) for c in polygons.columns if c != geom]
+    shaped = polygons.select(*keep, g.polygon_edges(F.col(geom)).alias("edges"),
+                             g.polygon_bounds(F.col(geom)).alias("box"))
+    box, cx, cy = F.col("box"), F.col("cell.cx"), F.col("cell.cy")
+    cells = grid.box_cells(box["xmin"], box["ymin"], box["xmax"], box["ymax"], size)
+    # Only a box three cells wide and high can hold a whole cell off its rim.
+    rim_only = ((grid.cell_of(box["xmax"], size) - grid.cell_of(box["xmin"], size) < 2)
+                | (grid.cell_of(box["ymax"], size) - grid.cell_of(box["ymin"], size) < 2))
+    x0, y0 = cx * size - grid.COVER_PAD, cy * size - grid.COVER_PAD
+    x1, y1 = (cx + 1) * size + grid.COVER_PAD, (cy + 1) * size + grid.COVER_PAD
+    bordered = rim_only | F.exists(F.col("edges"), lambda e: g.edge_meets_box(e, x0, y0, x1, y1))
+    middle = g.edges_contain(F.col("edges"), (cx + 0.5) * size, (cy + 0.5) * size)
+    classed = shaped.withColumn("cell", F.explode(cells)).withColumn(
+        "place", F.when(bordered, "rim").when(middle, "inside")).where(F.col("place").isNotNull())
+    inside = F.col("place") == "inside"
+    return classed.select(*keep, cx.alias("cx"), cy.alias("cy"), "box", inside.alias("inside"),
+                          F.when(~inside, F.col("edges")).alias("edges"))
 
 
 def contains_join(points: DataFrame, polygons: DataFrame, point_id: Sequence[str],
@@ -39,11 +43,12 @@ def contains_join(points: DataFrame, polygons: DataFrame, point_id: Sequence[str
 
     Points on a border match nothing. Column names of the two sides must differ, geometries aside.
     """
-    located = grid.with_cell(points.withColumnRenamed(point, "_pt"), F.col("_pt.x"), F.col("_pt.y"), size)
-    cover = polygon_cover(polygons, geom, size)
-    hit = F.col("inside") | g.edges_contain(F.col("edges"), F.col("_pt.x"), F.col("_pt.y"))
-    return (spread_join(located, cover, ["cx", "cy"], point_id, hit)
-            .drop("cx", "cy", "inside", "edges").withColumnRenamed("_pt", point))
+    x, y, box = F.col("_pt.x"), F.col("_pt.y"), F.col("box")
+    located = grid.with_cell(points.withColumnRenamed(point, "_pt"), x, y, size)
+    hit = (x.between(box["xmin"], box["xmax"]) & y.between(box["ymin"], box["ymax"])
+           & (F.col("inside") | g.edges_contain(F.col("edges"), x, y)))
+    return (spread_join(located, polygon_cover(polygons, geom, size), ["cx", "cy"], point_id, hit)
+            .drop("cx", "cy", "box", "inside", "edges").withColumnRenamed("_pt", point))
 
 
 def _clip_spans(edges: Column, ax, ay, bx, by) -> Column:
@@ -61,13 +66,11 @@ def _clip_spans(edges: Column, ax, ay, bx, by) -> Column:
         return F.coalesce(F.when(cross == 0, ends).otherwise(meets), F.array().cast("array<double>"))
     cuts = F.filter(F.flatten(F.transform(edges, crossing)), lambda t: (t > 0) & (t < 1))
     cuts = F.array_sort(F.concat(F.array(F.lit(0.0), F.lit(1.0)), cuts))
-    spans = F.zip_with(F.slice(cuts, F.lit(1), F.size(cuts) - 1), F.slice(cuts, F.lit(2), F.size(cuts) - 1),
-                       lambda s, t: F.struct(s.alias("t0"), t.alias("t1")))
 
     def covered(s):
         m = (s["t0"] + s["t1"]) / 2
-        return (s["t1"] > s["t0"]) & g.edges_cover(edges, ax + m * (bx - ax), ay + m * (by - ay))
-    return F.filter(spans, covered)
+        return g.edges_cover(edges, ax + m * (bx - ax), ay + m * (by - ay))
+    return F.filter(grid.consecutive(cuts), covered)
 
 
 def clip_length_join(lines: DataFrame, polygons: DataFrame, line_id: Sequence[str], poly_id: str,
@@ -89,8 +92,11 @@ def clip_length_join(lines: DataFrame, polygons: DataFrame, line_id: Sequence[st
                F.when(F.col("_p.t1") == 1, F.col("edge.by")).otherwise(F.col("edge.ay") + F.col("_p.t1") * ey)
                ).alias("piece"))
     cover = polygon_cover(polygons.select(poly_id, geom), geom, size)
-    near = spread_join(pieces, cover, ["cx", "cy"], [*line_id, "edge_no", "at"])
     ax, ay, bx, by = (F.col(f"piece.{k}") for k in ("ax", "ay", "bx", "by"))
+    box = F.col("box")
+    overlap = ((F.least(ax, bx) <= box["xmax"]) & (F.greatest(ax, bx) >= box["xmin"])
+               & (F.least(ay, by) <= box["ymax"]) & (F.greatest(ay, by) >= box["ymin"]))
+    near = spread_join(pieces, cover, ["cx", "cy"], [*line_id, "edge_no", "at"], overlap)
 
     def span_metres(s):
         return geodesy.distance(ax + s["t0"] * (bx - ax), ay + s["t0"] * (by - ay),
