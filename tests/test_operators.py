@@ -224,7 +224,7 @@ def test_thinning_runs(spark):
     assert (report.rows_in, report.rows_kept, report.rows_skipped, report.reduction_pct) == (10, 8, 2, 20.0)
     latest = history.latest_per(kept.where("ts IS NOT NULL").selectExpr("station", "window(ts, '10 minutes').start AS b", "ts"), ["station", "b"], "ts")
     assert sorted(r.ts.strftime("%H:%M") for r in latest.collect()) == ["00:05", "00:10"]
-    hourly = history.thin_runs(df, "station", "ts", ["o"], "chunk", "file", "1 hour")
+    hourly = history.thin_runs(df, "station", "ts", ["o"], "chunk", "file", 3600)
     assert sorted((r.file, r.o) for r in hourly.collect()) == [(f, i) for f in ("f1", "f2") for i in (0, 3)]
 
 

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from velomesh.functions.calendar import time_floor, trunc
 from velomesh.operators.skew import chunked_lag
 
 
@@ -35,19 +34,19 @@ def arg_extreme(df: DataFrame, value: str, tiebreak: Sequence[str], largest: boo
 
 
 def thin_runs(df: DataFrame, station: str, ts: str, order: Sequence[str], chunk: str, file: str,
-              every: str = "10 minutes") -> DataFrame:
+              every_s: int = 600) -> DataFrame:
     """Keep a row when its time bucket differs from the station's previous row in file order.
 
     Rows without a parseable time are always kept and do not end a run. State starts anew per
     file. ``chunk`` numbers consecutive slices of a file (its splits, say); no task ever sorts more
     than one slice of one station.
     """
-    bucket = trunc("hour", F.col(ts)) if every == "1 hour" else time_floor(F.col(ts), int(every.split()[0]))
-    timed = df.withColumn("_bucket", bucket)
-    untimed = timed.where(F.col("_bucket").isNull()).drop("_bucket")
-    run = chunked_lag(timed.where(F.col("_bucket").isNotNull()), [file, station], chunk, order, "_bucket", "_before")
-    starts = run.where(F.col("_before").isNull() | (F.col("_before") != F.col("_bucket")))
-    return starts.select(*df.columns).unionByName(untimed)
+    # Rows without a time form a sequence of their own, all of which is kept.
+    slot = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / every_s)
+    marked = df.withColumn("_slot", slot).withColumn("_timed", F.col("_slot").isNotNull())
+    run = chunked_lag(marked, [file, station, "_timed"], chunk, order, "_slot", "_before")
+    starts = F.col("_before").isNull() | (F.col("_before") != F.col("_slot"))
+    return run.where(~F.col("_timed") | starts).select(*df.columns)
 
 
 def thinning_report(before: DataFrame, after: DataFrame) -> DataFrame:
