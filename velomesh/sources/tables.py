@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +40,19 @@ def ensure_step(spark: SparkSession, table: str, build: Callable[[], DataFrame],
     return True
 
 
+def ensure_files(spark: SparkSession, path: str, build: Callable[[], DataFrame], force: bool = False) -> DataFrame:
+    """The parquet table at ``path``, built first unless it is there with rows; ``force`` rebuilds."""
+    if not force:
+        try:
+            ready = spark.read.parquet(path)
+            if not ready.isEmpty():
+                return ready
+        except AnalysisException:
+            pass
+    build().write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return spark.read.parquet(path)
+
+
 def insert_missing(spark: SparkSession, candidates: DataFrame, table: str, keys: Sequence[str]) -> None:
     """Append the members the dimension table does not hold yet."""
     dim = spark.table(table)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velomesh.functions import calendar as cal, geodesy, measures, parsing as p
-from velomesh.operators import quality
+from velomesh.operators import dims, quality
 from velomesh.operators.history import thin_runs, thinning_report
 from velomesh.operators.stats import union_all
 from velomesh.plans import cleaning
@@ -134,6 +134,21 @@ def monthly_load(spark: SparkSession, folder: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("num_bikes_available").alias("bikes")))
 
 
+@register("ensured_dimension", "S12 S10", """
+SELECT DISTINCT strftime(last_updated, '%Y-%m-%d') AS date_value, CAST(day(last_updated) AS INTEGER) AS day FROM information""")
+def ensured_dimension(spark: SparkSession, folder: str) -> DataFrame:
+    """A dimension built once; the second request finds it and must not build again."""
+    path = shared_folder(spark, "dim-day")
+
+    def build() -> DataFrame:
+        return dims.day_dim(v.information(spark, folder).select(F.col("last_updated").alias("ts")))
+
+    def never() -> DataFrame:
+        raise AssertionError("the table was there already")
+    tables.ensure_files(spark, path, build)
+    return tables.ensure_files(spark, path, never).select("date_value", "day")
+
+
 @register("table_preview", "S15 O5", "SELECT event_id, station_id, status FROM ticks ORDER BY event_id LIMIT 5")
 def table_preview(spark: SparkSession, folder: str) -> DataFrame:
     return tables.preview(v.ticks(spark, folder).select("event_id", "station_id", "status").orderBy("event_id"))
