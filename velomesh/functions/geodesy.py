@@ -165,10 +165,12 @@ def reproject(p: Column, source: int, target: int) -> Column:
 
 
 def reproject_line(line: Column, source: int, target: int) -> Column:
-    return F.transform(line, lambda p: reproject(p, source, target))
+    return line if source == target else F.transform(line, lambda p: reproject(p, source, target))
 
 
 def reproject_polygon(polygon: Column, source: int, target: int) -> Column:
+    if source == target:
+        return polygon
     return F.transform(polygon, lambda ring: reproject_line(ring, source, target))
 
 

@@ -67,7 +67,8 @@ def vertex_count(line: Column) -> Column:
 
 def line_bounds(line: Column) -> Column:
     """struct<xmin, ymin, xmax, ymax> of a line or ring."""
-    xs, ys = F.transform(line, lambda p: p["x"]), F.transform(line, lambda p: p["y"])
+    # Reading a field of an array of structs gives the array of that field.
+    xs, ys = line["x"], line["y"]
     return F.struct(F.array_min(xs).alias("xmin"), F.array_min(ys).alias("ymin"),
                     F.array_max(xs).alias("xmax"), F.array_max(ys).alias("ymax"))
 
@@ -137,8 +138,8 @@ def edges_contain(edges: Column, x: Column, y: Column) -> Column:
 
 def edges_cover(edges: Column, x: Column, y: Column) -> Column:
     """Closed test: interior or border."""
-    return (F.exists(edges, lambda e: on_edge(e, x, y, BORDER_TOLERANCE))
-            | (_ray_crossings(edges, x, y) % 2 == 1))
+    return ((_ray_crossings(edges, x, y) % 2 == 1)
+            | F.exists(edges, lambda e: on_edge(e, x, y, BORDER_TOLERANCE)))
 
 
 def contains(polygon: Column, p: Column) -> Column:
@@ -175,20 +176,21 @@ def line_centroid(line: Column) -> Column:
 
 
 def _ring_moments(ring: Column) -> Column:
-    """Twice the signed area and the two first moments, taken about the ring's first vertex."""
-    ox, oy = F.get(ring, F.lit(0))["x"], F.get(ring, F.lit(0))["y"]
-
-    def add(acc, e):
-        ax, ay, bx, by = e["ax"] - ox, e["ay"] - oy, e["bx"] - ox, e["by"] - oy
-        cross = ax * by - bx * ay
-        return F.struct((acc["a"] + cross).alias("a"),
-                        (acc["mx"] + (ax + bx) * cross).alias("mx"),
-                        (acc["my"] + (ay + by) * cross).alias("my"))
+    """Twice the area and the two first moments, taken about the ring's first vertex."""
     zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
-    # Shells and holes may be wound either way, so each ring is made positive.
-    return F.aggregate(line_edges(ring), zero, add, lambda m: F.struct(
-        F.abs(m["a"]).alias("a"), ox.alias("ox"), oy.alias("oy"),
-        (m["mx"] * F.signum(m["a"])).alias("mx"), (m["my"] * F.signum(m["a"])).alias("my")))
+
+    def about(o):
+        def add(acc, e):
+            return bind(F.struct((e["ax"] - o["x"]).alias("ax"), (e["ay"] - o["y"]).alias("ay"),
+                                 (e["bx"] - o["x"]).alias("bx"), (e["by"] - o["y"]).alias("by")),
+                        lambda r: bind(r["ax"] * r["by"] - r["bx"] * r["ay"], lambda cross: F.struct(
+                            (acc["a"] + cross).alias("a"), (acc["mx"] + (r["ax"] + r["bx"]) * cross).alias("mx"),
+                            (acc["my"] + (r["ay"] + r["by"]) * cross).alias("my"))))
+        # Shells and holes may be wound either way, so each ring is made positive.
+        return F.aggregate(line_edges(ring), zero, add, lambda m: F.struct(
+            F.abs(m["a"]).alias("a"), o["x"].alias("ox"), o["y"].alias("oy"),
+            (m["mx"] * F.signum(m["a"])).alias("mx"), (m["my"] * F.signum(m["a"])).alias("my")))
+    return bind(F.get(ring, F.lit(0)), about)
 
 
 def _signed(i: Column, value: Column) -> Column:
@@ -203,22 +205,23 @@ def polygon_area(polygon: Column) -> Column:
 
 def polygon_centroid(polygon: Column) -> Column:
     """Area-weighted centroid of shell minus holes."""
-    base = F.get(F.get(polygon, F.lit(0)), F.lit(0))
-
-    def weigh(ring, i):
-        m = _ring_moments(ring)
-        # moment about the polygon's first vertex = own moment + 3 * area2 * offset
-        return F.struct(_signed(i, m["a"]).alias("a"),
-                        _signed(i, m["mx"] + 3 * m["a"] * (m["ox"] - base["x"])).alias("mx"),
-                        _signed(i, m["my"] + 3 * m["a"] * (m["oy"] - base["y"])).alias("my"))
     zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
 
-    def add(acc, m):
-        return F.struct((acc["a"] + m["a"]).alias("a"), (acc["mx"] + m["mx"]).alias("mx"),
-                        (acc["my"] + m["my"]).alias("my"))
-    return F.aggregate(F.transform(polygon, weigh), zero, add, lambda s: point(
-        base["x"] + F.coalesce(F.try_divide(s["mx"], 3 * s["a"]), F.lit(0.0)),
-        base["y"] + F.coalesce(F.try_divide(s["my"], 3 * s["a"]), F.lit(0.0))))
+    def about(base):
+        def weigh(ring, i):
+            # moment about the polygon's first vertex = own moment + 3 * area2 * offset
+            return bind(_ring_moments(ring), lambda m: F.struct(
+                _signed(i, m["a"]).alias("a"),
+                _signed(i, m["mx"] + 3 * m["a"] * (m["ox"] - base["x"])).alias("mx"),
+                _signed(i, m["my"] + 3 * m["a"] * (m["oy"] - base["y"])).alias("my")))
+
+        def add(acc, m):
+            return F.struct((acc["a"] + m["a"]).alias("a"), (acc["mx"] + m["mx"]).alias("mx"),
+                            (acc["my"] + m["my"]).alias("my"))
+        return F.aggregate(F.transform(polygon, weigh), zero, add, lambda t: point(
+            base["x"] + F.coalesce(F.try_divide(t["mx"], 3 * t["a"]), F.lit(0.0)),
+            base["y"] + F.coalesce(F.try_divide(t["my"], 3 * t["a"]), F.lit(0.0))))
+    return bind(F.get(F.get(polygon, F.lit(0)), F.lit(0)), about)
 
 
 def bearing(line: Column) -> Column:

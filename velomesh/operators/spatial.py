@@ -53,23 +53,32 @@ def contains_join(points: DataFrame, polygons: DataFrame, point_id: Sequence[str
 
 def _clip_spans(edges: Column, ax, ay, bx, by) -> Column:
     """Parts of a→b covered by a closed polygon, as array<struct<t0, t1>>."""
+    dx, dy = bx - ax, by - ay
+    none = F.array().cast("array<double>")
+
     def crossing(e):
-        dx, dy, ex, ey = bx - ax, by - ay, e["bx"] - e["ax"], e["by"] - e["ay"]
-        cross = dx * ey - dy * ex
-        qx, qy = e["ax"] - ax, e["ay"] - ay
-        t, u = F.try_divide(qx * ey - qy * ex, cross), F.try_divide(qx * dy - qy * dx, cross)
-        meets = F.when((u >= 0) & (u <= 1), F.array(t))
-        # A parallel ring edge can only start or end an overlap at its own vertices.
-        norm = dx * dx + dy * dy
-        ends = F.array(F.try_divide(qx * dx + qy * dy, norm),
-                       F.try_divide((e["bx"] - ax) * dx + (e["by"] - ay) * dy, norm))
-        return F.coalesce(F.when(cross == 0, ends).otherwise(meets), F.array().cast("array<double>"))
+        gap = F.struct((e["bx"] - e["ax"]).alias("ex"), (e["by"] - e["ay"]).alias("ey"),
+                       (e["ax"] - ax).alias("qx"), (e["ay"] - ay).alias("qy"))
+
+        def along(r):
+            # A parallel ring edge can only start or end an overlap at its own vertices.
+            norm = dx * dx + dy * dy
+            ends = F.array(F.try_divide(r["qx"] * dx + r["qy"] * dy, norm),
+                           F.try_divide((r["qx"] + r["ex"]) * dx + (r["qy"] + r["ey"]) * dy, norm))
+
+            def cut(cross):
+                u = F.try_divide(r["qx"] * dy - r["qy"] * dx, cross)
+                return (F.when(cross == 0, ends)
+                        .when(u.between(0.0, 1.0), F.array(F.try_divide(r["qx"] * r["ey"] - r["qy"] * r["ex"], cross)))
+                        .otherwise(none))
+            return g.bind(dx * r["ey"] - dy * r["ex"], cut)
+        return g.bind(gap, along)
     cuts = F.filter(F.flatten(F.transform(edges, crossing)), lambda t: (t > 0) & (t < 1))
     cuts = F.array_sort(F.concat(F.array(F.lit(0.0), F.lit(1.0)), cuts))
 
     def covered(s):
         m = (s["t0"] + s["t1"]) / 2
-        return g.edges_cover(edges, ax + m * (bx - ax), ay + m * (by - ay))
+        return g.bind(g.point(ax + m * dx, ay + m * dy), lambda p: g.edges_cover(edges, p["x"], p["y"]))
     return F.filter(grid.consecutive(cuts), covered)
 
 

@@ -13,6 +13,8 @@ _RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Geometry is heavy on processors and light on bytes, so even small shuffles stay spread out.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     # Month reloads replace only the months they carry.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
