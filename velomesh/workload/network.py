@@ -302,7 +302,7 @@ FROM (SELECT t.*, c.i, c.j FROM tracts t JOIN cells c ON c.c_custkey = t.census_
 WITH e AS ({_EDGES}), o AS (SELECT district_code, neighbourhood_code, e FROM e GROUP BY ALL HAVING count(*) = 1),
 p AS (SELECT district_code, neighbourhood_code, sum(CASE WHEN e.c = 'w' THEN 0.003e0 ELSE 0.004e0 END) AS outline FROM o GROUP BY 1, 2),
 a AS (SELECT district_code, neighbourhood_code, sum((x1 - x0) * (y1 - y0)) AS area FROM tracts GROUP BY 1, 2)
-SELECT district_code, neighbourhood_code, 1 AS n_parts, round(area, 9) AS area, round(outline, 7) AS outline FROM a JOIN p USING (district_code, neighbourhood_code)""")
+SELECT district_code, neighbourhood_code, CAST(1 AS BIGINT) AS n_parts, round(area, 9) AS area, round(outline, 7) AS outline FROM a JOIN p USING (district_code, neighbourhood_code)""")
 def area_outlines(spark: SparkSession, folder: str) -> DataFrame:
     """Merged outlines per neighbourhood: number of parts, area and outline length in degrees."""
     parts = d.dissolve(v.location(spark, folder).select("district_code", "neighbourhood_code", "geometry"), ["district_code", "neighbourhood_code"])

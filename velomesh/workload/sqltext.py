@@ -115,7 +115,7 @@ FROM scored JOIN areas USING (station_id) GROUP BY ALL""",
 FROM scored JOIN areas USING (station_id) GROUP BY ALL""",
     "population": """SELECT CAST(year(o_orderdate) AS VARCHAR) || '-01-01' AS data_referencia,
   CAST((1 + (o_custkey % 45) // 9) * 10000000 + o_custkey AS BIGINT) AS seccio_censal,
-  CAST(floor(o_totalprice / 100) AS BIGINT) AS valor, year(o_orderdate) AS year FROM orders""",
+  CAST(floor(o_totalprice / 100) AS BIGINT) AS valor, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders""",
     "income": """SELECT make_date(year(o_orderdate) + 1, 1, 1) AS "any", year(o_orderdate) + 1 AS year,
   CAST((1 + (o_custkey % 45) // 9) * 10000000 + o_custkey AS BIGINT) AS seccio_censal, o_totalprice AS import_euros,
   round((o_totalprice - lo) / nullif(hi - lo, 0), 6) AS income_norm
