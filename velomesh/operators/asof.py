@@ -31,7 +31,7 @@ def nearest_time_join(rows: DataFrame, area: str, ts: str, present: str, toleran
     offered = (timed.where(low <= high).withColumn("step", F.explode(F.sequence(low, high)))
                .withColumn("gap_s", F.abs(F.col("_s") - F.col("step") * step_s)))
     near = (offered.groupBy("date_value", area, "step")
-            .agg(F.min_by(F.struct("gap_s", "_row"), F.struct("gap_s", "_s")).alias("_b"))
+            .agg(F.min(F.struct("gap_s", "_s", "_row")).alias("_b"))
             .select("date_value", area, "step", "_b.gap_s", "_b._row")
             .where(F.col(f"_row.{present}").isNotNull()))
     out = near.withColumn("is_fallback", F.lit(False))

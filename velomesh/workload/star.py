@@ -210,24 +210,24 @@ def animation_frames(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @register("slider_frames", "J18 W8 F13 P27 Q14", f"""
-WITH vals AS (SELECT neighbourhood_code, CAST(ten_min_datetime AS DATE) AS d, ten_min_datetime,
+WITH vals AS (SELECT neighbourhood_name, CAST(ten_min_datetime AS DATE) AS d, ten_min_datetime,
     hour(ten_min_datetime) * 3600 + minute(ten_min_datetime) * 60 AS s, avg_bike_availability AS a
-  FROM view_neighbourhood WHERE neighbourhood_name LIKE 'N01-%'),
+  FROM view_neighbourhood),
 steps AS (SELECT DISTINCT d, unnest(range(145)) AS step FROM vals),
-ranked AS (SELECT d, step, neighbourhood_code, ten_min_datetime, a, abs(s - step * 600) AS gap_s,
-    row_number() OVER (PARTITION BY d, step, neighbourhood_code ORDER BY abs(s - step * 600), s) AS rn FROM steps JOIN vals USING (d)),
+ranked AS (SELECT d, step, neighbourhood_name, ten_min_datetime, a, abs(s - step * 600) AS gap_s,
+    row_number() OVER (PARTITION BY d, step, neighbourhood_name ORDER BY abs(s - step * 600), s) AS rn FROM steps JOIN vals USING (d)),
 near AS (SELECT * FROM ranked WHERE rn = 1 AND gap_s <= 900),
 target AS (SELECT d, step, arg_min(s, abs(s - step * 600) * 100000 + s) AS t FROM steps JOIN vals USING (d)
   WHERE (d, step) NOT IN (SELECT (d, step) FROM near) GROUP BY ALL),
-far AS (SELECT d, step, neighbourhood_code, ten_min_datetime, a, abs(s - t) AS gap_s,
-    row_number() OVER (PARTITION BY d, step, neighbourhood_code ORDER BY abs(s - t), s) AS rn FROM target JOIN vals USING (d))
-SELECT strftime(d, {DAY}) AS date_value, CAST(step AS INTEGER) AS step, neighbourhood_code, strftime(ten_min_datetime, {SECOND}) AS ten_min_datetime,
+far AS (SELECT d, step, neighbourhood_name, ten_min_datetime, a, abs(s - t) AS gap_s,
+    row_number() OVER (PARTITION BY d, step, neighbourhood_name ORDER BY abs(s - t), s) AS rn FROM target JOIN vals USING (d))
+SELECT strftime(d, {DAY}) AS date_value, CAST(step AS INTEGER) AS step, neighbourhood_name, strftime(ten_min_datetime, {SECOND}) AS ten_min_datetime,
   round(a, 6) AS avg_bike_availability, CAST(gap_s AS INTEGER) AS gap_s, is_fallback
 FROM (SELECT *, false AS is_fallback FROM near UNION ALL SELECT *, true FROM far WHERE rn = 1)""")
 def slider_frames(spark: SparkSession, folder: str) -> DataFrame:
-    """Frames of one district's neighbourhoods, few enough for steps without any reading to occur."""
-    view = checkpointed(v.availability(spark, folder, "neighborhood").where("neighbourhood_name LIKE 'N01-%'"))
-    out = frames.slider_frames(view).select("date_value", "step", "neighbourhood_code", "ten_min_datetime",
+    """Frames of all neighbourhoods; the view is a stored table, so it is written out first."""
+    view = checkpointed(v.availability(spark, folder, "neighborhood"))
+    out = frames.slider_frames(view, "neighbourhood_name").select("date_value", "step", "neighbourhood_name", "ten_min_datetime",
                                             "avg_bike_availability", "gap_s", "is_fallback")
     return rounded(out, 6, "avg_bike_availability")
 
