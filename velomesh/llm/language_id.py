@@ -48,8 +48,8 @@ def letters(text: str) -> np.ndarray:
     if not alpha.any():
         return np.empty(0, np.uint32)
     points = np.where(alpha, points, _SPACE)
-    points = points[alpha | np.concatenate(([True], alpha[:-1]))]
-    return np.concatenate(([_SPACE], points, [_SPACE])).astype(np.uint32)
+    points = points[alpha | np.concatenate(([False], alpha[:-1]))]
+    return np.concatenate(([_SPACE], points, [_SPACE] * bool(alpha[-1]))).astype(np.uint32)
 
 
 class Space:
