@@ -16,12 +16,26 @@ def test_csv_union_by_name_and_year(spark, tmp_path):
     (tmp_path / "sub" / "2020_02_INFO.csv").write_text("lat,station_id,altitude\n41.2,2,\"5,0\"\n")
     (tmp_path / "2018_INFO.csv").write_text("station_id\n3\n")
     df = tabular.scan_csv_folder(spark, str(tmp_path), years=[2019, 2020])
-    assert df.columns == ["V1", "altitude", "lat", "station_id", "file_path", "block_start"]
+    assert df.columns == ["V1", "altitude", "lat", "station_id", "file_path", "block_start", "line_no"]
     assert {(r.station_id, r.lat, r.altitude, r.V1) for r in df.collect()} == {("1", "41.1", None, "x"), ("2", "41.2", "5,0", None)}
+    assert tabular.scan_csv_folder(spark, str(tmp_path)).count() == 3
     cut = tabular.project(df, tabular.INFORMATION_COLUMNS)
     assert tuple(cut.columns) == tabular.INFORMATION_COLUMNS and cut.where("name IS NOT NULL").isEmpty()
 
 
+def test_thinning_goes_by_each_file(spark, tmp_path):
+    """The last time column decides, rows without station, time or time column stay, order is that of the lines."""
+    (tmp_path / "a.csv").write_text("last_updated,station_id,n,last_reported\n2020-01-01 09:00:00,1,1,2020-01-01 00:01:00\n"
+                                    "2020-01-01 10:00:00,1,2,2020-01-01 00:09:00\n2020-01-01 10:00:00,1,3,bad\n"
+                                    "2020-01-01 10:00:00,1,4,2020-01-01 00:11:00\n2020-01-01 10:00:00,1,5,2020-01-01 00:08:00\n"
+                                    "2020-01-01 10:00:00,,6,2020-01-01 00:08:00\n2020-01-01 10:00:00,,7,2020-01-01 00:08:00\n")
+    (tmp_path / "b.csv").write_text("Last_Updated,n\n2020-01-01 00:01:00,8\n2020-01-01 00:01:00,9\n")
+    (tmp_path / "c.csv").write_text("station_id,n\n1,10\n1,11\n")
+    kept = lambda kind: sorted(int(r.n) for r in tabular.thin_files(spark, str(tmp_path), kind).collect())
+    assert kept("status") == [1, 3, 4, 5, 6, 7, 8, 9, 10, 11]
+    assert kept("information") == [1, 3, 6, 7, 8, 9, 10, 11]
+
+
 def test_income_and_population_files(spark, tmp_path):
     (tmp_path / "income_2020.csv").write_text("Any,Codi_Districte,Nom_Districte,Codi_Barri,Nom_Barri,Seccio_Censal,Import_Euros\n2020,1,A,1,B,7,100.5\n2021-01-01,1,A,1,B,8,\n")
     rows = tabular.scan_income(spark, str(tmp_path)).orderBy("seccio_censal").collect()
@@ -36,6 +50,10 @@ def test_geojson_collection_with_broken_file(spark, tmp_path):
     (tmp_path / "b.geojson").write_text("{ broken")
     rows = layers.scan_geojson(spark, str(tmp_path), "ID string, Any string").collect()
     assert sorted((r.id, r._any, r.part_id) for r in rows) == [("a", "2020", 0), ("b", "2020", 0), ("b", "2020", 1)]
+    lost = layers.geojson_rejects(spark, str(tmp_path), "ID string, Any string").collect()
+    assert [tuple(r) for r in lost] == [("b.geojson", "broken", 1)]
+    other = layers.geojson_rejects(spark, str(tmp_path / "a.geojson"), "ID string, Any string", kind="polygon").collect()
+    assert sorted((r.reason, r.n_features) for r in other) == [("other kind: LineString", 1), ("other kind: MultiLineString", 1)]
 
 
 def _shapefile(base, rings, names):
@@ -59,10 +77,11 @@ def _shapefile(base, rings, names):
 def test_shapefile_layer(spark, tmp_path):
     shell = [(430000.0, 4580000.0), (430000.0, 4590000.0), (440000.0, 4590000.0), (440000.0, 4580000.0), (430000.0, 4580000.0)]
     hole = [(432000.0, 4582000.0), (434000.0, 4582000.0), (434000.0, 4584000.0), (432000.0, 4582000.0)]
-    _shapefile(tmp_path, [[shell, hole], [shell]], ["Gràcia", "Sants"])
+    far = [(x + 50000.0, y) for x, y in shell]
+    _shapefile(tmp_path, [[shell, far, hole], [shell]], ["Gràcia", "Sants"])
     got = layers.scan_shapefiles(spark, str(tmp_path))
-    rows = {r.attributes["NOM"]: r for r in got.collect()}
-    assert set(rows) == {"Gràcia", "Sants"} and [len(rows[k].geometry) for k in ("Gràcia", "Sants")] == [2, 1]
+    rings = sorted((r.attributes["NOM"], r.part_id, len(r.geometry)) for r in got.collect())
+    assert rings == [("Gràcia", 0, 2), ("Gràcia", 1, 1), ("Sants", 0, 1)]  # the hole lies in the first part
     back = got.select(geodesy.utm_from_lonlat(F.col("geometry")[0][0]).alias("p")).first().p
     assert (back.x, back.y) == pytest.approx(shell[0], abs=1e-5)
 
@@ -76,6 +95,9 @@ def test_snapshots(spark, tmp_path):
     right = snapshots.flatten_bike_types(snapshots.scan_snapshot(spark, str(tmp_path / "s.json"), snapshots.STATUS_STATION))
     row = snapshots.merge_snapshots(left, right).first()
     assert (row.num_mechanical_bikes, row.num_ebikes, row.is_charging_station_info) == (1, 2, True)
+    assert "is_charging_station_status" not in row
+    both = snapshots.merge_snapshots(left, right.withColumn("name", F.lit("B"))).first()
+    assert (both.name_info, both.name_status) == ("A", "B")
 
 
 def test_steps_are_idempotent(spark):
@@ -86,6 +108,9 @@ def test_steps_are_idempotent(spark):
         return spark.range(3).select(F.col("id").alias("year"))
     assert tables.ensure_step(spark, "dim_year_t", build) and not tables.ensure_step(spark, "dim_year_t", build)
     assert tables.ensure_step(spark, "dim_year_t", build, force=True) and len(calls) == 2
+    with pytest.raises(ZeroDivisionError):
+        tables.ensure_step(spark, "dim_year_t", lambda: 1 / 0, force=True)
+    assert spark.table("dim_year_t").count() == 3  # a build that fails leaves the old table
     tables.insert_missing(spark, spark.range(5).select(F.col("id").alias("year")), "dim_year_t", ["year"])
     assert sorted(r.year for r in spark.table("dim_year_t").collect()) == [0, 1, 2, 3, 4]
     with pytest.raises(LookupError):

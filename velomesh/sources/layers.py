@@ -24,31 +24,55 @@ def _point_pairs(coords: Column) -> Column:
     return F.transform(coords, lambda c: F.struct(c[0].alias("x"), c[1].alias("y")))
 
 
+# The shapes of each kind, in one part and in several, and their coordinates.
+_KINDS = {"line": ("LineString", "MultiLineString", "array<array<double>>"),
+          "polygon": ("Polygon", "MultiPolygon", "array<array<array<double>>>")}
+
+
+def _features(spark: SparkSession, paths: Sequence[str] | str, properties: str, by_line: bool) -> DataFrame:
+    """(type, properties, geometry, _broken, file) of every feature; broken text is kept in ``_broken``."""
+    fields = [T.StructField("type", T.StringType()), T.StructField("properties", T.StructType.fromDDL(properties)),
+              T.StructField("geometry", T.StructType.fromDDL("type string, coordinates string"))]
+    broken = T.StructField("_broken", T.StringType())
+    reader = spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_broken")
+    file = F.col("_metadata.file_name").alias("file")
+    if by_line:
+        return reader.schema(T.StructType([*fields, broken])).json(paths).select("*", file)
+    collection = T.StructType([T.StructField("features", T.ArrayType(T.StructType(fields))), broken])
+    whole = reader.schema(collection).option("multiLine", "true").json(paths).select("*", file)
+    return whole.select("_broken", "file", F.explode_outer("features").alias("f")).select("f.*", "_broken", "file")
+
+
+def _parts(kind: str) -> Column:
+    """Parts of a feature as arrays of coordinates; null where it is no shape of this kind."""
+    single, multi, depth = _KINDS[kind]
+    text, name = F.col("geometry.coordinates"), F.col("geometry.type")
+    return (F.when(name == single, F.array(F.from_json(text, depth)))
+            .when(name == multi, F.from_json(text, f"array<{depth}>")))
+
+
+def geojson_rejects(spark: SparkSession, paths: Sequence[str] | str, properties: str, kind: str = "line",
+                    by_line: bool = False) -> DataFrame:
+    """(file, reason, n_features): what ``scan_geojson`` with the same arguments gives no row for."""
+    parts = _parts(kind)
+    raw = _features(spark, paths, properties, by_line).where(parts.isNull() | (F.size(parts) == 0))
+    name = F.col("geometry.type")
+    reason = (F.when(F.col("_broken").isNotNull(), "broken").when(name.isNull(), "no geometry")
+              .when(name.isin(*_KINDS[kind][:2]), "broken").otherwise(F.concat(F.lit("other kind: "), name)))
+    return raw.groupBy("file", reason.alias("reason")).agg(F.count(F.lit(1)).alias("n_features"))
+
+
 def scan_geojson(spark: SparkSession, paths: Sequence[str] | str, properties: str, kind: str = "line",
                  source_crs: int = geodesy.WGS84, by_line: bool = False) -> DataFrame:
     """Features as rows: the named properties plus ``geometry`` in longitude/latitude.
 
     ``properties`` is a DDL list (``"id string, tooltip string"``). Multi-part shapes give one row
     per part with ``part_id``. With ``by_line`` every text line holds one feature, the form that
-    splits over tasks; a plain collection is one document per file. Broken files or lines are
-    skipped.
+    splits over tasks; a plain collection is one document per file. What cannot be read as a shape of
+    this kind gives no row here and is counted by ``geojson_rejects``.
     """
-    feature = T.StructType([
-        T.StructField("type", T.StringType()), T.StructField("properties", T.StructType.fromDDL(properties)),
-        T.StructField("geometry", T.StructType.fromDDL("type string, coordinates string"))])
-    reader = spark.read.option("mode", "DROPMALFORMED")
-    if by_line:
-        raw = reader.schema(feature).json(paths)
-    else:
-        collection = T.StructType([T.StructField("features", T.ArrayType(feature))])
-        raw = (reader.schema(collection).option("multiLine", "true").json(paths)
-               .select(F.explode("features").alias("f")).select("f.*"))
-    text, kind_name = F.col("geometry.coordinates"), F.col("geometry.type")
-    depth = {"line": "array<array<double>>", "polygon": "array<array<array<double>>>"}[kind]
-    single, multi = {"line": ("LineString", "MultiLineString"), "polygon": ("Polygon", "MultiPolygon")}[kind]
-    parts = (F.when(kind_name == single, F.array(F.from_json(text, depth)))
-             .when(kind_name == multi, F.from_json(text, f"array<{depth}>")))
-    rows = raw.select("properties.*", F.posexplode(parts).alias("part_id", "_c"))
+    raw = _features(spark, paths, properties, by_line)
+    rows = raw.select("properties.*", F.posexplode(_parts(kind)).alias("part_id", "_c"))
     if kind == "line":
         geom = geodesy.reproject_line(_point_pairs(F.col("_c")), source_crs, geodesy.WGS84)
     else:
@@ -87,6 +111,33 @@ def _shapes(content: bytes) -> Iterator[list[np.ndarray]]:
         at = body + 2 * words
 
 
+def _twice_area(ring: np.ndarray) -> float:
+    """Signed; positive for rings that run anticlockwise."""
+    return float(np.sum(ring[:-1, 0] * ring[1:, 1] - ring[1:, 0] * ring[:-1, 1]))
+
+
+def _around(ring: np.ndarray, x: float, y: float) -> bool:
+    """Whether the point lies in the ring, by the crossings of a ray to the right."""
+    ax, ay, bx, by = ring[:-1, 0], ring[:-1, 1], ring[1:, 0], ring[1:, 1]
+    side = (ay > y) != (by > y)
+    at = ax[side] + (y - ay[side]) * (bx[side] - ax[side]) / (by[side] - ay[side])
+    return bool((at > x).sum() % 2)
+
+
+def _bodies(rings: list[np.ndarray]) -> list[list[np.ndarray]]:
+    """Rings by part: outer rings run clockwise, each with the holes it is the smallest ring around."""
+    outer = [r for r in rings if _twice_area(r) <= 0]
+    bodies = [[r] for r in outer]
+    for hole in (r for r in rings if _twice_area(r) > 0):
+        x, y = (hole[0] + hole[1]) / 2
+        near = [k for k, r in enumerate(outer) if _around(r, x, y)]
+        if near:
+            bodies[min(near, key=lambda k: -_twice_area(outer[k]))].append(hole)
+        else:
+            bodies.append([hole])
+    return bodies
+
+
 def _attributes(content: bytes, encoding: str) -> list[dict[str, str | None]]:
     """Rows of a .dbf file as text."""
     n_rows, header, width = struct.unpack_from("<IHH", content, 4)
@@ -109,7 +160,8 @@ def scan_shapefiles(spark: SparkSession, folder: str, pattern: str = "*", source
     """Shapefile records as rows: ``attributes`` map, ``part_id`` and ``geometry`` in longitude/latitude.
 
     The format caps a file at 2 GB and its records depend on each other's length, so a file is the
-    unit of work; files are decoded side by side. Holes stay with the part that precedes them.
+    unit of work; files are decoded side by side. The format does not order rings: a hole belongs to the
+    smallest part around it.
     """
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
              .where(F.lower("path").rlike(r"\.(shp|dbf)$"))
@@ -126,15 +178,7 @@ def scan_shapefiles(spark: SparkSession, folder: str, pattern: str = "*", source
                 table = _attributes(dbf, encoding) if dbf is not None else None
                 out = []
                 for i, parts in enumerate(_shapes(shp)):
-                    bodies: list[list[np.ndarray]] = []
-                    for xy in parts:
-                        twice_area = np.sum(xy[:-1, 0] * xy[1:, 1] - xy[1:, 0] * xy[:-1, 1]) if ring_based else 0
-                        # Outer rings run clockwise in this format; anything else is a hole.
-                        if ring_based and twice_area > 0 and bodies:
-                            bodies[-1].append(xy)
-                        else:
-                            bodies.append([xy])
-                    for k, body in enumerate(bodies):
+                    for k, body in enumerate(_bodies(parts) if ring_based else [[xy] for xy in parts]):
                         out.append((base.rsplit("/", 1)[-1], table[i] if table else {}, k,
                                     [[{"x": float(x), "y": float(y)} for x, y in ring] for ring in body]))
                 if out:

@@ -29,8 +29,13 @@ def flatten_bike_types(status: DataFrame) -> DataFrame:
             .withColumn("num_ebikes", F.col("num_bikes_available_types.ebike")).drop("num_bikes_available_types"))
 
 
-def merge_snapshots(information: DataFrame, status: DataFrame, key: str = "station_id") -> DataFrame:
-    """Inner join on the station; a column both have is kept from the information side as ``*_info``."""
+def merge_snapshots(information: DataFrame, status: DataFrame, key: str = "station_id",
+                    drop: Sequence[str] = ("is_charging_station_status",)) -> DataFrame:
+    """Inner join on the station; a column both have is kept twice, as ``*_info`` and ``*_status``.
+
+    ``drop`` names the twins that say nothing new.
+    """
     shared = (set(information.columns) & set(status.columns)) - {key}
     left = information.withColumnsRenamed({c: f"{c}_info" for c in shared})
-    return left.join(status.drop(*shared), key)
+    right = status.withColumnsRenamed({c: f"{c}_status" for c in shared})
+    return left.join(right, key).drop(*drop)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -12,9 +13,18 @@ from velomesh.operators.dims import missing_members
 
 
 def publish(df: DataFrame, table: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
-    """Write a managed table in one go: ``overwrite``, ``append`` or ``error``."""
-    writer = df.write.mode(mode).format("parquet")
-    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
+    """Write a managed table in one go: ``overwrite``, ``append`` or ``error``.
+
+    A table that is replaced is built beside the old one, which goes only when the new one stands.
+    """
+    spark = df.sparkSession
+    swap = mode == "overwrite" and spark.catalog.tableExists(table)
+    name = f"{table}__{uuid.uuid4().hex[:8]}" if swap else table
+    writer = df.write.mode("error" if swap else mode).format("parquet")
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
+    if swap:
+        spark.sql(f"DROP TABLE {table}")
+        spark.sql(f"ALTER TABLE {name} RENAME TO {table}")
 
 
 def exists_and_filled(spark: SparkSession, table: str) -> bool:
@@ -71,7 +81,3 @@ def write_monthly(df: DataFrame, path: str, ts: str, partition: str = "year_mont
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
     return df.limit(n)
-
-
-def column_list(df: DataFrame) -> list[tuple[str, str]]:
-    return list(df.dtypes)

@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
+import csv
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from velomesh.functions.parsing import parse_sampling_time
+from velomesh.operators.history import thin_runs
 from velomesh.operators.stats import union_all
+from velomesh.session import checkpointed
 
 # The columns kept of the two station feeds and the schemas of the open-data files.
 INFORMATION_COLUMNS = ("station_id", "name", "lat", "lon", "altitude", "capacity", "last_updated")
 STATUS_COLUMNS = ("station_id", "num_bikes_available", "num_bikes_available_types.mechanical",
                   "num_bikes_available_types.ebike", "num_docks_available", "last_reported", "status",
                   "last_updated")
+TIME_COLUMNS = ("last_updated", "last_reported")
 POPULATION_SCHEMA = T.StructType([
     T.StructField("data_referencia", T.StringType()), T.StructField("codi_districte", T.StringType()),
     T.StructField("nom_districte", T.StringType()), T.StructField("codi_barri", T.StringType()),
@@ -29,47 +32,77 @@ INCOME_SCHEMA = T.StructType([
     T.StructField("import_euros", T.DoubleType())])
 
 
-def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv",
-               years: Sequence[int] | None = None) -> list[str]:
-    """Paths below ``folder`` whose file name matches; names only, no content is read."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", pattern).load(folder).select("path"))
-    paths = [r.path for r in files.collect()]
-    wanted = [str(y) for y in years or ()]
-    return sorted(p for p in paths if not wanted or any(y in p.rsplit("/", 1)[-1] for y in wanted))
+ORIGIN = ["file_path", "block_start", "line_no"]
 
 
-def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    return tuple(spark.read.option("header", "true").csv(path).columns)
+def file_lines(spark: SparkSession, paths: Sequence[str] | str, pattern: str = "*.csv",
+               years: Sequence[int] | None = None) -> DataFrame:
+    """(value, file_path, block_start, line_no) of all text lines of the matching files.
 
+    ``years`` keeps files whose name, folders aside, holds one of them. Lines of one file lie in the order
+    (block_start, line_no).
+    """
+    lines = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(paths)
+             .select("value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("_name"),
+                     F.col("_metadata.file_block_start").alias("block_start"), F.monotonically_increasing_id().alias("line_no")))
+    if years:
+        lines = lines.where(" OR ".join(f"contains(_name, '{int(y)}')" for y in years))
+    return lines.drop("_name").where(F.length("value") > 0)
+
+
+def _ddl(header: Sequence[str]) -> str:
+    return ", ".join(f"`{c}` string" for c in header)
+
+
+def _time_column(header: Sequence[str]) -> str | None:
+    """The last column that holds a reading's time."""
+    return next((c for c in reversed(header) if c.lower() in TIME_COLUMNS), None)
 
-def scan_csv_union(spark: SparkSession, paths: Sequence[str], lower: bool = False) -> DataFrame:
+
+def scan_csv_union(spark: SparkSession, paths: Sequence[str] | str, lower: bool = False, pattern: str = "*.csv",
+                   years: Sequence[int] | None = None, thinning: bool = False) -> DataFrame:
     """All files as one all-text table, columns matched by name and sorted, absent ones NULL.
 
-    Spark binds CSV columns by position within one read, so files are grouped by header first; a
-    header probe reads the first line of each file only. ``file_path`` and ``block_start`` tell
-    where a row came from, which keeps file order available downstream.
+    One pass over the files' first blocks finds each file's header, one row per file; only the different
+    headers come to the driver. A second pass parses every line by its file's header. ``file_path``,
+    ``block_start`` and ``line_no`` keep the file order available downstream. With ``thinning`` the columns
+    ``thin_station`` and ``thin_time`` hold what thinning goes by: the station and the last time column, NULL
+    in files that have none.
     """
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        headers = list(pool.map(lambda p: _header(spark, p), paths))
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for path, header in zip(paths, headers):
-        groups[header].append(path)
+    lines = file_lines(spark, paths, pattern, years)
+    headers = checkpointed(lines.where("block_start = 0").groupBy("file_path").agg(
+        F.min("line_no").alias("_first"), F.min_by("value", "line_no").alias("_header")))
+    body = lines.join(headers, "file_path").where("line_no <> _first")
     frames = []
-    for header, members in groups.items():
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-        frame = spark.read.schema(schema).option("header", "true").csv(members)
-        frame = frame.select(*[F.col(f"`{c}`").alias(c.lower() if lower else c) for c in header],
-                             F.col("_metadata.file_path").alias("file_path"),
-                             F.col("_metadata.file_block_start").alias("block_start"))
-        frames.append(frame)
+    for row in headers.select("_header").distinct().orderBy("_header").collect():
+        header = next(csv.reader([row["_header"]]))
+        parsed = body.where(F.col("_header") == row["_header"]).withColumn("_r", F.from_csv("value", _ddl(header)))
+        cells = [F.col("_r").getField(c).alias(c.lower() if lower else c) for c in header]
+        if thinning:
+            station = next((c for c in header if c.lower() == "station_id"), None)
+            cells += [(F.col("_r").getField(c) if c else F.lit(None).cast("string")).alias(name)
+                      for c, name in ((station, "thin_station"), (_time_column(header), "thin_time"))]
+        frames.append(parsed.select(*cells, *ORIGIN))
+    if not frames:
+        return lines.select(*ORIGIN)
     merged = union_all(frames)
-    origin = ["file_path", "block_start"]
-    return merged.select(*[F.col(f"`{c}`") for c in sorted(set(merged.columns) - set(origin))], *origin)
+    return merged.select(*[F.col(f"`{c}`") for c in sorted(set(merged.columns) - set(ORIGIN))], *ORIGIN)
 
 
 def scan_csv_folder(spark: SparkSession, folder: str, years: Sequence[int] | None = None) -> DataFrame:
-    return scan_csv_union(spark, list_files(spark, folder, years=years))
+    return scan_csv_union(spark, folder, years=years)
+
+
+def thin_files(spark: SparkSession, folder: str, kind: str = "status", years: Sequence[int] | None = None) -> DataFrame:
+    """The rows of a CSV folder that thinning keeps: one per station and ten minutes (``status``) or hour (``information``).
+
+    Runs follow the order of the lines, file by file; rows without a time or a station are kept.
+    """
+    rows = scan_csv_union(spark, folder, years=years, thinning=True)
+    timed = rows.withColumn("_ts", parse_sampling_time(F.col("thin_time")))
+    every = {"status": 600, "information": 3600}[kind]
+    kept = thin_runs(timed, "thin_station", "_ts", ["line_no"], "block_start", "file_path", every)
+    return kept.drop("_ts", "thin_station", "thin_time")
 
 
 def project(df: DataFrame, columns: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
