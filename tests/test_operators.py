@@ -93,7 +93,7 @@ def partners(rows):
 def test_crossings_against_brute_force(spark, monkeypatch, limit):
     """A low limit sends nearly every cell through the sub-cells; copies hold a third of the rows."""
     rows = random_lines(60, 1, copies=30)
-    monkeypatch.setattr(grid.refine_hot_cells, "__defaults__", (limit, 16))
+    monkeypatch.setattr(grid, "CROWD", limit)
     df = spark.createDataFrame(rows, f"lane string, t string, geometry {LINE}")
     want = partners(rows)
     counts = {r.lane: r.partners for r in spatial.intersection_counts(df, ["t"], "lane", count_copies=True).collect()}
@@ -349,3 +349,100 @@ def test_origin_destination_counts_row_pairs(spark):
     info = spark.createDataFrame([(1, 2.0, 41.0), (1, 2.0, 41.0), (2, 2.1, 41.1), (3, 2.2, 41.2)], "station_id int, lon double, lat double")
     got = station_plans.origin_destination(info, [1, 2]).collect()
     assert {(r.origin_station, r.destination_station, r.n_pairs) for r in got} == {(1, 2, 2), (2, 1, 2)}
+
+
+def test_every_hot_key_is_cut(spark):
+    big = spark.range(3000).selectExpr("id % 300 AS k", "id AS v")
+    small = spark.range(300).selectExpr("id AS k", "id * 2 AS w")
+    hot = skew.hot_keys(big, ["k"], 4)
+    assert hot.count() == 300 and {r.fan for r in hot.collect()} == {3}
+    got = skew.spread_join(big, small, ["k"], ["v"], slice_rows=4).collect()
+    assert sorted((r.k, r.v, r.w) for r in got) == sorted((i % 300, i, i % 300 * 2) for i in range(3000))
+
+
+def test_imputation_has_one_schema(spark):
+    df = spark.createDataFrame([(1, 3), (1, 4), (2, 5)], "k int, n int")
+    full = impute.impute(df, ["k"], {"n": "median"})
+    gaps = impute.impute(df.union(spark.createDataFrame([(1, None)], "k int, n int")), ["k"], {"n": "median"})
+    assert full.schema == gaps.schema and sorted(r.n for r in gaps.collect()) == [3.0, 3.5, 4.0, 5.0]
+
+
+@pytest.mark.parametrize("ends,metres", [  # by the inverse geodesic problem on the WGS84 spheroid
+    (((0.0, 0.0), (1.0, 0.0)), 111319.491), (((0.0, 0.0), (0.0, 1.0)), 110574.389), (((0.0, 0.0), (90.0, 0.0)), 10018754.171),
+    (((0.0, 0.0), (0.0, 90.0)), 10001965.729), (((2.1, 41.4), (2.2, 41.4)), 8361.7)])
+def test_distance_at_any_length(spark, ends, metres):
+    (ax, ay), (bx, by) = ends
+    got = spark.range(1).select(geodesy.distance(*map(F.lit, (ax, ay, bx, by))).alias("d")).first().d
+    assert got == pytest.approx(metres, rel=2e-5, abs=15)
+
+
+def test_rows_without_station_are_kept(spark):
+    rows = [(i, None if i < 5 else "s", dt.datetime(2020, 1, 1)) for i in range(8)]
+    df = spark.createDataFrame(rows, "o int, station string, ts timestamp_ntz").withColumns({"file": F.lit("f"), "chunk": F.lit(0)})
+    assert sorted(r.o for r in history.thin_runs(df, "station", "ts", ["o"], "chunk", "file").collect()) == [0, 1, 2, 3, 4, 5]
+
+
+def test_station_in_overlapping_tracts_counts_once(spark):
+    status = spark.createDataFrame([(1, dt.datetime(2024, 1, 1), 4, 2, 2, 6)], "station_id int, ten_min_datetime timestamp_ntz, "
+                                   "num_bikes_available int, mechanical_bikes int, ebikes int, num_docks_available int")
+    areas = spark.createDataFrame([(1, "A", "01"), (1, "A", "01")], "station_id int, district_name string, district_code string")
+    row = station_plans.availability(status, areas).first()
+    assert (row.station_count, row.total_bikes_available) == (1, 8)
+
+
+def test_lane_twice_in_a_trimester_is_refused(spark):
+    row = ("L", 2020, "1", "t", "d", "l", [(2.1, 41.4), (2.2, 41.4)])
+    schema = f"lane_id string, year int, trimester string, lane_type string, description string, location string, geometry {LINE}"
+    assert lane_plans.lane_state(spark.createDataFrame([row], schema)).count() == 1
+    with pytest.raises(ValueError, match="duplicate"):
+        lane_plans.lane_state(spark.createDataFrame([row, row], schema))
+
+
+def test_lines_with_needless_vertices_are_equal(spark):
+    a, b, c = [(0.0, 0.0), (2.0, 2.0), (3.0, 0.0)], [(3.0, 0.0), (2.0, 2.0), (1.0, 1.0), (0.0, 0.0)], [(0.0, 0.0), (2.0, 2.0), (1.0, 1.0), (3.0, 0.0)]
+    df = spark.createDataFrame([(a, b, c)], f"a {LINE}, b {LINE}, c {LINE}")
+    row = df.select(g.same_line(F.col("a"), F.col("b")).alias("ab"),
+                    g.same_line(F.col("a"), F.col("c")).alias("ac")).first()
+    assert row.ab and not row.ac
+
+
+def _star(n, cx=2.15, cy=41.4, r=0.2):
+    """A ring with deep teeth."""
+    return [(cx + (r if k % 2 else r * 0.35) * math.cos(2 * math.pi * k / n), cy + (r if k % 2 else r * 0.35) * math.sin(2 * math.pi * k / n)) for k in range(n)] + [
+        (cx + r * 0.35, cy)]
+
+
+def _inside(ring, x, y):
+    return sum(((ay > y) != (by > y)) and x < (bx - ax) * (y - ay) / (by - ay) + ax for (ax, ay), (bx, by) in zip(ring, ring[1:])) % 2 == 1
+
+
+@pytest.mark.parametrize("n", [12, 600])
+def test_cover_settles_every_point(spark, n, monkeypatch):
+    """Both ways to lay a polygon with a hole over cells agree with the plain test."""
+    shell, hole = _star(n), [(2.14, 41.39), (2.16, 41.39), (2.16, 41.41), (2.14, 41.41), (2.14, 41.39)]
+    poly = spark.createDataFrame([("p", [shell, hole])], f"name string, shape array<{LINE}>")
+    rng = random.Random(n)
+    pts = [(i, rng.uniform(1.93, 2.37), rng.uniform(41.18, 41.62)) for i in range(1500)]
+    points = spark.createDataFrame(pts, "pid int, x double, y double").select("pid", g.point(F.col("x"), F.col("y")).alias("geometry"))
+    want = {i for i, x, y in pts if _inside(shell, x, y) != _inside(hole, x, y)}
+    for work in (0, 10 ** 9):
+        monkeypatch.setattr(spatial, "ROW_WORK", work)
+        got = spatial.contains_join(points, poly, ["pid"], geom="shape", size=0.02)
+        assert {r.pid for r in got.collect()} == want, work
+
+
+def test_large_polygon_stays_spread_out(spark):
+    """Ten thousand vertices over a hundred thousand cells: no cell carries more than the edges near it."""
+    ring = [(2.1 + math.cos(2 * math.pi * k / 10_000), 41.4 + math.sin(2 * math.pi * k / 10_000)) for k in range(10_000)]
+    poly = spark.createDataFrame([("p", [[*ring, ring[0]]])], f"name string, shape array<{LINE}>")
+    cover = spatial.polygon_cover(poly, "shape", 0.005)
+    row = cover.agg(F.count("*").alias("n"), F.max(F.size("edges")).alias("most"), F.sum(F.col("inside").cast("int")).alias("inside")).first()
+    assert row.n > 120_000 and row.most < 40 and row.inside == pytest.approx(math.pi / 0.005 ** 2, rel=0.02)
+
+
+def test_quantiles_over_many_magnitudes(spark):
+    rng = random.Random(8)
+    values = [10 ** rng.uniform(-13, 13) * rng.choice([1, 1, 1, -1]) for _ in range(20_000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = quantiles.exact_quantiles(df, [], "v", [0.25, 0.5, 0.99]).first().q
+    assert got == pytest.approx(np.quantile(values, [0.25, 0.5, 0.99]).tolist(), rel=1e-12)

@@ -77,9 +77,20 @@ def polygon_bounds(polygon: Column) -> Column:
     return line_bounds(F.flatten(polygon))
 
 
+def straightened(line: Column) -> Column:
+    """The line without the vertices that lie on the straight way between their neighbours."""
+    def turns(p: Column, i: Column) -> Column:
+        a, b = F.get(line, i - 1), F.get(line, i + 1)
+        ux, uy, vx, vy = p["x"] - a["x"], p["y"] - a["y"], b["x"] - p["x"], b["y"] - p["y"]
+        ahead = ux * vx + uy * vy
+        return F.coalesce((F.abs(ux * vy - uy * vx) > 1e-9 * F.abs(ahead)) | (ahead < 0), F.lit(True))
+    return F.filter(line, turns)
+
+
 def canonical_line(line: Column) -> Column:
-    """Same value for a line and its reverse."""
-    return F.least(line, F.reverse(line))
+    """Same value for a line, its reverse, and the line with further vertices on its straight pieces."""
+    plain = straightened(line)
+    return F.least(plain, F.reverse(plain))
 
 
 def same_line(a: Column, b: Column) -> Column:
@@ -142,6 +153,30 @@ def edges_cover(edges: Column, x: Column, y: Column) -> Column:
             | F.exists(edges, lambda e: on_edge(e, x, y, BORDER_TOLERANCE)))
 
 
+def _between_crossings(edges: Column, x: Column, y: Column, mx: Column, my: Column) -> Column:
+    """Edges passed on the way from (mx, my) up or down to height y and then along it to x."""
+    def across(e):
+        return ((e["ay"] > y) != (e["by"] > y)) & (lambda at: (x < at) != (mx < at))(
+            (e["bx"] - e["ax"]) * (y - e["ay"]) / (e["by"] - e["ay"]) + e["ax"])
+
+    def along(e):
+        return ((e["ax"] > mx) != (e["bx"] > mx)) & (lambda at: (y < at) != (my < at))(
+            (e["by"] - e["ay"]) * (mx - e["ax"]) / (e["bx"] - e["ax"]) + e["ay"])
+    return F.size(F.filter(edges, across)) + F.size(F.filter(edges, along))
+
+
+def near_edges_contain(edges: Column, x: Column, y: Column, mx: Column, my: Column, middle: Column) -> Column:
+    """Strict interior test in a box, from the edges that touch the box and whether its point (mx, my) is inside."""
+    odd = _between_crossings(edges, x, y, mx, my) % 2 == 1
+    return ~F.exists(edges, lambda e: on_edge(e, x, y)) & (odd != middle)
+
+
+def near_edges_cover(edges: Column, x: Column, y: Column, mx: Column, my: Column, middle: Column) -> Column:
+    """Closed test in a box: interior or border."""
+    return (((_between_crossings(edges, x, y, mx, my) % 2 == 1) != middle)
+            | F.exists(edges, lambda e: on_edge(e, x, y, BORDER_TOLERANCE)))
+
+
 def contains(polygon: Column, p: Column) -> Column:
     return edges_contain(polygon_edges(polygon), p["x"], p["y"])
 

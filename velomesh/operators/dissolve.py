@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from velomesh.functions import geometry as g
 from velomesh.operators import grid
 from velomesh.operators.skew import spread_join
-from velomesh.operators.spatial import polygon_cover
+from velomesh.operators.spatial import cell_mark, polygon_cover
 from velomesh.session import checkpointed
 
 
@@ -149,7 +149,7 @@ def dissolve(polygons: DataFrame, by: Sequence[str], geom: str = "geometry", siz
     """
     rings = checkpointed(
         boundary_rings(polygons, by, geom, size)
-        .withColumn("_area", g.polygon_area(F.array("ring"))).withColumn("_id", F.xxhash64("ring")))
+        .withColumn("_area", g.polygon_area(F.array("ring"))).withColumn("_id", F.concat_ws("-", F.xxhash64("ring"), F.hash("ring"), F.size("ring"))))
     # The midpoint of a ring's first edge is never on another ring of the same outline.
     first, second = F.col("ring")[0], F.col("ring")[1]
     probes = grid.with_cell(rings.select(
@@ -158,7 +158,7 @@ def dissolve(polygons: DataFrame, by: Sequence[str], geom: str = "geometry", siz
         F.col("_mx"), F.col("_my"), size)
     cover = polygon_cover(rings.select(*by, "_id", "_area", F.array("ring").alias("_poly")), "_poly", size)
     around = spread_join(probes, cover, [*by, "cx", "cy"], ["_inner"], (F.col("_area") > F.col("_small")) & (
-        F.col("inside") | g.edges_cover(F.col("edges"), F.col("_mx"), F.col("_my"))))
+        F.col("inside") | g.near_edges_cover(F.col("edges"), F.col("_mx"), F.col("_my"), *cell_mark(size), F.col("middle"))))
     nesting = around.groupBy(*by, F.col("_inner").alias("_id")).agg(
         F.count(F.lit(1)).alias("_depth"), F.min_by("_id", F.struct("_area", "_id")).alias("_parent"))
     placed = (rings.join(nesting, [*by, "_id"], "left")

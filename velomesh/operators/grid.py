@@ -13,6 +13,8 @@ from velomesh.functions import geometry as g
 CELL = 0.005
 # Widening of closed covers, far below a millimetre: shapes that touch on a cell border share a cell.
 COVER_PAD = 1e-9
+# Edges from which a cell counts as crowded.
+CROWD = 2000
 
 
 def cell_of(v: Column, size: float | Column, origin: float | Column = 0.0) -> Column:
@@ -42,11 +44,11 @@ def with_box_cells(df: DataFrame, bounds: Column, size: float = CELL) -> DataFra
             .withColumn("cx", F.col("_cell.cx")).withColumn("cy", F.col("_cell.cy")).drop("_cell"))
 
 
-def _grid_crossings(a: Column, b: Column, size: float) -> Column:
+def _grid_crossings(a: Column, b: Column, size: float | Column) -> Column:
     """Parameters in (0, 1) at which a→b passes a grid line of one axis."""
     first, last = cell_of(F.least(a, b), size) + 1, cell_of(F.greatest(a, b), size)
     lines = F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
-    at = F.transform(lines, lambda k: (k * F.lit(size) - a) / (b - a))
+    at = F.transform(lines, lambda k: (k * (F.lit(size) if isinstance(size, (int, float)) else size) - a) / (b - a))
     return F.filter(at, lambda t: (t > 0) & (t < 1))
 
 
@@ -60,7 +62,7 @@ def consecutive(cuts: Column) -> Column:
     return g.bind(cuts, spans)
 
 
-def edge_pieces(e: Column, size: float) -> Column:
+def edge_pieces(e: Column, size: float | Column) -> Column:
     """An edge cut at every grid line: array<struct<cx, cy, t0, t1>>, disjoint and complete."""
     ax, ay, bx, by = (e[k] for k in ("ax", "ay", "bx", "by"))
     inner = F.concat(_grid_crossings(ax, bx, size), _grid_crossings(ay, by, size))
@@ -74,7 +76,7 @@ def edge_pieces(e: Column, size: float) -> Column:
     return F.transform(consecutive(cuts), place)
 
 
-def edge_cells(e: Column, size: float) -> Column:
+def edge_cells(e: Column, size: float | Column) -> Column:
     """Every cell a closed edge touches, slightly widened; grows with length, not with its box."""
     ax, ay, bx, by = (e[k] for k in ("ax", "ay", "bx", "by"))
 
@@ -97,20 +99,28 @@ def explode_edges(df: DataFrame, geom: str, keep: Sequence[str], kind: str = "li
     return df.select(*keep, F.posexplode(edges).alias("edge_no", "edge"))
 
 
-def refine_hot_cells(edges: DataFrame, by: Sequence[str], size: float, limit: int = 2000,
-                     factor: int = 16) -> DataFrame:
+def crowded_cells(edges: DataFrame, by: Sequence[str], limit: int | None = None) -> DataFrame:
+    """(by, cx, cy, _factor): cells with more than ``limit`` edges and the sub-cells per axis to cut each into.
+
+    The more crowded, the finer: evenly spread edges leave about ``limit / 4`` in a sub-cell.
+    """
+    n, limit = F.count(F.lit(1)), limit or CROWD
+    finer = F.ceil(F.log2(F.sqrt(F.col("_n") / limit))) + 1
+    return (edges.groupBy(*by, "cx", "cy").agg(n.alias("_n")).where(F.col("_n") > limit)
+            .select(*by, "cx", "cy", F.pow(F.lit(2.0), F.least(finer, F.lit(10))).cast("long").alias("_factor")))
+
+
+def refine_hot_cells(edges: DataFrame, by: Sequence[str], size: float, limit: int | None = None) -> DataFrame:
     """Add sub-cell columns (sx, sy) inside cells that hold more than ``limit`` edges.
 
     Joining edges on (by, cx, cy, sx, sy) then compares an edge with its near neighbours only,
     however crowded one cell is. ``edges`` carries cx, cy from ``with_edge_cells``.
     """
-    crowd = (edges.groupBy(*by, "cx", "cy").agg(F.count(F.lit(1)).alias("_n"))
-             .where(F.col("_n") > limit).drop("_n").withColumn("_hot", F.lit(True)))
-    fine = size / factor
+    factor = F.col("_factor")
     whole = F.array(F.struct(F.lit(-1).cast("long").alias("cx"), F.lit(-1).cast("long").alias("cy")))
-    parent = F.filter(edge_cells(F.col("edge"), fine), lambda c: (
+    parent = F.filter(edge_cells(F.col("edge"), size / factor), lambda c: (
         c["cx"].between(F.col("cx") * factor - 1, F.col("cx") * factor + factor)
         & c["cy"].between(F.col("cy") * factor - 1, F.col("cy") * factor + factor)))
-    return (edges.join(crowd, [*by, "cx", "cy"], "left")
-            .withColumn("_sub", F.explode(F.when(F.col("_hot"), parent).otherwise(whole)))
-            .withColumn("sx", F.col("_sub.cx")).withColumn("sy", F.col("_sub.cy")).drop("_sub", "_hot"))
+    return (edges.join(crowded_cells(edges, by, limit), [*by, "cx", "cy"], "left")
+            .withColumn("_sub", F.explode(F.when(factor.isNull(), whole).otherwise(parent)))
+            .withColumn("sx", F.col("_sub.cx")).withColumn("sy", F.col("_sub.cy")).drop("_sub", "_factor"))

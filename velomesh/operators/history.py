@@ -37,16 +37,17 @@ def thin_runs(df: DataFrame, station: str, ts: str, order: Sequence[str], chunk:
               every_s: int = 600) -> DataFrame:
     """Keep a row when its time bucket differs from the station's previous row in file order.
 
-    Rows without a parseable time are always kept and do not end a run. State starts anew per
-    file. ``chunk`` numbers consecutive slices of a file (its splits, say); no task ever sorts more
+    Rows without a parseable time are always kept and do not end a run; so are rows without a
+    station, which counts each as a station of its own. State starts anew per file. ``chunk`` numbers consecutive slices of a file (its splits, say); no task ever sorts more
     than one slice of one station.
     """
-    # Rows without a time form a sequence of their own, all of which is kept.
     slot = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / every_s)
-    marked = df.withColumn("_slot", slot).withColumn("_timed", F.col("_slot").isNotNull())
-    run = chunked_lag(marked, [file, station, "_timed"], chunk, order, "_slot", "_before")
+    marked = df.withColumn("_slot", slot).withColumn("_timed", F.col("_slot").isNotNull() & F.col(station).isNotNull())
+    kept = marked.where(~F.col("_timed")).select(*df.columns)
+    marked = marked.where("_timed")
+    run = chunked_lag(marked, [file, station], chunk, order, "_slot", "_before")
     starts = F.col("_before").isNull() | (F.col("_before") != F.col("_slot"))
-    return run.where(~F.col("_timed") | starts).select(*df.columns)
+    return run.where(starts).select(*df.columns).union(kept)
 
 
 def thinning_report(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -87,6 +88,6 @@ def even_sample(df: DataFrame, ts: str, per_day: int = 32) -> DataFrame:
 
 
 def within_days(ts: Column, first: str, last: str) -> Column:
-    """Date-range filter written on the timestamp itself, so that it prunes and is pushed down."""
+    """Date-range filter written on the timestamp itself; on a column of a scan it is pushed down to it."""
     return (ts >= F.lit(first).cast("timestamp_ntz")) & (
         ts < F.date_add(F.lit(last).cast("date"), 1).cast("timestamp_ntz"))

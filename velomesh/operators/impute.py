@@ -34,13 +34,13 @@ def impute(df: DataFrame, keys: Sequence[str], rules: Mapping[str, str], thresho
     """Replace NULLs by the group's ``median`` or ``mode``; rows with NULL keys keep their NULLs.
 
     With a threshold, nothing happens unless a gate column misses more than that share; ``None``
-    imputes always. Columns filled by median become double.
+    imputes always. Columns filled by median are double, whether or not anything is filled.
     """
+    medians = [c for c, rule in rules.items() if rule == "median"]
     if threshold_pct is not None and not needs_imputation(df, list(gate_columns or rules), threshold_pct):
-        return df
+        return df.withColumns({c: F.col(c).cast("double") for c in medians}) if medians else df
     keyed = df.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
     out = df
-    medians = [c for c, rule in rules.items() if rule == "median"]
     if medians:
         out = out.join(group_medians(keyed, keys, medians), list(keys), "left")
     for c, rule in rules.items():

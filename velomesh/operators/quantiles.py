@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,10 +18,15 @@ def _ranks(n: Column, probs: Sequence[float]) -> Column:
     return F.array_distinct(F.array(*[f(a).cast("long") for a in at for f in (F.floor, F.ceil)]))
 
 
-def _narrow(freq: DataFrame, keys: list[str]) -> DataFrame:
+def _even(v: Column) -> Column:
+    """Values over many magnitudes on one scale; never decreasing, so bins keep the order."""
+    return F.signum(v) * F.log1p(F.abs(v) * 1e12)
+
+
+def _narrow(freq: DataFrame, keys: list[str], scale: Callable[[Column], Column] = lambda v: v) -> DataFrame:
     """Keep only the values whose bin holds a wanted rank; ranks become relative to the bin."""
-    spread = F.col("_hi") - F.col("_lo")
-    position = F.try_divide(F.col("_v") - F.col("_lo"), spread) * BINS
+    low, high = scale(F.col("_lo")), scale(F.col("_hi"))
+    position = F.try_divide(scale(F.col("_v")) - low, high - low) * BINS
     binned = freq.withColumn("_bin", F.least(F.lit(BINS - 1), F.coalesce(
         F.floor(position).cast("int"), F.lit(0))))
     bins = binned.groupBy(*keys, "_bin").agg(
@@ -45,8 +50,8 @@ def _narrow(freq: DataFrame, keys: list[str]) -> DataFrame:
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
     """(keys, q: array<double>) with linear interpolation, NULL values left out.
 
-    Equal values are counted first, so repeated readings cost one row. Two rounds of equal-width
-    bins then single out the few values around each wanted rank, and only those are sorted.
+    Equal values are counted first, so repeated readings cost one row. Two rounds of bins, by magnitude
+    and then of equal width, single out the few values around each wanted rank, and only those are sorted.
     ``keys`` must not be NULL and may be empty for the whole table.
     """
     keys = list(keys)
@@ -57,7 +62,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
     sizes = freq.groupBy(*group).agg(F.sum("_n").alias("_total"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     wanted = sizes.withColumn("_want", F.transform(
         _ranks(F.col("_total"), probs), lambda r: F.struct(r.alias("at"), r.alias("rank"))))
-    rows = _narrow(freq.join(wanted.drop("_total"), group), group)
+    rows = _narrow(freq.join(wanted.drop("_total"), group), group, _even)
     rows = _narrow(rows.withColumnRenamed("_bin", "_bin1"), [*group, "_bin1"])
     slot = Window.partitionBy(*group, "_bin1", "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("_n").over(slot), F.lit(0))

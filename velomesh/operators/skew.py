@@ -7,28 +7,31 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from velomesh.session import checkpointed
+
 # Rows of one key that a single task should compare with the other side.
 SLICE_ROWS = 100_000
-# Only this many keys are cut, the largest ones; any other key then holds less than 1/HOT_KEYS of
-# the rows. It also bounds the table that is broadcast, whatever the data size.
-HOT_KEYS = 256
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """(keys, fan): the largest keys with more than ``slice_rows`` rows and the slices to cut each into."""
+    """(keys, fan): every key with more than ``slice_rows`` rows and the slices to cut it into.
+
+    There is at most one such key per ``slice_rows`` rows; the table is counted once and stored.
+    """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > slice_rows)
-    return (counts.orderBy(F.desc("n"), *keys).limit(HOT_KEYS)
-            .select(*keys, F.ceil(F.col("n") / slice_rows).cast("int").alias("fan")))
+    return checkpointed(counts.select(*keys, F.ceil(F.col("n") / slice_rows).cast("int").alias("fan")))
 
 
 def spread_join(big: DataFrame, small: DataFrame, keys: Sequence[str], spread_by: Sequence[str],
                 condition: Column | None = None, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Inner equi-join that cuts hot keys of ``big`` into slices and copies ``small`` per slice.
 
+    The key list is left to Spark's size check: short ones are sent to the tasks, long ones are joined.
+
     ``spread_by`` names columns of ``big`` that differ between rows of one key. Copies add at most
     one row of ``small`` per key and ``slice_rows`` rows of ``big``.
     """
-    hot = F.broadcast(hot_keys(big, keys, slice_rows))
+    hot = hot_keys(big, keys, slice_rows)
     fan = F.coalesce(F.col("fan"), F.lit(1))
     cut = (big.join(hot, list(keys), "left")
            .select(*big.columns, F.when(fan > 1, F.pmod(F.xxhash64(*spread_by), fan))

@@ -10,31 +10,77 @@ from pyspark.sql import functions as F
 from velomesh.functions import geodesy, geometry as g
 from velomesh.operators import grid
 from velomesh.operators.skew import spread_join
+from velomesh.session import checkpointed
+
+
+# Edges times cells up to which a polygon is laid over its cells inside one row.
+ROW_WORK = 4096
+# The point of a cell whose side of the polygon is known, as shares of its width; off the middle, where drawn borders rarely lie.
+MARK_X, MARK_Y = 0.4877, 0.5131
+
+
+def cell_mark(size: float = grid.CELL) -> tuple[Column, Column]:
+    return (F.col("cx") + MARK_X) * size, (F.col("cy") + MARK_Y) * size
 
 
 def polygon_cover(polygons: DataFrame, geom: str = "geometry", size: float = grid.CELL) -> DataFrame:
-    """One row per (polygon, cell of its box) with ``box``, ``inside`` and, where needed, ``edges``.
+    """One row per (polygon, cell it touches) with ``box``, ``inside``, ``edges`` and ``middle``.
 
-    ``inside`` cells lie wholly in the polygon, so a join on them needs no exact test and does not
-    carry the geometry. Cells of the box that the polygon does not touch are dropped.
+    ``inside`` cells lie wholly in the polygon, so a join on them needs no exact test and carries no
+    geometry. A rim cell carries the edges that touch it and whether its mark lies inside, which settles
+    every point of the cell. Small polygons are laid out in their row; large ones edge by edge.
     """
-    keep = [F.col(c) for c in polygons.columns if c != geom]
-    shaped = polygons.select(*keep, g.polygon_edges(F.col(geom)).alias("edges"),
-                             g.polygon_bounds(F.col(geom)).alias("box"))
+    keep = [c for c in polygons.columns if c != geom]
+    shaped = polygons.select(*keep, g.polygon_edges(F.col(geom)).alias("edges"), g.polygon_bounds(F.col(geom)).alias("box"))
+    box = F.col("box")
+    wide = grid.cell_of(box["xmax"], size) - grid.cell_of(box["xmin"], size) + 1
+    high = grid.cell_of(box["ymax"], size) - grid.cell_of(box["ymin"], size) + 1
+    light = wide * high * F.size("edges") <= ROW_WORK
+    large = shaped.where(~light)
+    small = _cover_in_row(shaped.where(light), keep, size)
+    return small if large.isEmpty() else small.unionByName(_cover_by_edge(large, keep, size))
+
+
+def _cover_in_row(shaped: DataFrame, keep: list[str], size: float) -> DataFrame:
     box, cx, cy = F.col("box"), F.col("cell.cx"), F.col("cell.cy")
     cells = grid.box_cells(box["xmin"], box["ymin"], box["xmax"], box["ymax"], size)
-    # Only a box three cells wide and high can hold a whole cell off its rim.
-    rim_only = ((grid.cell_of(box["xmax"], size) - grid.cell_of(box["xmin"], size) < 2)
-                | (grid.cell_of(box["ymax"], size) - grid.cell_of(box["ymin"], size) < 2))
-    x0, y0 = cx * size - grid.COVER_PAD, cy * size - grid.COVER_PAD
-    x1, y1 = (cx + 1) * size + grid.COVER_PAD, (cy + 1) * size + grid.COVER_PAD
-    bordered = rim_only | F.exists(F.col("edges"), lambda e: g.edge_meets_box(e, x0, y0, x1, y1))
-    middle = g.edges_contain(F.col("edges"), (cx + 0.5) * size, (cy + 0.5) * size)
-    classed = shaped.withColumn("cell", F.explode(cells)).withColumn(
-        "place", F.when(bordered, "rim").when(middle, "inside")).where(F.col("place").isNotNull())
-    inside = F.col("place") == "inside"
-    return classed.select(*keep, cx.alias("cx"), cy.alias("cy"), "box", inside.alias("inside"),
-                          F.when(~inside, F.col("edges")).alias("edges"))
+    pad = grid.COVER_PAD
+    near = F.filter(F.col("edges"), lambda e: g.edge_meets_box(
+        e, F.col("cx") * size - pad, F.col("cy") * size - pad, (F.col("cx") + 1) * size + pad, (F.col("cy") + 1) * size + pad))
+    mx, my = cell_mark(size)
+    placed = (shaped.withColumn("cell", F.explode(cells)).withColumns({"cx": cx, "cy": cy})
+              .withColumns({"middle": g.edges_contain(F.col("edges"), mx, my), "near": near})
+              .where(F.col("middle") | (F.size("near") > 0)))
+    return placed.select(*keep, "cx", "cy", "box", (F.size("near") == 0).alias("inside"), F.col("near").alias("edges"), "middle")
+
+
+def _cover_by_edge(shaped: DataFrame, keep: list[str], size: float) -> DataFrame:
+    """The same from rows of single edges: each goes to the cells it touches and to the rows whose mark line it crosses.
+
+    Along a mark line the polygon's inside lies between each odd crossing and the next, so marks inside are
+    listed span by span. No box is unfolded, and no cell sees more than its own edges.
+    """
+    named = checkpointed(shaped.withColumn("_pid", F.monotonically_increasing_id()))
+    edges = named.select("_pid", F.explode("edges").alias("edge"))
+    rim = grid.with_edge_cells(edges, size).select("_pid", "cx", "cy", "edge", F.lit(False).alias("middle"))
+    ax, ay, bx, by = (F.col(f"edge.{k}") for k in ("ax", "ay", "bx", "by"))
+    first = F.ceil(F.least(ay, by) / size - MARK_Y).cast("long") - 1
+    last = F.ceil(F.greatest(ay, by) / size - MARK_Y).cast("long") + 1
+    y = (F.col("cy") + MARK_Y) * size
+    lines = (edges.withColumn("cy", F.explode(F.sequence(first, last))).where((ay > y) != (by > y))
+             .select("_pid", "cy", ((bx - ax) * (y - ay) / (by - ay) + ax).alias("x")))
+    crossed = lines.groupBy("_pid", "cy").agg(F.sort_array(F.collect_list("x")).alias("xs"))
+    spans = crossed.select("_pid", "cy", "xs", F.explode(F.sequence(F.lit(0), F.size("xs") - 2, F.lit(2))).alias("k"))
+    # marks at or right of the span's start and left of its end
+    start = F.ceil(F.get("xs", F.col("k")) / size - MARK_X).cast("long")
+    stop = F.ceil(F.get("xs", F.col("k") + 1) / size - MARK_X).cast("long") - 1
+    marks = (spans.withColumns({"a": start, "b": stop}).where("b >= a")
+             .select("_pid", F.explode(F.sequence("a", "b")).alias("cx"), "cy",
+                     F.lit(None).cast(edges.schema["edge"].dataType).alias("edge"), F.lit(True).alias("middle")))
+    cells = rim.unionByName(marks).groupBy("_pid", "cx", "cy").agg(
+        F.collect_list("edge").alias("edges"), F.max("middle").alias("middle"))
+    return cells.join(named.select("_pid", *keep, "box"), "_pid").select(
+        *keep, "cx", "cy", "box", (F.size("edges") == 0).alias("inside"), "edges", "middle")
 
 
 def contains_join(points: DataFrame, polygons: DataFrame, point_id: Sequence[str],
@@ -46,13 +92,13 @@ def contains_join(points: DataFrame, polygons: DataFrame, point_id: Sequence[str
     x, y, box = F.col("_pt.x"), F.col("_pt.y"), F.col("box")
     located = grid.with_cell(points.withColumnRenamed(point, "_pt"), x, y, size)
     hit = (x.between(box["xmin"], box["xmax"]) & y.between(box["ymin"], box["ymax"])
-           & (F.col("inside") | g.edges_contain(F.col("edges"), x, y)))
+           & (F.col("inside") | g.near_edges_contain(F.col("edges"), x, y, *cell_mark(size), F.col("middle"))))
     return (spread_join(located, polygon_cover(polygons, geom, size), ["cx", "cy"], point_id, hit)
-            .drop("cx", "cy", "box", "inside", "edges").withColumnRenamed("_pt", point))
+            .drop("cx", "cy", "box", "inside", "edges", "middle").withColumnRenamed("_pt", point))
 
 
-def _clip_spans(edges: Column, ax, ay, bx, by) -> Column:
-    """Parts of a→b covered by a closed polygon, as array<struct<t0, t1>>."""
+def _clip_spans(edges: Column, ax, ay, bx, by, size: float) -> Column:
+    """Parts of a→b, which lies in one cell, covered by a closed polygon, as array<struct<t0, t1>>."""
     dx, dy = bx - ax, by - ay
     none = F.array().cast("array<double>")
 
@@ -78,7 +124,8 @@ def _clip_spans(edges: Column, ax, ay, bx, by) -> Column:
 
     def covered(s):
         m = (s["t0"] + s["t1"]) / 2
-        return g.bind(g.point(ax + m * dx, ay + m * dy), lambda p: g.edges_cover(edges, p["x"], p["y"]))
+        return g.bind(g.point(ax + m * dx, ay + m * dy), lambda p: g.near_edges_cover(
+            edges, p["x"], p["y"], *cell_mark(size), F.col("middle")))
     return F.filter(grid.consecutive(cuts), covered)
 
 
@@ -108,11 +155,11 @@ def clip_length_join(lines: DataFrame, polygons: DataFrame, line_id: Sequence[st
     near = spread_join(pieces, cover, ["cx", "cy"], [*line_id, "edge_no", "at"], overlap)
 
     def span_metres(s):
-        return geodesy.distance(ax + s["t0"] * (bx - ax), ay + s["t0"] * (by - ay),
+        return geodesy.near_distance(ax + s["t0"] * (bx - ax), ay + s["t0"] * (by - ay),
                                 ax + s["t1"] * (bx - ax), ay + s["t1"] * (by - ay))
-    clipped = F.aggregate(_clip_spans(F.col("edges"), ax, ay, bx, by), F.lit(0.0),
+    clipped = F.aggregate(_clip_spans(F.col("edges"), ax, ay, bx, by, size), F.lit(0.0),
                           lambda acc, s: acc + span_metres(s))
-    metres = F.when(F.col("inside"), geodesy.distance(ax, ay, bx, by)).otherwise(clipped)
+    metres = F.when(F.col("inside"), geodesy.near_distance(ax, ay, bx, by)).otherwise(clipped)
     total = near.groupBy(*line_id, poly_id).agg(F.sum(metres).alias("length_m"))
     return total if min_metres is None else total.where(F.col("length_m") > min_metres)
 
@@ -122,9 +169,10 @@ def line_shapes(lines: DataFrame, by: Sequence[str], line_id: str, geom: str = "
 
     Work on pairs is done once per distinct drawing, so a pile of copies costs one row.
     """
-    return (lines.select(*by, F.col(line_id).alias("_id"), g.canonical_line(F.col(geom)).alias("geometry"))
-            .groupBy(*by, "geometry")
-            .agg(F.min("_id").alias("shape_id"), F.countDistinct("_id").alias("n_lines")))
+    drawn = lines.select(*by, F.col(line_id).alias("_id"), g.canonical_line(F.col(geom)).alias("drawing"), F.col(geom).alias("geometry"))
+    # the drawing tells lines apart; the geometry keeps every vertex, at which other lines may end
+    return (drawn.groupBy(*by, "drawing")
+            .agg(F.min("_id").alias("shape_id"), F.countDistinct("_id").alias("n_lines"), F.min("geometry").alias("geometry")))
 
 
 def _shape_cells(shapes: DataFrame, by: Sequence[str], size: float) -> DataFrame:
@@ -184,9 +232,9 @@ def intersection_counts(lines: DataFrame, by: Sequence[str], line_id: str, geom:
            .join(sizes, [*by, "b"]).groupBy(*by, "shape_id").agg(F.sum("n_lines").alias("_met")))
     own = F.col("n_lines") - 1 if count_copies else F.lit(0)
     per_shape = (shapes.join(met, [*by, "shape_id"], "left")
-                 .select(*by, "geometry", (F.coalesce(F.col("_met"), F.lit(0)) + own).alias("partners")))
-    drawn = lines.select(*by, line_id, g.canonical_line(F.col(geom)).alias("geometry"))
-    return drawn.join(per_shape, [*by, "geometry"]).drop("geometry")
+                 .select(*by, "drawing", (F.coalesce(F.col("_met"), F.lit(0)) + own).alias("partners")))
+    drawn = lines.select(*by, line_id, g.canonical_line(F.col(geom)).alias("drawing"))
+    return drawn.join(per_shape, [*by, "drawing"]).drop("drawing")
 
 
 def grid_density(lines: DataFrame, line_id: str, geom: str = "geometry", step: float = 0.01) -> DataFrame:
@@ -221,19 +269,21 @@ def isolated_lines(lines: DataFrame, line_id: str, geom: str = "geometry", metre
 
     Copies share endpoints, so they are settled by count; a semi-join settles the rest.
     """
-    factor = 4
     shapes = line_shapes(lines, [], line_id, geom)
-    edges = grid.explode_edges(shapes, "geometry", ["shape_id"])
-    edges = grid.refine_hot_cells(grid.with_edge_cells(edges, size), [], size, factor=factor)
+    edges = grid.with_edge_cells(grid.explode_edges(shapes, "geometry", ["shape_id"]), size)
+    crowd = grid.crowded_cells(edges, [])
+    edges = grid.refine_hot_cells(edges, [], size)
     ends = shapes.select(F.col("shape_id").alias("end_id"), F.explode(F.array(
         g.start_point(F.col("geometry")), g.end_point(F.col("geometry")))).alias("p"))
     px, py = F.col("p.x"), F.col("p.y")
     reach = metres / geodesy.degree_floor_m(py, 0.5)
     around = (px - reach, py - reach, px + reach, py + reach)
     whole = F.array(F.struct(F.lit(-1).cast("long").alias("cx"), F.lit(-1).cast("long").alias("cy")))
-    # A disc offers itself to whole cells and to the sub-cells of crowded ones.
-    discs = (ends.withColumn("c", F.explode(grid.box_cells(*around, size)))
-             .withColumn("s", F.explode(F.concat(whole, grid.box_cells(*around, size / factor))))
+    # A disc offers itself to whole cells, or to the sub-cells of crowded ones.
+    discs = (ends.withColumn("c", F.explode(grid.box_cells(*around, size))).withColumns({"cx": F.col("c.cx"), "cy": F.col("c.cy")})
+             .join(crowd, ["cx", "cy"], "left")
+             .withColumn("s", F.explode(F.when(F.col("_factor").isNull(), whole).otherwise(
+                 grid.box_cells(*around, size / F.col("_factor")))))
              .select("end_id", "p", F.col("c.cx").alias("ecx"), F.col("c.cy").alias("ecy"),
                      F.col("s.cx").alias("esx"), F.col("s.cy").alias("esy")))
     near = ((F.col("ecx") == F.col("cx")) & (F.col("ecy") == F.col("cy"))
@@ -243,6 +293,6 @@ def isolated_lines(lines: DataFrame, line_id: str, geom: str = "geometry", metre
     met = (discs.join(edges, near, "left_semi").select(F.col("end_id").alias("shape_id")).distinct()
            .withColumn("_met", F.lit(True)))
     per_shape = (shapes.join(met, "shape_id", "left")
-                 .select("geometry", ((F.col("n_lines") == 1) & F.col("_met").isNull()).alias("is_isolated")))
-    drawn = lines.select(line_id, g.canonical_line(F.col(geom)).alias("geometry"))
-    return drawn.join(per_shape, "geometry").drop("geometry")
+                 .select("drawing", ((F.col("n_lines") == 1) & F.col("_met").isNull()).alias("is_isolated")))
+    drawn = lines.select(line_id, g.canonical_line(F.col(geom)).alias("drawing"))
+    return drawn.join(per_shape, "drawing").drop("drawing")

@@ -158,9 +158,15 @@ def corr_significance(df: DataFrame, columns: Sequence[str], by: Sequence[str] =
             .withColumn("r_masked", F.when(significant, F.col("r"))))
 
 
-def pivot(df: DataFrame, row: str, column: str, values: Sequence[object], measure: str) -> DataFrame:
-    """One row per ``row``, one column per listed value, sorted by ``row``."""
-    return df.groupBy(row).pivot(column, list(values)).agg(F.first(measure, ignorenulls=True)).orderBy(row)
+def pivot(df: DataFrame, row: str, column: str, measure: str, values: Sequence[object] | None = None) -> DataFrame:
+    """One row per ``row``, one column per value of ``column`` (all that occur, or those listed), sorted by ``row``.
+
+    The values become column names, so they are read first; Spark refuses more than
+    ``spark.sql.pivotMaxValues`` of them.
+    """
+    grouped = df.groupBy(row)
+    wide = grouped.pivot(column, list(values)) if values is not None else grouped.pivot(column)
+    return wide.agg(F.first(measure, ignorenulls=True)).orderBy(row)
 
 
 def dense_fill(df: DataFrame, dim_a: DataFrame, a: str, dim_b: DataFrame, b: str, value: str,

@@ -36,10 +36,10 @@ def tract_points(location: DataFrame, trimesters: DataFrame) -> DataFrame:
             .withColumn("year_trimester", F.explode(listed)))
 
 
-def lane_accessibility(location: DataFrame, trimesters: DataFrame, state: DataFrame, top: int | None = 1000) -> DataFrame:
+def lane_accessibility(location: DataFrame, trimesters: DataFrame, state: DataFrame, top: int | None = None) -> DataFrame:
     """Metres from each tract centroid to its nearest lane and the score derived from it.
 
-    The published report keeps the first ``top`` rows; ``None`` returns all.
+    A report can keep the first ``top`` rows; by default all are returned.
     """
     near = nearest_line(tract_points(location, trimesters), state, "census_tract_id", "year_trimester", "lane_id")
     out = (near.join(_names(location), "census_tract_id").join(trimesters, "year_trimester")

@@ -7,15 +7,20 @@ from pyspark.sql import functions as F
 
 from velomesh.functions import calendar as cal, geodesy
 from velomesh.operators.dims import trimester_dim
+from velomesh.operators.quality import require_unique
 from velomesh.operators.spatial import clip_length_join, connectivity_share
 
 dim_trimester = trimester_dim
 
 
 def lane_state(lanes: DataFrame) -> DataFrame:
-    """One row per lane and trimester with its length. The key is expected to be unique; check it
-    with ``quality.require_unique`` when a feed carries several months of a trimester."""
-    return lanes.where(F.col("lane_id").isNotNull()).select(
+    """One row per lane and trimester with its length.
+
+    A feed that carries a lane twice in a trimester is refused: metres and lanes would count twice.
+    """
+    lanes = lanes.where(F.col("lane_id").isNotNull())
+    require_unique(lanes.select("lane_id", "year", "trimester"), ["lane_id", "year", "trimester"])
+    return lanes.select(
         "lane_id", cal.year_trimester(F.col("year"), F.col("trimester")).alias("year_trimester"), "lane_type",
         "description", "location", geodesy.line_length_m(F.col("geometry")).alias("length_meters"), "geometry")
 
