@@ -13,7 +13,7 @@ def spark(tmp_path_factory):
     base = tmp_path_factory.mktemp("spark")
     from pyspark.sql import SparkSession
     SparkSession.builder.config("spark.sql.warehouse.dir", str(base / "warehouse"))
-    session = build_session("local[8]", 4, "velomesh-tests")
+    session = build_session("local[8]", 4, "velomesh-tests", "12g")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -151,7 +151,7 @@ def test_search_of_odd_rows_is_exact(spark):
     """Small tables are searched from the root, so results are exact, ties and copies included."""
     rng = np.random.default_rng(5)
     rows = [(i, [float(x) for x in np.float32(rng.normal(size=6))]) for i in range(50)]
-    rows += [(60 + i, rows[3][1]) for i in range(40)] + [(200, None), (220, []), (240, [0.0] * 6), (260, [1.0, None, 0, 0, 0, 0]),
+    rows += [(60 + i, rows[3][1]) for i in range(40)] + [(200, None), (220, []), (240, [0.0] * 6), (260, [1.0, None, 0.0, 0.0, 0.0, 0.0]),
                                                           (280, [float("nan")] * 6), (300, [float("inf")] * 6), (320, [1.0, 2.0]), (None, rows[0][1]), rows[0]]
     got = found(prefix_forest.search(vectors(spark, rows), F.col("vec_id") % 20 == 0, k=20))
     want = plain_neighbours([r for r in rows if r[1] is None or len(r[1]) != 2], 20)

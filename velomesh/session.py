@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -28,33 +29,35 @@ _STATIC = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app: str = "velomesh") -> SparkSession:
-    """Session for tests, benches and jobs; a cluster passes its own master and sizes."""
-    builder = SparkSession.builder.appName(app)
+                  app: str = "velomesh", driver_memory: str | None = None) -> SparkSession:
+    """Session for tests, benches and jobs, with the settings the operators rely on.
+
+    A cluster passes its own master and sizes. Sessions made elsewhere are used as they are: they need
+    the UTC time zone, and otherwise work with Spark's defaults.
+    """
+    builder = SparkSession.builder.appName(app).config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if master:
         builder = builder.master(master)
-        if master.startswith("local"):
-            builder = builder.config("spark.driver.memory", "12g")
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (_RUNTIME | _STATIC).items():
         builder = builder.config(key, value)
-    return pin(builder.getOrCreate())
+    return builder.getOrCreate()
 
 
-def pin(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the operators rely on to a session made elsewhere."""
-    for key, value in _RUNTIME.items():
-        spark.conf.set(key, value)
-    return spark
+def _one_machine(master: str) -> bool:
+    """Whether driver and tasks share one process, and so any folder."""
+    return re.fullmatch(r"local(\[.*\])?", master) is not None
 
 
 def _shared_base(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; single-machine sessions without it get one of their own."""
+    """The folder of ``spark.checkpoint.dir``; one-process sessions without it get one of their own."""
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not context.master.startswith("local"):
+        if not _one_machine(context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="velomesh-")
         context.setCheckpointDir(base)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,10 +30,68 @@ def drifting_csv_union(spark: SparkSession, folder: str) -> DataFrame:
     raw.where("event_id % 2 = 0").drop("last_reported").write.option("header", "true").csv(f"{base}/first")
     raw.where("event_id % 2 = 1").drop("status").select(
         "num_docks_available", "last_reported", "event_id", "station_id").write.option("header", "true").csv(f"{base}/second")
-    return (tabular.scan_csv_folder(spark, base).drop("file_path", "block_start")
+    return (tabular.scan_csv_folder(spark, base).drop("file_path", "block_start", "line_no")
             .withColumn("event_id", F.col("event_id").cast("bigint")))
 
 
+def _named(spark: SparkSession, folder: str, name: str) -> None:
+    """Put ``name`` before the names of the files written to a folder."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for file in [s.getPath() for s in fs.listStatus(path)]:
+        if file.getName().startswith("part-"):
+            fs.rename(file, hadoop.Path(path, f"{name}_{file.getName()}"))
+
+
+@register("csv_of_years", "S1", """
+SELECT o_orderkey, station_id, CAST(year(last_updated) AS INTEGER) AS year FROM information WHERE year(last_updated) IN (1996, 1998)""")
+def csv_of_years(spark: SparkSession, folder: str) -> DataFrame:
+    """One CSV folder, a year in each file's name; two years are read."""
+    base = shared_folder(spark, "yearly")
+    rows = v.information(spark, folder).select("o_orderkey", "station_id", F.year("last_updated").alias("year"))
+    for year in (1995, 1996, 1997, 1998):
+        rows.where(F.col("year") == year).write.option("header", "true").csv(f"{base}/{year % 2}/{year}")
+        _named(spark, f"{base}/{year % 2}/{year}", f"{year}_information")
+    read = tabular.scan_csv_folder(spark, base, years=[1996, 1998])
+    return read.select(F.col("o_orderkey").cast("bigint"), F.col("station_id").cast("int"), F.col("year").cast("int"))
+
+
+# Files of 2,500 events; every fourth has no station column.
+_FILES = """SELECT event_id, event_id // 2500 AS file, CASE WHEN event_id // 2500 % 4 <> 3 THEN user_id % 3 END AS station,
+  CASE WHEN event_id % 50 <> 7 THEN time_bucket(INTERVAL '10 minutes', ts) END AS bucket FROM events"""
+
+
+@register("thinned_files", "W5 S1", f"""
+SELECT event_id FROM (SELECT *, lag(bucket) OVER (PARTITION BY file, station ORDER BY event_id) AS before
+  FROM ({_FILES}) WHERE bucket IS NOT NULL AND station IS NOT NULL) WHERE before IS NULL OR before <> bucket
+UNION ALL SELECT event_id FROM ({_FILES}) WHERE bucket IS NULL OR station IS NULL""")
+def thinned_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Ticks written as CSV files, read back and thinned in the order of their lines."""
+    base = shared_folder(spark, "ticks")
+    rows = v.table(spark, folder, "events").selectExpr(
+        "event_id", "user_id % 3 AS station_id", "event_id DIV 2500 AS file",
+        "CASE WHEN event_id % 50 = 7 THEN 'unreadable' ELSE date_format(ts, 'yyyy-MM-dd HH:mm:ss') END AS last_updated")
+    rows = rows.repartition("file").sortWithinPartitions("file", "event_id")
+    rows.where("file % 4 <> 3").write.partitionBy("file").option("header", "true").csv(f"{base}/with")
+    rows.where("file % 4 = 3").drop("station_id").write.partitionBy("file").option("header", "true").csv(f"{base}/without")
+    return tabular.thin_files(spark, base).select(F.col("event_id").cast("bigint").alias("event_id"))
+
+
+@register("layer_rejects", "S6", """
+SELECT CASE s_suppkey % 4 WHEN 1 THEN 'broken' WHEN 2 THEN 'no geometry' ELSE 'other kind: Point' END AS reason, count(*) AS n_features
+FROM supplier WHERE s_suppkey % 4 <> 0 GROUP BY 1""")
+def layer_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """A lane layer with broken lines, points and features without geometry: what the scan passes over."""
+    base = shared_folder(spark, "rejects")
+    v.table(spark, folder, "supplier").selectExpr("""CASE s_suppkey % 4
+        WHEN 0 THEN '{"type":"Feature","properties":{"ID":"a"},"geometry":{"type":"LineString","coordinates":[[2,41],[3,42]]}}'
+        WHEN 1 THEN '{"type":"Feature","properties":{"ID":"a"},"geo' WHEN 2 THEN '{"type":"Feature","properties":{"ID":"a"}}'
+        ELSE '{"type":"Feature","properties":{"ID":"a"},"geometry":{"type":"Point","coordinates":[2,41]}}' END AS value""").write.text(base)
+    lost = layers.geojson_rejects(spark, base, "ID string", by_line=True)
+    return lost.groupBy("reason").agg(F.sum("n_features").alias("n_features"))
+
+
 @register("feed_projection", "S3", """
 SELECT station_id, name, lat, lon, CAST(NULL AS VARCHAR) AS altitude, capacity, last_updated FROM raw_information""")
 def feed_projection(spark: SparkSession, folder: str) -> DataFrame:
@@ -134,6 +194,34 @@ def monthly_load(spark: SparkSession, folder: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("num_bikes_available").alias("bikes")))
 
 
+@register("monthly_reload", "S10 S14", """
+SELECT strftime(last_updated, '%Y-%m') AS year_month, count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM information
+WHERE strftime(last_updated, '%Y-%m') <> '1996-03' OR o_orderkey % 2 = 0 GROUP BY 1""")
+def monthly_reload(spark: SparkSession, folder: str) -> DataFrame:
+    """Station descriptions of all months, then one month again with other rows: only that month changes."""
+    base = shared_folder(spark, "reload")
+    facts = v.information(spark, folder).select("o_orderkey", "station_id", "capacity", "last_updated")
+    tables.write_monthly(facts, base, "last_updated")
+    tables.write_monthly(facts.where("o_orderkey % 2 = 0 AND date_format(last_updated, 'yyyy-MM') = '1996-03'"), base, "last_updated")
+    return (spark.read.schema("o_orderkey bigint, year_month string").parquet(base).groupBy("year_month")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("o_orderkey").alias("keys")))
+
+
+@register("stored_dimension", "S10 S11 S12 S13", """
+SELECT DISTINCT strftime(last_updated, '%Y-%m-%d') AS date_value FROM information""")
+def stored_dimension(spark: SparkSession, folder: str) -> DataFrame:
+    """A table built, found, rebuilt by force beside the old one, and extended by the members it lacks."""
+    name = f"dim_day_{uuid.uuid4().hex[:12]}"
+    days = v.information(spark, folder).select(F.to_date("last_updated").alias("date_value")).distinct()
+    build = lambda: days.where(F.year("date_value") < 1998)
+    tables.ensure_step(spark, name, lambda: days.limit(0))
+    tables.ensure_step(spark, name, build)
+    if tables.ensure_step(spark, name, build) or not tables.ensure_step(spark, name, build, force=True, needs=[name]):
+        raise AssertionError("a filled table is built again by force only")
+    tables.insert_missing(spark, days, name, ["date_value"])
+    return spark.table(name)
+
+
 @register("ensured_dimension", "S12 S10", """
 SELECT DISTINCT strftime(last_updated, '%Y-%m-%d') AS date_value, CAST(day(last_updated) AS INTEGER) AS day FROM information""")
 def ensured_dimension(spark: SparkSession, folder: str) -> DataFrame:
@@ -328,6 +416,11 @@ def cleaned_lanes(spark: SparkSession, folder: str) -> DataFrame:
     return filled.select("lane_id", "year", "trimester", "lane_type")
 
 
+@register("clean_lane_feed", "Q3 P7", "SELECT lane_id, year, trimester, lane_type FROM lanes")
+def clean_lane_feed(spark: SparkSession, folder: str) -> DataFrame:
+    return cleaning.clean_lanes(v.raw_lanes(spark, folder)).select("lane_id", "year", "trimester", "lane_type")
+
+
 @register("lane_type_distribution", "A5 O4", """
 SELECT lane_type, count(*) AS n_lanes, round(100e0 * count(*) / (SELECT count(*) FROM lanes), 2) AS share_pct FROM lanes GROUP BY 1""")
 def lane_type_distribution(spark: SparkSession, folder: str) -> DataFrame:

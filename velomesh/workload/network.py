@@ -108,7 +108,7 @@ def lane_connectivity(spark: SparkSession, folder: str) -> DataFrame:
 SELECT census_tract_id, neighbourhood_name, district_name, year_trimester, year, trimester, round(metres, 3) AS min_distance_meters,
   round(CASE WHEN metres IS NULL THEN 0 ELSE 1 / (1 + metres / 1000) END, 6) AS accessibility_score FROM nearest JOIN location USING (census_tract_id)""")
 def lane_accessibility(spark: SparkSession, folder: str) -> DataFrame:
-    k = indicators.lane_accessibility(v.location(spark, folder), _trimesters(spark, folder), v.lane_state(spark, folder), top=None)
+    k = indicators.lane_accessibility(v.location(spark, folder), _trimesters(spark, folder), v.lane_state(spark, folder))
     return rounded(rounded(k, 3, "min_distance_meters"), 6, "accessibility_score")
 
 
@@ -116,7 +116,7 @@ def lane_accessibility(spark: SparkSession, folder: str) -> DataFrame:
 SELECT census_tract_id, year_trimester, round(CASE WHEN metres IS NULL THEN 0 ELSE 1 / (1 + metres / 1000) END, 6) AS accessibility_score FROM nearest
 ORDER BY year_trimester, CASE WHEN metres IS NULL THEN 0 ELSE 1 / (1 + metres / 1000) END DESC, census_tract_id LIMIT 1000""")
 def accessibility_report(spark: SparkSession, folder: str) -> DataFrame:
-    k = indicators.lane_accessibility(v.location(spark, folder), _trimesters(spark, folder), v.lane_state(spark, folder))
+    k = indicators.lane_accessibility(v.location(spark, folder), _trimesters(spark, folder), v.lane_state(spark, folder), top=1000)
     return rounded(k.select("census_tract_id", "year_trimester", "accessibility_score"), 6, "accessibility_score")
 
 
@@ -167,7 +167,23 @@ def correlation_study(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(studies.correlation_study(_profile(spark, folder)).select("year", "a", "b", "n", "r"), 5, "r")
 
 
-@register("correlation_significance", "A26 Q15")
+# Two-sided chance of a larger coefficient. For whole degrees of freedom the t distribution is a finite sum
+# of powers of the cosine of the angle whose sine is the coefficient; the terms differ for even and odd.
+_TAIL = """CASE WHEN n = 2 OR r IS NULL OR isnan(r) THEN NULL WHEN n % 2 = 0
+  THEN 1 - abs(r) * list_sum(list_transform(range((n - 2) // 2), lambda k: exp(lgamma(2e0 * k + 1) - 2 * lgamma(k + 1e0) - k * ln(4e0)) * pow(greatest(1 - r * r, 0), k)))
+  ELSE 1 - 2 / pi() * (asin(least(abs(r), 1)) + abs(r) * sqrt(greatest(1 - r * r, 0)) * coalesce(list_sum(list_transform(range((n - 3) // 2),
+    lambda k: exp(k * ln(4e0) + 2 * lgamma(k + 1e0) - lgamma(2e0 * k + 2)) * pow(greatest(1 - r * r, 0), k))), 0)) END"""
+_PAIRS = len(studies.STUDY_COLUMNS) * (len(studies.STUDY_COLUMNS) - 1) // 2
+
+
+@register("correlation_significance", "A26 Q15", f"""
+WITH full_rows AS (SELECT * FROM ({_PROFILE}) WHERE income_euros IS NOT NULL AND coverage_score IS NOT NULL AND accessibility_score IS NOT NULL
+  AND population IS NOT NULL AND connectivity_score IS NOT NULL),
+c AS (SELECT * FROM ({_CORR.replace("round(corr", "(corr").replace(", 5) AS r", ") AS r")}) WHERE n >= 3),
+t AS (SELECT year, a, b, n, r, {_TAIL} AS p FROM c),
+j AS (SELECT *, least(1e0, p * {_PAIRS}) AS p_adj FROM t)
+SELECT year, a, b, n, round(r, 6) AS r, round(p, 6) AS p, round(p_adj, 6) AS p_adj, coalesce(p_adj < 0.05, false) AS significant,
+  CASE WHEN p_adj < 0.05 THEN round(r, 6) END AS r_masked FROM j""")
 def correlation_significance(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(studies.correlation_study(_profile(spark, folder)), 6, "r", "p", "p_adj", "r_masked")
 
@@ -229,6 +245,16 @@ def intersection_counts(spark: SparkSession, folder: str) -> DataFrame:
     return spatial.intersection_counts(_drawn(spark, folder), [], "lane_id").withColumnRenamed("partners", "intersection_count")
 
 
+@register("lane_topology", "Q16 J22 J23", f"""
+WITH w AS ({_WHOLE}), s AS ({_MIXED}), p AS (SELECT DISTINCT s.id AS a, t.id AS b FROM s JOIN s t ON s.id <> t.id AND {pieces_meet('s', 't')}),
+e AS (SELECT id AS lane, x0 AS px, y0 AS py FROM w UNION ALL SELECT id, x2, y2 FROM w),
+near AS (SELECT DISTINCT lane FROM e JOIN s ON lane <> id AND abs(ax - px) < 0.1e0 AND abs(ay - py) < 0.1e0 AND {_point_piece('px', 'py')} <= 10)
+SELECT w.id AS lane_id, count(o.id) AS intersection_count, w.id NOT IN (SELECT lane FROM near) AS is_isolated FROM w LEFT JOIN p ON p.a = w.id
+LEFT JOIN w o ON o.id = p.b AND (o.x0, o.y0, o.x1, o.y1, o.x2, o.y2) <> (w.x0, w.y0, w.x1, w.y1, w.x2, w.y2) GROUP BY 1""")
+def lane_topology(spark: SparkSession, folder: str) -> DataFrame:
+    return studies.lane_topology(_drawn(spark, folder))
+
+
 def _utm(x: str, y: str) -> tuple[str, str]:
     """Easting and northing as SQL, by the published transverse Mercator series."""
     s = f"sin(radians({y}))"
@@ -298,7 +324,7 @@ _EDGES = """SELECT neighbourhood_code, district_code, x0, y0, x1, y1, unnest([st
 FROM (SELECT t.*, c.i, c.j FROM tracts t JOIN cells c ON c.c_custkey = t.census_tract_id % 10000000)"""
 
 
-@register("area_outlines", "A38 G14 Q14", f"""
+@register("area_outlines", "A38 Q14", f"""
 WITH e AS ({_EDGES}), o AS (SELECT district_code, neighbourhood_code, e FROM e GROUP BY ALL HAVING count(*) = 1),
 p AS (SELECT district_code, neighbourhood_code, sum(CASE WHEN e.c = 'w' THEN 0.003e0 ELSE 0.004e0 END) AS outline FROM o GROUP BY 1, 2),
 a AS (SELECT district_code, neighbourhood_code, sum((x1 - x0) * (y1 - y0)) AS area FROM tracts GROUP BY 1, 2)
@@ -312,12 +338,31 @@ def area_outlines(spark: SparkSession, folder: str) -> DataFrame:
         F.round(F.sum(g.line_length(ring)), 7).alias("outline"))
 
 
-@register("simplified_outlines", "G14 A38 G22")
+@register("whole_outline", "A38", f"""
+WITH e AS ({_EDGES}), o AS (SELECT e FROM e GROUP BY ALL HAVING count(*) = 1)
+SELECT (SELECT round(sum((x1 - x0) * (y1 - y0)), 8) FROM tracts) AS area, round(sum(CASE WHEN e.c = 'w' THEN 0.003e0 ELSE 0.004e0 END), 7) AS outline FROM o""")
+def whole_outline(spark: SparkSession, folder: str) -> DataFrame:
+    """All tracts merged into one area, holes included."""
+    parts = d.dissolve(v.location(spark, folder).select(F.lit("all").alias("area_name"), "geometry"), ["area_name"])
+    rings = F.aggregate("geometry", F.lit(0.0), lambda s, r: s + g.line_length(r))
+    return parts.agg(F.round(F.sum(g.polygon_area(F.col("geometry"))), 8).alias("area"), F.round(F.sum(rings), 7).alias("outline"))
+
+
+@register("simplified_outlines", "G14 A38 G22 Q14", f"""
+WITH e AS ({_EDGES}), o AS (SELECT district_code, e FROM e GROUP BY ALL HAVING count(*) = 1),
+p AS (SELECT district_code, sum(CASE WHEN e.c = 'w' THEN 0.003e0 ELSE 0.004e0 END) AS outline FROM o GROUP BY 1),
+a AS (SELECT district_code, sum((x1 - x0) * (y1 - y0)) AS area FROM tracts GROUP BY 1)
+SELECT district_code, district_name, round(area, 9) AS area, round(outline, 7) AS outline, true AS fewer_vertices FROM a JOIN p USING (district_code)
+JOIN (SELECT DISTINCT district_code, district_name FROM location) USING (district_code)""")
 def simplified_outlines(spark: SparkSession, folder: str) -> DataFrame:
-    """Vertex counts of the map outlines after simplification; checked against brute force in the tests."""
-    parts = frames.area_shapes(v.location(spark, folder), "district")
-    big = d.largest_part(parts, ["district_code", "district_name"])
-    return big.select("district_code", "district_name", F.size(F.col("geometry")[0]).alias("n_vertices"))
+    """The largest part of each simplified outline. Its border runs straight between corners, so area and length stay
+    while the vertices along it go."""
+    keys = ["district_code", "district_name"]
+    big, full = (d.largest_part(frames.area_shapes(v.location(spark, folder), "district", tolerance=t), keys) for t in (0.0001, None))
+    before = full.select(*keys, F.size(F.col("geometry")[0]).alias("n"))
+    ring = F.col("geometry")[0]
+    return big.join(before, keys).select(*keys, F.round(g.polygon_area(F.col("geometry")), 9).alias("area"),
+                                         F.round(g.line_length(ring), 7).alias("outline"), (F.size(ring) < F.col("n")).alias("fewer_vertices"))
 
 
 @register("map_extent", "A39 G20", """

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from velomesh.session import pin
 from velomesh.workload.sqltext import query
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -45,7 +44,7 @@ def register(name: str, covers: str, sql: str | None = None) -> Callable[[Job],
     """Add a query; ``sql`` may use the derived inputs of ``sqltext`` as tables."""
     def add(job: Job) -> Job:
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return comparable(job(pin(spark), folder))
+            return comparable(job(spark, folder))
         if name in REGISTRY:
             raise ValueError(f"query {name} registered twice")
         REGISTRY[name] = Entry(name, tuple(covers.split()), run, query(sql) if sql else None)

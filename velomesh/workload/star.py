@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from velomesh.functions import geometry as g
 from velomesh.operators import dims, history, quality
 from velomesh.plans import demographics, frames, indicators, stations, studies
 from velomesh.session import checkpointed
@@ -145,7 +146,8 @@ def availability_by_neighbourhood(spark: SparkSession, folder: str) -> DataFrame
     "district", "district_code", "WHERE ten_min_datetime >= TIMESTAMP '2024-01-08' AND ten_min_datetime < TIMESTAMP '2024-01-15'"))
 def availability_week(spark: SparkSession, folder: str) -> DataFrame:
     """The stored view of one week."""
-    week = stations.availability(v.station_status(spark, folder), v.areas(spark, folder), "district", "2024-01-08", "2024-01-14")
+    days = ("2024-01-08", "2024-01-14")
+    week = stations.availability(v.station_status(spark, folder, *days), v.areas(spark, folder), "district", *days)
     return rounded(week, 6, *_AVERAGES)
 
 
@@ -241,13 +243,15 @@ def frame_labels(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @register("frame_with_all_areas", "J17 Q14", """
-SELECT DISTINCT l.neighbourhood_code, l.neighbourhood_name, round(avg_bike_availability, 6) AS avg_bike_availability
-FROM location l LEFT JOIN (SELECT * FROM view_neighbourhood WHERE ten_min_datetime = TIMESTAMP '2024-01-05 12:00:00') USING (neighbourhood_code, neighbourhood_name)""")
+SELECT l.neighbourhood_code, l.neighbourhood_name, l.area, round(avg_bike_availability, 6) AS avg_bike_availability
+FROM (SELECT neighbourhood_code, neighbourhood_name, round(sum((x1 - x0) * (y1 - y0)), 9) AS area FROM location JOIN (
+  SELECT census_tract_id, x0, y0, x1, y1 FROM tracts) USING (census_tract_id) GROUP BY 1, 2) l LEFT JOIN (SELECT * FROM view_neighbourhood WHERE ten_min_datetime = TIMESTAMP '2024-01-05 12:00:00') USING (neighbourhood_code, neighbourhood_name)""")
 def frame_with_all_areas(spark: SparkSession, folder: str) -> DataFrame:
     keys = ["neighbourhood_code", "neighbourhood_name"]
-    shapes = v.location(spark, folder).select(*keys).distinct()
+    shapes = frames.area_shapes(v.location(spark, folder), "neighbourhood", tolerance=None)
     frame = frames.frame_at(shapes, v.availability(spark, folder, "neighborhood"), "2024-01-05 12:00:00", keys)
-    return rounded(frame.select(*keys, "avg_bike_availability"), 6, "avg_bike_availability")
+    areas = frame.groupBy(*keys, "avg_bike_availability").agg(F.round(F.sum(g.polygon_area(F.col("geometry"))), 9).alias("area"))
+    return rounded(areas, 6, "avg_bike_availability")
 
 
 _EQUITY = """WITH capacity AS (SELECT station_id, arg_max(capacity, last_updated) AS capacity FROM (SELECT station_id, last_updated, capacity FROM information WHERE capacity IS NOT NULL

@@ -12,14 +12,13 @@ from pyspark.sql import functions as F
 
 from velomesh.functions import geometry as g
 from velomesh.plans import cleaning, demographics, lanes as lane_plans, stations as station_plans
-from velomesh.session import pin
 
 GRID_COLUMNS = 45
 SECTION_WIDTH = 7
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return pin(spark).read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def ticks(spark: SparkSession, folder: str) -> DataFrame:
@@ -171,9 +170,9 @@ def stations(spark: SparkSession, folder: str) -> DataFrame:
     return station_plans.dim_station(information(spark, folder))
 
 
-def station_status(spark: SparkSession, folder: str) -> DataFrame:
+def station_status(spark: SparkSession, folder: str, first_day: str | None = None, last_day: str | None = None) -> DataFrame:
     """Status facts: latest tick per station and bucket."""
-    return station_plans.fact_station_status(status(spark, folder), stations(spark, folder))
+    return station_plans.fact_station_status(status(spark, folder), stations(spark, folder), None, first_day, last_day)
 
 
 def areas(spark: SparkSession, folder: str) -> DataFrame:
