@@ -244,8 +244,7 @@ def frame_labels(spark: SparkSession, folder: str) -> DataFrame:
 
 @register("frame_with_all_areas", "J17 Q14", """
 SELECT l.neighbourhood_code, l.neighbourhood_name, l.area, round(avg_bike_availability, 6) AS avg_bike_availability
-FROM (SELECT neighbourhood_code, neighbourhood_name, round(sum((x1 - x0) * (y1 - y0)), 9) AS area FROM location JOIN (
-  SELECT census_tract_id, x0, y0, x1, y1 FROM tracts) USING (census_tract_id) GROUP BY 1, 2) l LEFT JOIN (SELECT * FROM view_neighbourhood WHERE ten_min_datetime = TIMESTAMP '2024-01-05 12:00:00') USING (neighbourhood_code, neighbourhood_name)""")
+FROM (SELECT neighbourhood_code, neighbourhood_name, round(sum((x1 - x0) * (y1 - y0)), 9) AS area FROM location GROUP BY 1, 2) l LEFT JOIN (SELECT * FROM view_neighbourhood WHERE ten_min_datetime = TIMESTAMP '2024-01-05 12:00:00') USING (neighbourhood_code, neighbourhood_name)""")
 def frame_with_all_areas(spark: SparkSession, folder: str) -> DataFrame:
     keys = ["neighbourhood_code", "neighbourhood_name"]
     shapes = frames.area_shapes(v.location(spark, folder), "neighbourhood", tolerance=None)
