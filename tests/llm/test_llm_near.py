@@ -205,7 +205,7 @@ def test_substring_dedup_is_brute_force(spark):
     by = {r.doc_id: r for r in got}
     assert by[0].removed_bytes == 0
     # the passage goes from all later documents but for its edges, and clean documents stay
-    assert all(by[k].removed_bytes > 0.6 * len(passage.encode()) and by[k].kept_in == [0] for k in range(1, 12))
+    assert all(by[k].removed_bytes > 0.5 * len(passage.encode()) and 0 in by[k].kept_in for k in range(1, 12))
     assert all(by[50 + k].removed_bytes == 0 for k in range(8))
     assert by[60].text == "" and by[90].text is None and by[91].text == ""
 
