@@ -69,7 +69,7 @@ def test_checksums_join():
 
 @pytest.mark.parametrize("block_ids", [16, 65_536])
 def test_plane_files_hold_every_document(spark, library, tmp_path, block_ids):
-    rows = [(i * 3 % len(ODD), t) for i, t in enumerate(ODD)] + [(None, "no name")]
+    rows = [(100 - 3 * i, t) for i, t in enumerate(ODD)] + [(None, "no name")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"part": F.lit("p"), "start": F.lit(-1)}).repartition(5)
     path = str(tmp_path / "planes")
     plane_files.write(docs, path, tokenizer(), 2, block_ids)
