@@ -1,7 +1,7 @@
 """Nearest neighbours by inner product with a hash-prefix forest.
 
-Each tree gives a vector a long hash string; a symbol of it is the largest coordinate, with sign, after a
-random rotation. Sorted strings put vectors with a long common prefix side by side. A query descends in
+Each tree gives a vector a long hash string; a symbol of it is the largest, with sign, of its coordinates along a
+few random orthogonal directions. Sorted strings put vectors with a long common prefix side by side. A query descends in
 all trees to its longest prefixes, then ascends in all of them at once, a symbol at a time, until the
 prefixes it shares hold enough candidates. What is enough is measured: on a bounded sample of queries,
 answered exactly, the least number that finds the share ``recall`` of their neighbours.
@@ -35,7 +35,9 @@ from velomesh.llm.common import stored, whole_groups
 from velomesh.session import checkpointed
 
 #: Trees; queries answered exactly to fit the number of candidates; share of neighbours to find there.
-TREES, FIT_QUERIES, RECALL = 64, 200, 0.96
+TREES, FIT_QUERIES, RECALL = 28, 200, 0.95
+#: Coordinates a symbol is chosen from. Fewer make coarser cells, which need fewer trees and so fewer copies of a vector.
+WIDTH = 16
 #: Cells above this many vectors, or this share of all, are cut; likewise for queries.
 CELL_ROWS, CELL_QUERIES, CELL_SHARE = 4096, 1024, 1000
 #: Share of the sampled queries that may hold less than the number of candidates asked for.
@@ -45,13 +47,13 @@ SEED = 7
 
 @lru_cache(maxsize=1)
 def rotations(dim: int, trees: int, depth: int) -> np.ndarray:
-    """Random orthogonal matrices, one per tree and symbol."""
+    """Matrices of ``WIDTH`` random orthogonal directions, one per tree and symbol."""
     rng = np.random.default_rng([SEED, dim])
-    return np.stack([np.linalg.qr(rng.normal(size=(dim, dim)))[0] for _ in range(trees * depth)]).astype(np.float32)
+    return np.stack([np.linalg.qr(rng.normal(size=(dim, min(dim, WIDTH))))[0] for _ in range(trees * depth)]).astype(np.float32)
 
 
 def strings(vectors: np.ndarray, trees: int, depth: int) -> np.ndarray:
-    """Hash strings: (rows, trees, depth) symbols below twice the dimension."""
+    """Hash strings: (rows, trees, depth) symbols below ``symbols_of(dim)``."""
     turned = rotations(vectors.shape[1], trees, depth)
     out = np.empty((len(vectors), trees * depth), np.int64)
     every = np.arange(len(vectors))
@@ -63,17 +65,22 @@ def strings(vectors: np.ndarray, trees: int, depth: int) -> np.ndarray:
     return out.reshape(len(vectors), trees, depth)
 
 
-def prefixes(symbols: np.ndarray, dim: int) -> np.ndarray:
+def symbols_of(dim: int) -> int:
+    return 2 * min(dim, WIDTH)
+
+
+def prefixes(symbols: np.ndarray, base: int) -> np.ndarray:
     """Prefix numbers (rows, trees, depth): the first symbols read as digits."""
     out = symbols.copy()
     for k in range(1, out.shape[2]):
-        out[:, :, k] += out[:, :, k - 1] * 2 * dim
+        out[:, :, k] += out[:, :, k - 1] * base
     return out
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1).astype(np.float64)
+    values = flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return values.reshape(len(flat), len(values) // max(len(flat), 1))
 
 
 def usable(vector: str) -> Column:
@@ -91,6 +98,7 @@ class Shape:
     longest: float
     trees: int
     depth: int
+    kind: str  # Spark's type of a vector, as narrow as the table's own
 
     def lifted(self, v: np.ndarray, query: bool) -> np.ndarray:
         """Vectors of equal length in one more dimension; queries stay in their plane."""
@@ -100,7 +108,7 @@ class Shape:
         return np.concatenate((v, np.sqrt(np.maximum(0.0, 1.0 - (v * v).sum(1, keepdims=True)))), 1)
 
     def prefixes(self, v: np.ndarray, query: bool) -> np.ndarray:
-        return prefixes(strings(self.lifted(v, query), self.trees, self.depth), self.dim + 1)
+        return prefixes(strings(self.lifted(v, query), self.trees, self.depth), symbols_of(self.dim + 1))
 
 
 @dataclass(frozen=True)
@@ -112,14 +120,21 @@ class Forest:
     shape: Shape
 
 
+def vector_kind(vectors: DataFrame) -> str:
+    """Vectors travel once per tree, so single precision stays single."""
+    single = vectors.schema["embedding"].dataType.elementType.typeName() == "float"
+    return "array<float>" if single else "array<double>"
+
+
 def build(vectors: DataFrame, k: int, trees: int = TREES) -> Forest:
     """Index of all rows (vec_id, embedding); of equal vectors the ``k + 1`` least identities are kept.
 
     More cannot appear in a result of ``k``. Strings are long enough for the table: the number of
     symbols grows with the logarithm of the entries.
     """
+    kind = vector_kind(vectors)
     good = vectors.where(usable("embedding")).select(
-        F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
+        F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("v"))
     sizes = good.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
     dim = sizes["d"] if sizes else 1
     order = Window.partitionBy("v").orderBy(F.col("vec_id").asc_nulls_last())
@@ -128,11 +143,12 @@ def build(vectors: DataFrame, k: int, trees: int = TREES) -> Forest:
     entries = few.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).select(
         F.element_at("ids", 1).alias("entry"), F.col("v").alias("vector"), "ids")
     entries = stored(entries, "forest-entries")
-    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
+    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     count, longest = entries.agg(F.count("*"), F.max(norm)).first()
-    depth = max(2, math.ceil(math.log(max(count, 2) / 20) / math.log(2 * dim + 2)) + 1) if count > 20 else 2
-    depth = min(depth, int(62 / math.log2(2 * dim + 2)))
-    return Forest(entries, count, Shape(dim, float(longest or 1.0) * (1 + 1e-12), trees, depth))
+    base = symbols_of(dim + 1)
+    depth = max(2, math.ceil(math.log(max(count, 2) / 20) / math.log(base)) + 1) if count > 20 else 2
+    depth = min(depth, int(62 / math.log2(base)))
+    return Forest(entries, count, Shape(dim, float(longest or 1.0) * (1 + 1e-12), trees, depth, kind))
 
 
 def cell_sizes(forest: Forest) -> DataFrame:
@@ -186,7 +202,7 @@ def _exact(forest: Forest, queries: DataFrame, k: int) -> DataFrame:
     """(query, entry, vector, score): the sample's exact neighbours among all entries, in blocks."""
     chosen = queries.toPandas()  # FIT_QUERIES rows at most
     ids = chosen["entry"].to_numpy()
-    q = np.array(chosen["vector"].tolist(), dtype=np.float64).reshape(len(ids), -1)
+    q = np.array(chosen["vector"].tolist(), dtype=np.float64).reshape(len(ids), forest.shape.dim)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -194,7 +210,7 @@ def _exact(forest: Forest, queries: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(ids[i]), b.column("entry").take(pa.array(j)),
                                               b.column("vector").take(pa.array(j)), pa.array(s)], ["query", "entry", "vector", "score"])
 
-    found = forest.entries.select("entry", "vector").mapInArrow(run, "query long, entry long, vector array<double>, score double")
+    found = forest.entries.select("entry", "vector").mapInArrow(run, f"query long, entry long, vector {forest.shape.kind}, score double")
     best = Window.partitionBy("query").orderBy(F.desc("score"), "entry")
     return (found.where("query <> entry").withColumn("at", F.row_number().over(best)).where(F.col("at") <= k).drop("at"))
 
@@ -288,7 +304,7 @@ def candidates(forest: Forest, queries: DataFrame, cells: DataFrame, visits: Dat
                          pa.array(np.full(len(p), d, np.int32)), pa.array(p[:, t, d - 1] if d else np.zeros(len(p), np.int64))],
                         ["entry", "vector", *place])
 
-    schema = "entry long, vector array<double>, tree int, length int, prefix long"
+    schema = f"entry long, vector {shape.kind}, tree int, length int, prefix long"
     rows = forest.entries.select("entry", "vector").mapInArrow(placed, schema)
     asks = queries.select("entry", "vector").join(visits, "entry").select("entry", "vector", *place)
 
@@ -348,7 +364,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, trees: int = TREES
     """The ``k`` nearest found of every row for which ``is_query`` (over ``vec_id``) holds: query_id, rank, vec_id, score."""
     forest = build(vectors, k, trees)
     good = vectors.where(usable("embedding") & (F.size("embedding") == forest.shape.dim) & F.col("vec_id").isNotNull()).select(
-        F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
+        F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(forest.shape.kind).alias("vector"))
     asking = good.where(is_query).distinct().join(forest.entries.select("entry", "vector"), "vector").select("vec_id", "entry", "vector")
     asking = stored(asking, "forest-asking")
     queries = stored(asking.select("entry", "vector").dropDuplicates(["entry"]), "forest-asked")
