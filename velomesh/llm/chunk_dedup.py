@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from velomesh.llm.common import stored
 
 #: A chunk ends at about one byte in this many, but not before so many bytes.
-SPREAD, LEAST_CHUNK = 48, 16
+SPREAD, LEAST_CHUNK = 24, 8
 #: Repeated stretches shorter than this many bytes stay.
 LEAST_BYTES = 96
 #: Bytes hashed at once; a text's blocks overlap by the hash's reach.
