@@ -18,7 +18,7 @@ SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _ODD, _WHITE = regex.compile(r"[\x1c-\x1f]"), regex.compile(f"[{SPACE}]+")
 _MARKS = frozenset(".,;:!?")
 #: Words remembered by a worker (a few hundred bytes each), and characters handled at once.
-HELD_WORDS, BLOCK_CHARS = 800_000, 8_000_000
+HELD_WORDS, BLOCK_CHARS = 500_000, 4_000_000
 
 Learn = Callable[[list[str]], list[bytes]]
 
