@@ -225,3 +225,24 @@ def test_registered_substring_dedup_is_brute_force(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]
     got = sorted((r.doc_id, r.text, [tuple(s) for s in r.spans]) for r in QUERIES["op6_substring_dedup"](spark, SMALL).collect())
     assert got == sorted(plain_dedup(docs))
+
+
+def test_substring_dedup_cuts_whole_passages(spark):
+    """Passages of 51 words, short ones among them: whatever is found is cut from its first byte to its last."""
+    rng, rows, passages = random.Random(7), [], {}
+    for k in range(120):
+        most = 3 + k % 6
+        passages[1000 + k] = "¶" + " ".join("".join(rng.choices("etaoinshrdluéö", k=rng.randint(1, most))) for _ in range(51)) + "¶"
+        rows += [(i, f"{prose(9000 + i, 40)} {i}{passages[1000 + k]}{i} {prose(19000 + i, 40)}") for i in (k, 1000 + k)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in chunk_dedup.deduplicate(docs).collect()}
+    texts, missed = dict(rows), 0
+    for i, passage in passages.items():
+        assert got[i - 1000].removed_bytes == 0
+        if got[i].removed_bytes == 0:
+            missed += 1
+        else:
+            # digits around the passage may agree by chance, nothing else
+            assert passage not in got[i].text and len(passage.encode()) <= got[i].removed_bytes <= len(passage.encode()) + 6
+            assert passage in texts[i].encode()[got[i].spans[0].start:got[i].spans[0].end].decode()
+    assert missed <= 6

@@ -4,21 +4,26 @@ A gear hash rolls over the bytes of a text: each byte shifts the hash by one bit
 number, so the hash depends on the last 32 bytes only. A chunk ends where the hash falls below a
 threshold, not before a least length, nor inside a character. An insertion moves the borders near it
 and leaves all others with their bytes. Chunks with equal digests are the same; the one in the document with
-the least identity, there the first, is kept. Of the others, neighbours are joined, and stretches of at least
-``least_bytes`` are cut out.
+the least identity (of equal ones the least text hash), there the first, is kept. Of the others, neighbours with
+neighbouring copies are joined to runs, and each run is extended byte by byte to both sides as far as it equals the
+kept copy, up to ``WINDOW`` bytes. Two short hashes of the bytes beside each chunk tell which runs can grow by
+``NEAR`` bytes at all, so that only runs that may become long enough are looked up. Runs that then touch are one stretch; stretches of at least ``least_bytes`` are
+cut out. Every byte cut equals one of an earlier place, so one copy always stays.
 
-Only a count and a least identity per digest go through the first shuffle, added up before it; only
-chunks that repeat go through the second, whose hot digests Spark can split. Texts travel once, and only to the
-stretches cut from them.
+Only a count and a least place per digest go through the first shuffle, added up before it; only
+chunks that repeat go through the second, whose hot digests Spark can split. Texts travel twice: to what is asked
+of the kept copies, and to the stretches cut from them.
 
 Defined results: a null text stays null, an empty one empty, both without chunks; rows of equal identity and equal
-text are one document and get the same result; a null identity comes after all others; an empty table
+text are one document and get the same result; a null identity comes after all others, different texts of equal or
+null identity in the order of their hashes; an empty table
 gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +39,8 @@ SPREAD, LEAST_CHUNK = 24, 8
 LEAST_BYTES = 96
 #: Bytes hashed at once; a text's blocks overlap by the hash's reach.
 BLOCK, REACH = 1 << 22, 32
+#: Bytes beside a run that are compared with the kept copy; and beside a chunk, whose hashes travel with it.
+WINDOW, NEAR = 512, 16
 #: Stands for a null identity, after all others.
 LAST = (1 << 63) - 1
 
@@ -72,44 +79,161 @@ def borders(raw: bytes) -> list[int]:
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """One row per chunk: place (identity), text_hash, start, size, again, digest as two longs.
+    """One row per chunk: place (identity), text_hash, at, size, digest as two longs.
 
-    ``again`` marks chunks that come earlier in the same text.
+    ``at`` holds the start in its upper half, and below it 16 bits each of the hashes of the bytes before and after.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             place, text_hash = b.column("place").to_numpy(), b.column("text_hash").to_numpy()
             texts = b.column("text").to_pylist()
             for at in range(0, len(texts), 1000):
-                rows, starts, sizes, again, digests = [], [], [], [], []
+                rows, ats, sizes, digests = [], [], [], []
                 for k, raw in enumerate(texts[at:at + 1000], at):
-                    seen, start = set(), 0
+                    start = 0
                     for end in borders(raw or b""):
-                        d = hashlib.blake2b(raw[start:end], digest_size=16).digest()
-                        rows.append(k), starts.append(start), sizes.append(end - start), again.append(d in seen)
-                        digests.append(d)
-                        seen.add(d)
+                        before = zlib.crc32(raw[max(0, start - NEAR):start]) & 0xFFFF
+                        rows.append(k), sizes.append(end - start)
+                        ats.append(start << 32 | before << 16 | zlib.crc32(raw[end:end + NEAR]) & 0xFFFF)
+                        digests.append(hashlib.blake2b(raw[start:end], digest_size=16).digest())
                         start = end
                 two = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
                 rows = np.array(rows, np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(place[rows]), pa.array(text_hash[rows]), pa.array(starts, pa.int32()), pa.array(sizes, pa.int32()),
-                     pa.array(again, pa.bool_()), pa.array(two[:, 0]), pa.array(two[:, 1])],
-                    ["place", "text_hash", "start", "size", "again", "d1", "d2"])
+                    [pa.array(place[rows]), pa.array(text_hash[rows]), pa.array(ats, pa.int64()), pa.array(sizes, pa.int32()),
+                     pa.array(two[:, 0]), pa.array(two[:, 1])],
+                    ["place", "text_hash", "at", "size", "d1", "d2"])
 
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("place"),
-                       F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "place long, text_hash long, start int, size int, again boolean, d1 long, d2 long")
+    return _placed(docs).drop("doc_id").mapInArrow(run, "place long, text_hash long, at long, size int, d1 long, d2 long")
+
+
+def _placed(docs: DataFrame) -> DataFrame:
+    """doc_id, place, text_hash and the text in UTF-8."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("place"),
+                       F.xxhash64("text").alias("text_hash"), F.col("text").cast("string").cast("binary").alias("text"))
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """Chunks to drop: (place, text_hash, start, size, kept_in) with the identity of the kept copy's document."""
+    """Chunks that repeat an earlier one: (place, text_hash, at, size) and the kept copy's (kept_in, kept_hash, kept_at)."""
     found = chunks(docs)
-    shared = (found.groupBy("d1", "d2").agg(F.min("place").alias("kept_in"), F.count("*").alias("n"))
-              .where("n > 1").drop("n"))
+    copy = F.struct("place", "text_hash", "at")
+    shared = (found.groupBy("d1", "d2").agg(F.min(copy).alias("kept"), F.count("*").alias("n"))
+              .where("n > 1").select("d1", "d2", "kept"))
     shared = stored(shared, "chunk-digests")
-    return found.join(shared, ["d1", "d2"]).where("again or place > kept_in").select(
-        "place", "text_hash", "start", "size", "kept_in")
+    return found.join(shared, ["d1", "d2"]).where(
+        "place > kept.place or place = kept.place and text_hash = kept.text_hash and at > kept.at").select(
+        "place", "text_hash", "at", "size", F.col("kept.place").alias("kept_in"), F.col("kept.text_hash").alias("kept_hash"),
+        F.col("kept.at").alias("kept_at"))
+
+
+def _long_enough(found: list[list], least_bytes: int) -> Iterator[list]:
+    """Of a text's runs in order, those in stretches that may reach ``least_bytes`` when extended.
+
+    A run is [.., start, end, .., before, after]; the last two tell if it may grow by ``NEAR`` bytes or more.
+    """
+    held, low, high = [], 0, 0
+    # by the least start each may reach: runs that cannot meet are never in one stretch
+    for start, r in sorted(((r[2] - (WINDOW if r[8] else NEAR - 1), r) for r in found), key=lambda x: x[0]):
+        end = r[3] + (WINDOW if r[9] else NEAR - 1)
+        if held and start > high:
+            yield from held if high - low >= least_bytes else ()
+            held = []
+        if not held:
+            low, high = start, end
+        high = max(high, end)
+        held.append(r)
+    yield from held if high - low >= least_bytes else ()
+
+
+def runs(docs: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
+    """Repeated chunks joined where both they and their kept copies are neighbours, if they may get long enough.
+
+    One row per run: place, text_hash, start, end, and the kept copy's kept_in, kept_hash, kept_start, kept_end.
+    """
+    # of one document's chunks only; rows of the same text repeat them
+    found = repeats(docs).distinct().groupBy("place", "text_hash").agg(
+        F.sort_array(F.collect_list(F.struct("at", "size", "kept_in", "kept_hash", "kept_at"))).alias("found"))
+    names = ["place", "text_hash", "start", "end", "kept_in", "kept_hash", "kept_start", "kept_end"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[list] = []
+            for place, text_hash, cut in zip(*(b.column(c).to_pylist() for c in ("place", "text_hash", "found"))):
+                mine: list[list] = []
+                for c in cut:
+                    start, kept_start, differ = c["at"] >> 32, c["kept_at"] >> 32, c["at"] ^ c["kept_at"]
+                    here, after = [c["kept_in"], c["kept_hash"], kept_start], not differ & 0xFFFF
+                    if mine and mine[-1][3] == start and [*mine[-1][4:6], mine[-1][7]] == here:
+                        mine[-1][3] += c["size"]
+                        mine[-1][7] += c["size"]
+                        mine[-1][9] = after
+                    else:
+                        mine.append([place, text_hash, start, start + c["size"], *here, kept_start + c["size"],
+                                     not differ >> 16 & 0xFFFF, after])
+                out.extend(r[:8] for r in _long_enough(mine, least_bytes))
+            columns = list(zip(*out)) or [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+
+    return found.mapInArrow(run, ", ".join(f"{n} long" for n in names))
+
+
+def edges(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Both ends of each run: place, text_hash, start, end, kept_in, after (or before), beside (the kept copy's bytes there)."""
+    ends = found.select("place", "text_hash", "start", "end", "kept_in", "kept_hash", F.explode(F.array(
+        F.struct(F.col("kept_start").alias("at"), F.lit(False).alias("after")),
+        F.struct(F.col("kept_end").alias("at"), F.lit(True).alias("after")))).alias("edge"))
+    ends = ends.select("*", "edge.at", "edge.after").drop("edge")
+    asked = ends.groupBy("kept_in", "kept_hash").agg(F.collect_set(F.struct("at", "after")).alias("asked"))
+    asked = stored(asked.withColumnsRenamed({"kept_in": "place", "kept_hash": "text_hash"}), "chunk-asked")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for place, text_hash, raw, wanted in zip(*(b.column(c).to_pylist() for c in ("place", "text_hash", "text", "asked"))):
+                at = [w["at"] for w in wanted]
+                beside = [raw[w["at"]:w["at"] + WINDOW] if w["after"] else raw[max(0, w["at"] - WINDOW):w["at"]] for w in wanted]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([place] * len(at), pa.int64()), pa.array([text_hash] * len(at), pa.int64()), pa.array(at, pa.int64()),
+                     pa.array([w["after"] for w in wanted], pa.bool_()), pa.array(beside, pa.binary())],
+                    ["kept_in", "kept_hash", "at", "after", "beside"])
+
+    given = _placed(docs).drop("doc_id").join(asked, ["place", "text_hash"]).mapInArrow(
+        run, "kept_in long, kept_hash long, at long, after boolean, beside binary")
+    # rows of equal identity and equal text give the same bytes
+    given = stored(given.dropDuplicates(["kept_in", "kept_hash", "at", "after"]), "chunk-beside")
+    return ends.join(given, ["kept_in", "kept_hash", "at", "after"]).select(
+        "place", "text_hash", "start", "end", "kept_in", "after", "beside")
+
+
+def _alike(one: bytes, other: bytes) -> int:
+    """Bytes that two strings share from their start."""
+    n = min(len(one), len(other))
+    differ = np.flatnonzero(np.frombuffer(one, np.uint8, n) != np.frombuffer(other, np.uint8, n)) if n else ()
+    return int(differ[0]) if len(differ) else n
+
+
+def extended(raw: bytes, cut: list[dict]) -> list[list]:
+    """Stretches [start, end, documents of the kept copies] of a text: its runs' ends moved outwards, whole characters only."""
+    wide = []
+    for c in cut:
+        start, end = c["start"], c["end"]
+        if c["after"]:
+            end += _alike(raw[end:end + WINDOW], c["beside"])
+            while end < len(raw) and raw[end] & 0xC0 == 0x80:
+                end -= 1
+        else:
+            start -= _alike(raw[max(0, start - WINDOW):start][::-1], c["beside"][::-1])
+            while raw[start] & 0xC0 == 0x80:
+                start += 1
+        wide.append((start, end, c["kept_in"]))
+    out: list[list] = []
+    for start, end, kept_in in sorted(wide):
+        if out and out[-1][1] >= start:
+            out[-1][1] = max(out[-1][1], end)
+            out[-1][2].add(kept_in)
+        else:
+            out.append([start, end, {kept_in}])
+    return out
 
 
 def deduplicate(docs: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
@@ -118,27 +242,18 @@ def deduplicate(docs: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     ``spans`` are the stretches cut, in bytes of the UTF-8 text; ``kept_in`` lists the documents that
     keep what was cut.
     """
-    # of one document's chunks only; rows of the same text repeat them
-    cuts = repeats(docs).distinct().groupBy("place", "text_hash").agg(
-        F.sort_array(F.collect_list(F.struct("start", "size", "kept_in"))).alias("cuts"))
+    found = stored(runs(docs, least_bytes), "chunk-runs")
+    cuts = edges(docs, found).groupBy("place", "text_hash").agg(
+        F.collect_list(F.struct("start", "end", "kept_in", "after", "beside")).alias("cuts"))
     cuts = stored(cuts, "chunk-cuts")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                       F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("place"), F.xxhash64("text").alias("text_hash"))
-    joined = rows.join(cuts, ["place", "text_hash"], "left").select("doc_id", F.col("text").cast("binary").alias("text"), "cuts")
+    joined = _placed(docs).join(cuts, ["place", "text_hash"], "left").select("doc_id", "text", "cuts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for b in batches:
             texts, removed, spans, kept = [], [], [], []
             for raw, cut in zip(b.column("text").to_pylist(), b.column("cuts").to_pylist()):
-                stretches: list[list] = []
-                for c in cut or []:
-                    if stretches and stretches[-1][1] == c["start"]:
-                        stretches[-1][1] += c["size"]
-                        stretches[-1][2].add(c["kept_in"])
-                    else:
-                        stretches.append([c["start"], c["start"] + c["size"], {c["kept_in"]}])
-                stretches = [s for s in stretches if s[1] - s[0] >= least_bytes]
+                stretches = [s for s in extended(raw, cut or []) if s[1] - s[0] >= least_bytes]
                 if stretches:
                     ends = [0, *(s[1] for s in stretches)]
                     starts = [*(s[0] for s in stretches), len(raw)]
