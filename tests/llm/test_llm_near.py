@@ -246,3 +246,15 @@ def test_substring_dedup_cuts_whole_passages(spark):
             assert passage not in got[i].text and len(passage.encode()) <= got[i].removed_bytes <= len(passage.encode()) + 6
             assert passage in texts[i].encode()[got[i].spans[0].start:got[i].spans[0].end].decode()
     assert missed <= 6
+
+
+def test_substring_dedup_of_equal_and_null_identities(spark):
+    """Different texts of one identity, or of none, are different documents: one of them keeps the passage."""
+    for identity in (None, 7):
+        passage = prose(1, 60)
+        rows = [(identity, f"{prose(100 + k, 40)} {k}{passage}{k} {prose(300 + k, 30)}") for k in range(3)]
+        rows += [rows[0]]
+        got = chunk_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()
+        whole = [r.text for r in got if r.removed_bytes == 0]
+        assert len(set(whole)) == 1 and passage in whole[0] and whole[0] in [t for _, t in rows]
+        assert all(passage not in r.text and r.kept_in == [identity] for r in got if r.removed_bytes)

@@ -121,8 +121,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     shared = (found.groupBy("d1", "d2").agg(F.min(copy).alias("kept"), F.count("*").alias("n"))
               .where("n > 1").select("d1", "d2", "kept"))
     shared = stored(shared, "chunk-digests")
-    return found.join(shared, ["d1", "d2"]).where(
-        "place > kept.place or place = kept.place and text_hash = kept.text_hash and at > kept.at").select(
+    return found.join(shared, ["d1", "d2"]).where(copy > F.col("kept")).select(
         "place", "text_hash", "at", "size", F.col("kept.place").alias("kept_in"), F.col("kept.text_hash").alias("kept_hash"),
         F.col("kept.at").alias("kept_at"))
 
