@@ -1,6 +1,7 @@
 """Surrogates: hand cases, and the promises that every replacement keeps."""
 
 import re
+import unicodedata
 
 from pyspark.sql import functions as F
 
@@ -86,6 +87,23 @@ def test_columns_stay_and_clash(spark):
     assert len({r.text for r in surrogates.replace(twice)[0].collect()}) == 1
 
 
+def test_letters_of_every_script_are_replaced(spark):
+    boxes = {"CJK": "张伟明", "HANGUL": "김철수", "HIRAGANA": "さくら", "KATAKANA": "サクラ", "ARABIC": "محمد", "HEBREW": "משה",
+             "DEVANAGARI": "राम", "THAI": "สมชาย", "ARMENIAN": "արամ", "GEORGIAN": "გია", "TAMIL": "மணி", "ETHIOPIC": "አበበ",
+             "LATIN": "ⲁⲃⲅ"}  # Coptic has no table
+    got, table, _ = run(spark, [f"to {b}@{b}.例子.中国 now" for b in boxes.values()] + [f"token = \"{b}{b}x9\"" for b in boxes.values()]
+                        + ["to a٣٤٥٦@x.org now"])
+    for i, (script, box) in enumerate(boxes.items()):
+        new, domain = re.fullmatch(r"to (\S+)@(\S+)\.例子\.中国 now", got[i].text).groups()
+        secret = re.fullmatch(r'token = "(.+)"', got[i + len(boxes)].text)[1]
+        assert len(new) == len(box) and box not in new + domain + secret
+        for a, b in zip(box * 2, new + domain):
+            assert unicodedata.name(b).startswith(script) if unicodedata.category(a)[0] == "L" else a == b
+        assert all(unicodedata.name(b).startswith(script) for a, b in zip(box * 2, secret) if unicodedata.category(a)[0] == "L")
+    assert re.fullmatch("to [a-z][٠-٩]{4}@x.org now", got[2 * len(boxes)].text) and "٣٤٥٦" not in got[2 * len(boxes)].text
+    assert all(f.split("@")[0] not in new.split("@")[0] for (kind, _, f), new in table.items() if kind == "email")
+
+
 def test_registered_query_keeps_form_everywhere(spark):
     """Brute force over the whole table: the text outside entities, coreference and distinctness."""
     before = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}

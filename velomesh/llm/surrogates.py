@@ -30,6 +30,22 @@ MALE = ["Mr", "Mister", "Sir", "Monsieur", "Herr", "Señor", "Don", "Госпо
 FEMALE = ["Mrs", "Ms", "Miss", "Madam", "Madame", "Mademoiselle", "Frau", "Señora", "Señorita", "Doña", "Госпожа"]
 # Letters of each script that surrogates use, lower case.
 SCRIPTS = {"Latin": "abcdefghijklmnopqrstuvwxyz", "Cyrillic": "абвгдежзиклмнопрстуфхцчшэюя", "Greek": "αβγδεζηθικλμνξοπρστυφχψω"}
+# Of each other script the range of its codes, and a run of its letters, first and number.
+RANGES = [
+    (0x0530, 0x058F, 0x0561, 38), (0x0590, 0x05FF, 0x05D0, 27), (0x0600, 0x06FF, 0x0627, 20), (0x0700, 0x074F, 0x0712, 27),
+    (0x0750, 0x077F, 0x0627, 20), (0x0780, 0x07BF, 0x0780, 38), (0x0900, 0x097F, 0x0915, 37), (0x0980, 0x09FF, 0x0995, 20),
+    (0x0A00, 0x0A7F, 0x0A15, 20), (0x0A80, 0x0AFF, 0x0A95, 20), (0x0B00, 0x0B7F, 0x0B15, 20), (0x0B80, 0x0BFF, 0x0BAE, 12),
+    (0x0C00, 0x0C7F, 0x0C15, 20), (0x0C80, 0x0CFF, 0x0C95, 20), (0x0D00, 0x0D7F, 0x0D15, 20), (0x0D80, 0x0DFF, 0x0D9A, 24),
+    (0x0E00, 0x0E7F, 0x0E01, 46), (0x0E80, 0x0EFF, 0x0E94, 4), (0x0F00, 0x0FFF, 0x0F49, 33), (0x1000, 0x109F, 0x1000, 34),
+    (0x10A0, 0x10FF, 0x10D0, 33), (0x1100, 0x11FF, 0xAC00, 11172), (0x1200, 0x139F, 0x1208, 63), (0x1780, 0x17FF, 0x1780, 35),
+    (0x1800, 0x18AF, 0x1820, 35), (0x1C90, 0x1CBF, 0x10D0, 33), (0x3041, 0x309F, 0x3042, 82), (0x30A0, 0x30FF, 0x30A2, 82),
+    (0x3100, 0x312F, 0x3105, 37), (0x3130, 0x318F, 0xAC00, 11172), (0x3400, 0x9FFF, 0x4E00, 20902),
+    (0xAC00, 0xD7AF, 0xAC00, 11172), (0xF900, 0xFAFF, 0x4E00, 20902), (0xD840DC00, 0xD88CDFFF, 0x4E00, 20902)]
+# Zeros of other decimal digits, in whose ten places the others follow.
+ZEROS = [0x0660, 0x06F0, 0x0966, 0x09E6, 0x0E50, 0xFF10]
+_LETTERS, _DIGITS = ("array(" + ", ".join(
+    f"named_struct('low', {low}L, 'high', {high}L, 'first', {first}L, 'many', {many})" for low, high, first, many in table) + ")"
+    for table in (RANGES, [(z, z + 9, z, 10) for z in ZEROS]))
 # Endings of given names by script: male, female.
 ENDINGS = {"Latin": ("o", "a"), "Cyrillic": ("й", "а"), "Greek": ("ος", "α")}
 
@@ -37,7 +53,7 @@ ENDINGS = {"Latin": ("o", "a"), "Cyrillic": ("й", "а"), "Greek": ("ος", "α"
 CUE = r"(?i:token|secret|password|passwd|api_key|apikey|access_key) {0,2}[=:] {0,2}[\"']"
 ADDRESS = r"\b(?:" + "|".join(MALE + FEMALE) + r")\.? "
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{N}._%+-]*@[\p{L}\p{N}][\p{L}\p{N}-]*(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
+    "email": r"(?<![\p{L}\p{M}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{M}\p{N}._%+-]*@[\p{L}\p{N}][\p{L}\p{M}\p{N}-]*(?:\.[\p{L}\p{M}\p{N}-]+)*\.\p{L}[\p{L}\p{M}]+",
     "secret": rf"(?<={CUE})[^\"'\s]{{6,}}(?=[\"'])",
     "ip": r"(?<![\p{L}\p{N}.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\p{L}\p{N}]|\.\d)",
     "card": r"(?<![\p{L}\p{N}.+-])\d(?:[ -]?\d){12,18}(?![\p{L}\p{N}]|[.-]\d)",
@@ -103,11 +119,18 @@ def _letter(alphabet: str, stream: str, at: Column) -> Column:
 
 
 def _alike(c: Column, at: Column, stream: str) -> Column:
-    """A character of the same class: digit, or letter of the same script; others as they stand."""
+    """A character of the same class: digit, or letter of the same script; marks and punctuation as they stand.
+
+    Letters of scripts without a range become Latin ones, other numerals digits, so that none is left.
+    """
     out = F.when(c.rlike(r"^\d$"), _number(stream, at, 10).cast("string"))
     for script, alphabet in SCRIPTS.items():
         out = out.when(c.rlike(rf"^\p{{Is{script}}}$"), _letter(alphabet, stream, at))
-    return out.otherwise(c)
+    code = F.conv(F.hex(F.encode(c, "UTF-16BE")), 16, 10).cast("long")
+    run = lambda table: F.get(F.filter(F.expr(table), lambda r: (r["low"] <= code) & (code <= r["high"])), F.lit(0))
+    drawn = lambda r: F.decode(F.unhex(F.lpad(F.hex(r["first"] + _number(stream, at, r["many"])), 4, "0")), "UTF-16BE")
+    return (out.when(c.rlike(r"^\p{N}$"), F.coalesce(drawn(run(_DIGITS)), _number(stream, at, 10).cast("string")))
+            .when(c.rlike(r"^\p{L}$"), F.coalesce(drawn(run(_LETTERS)), _letter(SCRIPTS["Latin"], stream, at))).otherwise(c))
 
 
 def _spelled(text: Column, stream: str, shift: int = 0) -> Column:
@@ -116,8 +139,8 @@ def _spelled(text: Column, stream: str, shift: int = 0) -> Column:
 
 def surrogate(kind: Column, form: Column, gender: Column, stream: str, turn: Column) -> Column:
     """The canonical form's surrogate. From the third turn on, more letters or digits make room where there is little."""
-    longer = F.when(turn >= 3, F.array_join(F.transform(F.sequence(F.lit(3), turn), lambda t: _letter(
-        SCRIPTS["Latin"], stream, t + 40)), "")).otherwise("")
+    longer = F.when(turn >= 3, F.array_join(F.transform(F.sequence(F.lit(3), turn), lambda t: _alike(
+        F.substring(form, 1, 1), t + 40, stream)), "")).otherwise("")
     local, host = F.substring_index(form, "@", 1), F.substring_index(form, "@", -1)
     top = F.substring_index(host, ".", -2)
     below = F.substring(host, F.lit(1), F.length(host) - F.length(top))
@@ -201,7 +224,9 @@ def mapping(found: DataFrame, secret: str) -> DataFrame:
         if settled is not None:
             taken = taken.union(settled.select("kind", "new"))
         tried = stored(tried, "surrogates")
-        least = tried.groupBy("kind", "new").agg(F.min("form").alias("_form"))
+        # with room added, a mail box may hold the real one whole
+        real, box = F.substring_index("form", "@", 1), F.substring_index("new", "@", 1)
+        least = tried.where((F.col("kind") != "email") | ~F.contains(box, real)).groupBy("kind", "new").agg(F.min("form").alias("_form"))
         free = least.join(taken.distinct(), ["kind", "new"], "left_anti")
         # one form can be both a man's and a woman's name; genders end differently, so only forms can meet
         good = tried.join(free, ["kind", "new"]).where("form = _form").select("kind", "gender", "form", "new")
