@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velomesh.llm import (chunk_dedup, digest_index, language_id, mixing, pair_bpe, plane_files, prefix_forest,
-                          simhash_trie, surrogates, toxic_segments)
+from velomesh.llm import (chunk_dedup, digest_index, language_id, manifest_tree, mixing, pair_bpe, plane_files,
+                          prefix_forest, simhash_trie, surrogates, toxic_segments)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -62,6 +62,10 @@ def op10_prefix_forest(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_forest.search(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op12_manifest_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest_tree.manifest(_table(spark, folder, "documents")).drop("copied")
+
+
 OP2_SQL = r"""
 WITH t AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
@@ -105,8 +109,68 @@ SELECT doc_id, size, source_size, target,
 FROM sums
 """
 
+# CRC-32 bit by bit: only its lowest bit matters. Trees grow level by level; a proof is what stands beside the path.
+OP12_SQL = r"""
+WITH RECURSIVE rows AS (
+  SELECT row_number() OVER () AS r, * FROM documents),
+fields AS (
+  SELECT r, doc_id, source, doc_id IS NOT NULL AND (
+           list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+                                   list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+             lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+               lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))) & 1 = 1) AS touched,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+         text, replace(text, chr(10), '') AS flat
+  FROM rows),
+hashed AS (
+  SELECT r, doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         sha256(head || CASE WHEN touched THEN coalesce(strlen(flat) || ':' || flat, '-')
+                             ELSE coalesce(strlen(text) || ':' || text, '-') END) AS shown
+  FROM fields),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY source) AS n
+  FROM hashed),
+nodes AS (
+  SELECT source, 0 AS lvl, pos, leaf AS digest, n FROM placed
+  UNION ALL
+  SELECT source, lvl + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (n + 2) // 3
+  FROM nodes WHERE n > 1 GROUP BY source, lvl, pos // 3, n),
+subroots AS (
+  SELECT source, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+  FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS lvl, pos, subroot AS digest, n FROM subroots
+  UNION ALL
+  SELECT lvl + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (n + 2) // 3
+  FROM tops WHERE n > 1 GROUP BY lvl, pos // 3, n),
+sides AS (
+  SELECT p.r, m.lvl, coalesce(string_agg(m.digest, '' ORDER BY m.pos) FILTER (m.pos < p.pos // CAST(3 ** m.lvl AS BIGINT)), '') AS l,
+         coalesce(string_agg(m.digest, '' ORDER BY m.pos) FILTER (m.pos > p.pos // CAST(3 ** m.lvl AS BIGINT)), '') AS g
+  FROM placed p JOIN nodes m ON m.source IS NOT DISTINCT FROM p.source AND m.n > 1
+       AND m.pos // 3 = p.pos // CAST(3 ** (m.lvl + 1) AS BIGINT)
+  GROUP BY p.r, m.lvl
+  UNION ALL
+  SELECT p.r, 1000 + m.lvl, coalesce(string_agg(m.digest, '' ORDER BY m.pos) FILTER (m.pos < s.pos // CAST(3 ** m.lvl AS BIGINT)), ''),
+         coalesce(string_agg(m.digest, '' ORDER BY m.pos) FILTER (m.pos > s.pos // CAST(3 ** m.lvl AS BIGINT)), '')
+  FROM placed p JOIN subroots s ON s.source IS NOT DISTINCT FROM p.source
+       JOIN tops m ON m.n > 1 AND m.pos // 3 = s.pos // CAST(3 ** (m.lvl + 1) AS BIGINT)
+  GROUP BY p.r, m.lvl),
+steps AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY lvl) AS step FROM sides),
+folds AS (
+  SELECT r, 0 AS step, shown AS digest FROM placed
+  UNION ALL
+  SELECT f.r, s.step, sha256(s.l || f.digest || s.g) FROM folds f JOIN steps s ON s.r = f.r AND s.step = f.step + 1),
+proofs AS (SELECT r, max(step) AS last, sha256(string_agg(l || g, '' ORDER BY step)) AS proof FROM steps GROUP BY r)
+SELECT p.doc_id, p.leaf, s.subroot, t.digest AS root, coalesce(q.proof, sha256('')) AS proof_sha256, f.digest AS folded_root,
+       f.digest = t.digest AS verified
+FROM placed p JOIN subroots s ON s.source IS NOT DISTINCT FROM p.source JOIN tops t ON t.n = 1
+     LEFT JOIN proofs q ON q.r = p.r JOIN folds f ON f.r = p.r AND f.step = coalesce(q.last, 0)
+"""
+
 Job = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Job] = {f.__name__: f for f in (
     op1_language_id, op2_exact_dedup, op3_source_mixing, op4_plane_files, op5_surrogates, op6_substring_dedup,
-    op7_simhash, op8_pair_bpe, op9_toxicity, op10_prefix_forest)}
-ORACLE_SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op3_source_mixing": OP3_SQL}
+    op7_simhash, op8_pair_bpe, op9_toxicity, op10_prefix_forest, op12_manifest_tree)}
+ORACLE_SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op3_source_mixing": OP3_SQL, "op12_manifest_tree": OP12_SQL}
