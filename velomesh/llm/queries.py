@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velomesh.llm import (chunk_dedup, digest_index, language_id, manifest_tree, mixing, pair_bpe, plane_files,
-                          prefix_forest, simhash_trie, surrogates, toxic_segments)
+from velomesh.llm import (chunk_dedup, digest_index, language_id, line_index, manifest_tree, mixing, pair_bpe,
+                          plane_files, prefix_forest, simhash_trie, surrogates, toxic_segments)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -66,6 +66,11 @@ def op12_manifest_tree(spark: SparkSession, folder: str) -> DataFrame:
     return manifest_tree.manifest(_table(spark, folder, "documents")).drop("copied")
 
 
+def op13_line_index(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_index.drop_common_lines(_table(spark, folder, "documents"), least_docs=10, least_chars=1)
+    return found.select("row.doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 OP2_SQL = r"""
 WITH t AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
@@ -169,8 +174,25 @@ FROM placed p JOIN subroots s ON s.source IS NOT DISTINCT FROM p.source JOIN top
      LEFT JOIN proofs q ON q.r = p.r JOIN folds f ON f.r = p.r AND f.step = coalesce(q.last, 0)
 """
 
+OP13_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+lines AS (SELECT r, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM docs),
+keyed AS (
+  SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM lines),
+common AS (SELECT k FROM keyed WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT r) >= 10),
+kept AS (
+  SELECT r, string_agg(line, chr(10) ORDER BY i) AS text, count(*) AS n
+  FROM keyed WHERE k NOT IN (SELECT k FROM common) GROUP BY r)
+SELECT doc_id, len(lines) AS n_lines, len(lines) - coalesce(n, 0) AS n_dropped, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept ON kept.r = docs.r
+"""
+
 Job = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Job] = {f.__name__: f for f in (
     op1_language_id, op2_exact_dedup, op3_source_mixing, op4_plane_files, op5_surrogates, op6_substring_dedup,
-    op7_simhash, op8_pair_bpe, op9_toxicity, op10_prefix_forest, op12_manifest_tree)}
-ORACLE_SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op3_source_mixing": OP3_SQL, "op12_manifest_tree": OP12_SQL}
+    op7_simhash, op8_pair_bpe, op9_toxicity, op10_prefix_forest, op12_manifest_tree, op13_line_index)}
+ORACLE_SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op3_source_mixing": OP3_SQL, "op12_manifest_tree": OP12_SQL,
+                              "op13_line_index": OP13_SQL}
