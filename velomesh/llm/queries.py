@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velomesh.llm import (chunk_dedup, digest_index, language_id, line_index, manifest_tree, mixing, pair_bpe,
-                          plane_files, prefix_forest, simhash_trie, surrogates, toxic_segments)
+                          phrase_rollup, plane_files, prefix_forest, simhash_trie, surrogates, toxic_segments)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -62,6 +62,10 @@ def op10_prefix_forest(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_forest.search(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op11_phrase_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    return phrase_rollup.collocations(_table(spark, folder, "documents"), least=30, share=80, top=2000)
+
+
 def op12_manifest_tree(spark: SparkSession, folder: str) -> DataFrame:
     return manifest_tree.manifest(_table(spark, folder, "documents")).drop("copied")
 
@@ -114,6 +118,38 @@ SELECT doc_id, size, source_size, target,
 FROM sums
 """
 
+OP11_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang,
+         string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[.,;:!?\n-\r]') AS pieces
+  FROM documents),
+pieces AS (SELECT lang, regexp_extract_all(unnest(pieces), '[^\x20\t]+') AS w FROM docs),
+counts AS (
+  SELECT lang, m, w[i:i + m - 1] AS words, CAST(count(*) AS HUGEINT) AS f
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM pieces, unnest(range(1, 5)) AS t(m))
+  GROUP BY lang, m, words),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE m = 1 GROUP BY lang),
+cuts AS (
+  SELECT c.lang, c.m, c.words, c.f AS a, c.k, x.f AS l, y.f AS r, CAST(2000000 AS HUGEINT) * c.f // (x.f + y.f) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM counts WHERE m >= 2 AND f >= 30) c
+       JOIN counts x ON x.lang = c.lang AND x.words = c.words[1:c.k]
+       JOIN counts y ON y.lang = c.lang AND y.words = c.words[c.k + 1:c.m]),
+candidates AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1),
+inner_ AS (
+  SELECT lang, words[i:i + s - 1] AS words, max(a) AS around
+  FROM (SELECT *, unnest(range(1, m - s + 2)) AS i FROM candidates, unnest(range(2, 4)) AS t(s) WHERE s < m)
+  GROUP BY ALL),
+left_ AS (
+  SELECT c.*, array_to_string(c.words, ' ') AS phrase FROM candidates c LEFT JOIN inner_ i ON i.lang = c.lang AND i.words = c.words
+  WHERE i.around IS NULL OR 100 * i.around < 80 * c.a),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM left_)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 # CRC-32 bit by bit: only its lowest bit matters. Trees grow level by level; a proof is what stands beside the path.
 OP12_SQL = r"""
 WITH RECURSIVE rows AS (
@@ -193,6 +229,6 @@ FROM docs LEFT JOIN kept ON kept.r = docs.r
 Job = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Job] = {f.__name__: f for f in (
     op1_language_id, op2_exact_dedup, op3_source_mixing, op4_plane_files, op5_surrogates, op6_substring_dedup,
-    op7_simhash, op8_pair_bpe, op9_toxicity, op10_prefix_forest, op12_manifest_tree, op13_line_index)}
-ORACLE_SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op3_source_mixing": OP3_SQL, "op12_manifest_tree": OP12_SQL,
+    op7_simhash, op8_pair_bpe, op9_toxicity, op10_prefix_forest, op11_phrase_rollup, op12_manifest_tree, op13_line_index)}
+ORACLE_SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op3_source_mixing": OP3_SQL, "op11_phrase_rollup": OP11_SQL, "op12_manifest_tree": OP12_SQL,
                               "op13_line_index": OP13_SQL}
