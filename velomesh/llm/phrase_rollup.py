@@ -29,8 +29,10 @@ from velomesh.llm.common import stored
 #: Words of the longest phrase.
 TOP = 4
 COLUMNS = tuple(f"w{k}" for k in range(1, TOP + 1))
-#: Text handled at once, in bytes; bits of the sieve for each frequent pair, and at most (32 MB).
-BLOCK_BYTES, SIEVE_ROOM, SIEVE_BITS = 8_000_000, 64, 1 << 28
+#: Text handled at once, in bytes; rows read and handed on at once.
+BLOCK_BYTES, READ_ROWS, WRITE_ROWS = 4_000_000, 256, 50_000
+#: Bits of the sieve for each frequent pair, and at most (32 MB).
+SIEVE_ROOM, SIEVE_BITS = 64, 1 << 28
 #: Slices in which the best phrases of a language are found before they meet.
 SLICES = 64
 #: Bytes that end a piece, and bytes that end a word.
@@ -69,8 +71,9 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, list[str
     """Words of blocks of whole texts, with the languages they are numbered by."""
     names: dict[str, int] = {}
     texts, langs, size = [], [], 0
-    for batch in batches:
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
+    slices = (batch.slice(at, READ_ROWS) for batch in batches for at in range(0, batch.num_rows, READ_ROWS))
+    for few in slices:
+        for lang, text in zip(few.column("lang").to_pylist(), few.column("text").cast(pa.binary()).to_pylist()):
             if size and size + len(text) > BLOCK_BYTES:
                 yield Words(texts, np.array(langs)), list(names)
                 texts, langs, size = [], [], 0
@@ -96,7 +99,10 @@ def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for words, names in _blocks(batches):
         if words.joined.any():
             pairs, n = np.unique(_pair_hashes(words, names)[words.joined], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs.view(np.int64)), pa.array(n.astype(np.int64))], names=["pair", "n"])
+            for at in range(0, len(pairs), WRITE_ROWS):
+                few = slice(at, at + WRITE_ROWS)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[few].view(np.int64)), pa.array(n[few].astype(np.int64))],
+                                                 names=["pair", "n"])
 
 
 def pair_sieve(docs: DataFrame, least: int) -> np.ndarray:
@@ -149,9 +155,13 @@ def _windows(sieve: Broadcast):
             for lead in leads:
                 number, row = _combine(number, lead, pad + 1)
             spelt = pa.concat_arrays([words.list.cast(pa.string()), pa.nulls(1, pa.string())])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names).take(pa.array(words.lang[row])), *[spelt.take(pa.array(x[row])) for x in leads],
-                 pa.array(np.bincount(number).astype(np.int64))], names=["lang", *COLUMNS, "n"])
+            times, langs = np.bincount(number), pa.array(names)
+            del number
+            for at in range(0, len(row), WRITE_ROWS):
+                few = row[at:at + WRITE_ROWS]
+                yield pa.RecordBatch.from_arrays(
+                    [langs.take(pa.array(words.lang[few])), *[spelt.take(pa.array(x[few])) for x in leads],
+                     pa.array(times[at:at + WRITE_ROWS])], names=["lang", *COLUMNS, "n"])
     return windows
 
 
