@@ -30,7 +30,7 @@ from velomesh.llm.common import stored
 TOP = 4
 COLUMNS = tuple(f"w{k}" for k in range(1, TOP + 1))
 #: Text handled at once, in bytes; rows read and handed on at once.
-BLOCK_BYTES, READ_ROWS, WRITE_ROWS = 4_000_000, 256, 50_000
+BLOCK_BYTES, READ_ROWS, WRITE_ROWS = 1_000_000, 64, 20_000
 #: Bits of the sieve for each frequent pair, and at most (32 MB).
 SIEVE_ROOM, SIEVE_BITS = 64, 1 << 28
 #: Slices in which the best phrases of a language are found before they meet.
