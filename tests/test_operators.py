@@ -306,6 +306,16 @@ def test_correlation_significance(spark):
         assert r.p_adj == pytest.approx(min(1, 3 * p), abs=1e-7) and r.significant == (r.p_adj < 0.05)
 
 
+def test_constant_columns_have_no_coefficient(spark):
+    rows = [("a", 1.0, 5.0, float(k)) for k in range(4)] + [("b", float(k), float(2 * k), None) for k in range(3)] + [("c", None, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "k string, x double, y double, z double")
+    got = {(r.k, r.a, r.b): (r.n, r.r) for r in stats.correlations(df, ["x", "y", "z"], ["k"]).collect()}
+    assert got["a", "x", "z"] == (4, None) and got["a", "y", "z"] == (4, None) and got["b", "x", "y"] == (3, pytest.approx(1.0))
+    assert got["b", "y", "z"] == (0, None) and got["c", "y", "z"] == (1, None)
+    marked = stats.corr_significance(df, ["x", "y", "z"], ["k"]).collect()
+    assert [(r.k, r.p, r.significant, r.r_masked) for r in marked] == [("a", None, False, None)] * 3
+
+
 def test_dissolve(spark):
     """A 3x3 ring of boxes with a hole, a T-junction inside, an island and a corner touch."""
     boxes = [("a", i, j, i + 1, j + 1) for i in range(3) for j in range(3) if (i, j) != (1, 1)]

@@ -99,13 +99,21 @@ def kde(df: DataFrame, value: str, points: int = 200) -> DataFrame:
 
 
 def correlations(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """(by, a, b, n, r): Pearson r of every column pair, from one aggregation."""
-    pairs = list(itertools.combinations(columns, 2))
-    aggs = [F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]
-    ns = [F.count_if(F.col(a).isNotNull() & F.col(b).isNotNull()).alias(f"n{i}") for i, (a, b) in enumerate(pairs)]
-    rows = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"n{i}").alias("n"),
-                                        F.col(f"r{i}").alias("r")) for i, (a, b) in enumerate(pairs)]))
-    return df.groupBy(*by).agg(*aggs, *ns).select(*by, rows.alias("p")).select(*by, "p.*")
+    """(by, a, b, n, r): Pearson r of every column pair over the rows that have both, from one aggregation.
+
+    Means and co-moments are merged across partitions. A column without spread has no coefficient: ``r`` is NULL.
+    """
+    def moments(a: str, b: str) -> Column:
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.regr_count(y, x).alias("n"), F.regr_sxx(y, x).alias("sxx"),
+                        F.regr_syy(y, x).alias("syy"), F.regr_sxy(y, x).alias("sxy"))
+    found = df.groupBy(*by).agg(F.array(*[moments(a, b) for a, b in itertools.combinations(columns, 2)]).alias("m"))
+    m = {k: F.col(f"m.{k}") for k in ("a", "b", "n", "sxx", "syy", "sxy")}
+    # rounding may carry a perfect fit past one
+    r = F.when((m["sxx"] > 0) & (m["syy"] > 0), F.greatest(F.lit(-1.0), F.least(
+        F.lit(1.0), F.try_divide(m["sxy"], F.sqrt(m["sxx"]) * F.sqrt(m["syy"])))))
+    return (found.select(*by, F.explode("m").alias("m"))
+            .select(*by, m["a"], m["b"], m["n"], r.alias("r")))
 
 
 def _incomplete_beta(a: np.ndarray, b: float, x: np.ndarray) -> np.ndarray:

@@ -154,14 +154,14 @@ def yearly_profile(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _CORR = " UNION ALL ".join(
-    f"SELECT year, '{a}' AS a, '{b}' AS b, count(*) AS n, round(corr({a}, {b}), 5) AS r FROM full_rows GROUP BY year"
+    f"SELECT year, '{a}' AS a, '{b}' AS b, count(*) AS n, CASE WHEN var_pop({a}) > 0 AND var_pop({b}) > 0 THEN corr({a}, {b}) END AS r FROM full_rows GROUP BY year"
     for i, a in enumerate(studies.STUDY_COLUMNS) for b in studies.STUDY_COLUMNS[i + 1:])
 
 
 @register("correlation_study", "A26 F9 F12 Q15", f"""
 WITH full_rows AS (SELECT * FROM ({_PROFILE}) WHERE income_euros IS NOT NULL AND coverage_score IS NOT NULL AND accessibility_score IS NOT NULL
   AND population IS NOT NULL AND connectivity_score IS NOT NULL)
-SELECT * FROM ({_CORR}) WHERE n >= 3""")
+SELECT year, a, b, n, round(r, 5) AS r FROM ({_CORR}) WHERE n >= 3""")
 def correlation_study(spark: SparkSession, folder: str) -> DataFrame:
     """Coefficients of the study; p-values are checked against brute force in the tests."""
     return rounded(studies.correlation_study(_profile(spark, folder)).select("year", "a", "b", "n", "r"), 5, "r")
@@ -179,7 +179,7 @@ _PAIRS = len(studies.STUDY_COLUMNS) * (len(studies.STUDY_COLUMNS) - 1) // 2
 @register("correlation_significance", "A26 Q15", f"""
 WITH full_rows AS (SELECT * FROM ({_PROFILE}) WHERE income_euros IS NOT NULL AND coverage_score IS NOT NULL AND accessibility_score IS NOT NULL
   AND population IS NOT NULL AND connectivity_score IS NOT NULL),
-c AS (SELECT * FROM ({_CORR.replace("round(corr", "(corr").replace(", 5) AS r", ") AS r")}) WHERE n >= 3),
+c AS (SELECT * FROM ({_CORR}) WHERE n >= 3),
 t AS (SELECT year, a, b, n, r, {_TAIL} AS p FROM c),
 j AS (SELECT *, least(1e0, p * {_PAIRS}) AS p_adj FROM t)
 SELECT year, a, b, n, round(r, 6) AS r, round(p, 6) AS p, round(p_adj, 6) AS p_adj, coalesce(p_adj < 0.05, false) AS significant,

@@ -96,7 +96,7 @@ _NUMERIC = {"capacity": "cap", "num_bikes_available": "num_bikes_available", "nu
 
 
 @register("snapshot_correlations", "A26 Q17", " UNION ALL ".join(
-    f"SELECT '{a}' AS a, '{b}' AS b, count(*) AS n, round(corr({x}, {y}), 6) AS r FROM ({_SNAPSHOT})"
+    f"SELECT '{a}' AS a, '{b}' AS b, count(*) AS n, CASE WHEN var_pop({x}) > 0 AND var_pop({y}) > 0 THEN round(corr({x}, {y}), 6) END AS r FROM ({_SNAPSHOT})"
     for i, (a, x) in enumerate(_NUMERIC.items()) for b, y in list(_NUMERIC.items())[i + 1:]))
 def snapshot_correlations(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(stats.correlations(_snapshot(spark, folder), list(_NUMERIC)), 6, "r")
