@@ -330,6 +330,80 @@ def test_dissolve(spark):
     assert len(big.geometry) == 2
 
 
+def _union_by_scanlines(polys, lines=6000):
+    """Area of a union of polygons, each given as rings, from the covered stretches of many horizontal lines."""
+    ys = [y for p in polys for r in p for _, y in r]
+    low, high = min(ys), max(ys)
+    total = 0.0
+    for k in range(lines):
+        y = low + (k + 0.5) * (high - low) / lines
+        spans = []
+        for p in polys:
+            xs = sorted((bx - ax) * (y - ay) / (by - ay) + ax for r in p for (ax, ay), (bx, by) in zip(r, r[1:]) if (ay > y) != (by > y))
+            spans += list(zip(xs[::2], xs[1::2]))
+        end = -math.inf
+        for a, b in sorted(spans):
+            total += max(0.0, b - max(a, end))
+            end = max(end, b)
+    return total * (high - low) / lines
+
+
+def _outline_by_samples(polys, step=400):
+    """Length of a union's outline: the shares of all edges that lie in no other polygon."""
+    total = 0.0
+    for k, p in enumerate(polys):
+        for (ax, ay), (bx, by) in [e for r in p for e in zip(r, r[1:])]:
+            free = sum(not any(sum(_inside(r, ax + t * (bx - ax), ay + t * (by - ay)) for r in q) % 2 for j, q in enumerate(polys) if j != k)
+                       for t in ((i + 0.5) / step for i in range(step)))
+            total += free / step * math.hypot(bx - ax, by - ay)
+    return total
+
+
+def _disc(cx, cy, r, n):
+    ring = [(cx + r * math.cos(2 * math.pi * (k + 0.3) / n), cy + r * math.sin(2 * math.pi * (k + 0.3) / n)) for k in range(n)]
+    return [*ring, ring[0]]
+
+
+OVERLAPS = {
+    "chain": [[_disc(2.10 + 0.013 * k, 41.4 + 0.004 * (k % 2), 0.01, 24)] for k in range(6)],
+    "nested": [[_disc(2.1, 41.4, 0.03, 40)], [_disc(2.1, 41.4, 0.01, 12)], [_disc(2.105, 41.4, 0.004, 9)]],
+    # a ring with a hole, an island in the hole, and a disc across the ring's inner border
+    "island": [[_disc(2.1, 41.4, 0.03, 40), _disc(2.1, 41.4, 0.02, 32)[::-1]], [_disc(2.1, 41.4, 0.005, 10)], [_disc(2.12, 41.4, 0.006, 14)]],
+    "copies": [[_disc(2.1, 41.4, 0.01, 7)]] * 3 + [[_disc(2.1, 41.4, 0.01, 7)[::-1]]],
+    # a corner of one touches a slanted edge of the other, which runs the other way: two parts
+    "touching": [[[(2.1, 41.4), (2.11, 41.41), (2.1, 41.42), (2.09, 41.41), (2.1, 41.4)]],
+                 [[(2.105, 41.405), (2.105, 41.395), (2.115, 41.395), (2.115, 41.405), (2.105, 41.405)]]],
+    # many discs around one point: a closed chain with a hole in the middle
+    "wreath": [[_disc(2.1 + 0.02 * math.cos(k), 41.4 + 0.02 * math.sin(k), 0.0123, 30)] for k in range(20)],
+}
+
+
+@pytest.mark.parametrize("size", [0.005, 0.002])
+def test_union_of_overlapping_polygons(spark, size):
+    df = spark.createDataFrame([(k, p) for k, ps in OVERLAPS.items() for p in ps], f"k string, geometry array<{LINE}>")
+    parts = dissolve.dissolve(df, ["k"], size=size).withColumns({
+        "area": g.polygon_area(F.col("geometry")), "outline": F.aggregate("geometry", F.lit(0.0), lambda s, r: s + g.line_length(r))}).collect()
+    shape = {"chain": [1], "nested": [1], "island": [1, 2], "copies": [1], "touching": [1, 1], "wreath": [2]}
+    for k, polys in OVERLAPS.items():
+        mine = [r for r in parts if r.k == k]
+        assert sorted(len(r.geometry) for r in mine) == shape[k], k
+        assert sum(r.area for r in mine) == pytest.approx(_union_by_scanlines(polys), rel=2e-5), k
+        distinct = polys[:1] if k == "copies" else polys
+        assert sum(r.outline for r in mine) == pytest.approx(_outline_by_samples(distinct), rel=2e-3), k
+
+
+def test_rings_of_many_open_paths(spark):
+    """A closed way of 300 paths, a second one, and one that leads nowhere, put in order without meeting in a group."""
+    ways = [[(r * 1000 + k, f"{r}:{k}", f"{r}:{(k + 1) % n}") for k in range(n)] for r, n in ((1, 300), (2, 7), (3, 1))]
+    ways.append([(5000 + k, f"x:{k}", f"x:{k + 1}") for k in range(20)])
+    rows = [w for way in ways for w in way]
+    random.Random(3).shuffle(rows)
+    got = dissolve._ring_order(spark.createDataFrame(rows, "id long, head string, tail string")).collect()
+    assert [[r.id for r in sorted((r for r in got if r.ring == lead), key=lambda r: r.place)] for lead in (1000, 2000, 3000)] == [
+        [i for i, *_ in way] for way in ways[:3]]
+    assert {r.ring for r in got} == {1000, 2000, 3000}
+
+
 def test_simplify(spark):
     ring = [(0.0, 0.0), (0.5, 0.00005), (1.0, 0.0), (1.0, 0.5), (1.0, 1.0), (0.0, 1.0), (0.0, 0.0)]
     sliver = [(3.0, 0.0), (3.0, 0.00001), (3.00001, 0.0), (3.0, 0.0)]

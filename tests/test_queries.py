@@ -14,7 +14,7 @@ duckdb = pytest.importorskip("duckdb")
 SAMPLE = ("drifting_csv_union", "typed_status", "cleaned_status", "thinned_ticks", "population_income_fact",
           "station_status_fact", "availability_by_district", "capacity_equity", "slider_frames", "lane_tract",
           "tract_metrics", "lane_accessibility", "yearly_access", "grid_density", "isolated_lanes",
-          "intersection_counts", "lane_profile", "area_outlines", "described_columns", "population_boxes",
+          "intersection_counts", "lane_profile", "area_outlines", "service_zones", "described_columns", "population_boxes",
           "population_density_curve", "reporting_gaps", "csv_of_years", "thinned_files", "layer_rejects", "monthly_reload",
           "stored_dimension", "clean_lane_feed", "population_pivot", "income_pivot", "snapshot_correlations", "docks_histogram",
           "correlation_significance", "lane_topology", "whole_outline", "frame_with_all_areas", "merged_snapshot",

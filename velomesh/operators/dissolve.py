@@ -1,4 +1,4 @@
-"""Merging adjoining polygons per group, and simplifying the result."""
+"""Union of polygons per group by planar overlay, and simplifying the result."""
 
 from __future__ import annotations
 
@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from velomesh.functions import geometry as g
 from velomesh.operators import grid
@@ -15,159 +16,240 @@ from velomesh.operators.skew import spread_join
 from velomesh.operators.spatial import cell_mark, polygon_cover
 from velomesh.session import checkpointed
 
+# Decimals of a degree to which corners and crossings are snapped, and how near a corner must be to lie on an edge.
+SNAP_DIGITS, NODE_TOLERANCE = 10, 2e-10
+# How far beside an edge, in degrees, its two sides are asked for.
+SIDE = 1e-9
+_POINTS = "array<struct<x:double,y:double>>"
 
-def _noded_edges(polygons: DataFrame, by: Sequence[str], geom: str, size: float) -> DataFrame:
-    """Ring edges cut at every vertex of the group that lies on them, so shared borders match."""
-    edges = grid.explode_edges(polygons, geom, list(by), kind="polygon").select(*by, "edge")
-    vertices = edges.select(*by, F.col("edge.ax").alias("vx"), F.col("edge.ay").alias("vy")).distinct()
-    vertices = vertices.withColumn("cx", grid.cell_of(F.col("vx"), size)).withColumn("cy", grid.cell_of(F.col("vy"), size))
-    celled = grid.with_edge_cells(edges.distinct(), size)
-    e = F.col("edge")
-    within = (g.on_edge(e, F.col("vx"), F.col("vy"), g.BORDER_TOLERANCE)
-              & ~((F.col("vx") == e["ax"]) & (F.col("vy") == e["ay"]))
-              & ~((F.col("vx") == e["bx"]) & (F.col("vy") == e["by"])))
-    along = (F.col("vx") - e["ax"]) * (e["bx"] - e["ax"]) + (F.col("vy") - e["ay"]) * (e["by"] - e["ay"])
-    cuts = (celled.join(vertices, [*by, "cx", "cy"]).where(within)
-            .groupBy(*by, "edge").agg(F.array_sort(F.collect_set(
-                F.struct(along.alias("at"), F.col("vx").alias("x"), F.col("vy").alias("y")))).alias("cuts")))
-    whole = edges.groupBy(*by, "edge").agg(F.count(F.lit(1)).alias("times")).join(cuts, [*by, "edge"], "left")
-    inner = F.transform(F.coalesce("cuts", F.array().cast(cuts.schema["cuts"].dataType)), lambda c: g.point(c["x"], c["y"]))
-    path = F.concat(F.array(g.point(e["ax"], e["ay"])), inner, F.array(g.point(e["bx"], e["by"])))
-    return whole.select(*by, "times", F.explode(g.line_edges(path)).alias("edge"))
-
-
-def boundary_edges(polygons: DataFrame, by: Sequence[str], geom: str = "geometry", size: float = grid.CELL) -> DataFrame:
-    """(by, edge): ring edges not shared by two polygons of the group, in their own direction.
-
-    Shared edges cancel in an aggregation keyed by the undirected edge, so its partial sums run
-    before the shuffle and no group is gathered.
-    """
+
+def _snapped(p: Column) -> Column:
+    return g.point(F.round(p["x"], SNAP_DIGITS), F.round(p["y"], SNAP_DIGITS))
+
+
+def _undirected(a: Column, b: Column) -> Column:
+    """The edge between two points from its lesser end to its greater."""
+    return g.bind(F.struct(F.least(a, b).alias("p"), F.greatest(a, b).alias("q")),
+                  lambda s: g.edge(s["p"]["x"], s["p"]["y"], s["q"]["x"], s["q"]["y"]))
+
+
+def _snapped_edges(polygons: DataFrame, by: Sequence[str], geom: str) -> DataFrame:
+    """(by, edge): every straight piece of a ring once, undirected, on the snapping grid."""
     e = F.col("edge")
-    a, b = g.point(e["ax"], e["ay"]), g.point(e["bx"], e["by"])
-    return (_noded_edges(polygons, by, geom, size)
-            .groupBy(*by, F.least(a, b).alias("p"), F.greatest(a, b).alias("q"))
-            .agg(F.sum("times").alias("_n"), F.first("edge").alias("edge"))
-            .where(F.col("_n") % 2 == 1).select(*by, "edge"))
+    a, b = _snapped(g.point(e["ax"], e["ay"])), _snapped(g.point(e["bx"], e["by"]))
+    return (grid.explode_edges(polygons, geom, list(by), kind="polygon").where(a != b)
+            .select(*by, _undirected(a, b).alias("edge")).distinct())
 
 
-def _link_paths(pdf: pd.DataFrame, by: Sequence[str], last: bool) -> pd.DataFrame:
-    """Join paths that meet end to end; closed ones pass through.
+def _cut_points(e: Column, f: Column) -> Column:
+    """Points at which two edges cut each other: ends of one on the other, else their crossing."""
+    ends = F.filter(
+        F.array(*[F.when(g.on_edge(on, of[x], of[y], NODE_TOLERANCE), g.point(of[x], of[y]))
+                  for on, of in ((e, f), (f, e)) for x, y in (("ax", "ay"), ("bx", "by"))]), lambda p: p.isNotNull())
+    dx, dy, ex, ey = e["bx"] - e["ax"], e["by"] - e["ay"], f["bx"] - f["ax"], f["by"] - f["ay"]
+    t = F.try_divide((f["ax"] - e["ax"]) * ey - (f["ay"] - e["ay"]) * ex, dx * ey - dy * ex)
+    crossing = F.when(g.edges_meet(e, f) & t.isNotNull(), F.array(_snapped(g.point(e["ax"] + t * dx, e["ay"] + t * dy))))
+    return g.bind(ends, lambda found: F.when(F.size(found) > 0, found).otherwise(
+        F.coalesce(crossing, F.array().cast(_POINTS))))
 
-    Before the last round a corner where more than two paths meet is left open. In the last round
-    the sharpest turn is taken there, which keeps rings that touch in one corner apart.
-    """
-    xs, ys = list(pdf["xs"]), list(pdf["ys"])
-    head = [(x[0], y[0]) for x, y in zip(xs, ys)]
-    tail = [(x[-1], y[-1]) for x, y in zip(xs, ys)]
-    used = [h == t for h, t in zip(head, tail)]
-    corner = set()
-    at: dict[tuple, list[tuple[int, bool]]] = {}
-    for i, shut in enumerate(used):
-        if not shut:
-            at.setdefault(head[i], []).append((i, True))
-            at.setdefault(tail[i], []).append((i, False))
-            corner.update(p for p, is_corner in ((head[i], pdf["ja"].iat[i]), (tail[i], pdf["jb"].iat[i])) if is_corner)
-    out = [(xs[i], ys[i], False, False) for i, shut in enumerate(used) if shut]
-
-    def angle(i, forward, here):
-        k = 1 if forward else -2
-        return np.arctan2(ys[i][k] - here[1], xs[i][k] - here[0])
-
-    def follow(px, py, stop):
-        """Extend a path at its end until it closes, meets a corner or runs out."""
-        parts_x, parts_y = [px], [py]
-        here, before = (px[-1], py[-1]), (px[-2], py[-2])
-        while here != stop and (last or here not in corner):
-            back = np.arctan2(before[1] - here[1], before[0] - here[0])
-            open_ = [(i, f) for i, f in at[here] if not used[i]]
-            if not open_:
-                break
-            i, forward = min(open_, key=lambda o: (angle(*o, here) - back) % (2 * np.pi))
-            used[i] = True
-            nx, ny = (xs[i], ys[i]) if forward else (xs[i][::-1], ys[i][::-1])
-            parts_x.append(nx[1:])
-            parts_y.append(ny[1:])
-            here, before = (nx[-1], ny[-1]), (nx[-2], ny[-2])
-        return np.concatenate(parts_x), np.concatenate(parts_y)
-
-    for i in range(len(xs)):
-        if used[i]:
-            continue
-        used[i] = True
-        px, py = follow(xs[i], ys[i], head[i])
-        if (px[0], py[0]) != (px[-1], py[-1]):
-            px, py = follow(px[::-1], py[::-1], (px[-1], py[-1]))
-        out.append((px, py, (px[0], py[0]) in corner, (px[-1], py[-1]) in corner))
-    res = pd.DataFrame({b: [pdf[b].iat[0]] * len(out) for b in by})
-    for k, name in enumerate(("xs", "ys", "ja", "jb")):
-        res[name] = [o[k] for o in out]
-    return res
 
+def noded_pieces(polygons: DataFrame, by: Sequence[str], geom: str = "geometry", size: float = grid.CELL) -> DataFrame:
+    """(by, edge): the edges of each group cut wherever they cross or touch, each piece once.
+
+    Edges meet others of their cell only, crowded cells being cut further. A cut is found once for a pair and
+    serves both, so pieces share their ends to the last bit.
+    """
+    edges = _snapped_edges(polygons, by, geom)
+    celled = grid.refine_hot_cells(grid.with_edge_cells(edges, size), by, size)
+    keys = [*by, "cx", "cy", "sx", "sy"]
+    left = celled.select(*keys, F.col("edge").alias("e"))
+    right = celled.select(*keys, F.col("edge").alias("f"))
+    e, f, pad = F.col("e"), F.col("f"), grid.COVER_PAD
+    boxes = ((e["ax"] <= f["bx"] + pad) & (f["ax"] <= e["bx"] + pad)
+             & (F.least(e["ay"], e["by"]) <= F.greatest(f["ay"], f["by"]) + pad)
+             & (F.least(f["ay"], f["by"]) <= F.greatest(e["ay"], e["by"]) + pad))
+    cuts = (left.join(right, keys).where((e < f) & boxes)
+            .select(*by, F.explode(_cut_points(e, f)).alias("cut"), F.array("e", "f").alias("both"))
+            .select(*by, F.explode("both").alias("edge"), "cut"))
+    uncut = edges.select(*by, "edge", F.lit(None).cast("struct<x:double,y:double>").alias("cut"))
+    edge = F.col("edge")
+    # undirected edges run from their lesser end to their greater, and so do the cuts along them
+    ends = (g.point(edge["ax"], edge["ay"]), g.point(edge["bx"], edge["by"]))
+    along = lambda p: (p["x"] - edge["ax"]) * (edge["bx"] - edge["ax"]) + (p["y"] - edge["ay"]) * (edge["by"] - edge["ay"])
+    path = F.transform(F.array_sort(F.transform(F.array_union(F.col("cuts"), F.array(*ends)),
+                                                lambda p: F.struct(along(p).alias("at"), p.alias("p")))), lambda s: s["p"])
+    piece = F.col("piece")
+    return (cuts.unionByName(uncut).groupBy(*by, "edge").agg(F.collect_set("cut").alias("cuts"))
+            .select(*by, F.explode(g.line_edges(path)).alias("piece"))
+            .select(*by, _undirected(g.point(piece["ax"], piece["ay"]), g.point(piece["bx"], piece["by"])).alias("edge"))
+            .distinct())
+
+
+def outline_edges(polygons: DataFrame, by: Sequence[str], geom: str = "geometry", size: float = grid.CELL) -> DataFrame:
+    """(by, _pid, edge): the outline of each group's union, every edge with the union on its left; stored.
+
+    Both sides of a piece ask whether any polygon of the group covers them; pieces covered on one side only are
+    outline. The question is a semi-join, so no piece is written out once for each polygon around it.
+    """
+    pieces = checkpointed(noded_pieces(polygons, by, geom, size).withColumn("_pid", F.monotonically_increasing_id()))
+    e = F.col("edge")
+    dx, dy = e["bx"] - e["ax"], e["by"] - e["ay"]
+    off = SIDE / F.hypot(dx, dy)
+
+    def beside(way: int) -> Column:
+        return F.struct(F.lit(way).alias("side"), ((e["ax"] + e["bx"]) / 2 - way * off * dy).alias("x"),
+                        ((e["ay"] + e["by"]) / 2 + way * off * dx).alias("y"))
+    probes = pieces.select(*by, "_pid", "edge", F.explode(F.array(beside(1), beside(-1))).alias("p"))
+    x, y, box = F.col("p.x"), F.col("p.y"), F.col("box")
+    probes = grid.with_cell(probes, x, y, size)
+    cover = polygon_cover(polygons.select(*by, F.col(geom).alias("_poly")), "_poly", size)
+    cover = cover.select(*[F.col(c).alias(f"_c{k}") for k, c in enumerate([*by, "cx", "cy"])], "box", "inside", "edges", "middle")
+    hit = (x.between(box["xmin"], box["xmax"]) & y.between(box["ymin"], box["ymax"])
+           & (F.col("inside") | g.near_edges_contain(F.col("edges"), x, y, *cell_mark(size), F.col("middle"))))
+    for k, c in enumerate([*by, "cx", "cy"]):
+        hit = hit & F.col(c).eqNullSafe(F.col(f"_c{k}"))
+    covered = probes.join(cover, hit, "left_semi").groupBy("_pid").agg(
+        *[F.first(c).alias(c) for c in by], F.first("edge").alias("edge"), F.sum("p.side").alias("_side"), F.count("*").alias("_n"))
+    turned = F.when(F.col("_side") > 0, e).otherwise(g.edge(e["bx"], e["by"], e["ax"], e["ay"]))
+    return checkpointed(covered.where("_n = 1").select(*by, "_pid", turned.alias("edge")))
+
+
+def _corners(edges: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(_pid, hw, tw): at points where more than two edges meet, the wedge of the union an edge begins or ends.
+
+    Around a point, edges leaving and arriving alternate: each wedge begins at a leaving edge and ends, counter-clockwise,
+    at the next arriving one. Edges of one wedge follow each other, so rings that touch in a point stay apart.
+    """
+    e = F.col("edge")
 
-def _linker(by: list[str], last: bool):
-    def link(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _link_paths(pdf, by, last)
-    return link
+    def end(leaves: bool) -> Column:
+        (x, y), (u, v) = (("ax", "ay"), ("bx", "by")) if leaves else (("bx", "by"), ("ax", "ay"))
+        return F.struct(g.point(e[x], e[y]).alias("at"), F.lit(int(leaves)).alias("leaves"),
+                        F.atan2(e[v] - e[y], e[u] - e[x]).alias("angle"))
+    ends = edges.select(*by, "_pid", F.explode(F.array(end(True), end(False))).alias("s")).select(*by, "_pid", "s.*")
+    here = Window.partitionBy(*by, "at")
+    turn = here.orderBy("angle", F.col("leaves").desc())
+    wedge = F.sum("leaves").over(turn)
+    met = (ends.withColumn("_n", F.count("*").over(here)).where("_n > 2")
+           .withColumn("wedge", F.when(wedge == 0, F.sum("leaves").over(here)).otherwise(wedge)))
+    return met.groupBy("_pid").agg(F.max(F.when(F.col("leaves") == 1, F.col("wedge"))).alias("hw"),
+                                   F.max(F.when(F.col("leaves") == 0, F.col("wedge"))).alias("tw"))
+
+
+def _chain(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Join the paths of one cell that follow each other; closed ones pass through."""
+    xs, ys, hw, tw = (list(pdf[c]) for c in ("xs", "ys", "hw", "tw"))
+    head = [(x[0], y[0], w) for x, y, w in zip(xs, ys, hw)]
+    tail = [(x[-1], y[-1], w) for x, y, w in zip(xs, ys, tw)]
+    free = {i for i, (h, t) in enumerate(zip(head, tail)) if h != t}
+    at = {head[i]: i for i in free}
+    rows = [(i, [i]) for i in range(len(xs)) if i not in free]
+    ended = {tail[i] for i in free}
+    # paths that nothing leads to begin; what is left then runs in circles
+    for i in [i for i in sorted(free) if head[i] not in ended] + sorted(free):
+        run = []
+        while i in free:
+            free.discard(i)
+            run.append(i)
+            i = at.get(tail[i], -1)
+        if run:
+            rows.append((run[0], run))
+    out = pdf.iloc[[first for first, _ in rows]].copy()
+    out["xs"] = [np.concatenate([xs[run[0]], *[xs[i][1:] for i in run[1:]]]) for _, run in rows]
+    out["ys"] = [np.concatenate([ys[run[0]], *[ys[i][1:] for i in run[1:]]]) for _, run in rows]
+    out["tw"] = [tw[run[-1]] for _, run in rows]
+    return out
+
+
+def _ring_order(paths: DataFrame) -> DataFrame:
+    """(id, ring, place): the ring of each open path and its place along it, by pointer jumping.
+
+    ``paths`` has (id, head, tail). Every round doubles the stretch that a path looks ahead, for its least path and the way
+    to it; when no path finds a lesser one, each knows its ring's least. A ring of n paths takes about log2(n) rounds
+    of equi-joins and no ring meets in one task. Paths that lead nowhere drop out.
+    """
+    follows = paths.select("id", "tail").join(paths.select(F.col("id").alias("nxt"), F.col("head").alias("tail")), "tail")
+    state = checkpointed(follows.select("id", "nxt", F.struct(F.col("id").alias("ring"), F.lit(0).cast("long").alias("off")).alias("least")))
+    ahead, moved = 1, True
+    while moved:
+        there = state.select(F.col("id").alias("nxt"), F.col("nxt").alias("_then"), F.col("least").alias("_far"))
+        far = F.struct(F.col("_far.ring").alias("ring"), (F.col("_far.off") + ahead).alias("off"))
+        state = checkpointed(state.join(there, "nxt").select(
+            "id", F.col("_then").alias("nxt"), F.least("least", far).alias("least"),
+            (far["ring"] < F.col("least.ring")).alias("moved")))
+        moved = not state.where("moved").isEmpty()
+        ahead *= 2
+    off = F.col("least.off")
+    return state.select("id", F.col("least.ring").alias("ring"), F.when(off == 0, F.lit(-2 ** 62)).otherwise(-off).alias("place"))
 
 
 def boundary_rings(polygons: DataFrame, by: Sequence[str], geom: str = "geometry", size: float = grid.CELL) -> DataFrame:
-    """(by, ring): closed rings around each merged area, shells and holes alike.
+    """(by, ring): closed rings around each merged area, shells counter-clockwise and holes clockwise.
 
-    Outlines are linked inside small cells first, then inside larger ones, and only paths that are
-    still open meet in the last round, so islands never gather in one task.
+    Outlines are linked inside small cells, then inside larger ones; what is still open is put in order by pointer
+    jumping. Only a finished ring is one row.
     """
-    edges = boundary_edges(polygons, by, geom, size)
+    edges = outline_edges(polygons, by, geom, size)
     e = F.col("edge")
-    ends = edges.select(*by, F.explode(F.array(g.point(e["ax"], e["ay"]), g.point(e["bx"], e["by"]))).alias("v"))
-    corners = ends.groupBy(*by, "v").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 2).drop("n")
-    paths = edges.select(*by, F.array(e["ax"], e["bx"]).alias("xs"), F.array(e["ay"], e["by"]).alias("ys"))
-    for flag, at in (("ja", 0), ("jb", 1)):
-        marked = corners.withColumnRenamed("v", f"_{flag}").withColumn(flag, F.lit(True))
-        paths = (paths.withColumn(f"_{flag}", g.point(F.col("xs")[at], F.col("ys")[at]))
-                 .join(marked, [*by, f"_{flag}"], "left")
-                 .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))).drop(f"_{flag}"))
-    paths = paths.select(*by, "xs", "ys", "ja", "jb")
+    paths = (edges.join(_corners(edges, by), "_pid", "left")
+             .select(*by, F.array(e["ax"], e["bx"]).alias("xs"), F.array(e["ay"], e["by"]).alias("ys"),
+                     F.coalesce("hw", F.lit(0)).cast("long").alias("hw"), F.coalesce("tw", F.lit(0)).cast("long").alias("tw")))
     schema = paths.schema
-    closed = (F.col("xs")[0] == F.element_at("xs", -1)) & (F.col("ys")[0] == F.element_at("ys", -1))
-    for width, last in ((size * 8, False), (size * 64, False), (None, True)):
-        own = [grid.cell_of(F.col(c)[0], size) for c in ("xs", "ys")]
-        if last:
-            place = [F.when(closed, c) for c in own]
-        else:
-            place = [F.when(closed, c).otherwise(grid.cell_of(F.col(a)[0], width)) for c, a in zip(own, ("xs", "ys"))]
-        keyed = paths.withColumn("_gx", place[0]).withColumn("_gy", place[1])
-        paths = keyed.groupBy(*by, "_gx", "_gy").applyInPandas(_linker(list(by), last), schema=schema)
-    return paths.where(closed & (F.size("xs") >= 4)).select(
-        *by, F.zip_with("xs", "ys", lambda x, y: g.point(x, y)).alias("ring"))
+    head = F.struct(F.col("xs")[0].alias("x"), F.col("ys")[0].alias("y"), F.col("hw").alias("w"))
+    tail = F.struct(F.element_at("xs", -1).alias("x"), F.element_at("ys", -1).alias("y"), F.col("tw").alias("w"))
+    for width in (size * 8, size * 64):
+        place = [F.when(head == tail, grid.cell_of(F.col(c)[0], size)).otherwise(grid.cell_of(F.col(c)[0], width)) for c in ("xs", "ys")]
+        keyed = paths.withColumns({"_gx": place[0], "_gy": place[1], "_shut": head == tail})
+        paths = keyed.groupBy(*by, "_gx", "_gy", "_shut").applyInPandas(_chain, schema=StructType([*keyed.schema])).drop("_gx", "_gy", "_shut")
+        paths = paths.select(*schema.names)
+    paths = checkpointed(paths.withColumn("id", F.monotonically_increasing_id()))
+    shut, open_ = paths.where(head == tail), paths.where(head != tail)
+    # points of different groups are different points
+    key = lambda end: F.struct(*by, end.alias("end"))
+    order = _ring_order(open_.select("id", key(head).alias("head"), key(tail).alias("tail")))
+    points = F.zip_with("xs", "ys", lambda x, y: g.point(x, y))
+    linked = (open_.join(order, "id").groupBy(*by, "ring")
+              .agg(F.array_sort(F.collect_list(F.struct("place", points.alias("ps")))).alias("parts"))
+              .select(*by, F.flatten(F.transform("parts", lambda p: F.slice(p["ps"], F.lit(1), F.size(p["ps"]) - 1))).alias("ring")))
+    rings = shut.select(*by, F.slice(points, F.lit(1), F.size("xs") - 1).alias("ring")).unionByName(linked).where(F.size("ring") >= 3)
+    # a ring begins at its least point, which is a corner and never lies on a straight piece
+    first, ring = F.array_position("ring", F.array_min("ring")).cast("int"), F.col("ring")
+    return rings.select(*by, F.concat(F.slice(ring, first, F.size(ring)), F.slice(ring, F.lit(1), first)).alias("ring"))
+
+
+def _signed_area(ring: Column) -> Column:
+    """Planar area of a ring, positive when it runs counter-clockwise."""
+    o = ring[0]
+    return F.aggregate(g.line_edges(ring), F.lit(0.0), lambda acc, e: acc + (
+        (e["ax"] - o["x"]) * (e["by"] - o["y"]) - (e["bx"] - o["x"]) * (e["ay"] - o["y"])) / 2)
 
 
 def dissolve(polygons: DataFrame, by: Sequence[str], geom: str = "geometry", size: float = grid.CELL) -> DataFrame:
-    """(by, part_id, geometry): union of adjoining polygons per group, one row per part.
+    """(by, part_id, geometry): union of the polygons of each group, one row per part.
 
-    A ring inside an odd number of others is a hole of the smallest ring around it; rings look for
-    rings around them through a cell join.
+    Polygons may adjoin, overlap, repeat or lie in one another. Coordinates are snapped to a hundredth of a millimetre;
+    gaps and slivers thinner than a tenth of a millimetre are not told apart from none. A hole belongs to the smallest
+    shell around it, which it finds through a cell join.
     """
     rings = checkpointed(
-        boundary_rings(polygons, by, geom, size)
-        .withColumn("_area", g.polygon_area(F.array("ring"))).withColumn("_id", F.concat_ws("-", F.xxhash64("ring"), F.hash("ring"), F.size("ring"))))
-    # The midpoint of a ring's first edge is never on another ring of the same outline.
+        boundary_rings(polygons, by, geom, size).withColumn("_area", _signed_area(F.col("ring")))
+        .withColumn("_id", F.concat_ws("-", F.xxhash64("ring"), F.hash("ring"), F.size("ring"))))
+    shells, holes = rings.where("_area > 0"), rings.where("_area < 0")
+    # The midpoint of a hole's first edge is on no shell.
     first, second = F.col("ring")[0], F.col("ring")[1]
-    probes = grid.with_cell(rings.select(
-        *by, F.col("_id").alias("_inner"), F.col("_area").alias("_small"),
+    probes = grid.with_cell(holes.select(
+        *by, F.col("_id").alias("_inner"), F.col("ring").alias("_hole"), (-F.col("_area")).alias("_small"),
         ((first["x"] + second["x"]) / 2).alias("_mx"), ((first["y"] + second["y"]) / 2).alias("_my")),
         F.col("_mx"), F.col("_my"), size)
-    cover = polygon_cover(rings.select(*by, "_id", "_area", F.array("ring").alias("_poly")), "_poly", size)
-    around = spread_join(probes, cover, [*by, "cx", "cy"], ["_inner"], (F.col("_area") > F.col("_small")) & (
+    cover = polygon_cover(shells.select(*by, "_id", "_area", F.array("ring").alias("_poly")), "_poly", size)
+    around = spread_join(probes.drop("_hole"), cover, [*by, "cx", "cy"], ["_inner"], (F.col("_area") > F.col("_small")) & (
         F.col("inside") | g.near_edges_cover(F.col("edges"), F.col("_mx"), F.col("_my"), *cell_mark(size), F.col("middle"))))
-    nesting = around.groupBy(*by, F.col("_inner").alias("_id")).agg(
-        F.count(F.lit(1)).alias("_depth"), F.min_by("_id", F.struct("_area", "_id")).alias("_parent"))
-    placed = (rings.join(nesting, [*by, "_id"], "left")
-              .withColumn("_hole", F.coalesce(F.col("_depth"), F.lit(0)) % 2 == 1)
-              .withColumn("_shell", F.when(F.col("_hole"), F.col("_parent")).otherwise(F.col("_id"))))
-    parts = placed.groupBy(*by, "_shell").agg(F.array_sort(F.collect_list(
-        F.struct(F.col("_hole").alias("h"), (-F.col("_area")).alias("a"), "ring"))).alias("rs"))
-    polygon = F.transform("rs", lambda r: r["ring"])
-    return parts.select(*by, F.col("_shell").alias("part_id"), polygon.alias("geometry"))
+    parents = around.groupBy(*by, "_inner").agg(F.min_by("_id", F.struct("_area", "_id")).alias("_shell"))
+    held = (holes.withColumnRenamed("_id", "_inner").join(parents, [*by, "_inner"])
+            .groupBy(*by, "_shell").agg(F.array_sort(F.collect_list(F.struct("_area", "ring"))).alias("_holes")))
+    inner = F.coalesce(F.transform("_holes", lambda h: h["ring"]), F.array().cast(f"array<{_POINTS}>"))
+    return (shells.withColumnRenamed("_id", "_shell").join(held, [*by, "_shell"], "left")
+            .select(*by, F.col("_shell").alias("part_id"), F.concat(F.array("ring"), inner).alias("geometry")))
 
 
 def _keep_flags(xs: np.ndarray, ys: np.ndarray, tolerance: float) -> np.ndarray:

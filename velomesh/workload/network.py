@@ -348,6 +348,25 @@ def whole_outline(spark: SparkSession, folder: str) -> DataFrame:
     return parts.agg(F.round(F.sum(g.polygon_area(F.col("geometry"))), 8).alias("area"), F.round(F.sum(rings), 7).alias("outline"))
 
 
+_ZONES = """SELECT s_nationkey % 5 AS zone_id, (s_suppkey * 37) % 200 AS i, (s_suppkey * 53) % 200 AS j, 10 + s_suppkey % 31 AS w, 10 + (s_suppkey * 7) % 23 AS h FROM supplier"""
+
+
+@register("service_zones", "A38", f"""
+WITH b AS ({_ZONES}), u AS (SELECT zone_id, i, j, h, unnest(range(w)) AS dx FROM b),
+c AS (SELECT DISTINCT zone_id, i + dx AS x, j + dy AS y FROM (SELECT *, unnest(range(h)) AS dy FROM u)),
+s AS (SELECT c.zone_id, c.x, c.y, count(d.x) AS n FROM c LEFT JOIN c d ON d.zone_id = c.zone_id AND abs(d.x - c.x) + abs(d.y - c.y) = 1 GROUP BY 1, 2, 3)
+SELECT CAST(zone_id AS BIGINT) AS zone_id, round(count(*) * 1e-6, 9) AS area, round(CAST(sum(4 - n) AS DOUBLE) * 1e-3, 7) AS outline FROM s GROUP BY 1""")
+def service_zones(spark: SparkSession, folder: str) -> DataFrame:
+    """Overlapping service boxes of suppliers merged per zone: area and length of all outlines, holes included."""
+    b = spark.sql(_ZONES.replace("FROM supplier", "FROM {supplier}"), supplier=v.table(spark, folder, "supplier"))
+    at = lambda c: F.col(c) / 1000.0
+    boxes = b.select(F.col("zone_id").cast("long").alias("zone_id"), g.box(
+        2.0 + at("i"), 41.3 + at("j"), 2.0 + at("i") + at("w"), 41.3 + at("j") + at("h")).alias("geometry"))
+    parts = d.dissolve(boxes, ["zone_id"])
+    rings = F.aggregate("geometry", F.lit(0.0), lambda s, r: s + g.line_length(r))
+    return parts.groupBy("zone_id").agg(F.round(F.sum(g.polygon_area(F.col("geometry"))), 9).alias("area"), F.round(F.sum(rings), 7).alias("outline"))
+
+
 @register("simplified_outlines", "G14 A38 G22 Q14", f"""
 WITH e AS ({_EDGES}), o AS (SELECT district_code, e FROM e GROUP BY ALL HAVING count(*) = 1),
 p AS (SELECT district_code, sum(CASE WHEN e.c = 'w' THEN 0.003e0 ELSE 0.004e0 END) AS outline FROM o GROUP BY 1),
