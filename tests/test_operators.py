@@ -502,26 +502,28 @@ def _inside(ring, x, y):
 
 @pytest.mark.parametrize("n", [12, 600])
 def test_cover_settles_every_point(spark, n, monkeypatch):
-    """Both ways to lay a polygon with a hole over cells agree with the plain test."""
+    """A polygon with a hole over cells of one or several levels agrees with the plain test."""
     shell, hole = _star(n), [(2.14, 41.39), (2.16, 41.39), (2.16, 41.41), (2.14, 41.41), (2.14, 41.39)]
     poly = spark.createDataFrame([("p", [shell, hole])], f"name string, shape array<{LINE}>")
     rng = random.Random(n)
     pts = [(i, rng.uniform(1.93, 2.37), rng.uniform(41.18, 41.62)) for i in range(1500)]
     points = spark.createDataFrame(pts, "pid int, x double, y double").select("pid", g.point(F.col("x"), F.col("y")).alias("geometry"))
     want = {i for i, x, y in pts if _inside(shell, x, y) != _inside(hole, x, y)}
-    for work in (0, 10 ** 9):
-        monkeypatch.setattr(spatial, "ROW_WORK", work)
-        got = spatial.contains_join(points, poly, ["pid"], geom="shape", size=0.02)
-        assert {r.pid for r in got.collect()} == want, work
+    for few, size in ((0, 0.004), (8, 0.02), (8, 0.5), (10 ** 9, 0.001)):
+        monkeypatch.setattr(spatial, "FEW_EDGES", few)
+        got = spatial.contains_join(points, poly, ["pid"], geom="shape", size=size)
+        assert {r.pid for r in got.collect()} == want, (few, size)
 
 
-def test_large_polygon_stays_spread_out(spark):
-    """Ten thousand vertices over a hundred thousand cells: no cell carries more than the edges near it."""
+def test_large_polygon_has_rows_by_its_outline(spark):
+    """Ten thousand vertices around a hundred thousand cells: thousands of rows, no cell with more than the edges near it."""
     ring = [(2.1 + math.cos(2 * math.pi * k / 10_000), 41.4 + math.sin(2 * math.pi * k / 10_000)) for k in range(10_000)]
     poly = spark.createDataFrame([("p", [[*ring, ring[0]]])], f"name string, shape array<{LINE}>")
     cover = spatial.polygon_cover(poly, "shape", 0.005)
-    row = cover.agg(F.count("*").alias("n"), F.max(F.size("edges")).alias("most"), F.sum(F.col("inside").cast("int")).alias("inside")).first()
-    assert row.n > 120_000 and row.most < 40 and row.inside == pytest.approx(math.pi / 0.005 ** 2, rel=0.02)
+    cells = F.pow(F.lit(float(spatial.FAN ** 2)), F.col("_lvl"))
+    row = cover.agg(F.count("*").alias("n"), F.max(F.size("edges")).alias("most"), F.countDistinct("_lvl").alias("levels"),
+                    F.sum(F.when(F.col("inside"), cells)).alias("inside")).first()
+    assert row.n < 8_000 and row.most < 40 and row.levels >= 3 and row.inside == pytest.approx(math.pi / 0.005 ** 2, rel=0.02)
 
 
 def test_quantiles_over_many_magnitudes(spark):

@@ -153,7 +153,7 @@ def edges_cover(edges: Column, x: Column, y: Column) -> Column:
             | F.exists(edges, lambda e: on_edge(e, x, y, BORDER_TOLERANCE)))
 
 
-def _between_crossings(edges: Column, x: Column, y: Column, mx: Column, my: Column) -> Column:
+def between_crossings(edges: Column, x: Column, y: Column, mx: Column, my: Column) -> Column:
     """Edges passed on the way from (mx, my) up or down to height y and then along it to x."""
     def across(e):
         return ((e["ay"] > y) != (e["by"] > y)) & (lambda at: (x < at) != (mx < at))(
@@ -167,13 +167,13 @@ def _between_crossings(edges: Column, x: Column, y: Column, mx: Column, my: Colu
 
 def near_edges_contain(edges: Column, x: Column, y: Column, mx: Column, my: Column, middle: Column) -> Column:
     """Strict interior test in a box, from the edges that touch the box and whether its point (mx, my) is inside."""
-    odd = _between_crossings(edges, x, y, mx, my) % 2 == 1
+    odd = between_crossings(edges, x, y, mx, my) % 2 == 1
     return ~F.exists(edges, lambda e: on_edge(e, x, y)) & (odd != middle)
 
 
 def near_edges_cover(edges: Column, x: Column, y: Column, mx: Column, my: Column, middle: Column) -> Column:
     """Closed test in a box: interior or border."""
-    return (((_between_crossings(edges, x, y, mx, my) % 2 == 1) != middle)
+    return (((between_crossings(edges, x, y, mx, my) % 2 == 1) != middle)
             | F.exists(edges, lambda e: on_edge(e, x, y, BORDER_TOLERANCE)))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from velomesh.functions import geometry as g
 from velomesh.operators import grid
 from velomesh.operators.skew import spread_join
-from velomesh.operators.spatial import cell_mark, polygon_cover
+from velomesh.operators.spatial import CELL_KEYS, at_levels, cell_mark, polygon_cover
 from velomesh.session import checkpointed
 
 # Decimals of a degree to which corners and crossings are snapped, and how near a corner must be to lie on an edge.
@@ -101,12 +101,13 @@ def outline_edges(polygons: DataFrame, by: Sequence[str], geom: str = "geometry"
                         ((e["ay"] + e["by"]) / 2 + way * off * dx).alias("y"))
     probes = pieces.select(*by, "_pid", "edge", F.explode(F.array(beside(1), beside(-1))).alias("p"))
     x, y, box = F.col("p.x"), F.col("p.y"), F.col("box")
-    probes = grid.with_cell(probes, x, y, size)
     cover = polygon_cover(polygons.select(*by, F.col(geom).alias("_poly")), "_poly", size)
-    cover = cover.select(*[F.col(c).alias(f"_c{k}") for k, c in enumerate([*by, "cx", "cy"])], "box", "inside", "edges", "middle")
+    probes = at_levels(grid.with_cell(probes, x, y, size), cover)
+    keys = [*by, *CELL_KEYS]
+    cover = cover.select(*[F.col(c).alias(f"_c{k}") for k, c in enumerate(keys)], "box", "inside", "edges", "middle")
     hit = (x.between(box["xmin"], box["xmax"]) & y.between(box["ymin"], box["ymax"])
            & (F.col("inside") | g.near_edges_contain(F.col("edges"), x, y, *cell_mark(size), F.col("middle"))))
-    for k, c in enumerate([*by, "cx", "cy"]):
+    for k, c in enumerate(keys):
         hit = hit & F.col(c).eqNullSafe(F.col(f"_c{k}"))
     covered = probes.join(cover, hit, "left_semi").groupBy("_pid").agg(
         *[F.first(c).alias(c) for c in by], F.first("edge").alias("edge"), F.sum("p.side").alias("_side"), F.count("*").alias("_n"))
@@ -237,12 +238,12 @@ def dissolve(polygons: DataFrame, by: Sequence[str], geom: str = "geometry", siz
     shells, holes = rings.where("_area > 0"), rings.where("_area < 0")
     # The midpoint of a hole's first edge is on no shell.
     first, second = F.col("ring")[0], F.col("ring")[1]
-    probes = grid.with_cell(holes.select(
-        *by, F.col("_id").alias("_inner"), F.col("ring").alias("_hole"), (-F.col("_area")).alias("_small"),
-        ((first["x"] + second["x"]) / 2).alias("_mx"), ((first["y"] + second["y"]) / 2).alias("_my")),
-        F.col("_mx"), F.col("_my"), size)
     cover = polygon_cover(shells.select(*by, "_id", "_area", F.array("ring").alias("_poly")), "_poly", size)
-    around = spread_join(probes.drop("_hole"), cover, [*by, "cx", "cy"], ["_inner"], (F.col("_area") > F.col("_small")) & (
+    probes = at_levels(grid.with_cell(holes.select(
+        *by, F.col("_id").alias("_inner"), (-F.col("_area")).alias("_small"),
+        ((first["x"] + second["x"]) / 2).alias("_mx"), ((first["y"] + second["y"]) / 2).alias("_my")),
+        F.col("_mx"), F.col("_my"), size), cover)
+    around = spread_join(probes, cover, [*by, *CELL_KEYS], ["_inner"], (F.col("_area") > F.col("_small")) & (
         F.col("inside") | g.near_edges_cover(F.col("edges"), F.col("_mx"), F.col("_my"), *cell_mark(size), F.col("middle"))))
     parents = around.groupBy(*by, "_inner").agg(F.min_by("_id", F.struct("_area", "_id")).alias("_shell"))
     held = (holes.withColumnRenamed("_id", "_inner").join(parents, [*by, "_inner"])

@@ -26,20 +26,29 @@ def spread_join(big: DataFrame, small: DataFrame, keys: Sequence[str], spread_by
                 condition: Column | None = None, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Inner equi-join that cuts hot keys of ``big`` into slices and copies ``small`` per slice.
 
-    The key list is left to Spark's size check: short ones are sent to the tasks, long ones are joined.
-
-    ``spread_by`` names columns of ``big`` that differ between rows of one key. Copies add at most
-    one row of ``small`` per key and ``slice_rows`` rows of ``big``.
+    ``big`` is written once; keys are counted on what was written, and a plain join is planned when none is hot.
+    ``spread_by`` names columns of ``big`` that differ between rows of one key. Copies add at most one row of
+    ``small`` per key and ``slice_rows`` rows of ``big``. The key list is left to Spark's size check.
     """
-    hot = hot_keys(big, keys, slice_rows)
+    big = checkpointed(big)
+    joined = None
+    if big.count() > slice_rows:
+        hot = hot_keys(big, keys, slice_rows)
+        if not hot.isEmpty():
+            joined = _sliced_join(big, small, hot, keys, spread_by)
+    if joined is None:
+        joined = big.join(small, list(keys))
+    return joined if condition is None else joined.where(condition)
+
+
+def _sliced_join(big: DataFrame, small: DataFrame, hot: DataFrame, keys: Sequence[str], spread_by: Sequence[str]) -> DataFrame:
     fan = F.coalesce(F.col("fan"), F.lit(1))
     cut = (big.join(hot, list(keys), "left")
            .select(*big.columns, F.when(fan > 1, F.pmod(F.xxhash64(*spread_by), fan))
                    .otherwise(F.lit(0)).cast("int").alias("slice")))
     copied = (small.join(hot, list(keys), "left")
               .select(*small.columns, F.explode(F.sequence(F.lit(0), fan - 1)).alias("slice")))
-    joined = cut.join(copied, [*keys, "slice"]).drop("slice")
-    return joined if condition is None else joined.where(condition)
+    return cut.join(copied, [*keys, "slice"]).drop("slice")
 
 
 def chunked_lag(df: DataFrame, keys: Sequence[str], chunk: str, order: Sequence[str],

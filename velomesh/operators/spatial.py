@@ -12,75 +12,93 @@ from velomesh.operators import grid
 from velomesh.operators.skew import spread_join
 from velomesh.session import checkpointed
 
-
-# Edges times cells up to which a polygon is laid over its cells inside one row.
-ROW_WORK = 4096
+# Cells of one level per axis of a cell of the next; edges up to which a cell at a polygon's rim is left as it is.
+FAN, FEW_EDGES = 4, 8
 # The point of a cell whose side of the polygon is known, as shares of its width; off the middle, where drawn borders rarely lie.
 MARK_X, MARK_Y = 0.4877, 0.5131
 
 
-def cell_mark(size: float = grid.CELL) -> tuple[Column, Column]:
-    return (F.col("cx") + MARK_X) * size, (F.col("cy") + MARK_Y) * size
-
+def _width(size: float, level: Column) -> Column:
+    return F.lit(size) * F.pow(F.lit(float(FAN)), level)
 
-def polygon_cover(polygons: DataFrame, geom: str = "geometry", size: float = grid.CELL) -> DataFrame:
-    """One row per (polygon, cell it touches) with ``box``, ``inside``, ``edges`` and ``middle``.
 
-    ``inside`` cells lie wholly in the polygon, so a join on them needs no exact test and carries no
-    geometry. A rim cell carries the edges that touch it and whether its mark lies inside, which settles
-    every point of the cell. Small polygons are laid out in their row; large ones edge by edge.
-    """
-    keep = [c for c in polygons.columns if c != geom]
-    shaped = polygons.select(*keep, g.polygon_edges(F.col(geom)).alias("edges"), g.polygon_bounds(F.col(geom)).alias("box"))
-    box = F.col("box")
-    wide = grid.cell_of(box["xmax"], size) - grid.cell_of(box["xmin"], size) + 1
-    high = grid.cell_of(box["ymax"], size) - grid.cell_of(box["ymin"], size) + 1
-    light = wide * high * F.size("edges") <= ROW_WORK
-    large = shaped.where(~light)
-    small = _cover_in_row(shaped.where(light), keep, size)
-    return small if large.isEmpty() else small.unionByName(_cover_by_edge(large, keep, size))
+def cell_mark(size: float = grid.CELL) -> tuple[Column, Column]:
+    """The mark of a cover's cell, from its ``_lvl``, ``cx`` and ``cy``."""
+    return (F.col("cx") + MARK_X) * _width(size, F.col("_lvl")), (F.col("cy") + MARK_Y) * _width(size, F.col("_lvl"))
 
 
-def _cover_in_row(shaped: DataFrame, keep: list[str], size: float) -> DataFrame:
-    box, cx, cy = F.col("box"), F.col("cell.cx"), F.col("cell.cy")
-    cells = grid.box_cells(box["xmin"], box["ymin"], box["xmax"], box["ymax"], size)
-    pad = grid.COVER_PAD
-    near = F.filter(F.col("edges"), lambda e: g.edge_meets_box(
-        e, F.col("cx") * size - pad, F.col("cy") * size - pad, (F.col("cx") + 1) * size + pad, (F.col("cy") + 1) * size + pad))
-    mx, my = cell_mark(size)
-    placed = (shaped.withColumn("cell", F.explode(cells)).withColumns({"cx": cx, "cy": cy})
-              .withColumns({"middle": g.edges_contain(F.col("edges"), mx, my), "near": near})
-              .where(F.col("middle") | (F.size("near") > 0)))
-    return placed.select(*keep, "cx", "cy", "box", (F.size("near") == 0).alias("inside"), F.col("near").alias("edges"), "middle")
+def _ancestor(cell: Column, level: Column) -> Column:
+    return F.floor(cell / F.pow(F.lit(float(FAN)), level)).cast("long")
 
 
-def _cover_by_edge(shaped: DataFrame, keep: list[str], size: float) -> DataFrame:
-    """The same from rows of single edges: each goes to the cells it touches and to the rows whose mark line it crosses.
+def polygon_cover(polygons: DataFrame, geom: str = "geometry", size: float = grid.CELL) -> DataFrame:
+    """One row per (polygon, cell) with ``_lvl``, ``cx``, ``cy``, ``box``, ``inside``, ``edges`` and ``middle``; stored.
 
-    Along a mark line the polygon's inside lies between each odd crossing and the next, so marks inside are
-    listed span by span. No box is unfolded, and no cell sees more than its own edges.
+    Cells of level n are ``size * FAN ** n`` wide and nest. A polygon starts with a few cells as wide as itself; cells
+    wholly inside stay as coarse as they are and need no exact test, cells at the rim are split until they have few
+    edges or the finest width. A rim cell carries the edges that touch it and whether its mark lies inside, which
+    settles every point of the cell. The rows of a polygon follow its outline, not its area.
     """
-    named = checkpointed(shaped.withColumn("_pid", F.monotonically_increasing_id()))
-    edges = named.select("_pid", F.explode("edges").alias("edge"))
-    rim = grid.with_edge_cells(edges, size).select("_pid", "cx", "cy", "edge", F.lit(False).alias("middle"))
-    ax, ay, bx, by = (F.col(f"edge.{k}") for k in ("ax", "ay", "bx", "by"))
-    first = F.ceil(F.least(ay, by) / size - MARK_Y).cast("long") - 1
-    last = F.ceil(F.greatest(ay, by) / size - MARK_Y).cast("long") + 1
-    y = (F.col("cy") + MARK_Y) * size
-    lines = (edges.withColumn("cy", F.explode(F.sequence(first, last))).where((ay > y) != (by > y))
-             .select("_pid", "cy", ((bx - ax) * (y - ay) / (by - ay) + ax).alias("x")))
-    crossed = lines.groupBy("_pid", "cy").agg(F.sort_array(F.collect_list("x")).alias("xs"))
-    spans = crossed.select("_pid", "cy", "xs", F.explode(F.sequence(F.lit(0), F.size("xs") - 2, F.lit(2))).alias("k"))
-    # marks at or right of the span's start and left of its end
-    start = F.ceil(F.get("xs", F.col("k")) / size - MARK_X).cast("long")
-    stop = F.ceil(F.get("xs", F.col("k") + 1) / size - MARK_X).cast("long") - 1
-    marks = (spans.withColumns({"a": start, "b": stop}).where("b >= a")
-             .select("_pid", F.explode(F.sequence("a", "b")).alias("cx"), "cy",
-                     F.lit(None).cast(edges.schema["edge"].dataType).alias("edge"), F.lit(True).alias("middle")))
-    cells = rim.unionByName(marks).groupBy("_pid", "cx", "cy").agg(
-        F.collect_list("edge").alias("edges"), F.max("middle").alias("middle"))
-    return cells.join(named.select("_pid", *keep, "box"), "_pid").select(
-        *keep, "cx", "cy", "box", (F.size("edges") == 0).alias("inside"), "edges", "middle")
+    keep = [c for c in polygons.columns if c != geom]
+    shaped = polygons.select(*keep, g.polygon_edges(F.col(geom)).alias("edges"), g.polygon_bounds(F.col(geom)).alias("box"))
+    box, pad = F.col("box"), grid.COVER_PAD
+    reach = F.greatest(box["xmax"] - box["xmin"], box["ymax"] - box["ymin"]) / (FAN * size)
+    shaped = shaped.withColumn("_top", F.greatest(F.lit(0), F.ceil(F.log(float(FAN), F.greatest(reach, F.lit(1.0))))).cast("int"))
+
+    def cell(level: Column, cx: Column, cy: Column, edges: Column, middle: Column) -> Column:
+        near = F.filter(edges, lambda e: g.edge_meets_box(
+            e, cx * _width(size, level) - pad, cy * _width(size, level) - pad,
+            (cx + 1) * _width(size, level) + pad, (cy + 1) * _width(size, level) + pad))
+        return F.struct(level.cast("int").alias("_lvl"), cx.alias("cx"), cy.alias("cy"), near.alias("edges"), middle.alias("middle"))
+
+    def mark(level: Column, cx: Column, cy: Column) -> tuple[Column, Column]:
+        return (cx + MARK_X) * _width(size, level), (cy + MARK_Y) * _width(size, level)
+
+    def over(xs: Column, ys: Column, make) -> Column:
+        found = F.flatten(F.transform(xs, lambda cx: F.transform(ys, lambda cy: make(cx, cy))))
+        return F.filter(found, lambda c: c["middle"] | (F.size(c["edges"]) > 0))
+
+    def first(cx: Column, cy: Column) -> Column:
+        return cell(F.col("_top"), cx, cy, F.col("edges"), g.edges_contain(F.col("edges"), *mark(F.col("_top"), cx, cy)))
+
+    def split(c: Column) -> Column:
+        level = c["_lvl"] - 1
+
+        def child(cx: Column, cy: Column) -> Column:
+            x, y = mark(level, cx, cy)
+            odd = g.between_crossings(c["edges"], x, y, *mark(c["_lvl"], c["cx"], c["cy"])) % 2 == 1
+            return cell(level, cx, cy, c["edges"], odd != c["middle"])
+        steps = [F.sequence(c[v] * FAN, c[v] * FAN + FAN - 1) for v in ("cx", "cy")]
+        return over(*steps, child)
+
+    def settled(c: Column) -> Column:
+        return (F.size(c["edges"]) <= FEW_EDGES) | (c["_lvl"] == 0)
+
+    def round_(state: Column, _: Column) -> Column:
+        return g.bind(F.flatten(F.transform(state["open"], split)), lambda cells: F.struct(
+            F.concat(state["done"], F.filter(cells, settled)).alias("done"),
+            F.filter(cells, lambda c: ~settled(c)).alias("open")))
+    spans = [F.sequence(*[_ancestor(grid.cell_of(box[f"{v}{end}"], size), F.col("_top")) for end in ("min", "max")]) for v in ("x", "y")]
+    start = g.bind(over(*spans, first), lambda cells: F.struct(
+        F.filter(cells, settled).alias("done"), F.filter(cells, lambda c: ~settled(c)).alias("open")))
+    rounds = F.when(F.col("_top") > 0, F.sequence(F.lit(1), F.col("_top"))).otherwise(F.array().cast("array<int>"))
+    cells = g.bind(start, lambda s: F.when(F.size(s["open"]) == 0, s["done"]).otherwise(F.aggregate(rounds, s, round_)["done"]))
+    c = F.col("cell")
+    return checkpointed(shaped.select(*keep, "box", F.explode(cells).alias("cell")).select(
+        *keep, c["_lvl"].alias("_lvl"), c["cx"].alias("cx"), c["cy"].alias("cy"), "box", (F.size(c["edges"]) == 0).alias("inside"),
+        c["edges"].alias("edges"), c["middle"].alias("middle")))
+
+
+def at_levels(rows: DataFrame, cover: DataFrame) -> DataFrame:
+    """Rows of finest cells (cx, cy), once for each level of the cover, with the cell of that level; ``_lvl`` names it."""
+    levels = sorted(cover.agg(F.collect_set("_lvl")).first()[0])
+    if levels in ([], [0]):
+        return rows.withColumn("_lvl", F.lit(0))
+    up = rows.withColumn("_lvl", F.explode(F.array(*[F.lit(n) for n in levels])))
+    return up.withColumns({v: _ancestor(F.col(v), F.col("_lvl")) for v in ("cx", "cy")})
+
+
+CELL_KEYS = ("_lvl", "cx", "cy")
 
 
 def contains_join(points: DataFrame, polygons: DataFrame, point_id: Sequence[str],
@@ -90,11 +108,12 @@ def contains_join(points: DataFrame, polygons: DataFrame, point_id: Sequence[str
     Points on a border match nothing. Column names of the two sides must differ, geometries aside.
     """
     x, y, box = F.col("_pt.x"), F.col("_pt.y"), F.col("box")
-    located = grid.with_cell(points.withColumnRenamed(point, "_pt"), x, y, size)
+    cover = polygon_cover(polygons, geom, size)
+    located = at_levels(grid.with_cell(points.withColumnRenamed(point, "_pt"), x, y, size), cover)
     hit = (x.between(box["xmin"], box["xmax"]) & y.between(box["ymin"], box["ymax"])
            & (F.col("inside") | g.near_edges_contain(F.col("edges"), x, y, *cell_mark(size), F.col("middle"))))
-    return (spread_join(located, polygon_cover(polygons, geom, size), ["cx", "cy"], point_id, hit)
-            .drop("cx", "cy", "box", "inside", "edges", "middle").withColumnRenamed("_pt", point))
+    return (spread_join(located, cover, CELL_KEYS, point_id, hit)
+            .drop(*CELL_KEYS, "box", "inside", "edges", "middle").withColumnRenamed("_pt", point))
 
 
 def _clip_spans(edges: Column, ax, ay, bx, by, size: float) -> Column:
@@ -152,7 +171,7 @@ def clip_length_join(lines: DataFrame, polygons: DataFrame, line_id: Sequence[st
     box = F.col("box")
     overlap = ((F.least(ax, bx) <= box["xmax"]) & (F.greatest(ax, bx) >= box["xmin"])
                & (F.least(ay, by) <= box["ymax"]) & (F.greatest(ay, by) >= box["ymin"]))
-    near = spread_join(pieces, cover, ["cx", "cy"], [*line_id, "edge_no", "at"], overlap)
+    near = spread_join(at_levels(pieces, cover), cover, CELL_KEYS, [*line_id, "edge_no", "at"], overlap)
 
     def span_metres(s):
         return geodesy.near_distance(ax + s["t0"] * (bx - ax), ay + s["t0"] * (by - ay),
