@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from velomesh.functions import geodesy, geometry as g, measures
-from velomesh.operators import asof, dims, dissolve, grid, history, impute, nearest, quality, quantiles, skew, spatial, stats
+from velomesh.operators import asof, cover, dims, dissolve, grid, history, impute, nearest, quality, quantiles, skew, spatial, stats
 from velomesh.plans import frames, lanes as lane_plans, stations as station_plans
 
 LINE = "array<struct<x:double,y:double>>"
@@ -510,7 +510,7 @@ def test_cover_settles_every_point(spark, n, monkeypatch):
     points = spark.createDataFrame(pts, "pid int, x double, y double").select("pid", g.point(F.col("x"), F.col("y")).alias("geometry"))
     want = {i for i, x, y in pts if _inside(shell, x, y) != _inside(hole, x, y)}
     for few, size in ((0, 0.004), (8, 0.02), (8, 0.5), (10 ** 9, 0.001)):
-        monkeypatch.setattr(spatial, "FEW_EDGES", few)
+        monkeypatch.setattr(cover, "FEW_EDGES", few)
         got = spatial.contains_join(points, poly, ["pid"], geom="shape", size=size)
         assert {r.pid for r in got.collect()} == want, (few, size)
 
@@ -519,9 +519,9 @@ def test_large_polygon_has_rows_by_its_outline(spark):
     """Ten thousand vertices around a hundred thousand cells: thousands of rows, no cell with more than the edges near it."""
     ring = [(2.1 + math.cos(2 * math.pi * k / 10_000), 41.4 + math.sin(2 * math.pi * k / 10_000)) for k in range(10_000)]
     poly = spark.createDataFrame([("p", [[*ring, ring[0]]])], f"name string, shape array<{LINE}>")
-    cover = spatial.polygon_cover(poly, "shape", 0.005)
-    cells = F.pow(F.lit(float(spatial.FAN ** 2)), F.col("_lvl"))
-    row = cover.agg(F.count("*").alias("n"), F.max(F.size("edges")).alias("most"), F.countDistinct("_lvl").alias("levels"),
+    laid = cover.polygon_cover(poly, "shape", 0.005)
+    cells = F.pow(F.lit(float(cover.FAN ** 2)), F.col("_lvl"))
+    row = laid.agg(F.count("*").alias("n"), F.max(F.size("edges")).alias("most"), F.countDistinct("_lvl").alias("levels"),
                     F.sum(F.when(F.col("inside"), cells)).alias("inside")).first()
     assert row.n < 8_000 and row.most < 40 and row.levels >= 3 and row.inside == pytest.approx(math.pi / 0.005 ** 2, rel=0.02)
 

@@ -12,8 +12,8 @@ from pyspark.sql.types import StructType
 
 from velomesh.functions import geometry as g
 from velomesh.operators import grid
+from velomesh.operators.cover import CELL_KEYS, at_levels, cell_mark, polygon_cover
 from velomesh.operators.skew import spread_join
-from velomesh.operators.spatial import CELL_KEYS, at_levels, cell_mark, polygon_cover
 from velomesh.session import checkpointed
 
 # Decimals of a degree to which corners and crossings are snapped, and how near a corner must be to lie on an edge.

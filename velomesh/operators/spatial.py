@@ -9,96 +9,8 @@ from pyspark.sql import functions as F
 
 from velomesh.functions import geodesy, geometry as g
 from velomesh.operators import grid
+from velomesh.operators.cover import CELL_KEYS, at_levels, cell_mark, polygon_cover
 from velomesh.operators.skew import spread_join
-from velomesh.session import checkpointed
-
-# Cells of one level per axis of a cell of the next; edges up to which a cell at a polygon's rim is left as it is.
-FAN, FEW_EDGES = 4, 8
-# The point of a cell whose side of the polygon is known, as shares of its width; off the middle, where drawn borders rarely lie.
-MARK_X, MARK_Y = 0.4877, 0.5131
-
-
-def _width(size: float, level: Column) -> Column:
-    return F.lit(size) * F.pow(F.lit(float(FAN)), level)
-
-
-def cell_mark(size: float = grid.CELL) -> tuple[Column, Column]:
-    """The mark of a cover's cell, from its ``_lvl``, ``cx`` and ``cy``."""
-    return (F.col("cx") + MARK_X) * _width(size, F.col("_lvl")), (F.col("cy") + MARK_Y) * _width(size, F.col("_lvl"))
-
-
-def _ancestor(cell: Column, level: Column) -> Column:
-    return F.floor(cell / F.pow(F.lit(float(FAN)), level)).cast("long")
-
-
-def polygon_cover(polygons: DataFrame, geom: str = "geometry", size: float = grid.CELL) -> DataFrame:
-    """One row per (polygon, cell) with ``_lvl``, ``cx``, ``cy``, ``box``, ``inside``, ``edges`` and ``middle``; stored.
-
-    Cells of level n are ``size * FAN ** n`` wide and nest. A polygon starts with a few cells as wide as itself; cells
-    wholly inside stay as coarse as they are and need no exact test, cells at the rim are split until they have few
-    edges or the finest width. A rim cell carries the edges that touch it and whether its mark lies inside, which
-    settles every point of the cell. The rows of a polygon follow its outline, not its area.
-    """
-    keep = [c for c in polygons.columns if c != geom]
-    shaped = polygons.select(*keep, g.polygon_edges(F.col(geom)).alias("edges"), g.polygon_bounds(F.col(geom)).alias("box"))
-    box, pad = F.col("box"), grid.COVER_PAD
-    reach = F.greatest(box["xmax"] - box["xmin"], box["ymax"] - box["ymin"]) / (FAN * size)
-    shaped = shaped.withColumn("_top", F.greatest(F.lit(0), F.ceil(F.log(float(FAN), F.greatest(reach, F.lit(1.0))))).cast("int"))
-
-    def cell(level: Column, cx: Column, cy: Column, edges: Column, middle: Column) -> Column:
-        near = F.filter(edges, lambda e: g.edge_meets_box(
-            e, cx * _width(size, level) - pad, cy * _width(size, level) - pad,
-            (cx + 1) * _width(size, level) + pad, (cy + 1) * _width(size, level) + pad))
-        return F.struct(level.cast("int").alias("_lvl"), cx.alias("cx"), cy.alias("cy"), near.alias("edges"), middle.alias("middle"))
-
-    def mark(level: Column, cx: Column, cy: Column) -> tuple[Column, Column]:
-        return (cx + MARK_X) * _width(size, level), (cy + MARK_Y) * _width(size, level)
-
-    def over(xs: Column, ys: Column, make) -> Column:
-        found = F.flatten(F.transform(xs, lambda cx: F.transform(ys, lambda cy: make(cx, cy))))
-        return F.filter(found, lambda c: c["middle"] | (F.size(c["edges"]) > 0))
-
-    def first(cx: Column, cy: Column) -> Column:
-        return cell(F.col("_top"), cx, cy, F.col("edges"), g.edges_contain(F.col("edges"), *mark(F.col("_top"), cx, cy)))
-
-    def split(c: Column) -> Column:
-        level = c["_lvl"] - 1
-
-        def child(cx: Column, cy: Column) -> Column:
-            x, y = mark(level, cx, cy)
-            odd = g.between_crossings(c["edges"], x, y, *mark(c["_lvl"], c["cx"], c["cy"])) % 2 == 1
-            return cell(level, cx, cy, c["edges"], odd != c["middle"])
-        steps = [F.sequence(c[v] * FAN, c[v] * FAN + FAN - 1) for v in ("cx", "cy")]
-        return over(*steps, child)
-
-    def settled(c: Column) -> Column:
-        return (F.size(c["edges"]) <= FEW_EDGES) | (c["_lvl"] == 0)
-
-    def round_(state: Column, _: Column) -> Column:
-        return g.bind(F.flatten(F.transform(state["open"], split)), lambda cells: F.struct(
-            F.concat(state["done"], F.filter(cells, settled)).alias("done"),
-            F.filter(cells, lambda c: ~settled(c)).alias("open")))
-    spans = [F.sequence(*[_ancestor(grid.cell_of(box[f"{v}{end}"], size), F.col("_top")) for end in ("min", "max")]) for v in ("x", "y")]
-    start = g.bind(over(*spans, first), lambda cells: F.struct(
-        F.filter(cells, settled).alias("done"), F.filter(cells, lambda c: ~settled(c)).alias("open")))
-    rounds = F.when(F.col("_top") > 0, F.sequence(F.lit(1), F.col("_top"))).otherwise(F.array().cast("array<int>"))
-    cells = g.bind(start, lambda s: F.when(F.size(s["open"]) == 0, s["done"]).otherwise(F.aggregate(rounds, s, round_)["done"]))
-    c = F.col("cell")
-    return checkpointed(shaped.select(*keep, "box", F.explode(cells).alias("cell")).select(
-        *keep, c["_lvl"].alias("_lvl"), c["cx"].alias("cx"), c["cy"].alias("cy"), "box", (F.size(c["edges"]) == 0).alias("inside"),
-        c["edges"].alias("edges"), c["middle"].alias("middle")))
-
-
-def at_levels(rows: DataFrame, cover: DataFrame) -> DataFrame:
-    """Rows of finest cells (cx, cy), once for each level of the cover, with the cell of that level; ``_lvl`` names it."""
-    levels = sorted(cover.agg(F.collect_set("_lvl")).first()[0])
-    if levels in ([], [0]):
-        return rows.withColumn("_lvl", F.lit(0))
-    up = rows.withColumn("_lvl", F.explode(F.array(*[F.lit(n) for n in levels])))
-    return up.withColumns({v: _ancestor(F.col(v), F.col("_lvl")) for v in ("cx", "cy")})
-
-
-CELL_KEYS = ("_lvl", "cx", "cy")
 
 
 def contains_join(points: DataFrame, polygons: DataFrame, point_id: Sequence[str],
