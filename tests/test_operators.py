@@ -490,6 +490,50 @@ def test_lines_with_needless_vertices_are_equal(spark):
     assert row.ab and not row.ac
 
 
+def _meet(p, q):
+    """Closed intersection of two lines, by signs of exact products."""
+    from fractions import Fraction
+    turn = lambda a, b, c: (lambda v: (v > 0) - (v < 0))((b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0]))
+    exact = lambda line: [(Fraction(x), Fraction(y)) for x, y in line]
+    return any(turn(a, b, c) * turn(a, b, d) <= 0 and turn(c, d, a) * turn(c, d, b) <= 0
+               and min(a[0], b[0]) <= max(c[0], d[0]) and min(c[0], d[0]) <= max(a[0], b[0])
+               and min(a[1], b[1]) <= max(c[1], d[1]) and min(c[1], d[1]) <= max(a[1], b[1])
+               for a, b in zip(exact(p), exact(p)[1:]) for c, d in zip(exact(q), exact(q)[1:]))
+
+
+def test_partners_of_lines_of_all_lengths(spark):
+    """Lines from centimetres to degrees, copies and single points among them, against every pair."""
+    rng = random.Random(11)
+    lines = {}
+    for k in range(160):
+        step, x, y = 10 ** rng.uniform(-7, 0.2), 2.1 + rng.uniform(0, 0.02), 41.4 + rng.uniform(0, 0.02)
+        line = [(x, y)]
+        for _ in range(rng.randint(1, 4)):
+            line.append((line[-1][0] + rng.uniform(-step, step), line[-1][1] + rng.uniform(-step, step)))
+        lines[f"l{k:03}"] = line
+    for k in range(0, 40, 4):
+        lines[f"r{k}"] = lines[f"l{k:03}"][::-1]
+        lines[f"t{k}"] = [lines[f"l{k:03}"][-1], (lines[f"l{k:03}"][-1][0] + 1e-4, 41.39)]
+    df = spark.createDataFrame([(i % 2, k, v) for i, (k, v) in enumerate(sorted(lines.items()))] , f"g int, lane string, geometry {LINE}")
+    group = {k: i % 2 for i, k in enumerate(sorted(lines))}
+    same = lambda p, q: p == q or p == q[::-1]
+    for copies in (False, True):
+        got = {r.lane: r.partners for r in spatial.intersection_counts(df, ["g"], "lane", count_copies=copies).collect()}
+        want = {a: sum(group[a] == group[b] and a != b and (copies or not same(p, q)) and (same(p, q) or _meet(p, q))
+                       for b, q in lines.items()) for a, p in lines.items()}
+        assert got == want
+
+
+def test_thousands_of_lines_through_one_point(spark):
+    """Every pair meets, and what is written is one count a line."""
+    n = 3000
+    rows = spark.range(n).select(F.concat(F.lit("l"), "id").alias("lane"), F.array(
+        g.point(2.1 - F.cos("id") * 0.003, 41.4 - F.sin("id") * 0.003), g.point(F.lit(2.1), F.lit(41.4)),
+        g.point(2.1 + F.cos("id") * 0.002, 41.4 + F.sin("id") * 0.002)).alias("geometry"))
+    counts = spatial.intersection_counts(rows, [], "lane")
+    assert counts.agg(F.min("partners"), F.max("partners"), F.count("*")).first() == (n - 1, n - 1, n)
+
+
 def _star(n, cx=2.15, cy=41.4, r=0.2):
     """A ring with deep teeth."""
     return [(cx + (r if k % 2 else r * 0.35) * math.cos(2 * math.pi * k / n), cy + (r if k % 2 else r * 0.35) * math.sin(2 * math.pi * k / n)) for k in range(n)] + [

@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 
 from velomesh.functions import geodesy, geometry as g
 from velomesh.operators import grid
-from velomesh.operators.cover import CELL_KEYS, at_levels, cell_mark, polygon_cover
+from velomesh.operators.cover import CELL_KEYS, FAN, at_levels, cell_mark, polygon_cover
 from velomesh.operators.skew import spread_join
+from velomesh.session import checkpointed
+
+# The narrowest cells in which lines are compared, as a power of FAN, and lines of one cell that a task compares with the rest.
+LEAST_LEVEL, PAIR_SLICE = -4, 2000
 
 
 def contains_join(points: DataFrame, polygons: DataFrame, point_id: Sequence[str],
@@ -141,29 +145,56 @@ def connectivity_share(lines: DataFrame, by: Sequence[str], line_id: str, geom:
         F.try_divide(linked.cast("double"), n.cast("double")).alias("ratio"))
 
 
+def _by_size(shapes: DataFrame, by: Sequence[str], size: float) -> tuple[DataFrame, DataFrame]:
+    """Shapes in the cells of their boxes: (by, _w, cx, cy, ...) of each shape's own cell width, and of all widths.
+
+    A shape's own width is the least of ``size * FAN ** n`` that its box does not exceed, so it has four cells at most,
+    however long or short it is. To wider cells, as far as any shape has such, it comes as a guest.
+    """
+    boxed = shapes.select(*by, "shape_id", "n_lines", g.line_edges(F.col("geometry")).alias("edges"), g.line_bounds(F.col("geometry")).alias("box"))
+    reach = F.greatest(F.col("box.xmax") - F.col("box.xmin"), F.col("box.ymax") - F.col("box.ymin"))
+    level = F.ceil(F.log(float(FAN), F.greatest(reach, F.lit(size * FAN ** LEAST_LEVEL)) / size)).cast("int")
+    boxed = checkpointed(boxed.withColumn("_level", F.greatest(level, F.lit(LEAST_LEVEL))))
+    levels = sorted(boxed.agg(F.collect_set("_level")).first()[0])
+
+    def placed(df: DataFrame, width: Column) -> DataFrame:
+        box = F.col("box")
+        cells = F.explode(grid.box_cells(box["xmin"], box["ymin"], box["xmax"], box["ymax"], F.col("_w")))
+        return (df.withColumn("_w", width).withColumn("_c", cells)
+                .withColumns({"cx": F.col("_c.cx"), "cy": F.col("_c.cy")}).drop("_c"))
+    widths = F.filter(F.array(*[F.struct(F.lit(n).alias("n"), F.lit(size * FAN ** n).alias("w")) for n in levels]),
+                      lambda s: s["n"] >= F.col("_level")) if levels else F.array().cast("array<struct<n:int,w:double>>")
+    return placed(boxed, F.get(widths, F.lit(0))["w"]), placed(boxed.withColumn("_at", F.explode(widths)), F.col("_at.w"))
+
+
 def intersection_counts(lines: DataFrame, by: Sequence[str], line_id: str, geom: str = "geometry",
                         size: float = grid.CELL, count_copies: bool = False) -> DataFrame:
     """(by, line_id, partners): how many other lines of the group each line meets.
 
-    Pairs are kept per distinct drawing and only when they really meet; ``count_copies`` adds the
-    lines drawn exactly alike.
+    Lines are compared in cells as wide as the longer of the two. A pair shares several cells but is judged only in the one
+    that holds the lower left corner of what their boxes have in common, so it counts once without ever being
+    written; counts add up before they travel. ``count_copies`` adds the lines drawn exactly alike.
     """
-    shapes = line_shapes(lines, by, line_id, geom)
-    keys = [*by, "cx", "cy", "sx", "sy"]
-    left = _shape_cells(shapes, by, size).select(*keys, "shape_id", "edge")
-    right = left.select(*keys, F.col("shape_id").alias("other_id"), F.col("edge").alias("other_edge"))
-    pairs = (left.join(right, keys)
-             .where((F.col("shape_id") < F.col("other_id")) & g.edges_meet(F.col("edge"), F.col("other_edge")))
-             .select(*by, "shape_id", "other_id").distinct())
-    both = pairs.select(*by, F.explode(F.array(
-        F.struct(F.col("shape_id").alias("a"), F.col("other_id").alias("b")),
-        F.struct(F.col("other_id").alias("a"), F.col("shape_id").alias("b")))).alias("p"))
-    sizes = shapes.select(*by, F.col("shape_id").alias("b"), "n_lines")
-    met = (both.select(*by, F.col("p.a").alias("shape_id"), F.col("p.b").alias("b"))
-           .join(sizes, [*by, "b"]).groupBy(*by, "shape_id").agg(F.sum("n_lines").alias("_met")))
-    own = F.col("n_lines") - 1 if count_copies else F.lit(0)
+    shapes = checkpointed(line_shapes(lines, by, line_id, geom))
+    own, every = _by_size(shapes, by, size)
+    keys = [*by, "_w", "cx", "cy"]
+    other = {c: F.col(c).alias(f"_{c}") for c in ("shape_id", "n_lines", "edges", "box")}
+    hosts = own.select(*keys, *other.values())
+    guests = every.select(*keys, "shape_id", "n_lines", "edges", "box", (F.col("_at.n") == F.col("_level")).alias("_native"))
+    a, b, here = F.col("box"), F.col("_box"), lambda v: F.greatest(F.col(f"box.{v}"), F.col(f"_box.{v}"))
+    # two natives of one width meet in both roles, so one of the two orders is enough
+    judged = ((F.col("shape_id") != F.col("_shape_id")) & (~F.col("_native") | (F.col("shape_id") < F.col("_shape_id")))
+              & (a["xmin"] <= b["xmax"]) & (b["xmin"] <= a["xmax"]) & (a["ymin"] <= b["ymax"]) & (b["ymin"] <= a["ymax"])
+              & (grid.cell_of(here("xmin"), F.col("_w")) == F.col("cx")) & (grid.cell_of(here("ymin"), F.col("_w")) == F.col("cy"))
+              & F.exists("edges", lambda e: F.exists("_edges", lambda f: g.edges_meet(e, f))))
+    pairs = spread_join(guests, hosts, keys, ["shape_id"], judged, PAIR_SLICE)
+    met = (pairs.select(*by, F.explode(F.array(
+        F.struct(F.col("shape_id").alias("shape_id"), F.col("_n_lines").alias("n")),
+        F.struct(F.col("_shape_id").alias("shape_id"), F.col("n_lines").alias("n")))).alias("m"))
+        .groupBy(*by, "m.shape_id").agg(F.sum("m.n").alias("_met")))
+    own_copies = F.col("n_lines") - 1 if count_copies else F.lit(0)
     per_shape = (shapes.join(met, [*by, "shape_id"], "left")
-                 .select(*by, "drawing", (F.coalesce(F.col("_met"), F.lit(0)) + own).alias("partners")))
+                 .select(*by, "drawing", (F.coalesce(F.col("_met"), F.lit(0)) + own_copies).alias("partners")))
     drawn = lines.select(*by, line_id, g.canonical_line(F.col(geom)).alias("drawing"))
     return drawn.join(per_shape, [*by, "drawing"]).drop("drawing")
 
