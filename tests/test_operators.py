@@ -522,6 +522,9 @@ def test_partners_of_lines_of_all_lengths(spark):
         want = {a: sum(group[a] == group[b] and a != b and (copies or not same(p, q)) and (same(p, q) or _meet(p, q))
                        for b, q in lines.items()) for a, p in lines.items()}
         assert got == want
+    shapes = spatial.connected_shapes(spatial.line_shapes(df, ["g"], "lane"), ["g"])
+    linked = {r.shape_id for r in shapes.where("is_connected").collect()}
+    assert linked == {r.shape_id for r in shapes.collect() if want[r.shape_id]}
 
 
 def test_thousands_of_lines_through_one_point(spark):

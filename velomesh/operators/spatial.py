@@ -110,41 +110,6 @@ def line_shapes(lines: DataFrame, by: Sequence[str], line_id: str, geom: str = "
             .agg(F.min("_id").alias("shape_id"), F.countDistinct("_id").alias("n_lines"), F.min("geometry").alias("geometry")))
 
 
-def _shape_cells(shapes: DataFrame, by: Sequence[str], size: float) -> DataFrame:
-    edges = grid.explode_edges(shapes, "geometry", [*by, "shape_id"])
-    return grid.refine_hot_cells(grid.with_edge_cells(edges, size), by, size)
-
-
-def connected_shapes(shapes: DataFrame, by: Sequence[str], size: float = grid.CELL) -> DataFrame:
-    """``shapes`` plus ``is_connected``: another line of the same ``by`` group meets this one.
-
-    Copies connect each other. For the rest a semi-join stops at the first partner found, so no
-    pair is ever written out.
-    """
-    keys = [*by, "cx", "cy", "sx", "sy"]
-    left = _shape_cells(shapes, by, size).select(*keys, "shape_id", "edge")
-    right = left.select(*keys, F.col("shape_id").alias("other_id"), F.col("edge").alias("other_edge"))
-    on = [left[k] == right[k] for k in keys]
-    meets = (left["shape_id"] != right["other_id"]) & g.edges_meet(left["edge"], right["other_edge"])
-    for clause in on:
-        meets = meets & clause
-    met = (left.join(right, meets, "left_semi").select(*by, "shape_id").distinct()
-           .withColumn("_met", F.lit(True)))
-    return (shapes.join(met, [*by, "shape_id"], "left")
-            .withColumn("is_connected", (F.col("n_lines") > 1) | F.coalesce(F.col("_met"), F.lit(False)))
-            .drop("_met"))
-
-
-def connectivity_share(lines: DataFrame, by: Sequence[str], line_id: str, geom: str = "geometry",
-                       size: float = grid.CELL) -> DataFrame:
-    """(by, total, connected, isolated, ratio) over the lines of each group."""
-    flagged = connected_shapes(line_shapes(lines, by, line_id, geom), by, size)
-    n, linked = F.sum("n_lines"), F.sum(F.when(F.col("is_connected"), F.col("n_lines")).otherwise(0))
-    return flagged.groupBy(*by).agg(
-        n.alias("total"), linked.alias("connected"), (n - linked).alias("isolated"),
-        F.try_divide(linked.cast("double"), n.cast("double")).alias("ratio"))
-
-
 def _by_size(shapes: DataFrame, by: Sequence[str], size: float) -> tuple[DataFrame, DataFrame]:
     """Shapes in the cells of their boxes: (by, _w, cx, cy, ...) of each shape's own cell width, and of all widths.
 
@@ -167,6 +132,54 @@ def _by_size(shapes: DataFrame, by: Sequence[str], size: float) -> tuple[DataFra
     return placed(boxed, F.get(widths, F.lit(0))["w"]), placed(boxed.withColumn("_at", F.explode(widths)), F.col("_at.w"))
 
 
+def _others(shapes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return shapes.select(*keys, *[F.col(c).alias(f"_{c}") for c in ("shape_id", "n_lines", "edges", "box")])
+
+
+def _boxes_meet() -> Column:
+    a, b = F.col("box"), F.col("_box")
+    return (a["xmin"] <= b["xmax"]) & (b["xmin"] <= a["xmax"]) & (a["ymin"] <= b["ymax"]) & (b["ymin"] <= a["ymax"])
+
+
+def _lines_meet() -> Column:
+    return F.exists("edges", lambda e: F.exists("_edges", lambda f: g.edges_meet(e, f)))
+
+
+def connected_shapes(shapes: DataFrame, by: Sequence[str], size: float = grid.CELL) -> DataFrame:
+    """``shapes`` plus ``is_connected``: another line of the same ``by`` group meets this one.
+
+    Copies connect each other. The rest ask in cells as wide as the longer of two lines: semi-joins stop at the first
+    partner found, so no pair is ever written out.
+    """
+    own, every = _by_size(shapes, by, size)
+    keys = [*by, "_w", "cx", "cy"]
+    guests = every.where(F.col("_at.n") != F.col("_level"))
+    met = []
+    # lines of any width with lines at home in a cell, then those at home with their guests
+    for asking, asked in ((every, own), (own, guests)):
+        left, right = asking.select(*keys, "shape_id", "edges", "box"), _others(asked, keys)
+        for c in keys:
+            right = right.withColumnRenamed(c, f"_k{c}")
+        meets = (F.col("shape_id") != F.col("_shape_id")) & _boxes_meet() & _lines_meet()
+        for c in keys:
+            meets = meets & (F.col(c) == F.col(f"_k{c}"))
+        met.append(left.join(right, meets, "left_semi").select(*by, "shape_id"))
+    found = met[0].union(met[1]).distinct().withColumn("_met", F.lit(True))
+    return (shapes.join(found, [*by, "shape_id"], "left")
+            .withColumn("is_connected", (F.col("n_lines") > 1) | F.coalesce(F.col("_met"), F.lit(False)))
+            .drop("_met"))
+
+
+def connectivity_share(lines: DataFrame, by: Sequence[str], line_id: str, geom: str = "geometry",
+                       size: float = grid.CELL) -> DataFrame:
+    """(by, total, connected, isolated, ratio) over the lines of each group."""
+    flagged = connected_shapes(line_shapes(lines, by, line_id, geom), by, size)
+    n, linked = F.sum("n_lines"), F.sum(F.when(F.col("is_connected"), F.col("n_lines")).otherwise(0))
+    return flagged.groupBy(*by).agg(
+        n.alias("total"), linked.alias("connected"), (n - linked).alias("isolated"),
+        F.try_divide(linked.cast("double"), n.cast("double")).alias("ratio"))
+
+
 def intersection_counts(lines: DataFrame, by: Sequence[str], line_id: str, geom: str = "geometry",
                         size: float = grid.CELL, count_copies: bool = False) -> DataFrame:
     """(by, line_id, partners): how many other lines of the group each line meets.
@@ -178,15 +191,14 @@ def intersection_counts(lines: DataFrame, by: Sequence[str], line_id: str, geom:
     shapes = checkpointed(line_shapes(lines, by, line_id, geom))
     own, every = _by_size(shapes, by, size)
     keys = [*by, "_w", "cx", "cy"]
-    other = {c: F.col(c).alias(f"_{c}") for c in ("shape_id", "n_lines", "edges", "box")}
-    hosts = own.select(*keys, *other.values())
+    hosts = _others(own, keys)
     guests = every.select(*keys, "shape_id", "n_lines", "edges", "box", (F.col("_at.n") == F.col("_level")).alias("_native"))
-    a, b, here = F.col("box"), F.col("_box"), lambda v: F.greatest(F.col(f"box.{v}"), F.col(f"_box.{v}"))
+    here = lambda v: F.greatest(F.col(f"box.{v}"), F.col(f"_box.{v}"))
     # two natives of one width meet in both roles, so one of the two orders is enough
     judged = ((F.col("shape_id") != F.col("_shape_id")) & (~F.col("_native") | (F.col("shape_id") < F.col("_shape_id")))
-              & (a["xmin"] <= b["xmax"]) & (b["xmin"] <= a["xmax"]) & (a["ymin"] <= b["ymax"]) & (b["ymin"] <= a["ymax"])
+              & _boxes_meet()
               & (grid.cell_of(here("xmin"), F.col("_w")) == F.col("cx")) & (grid.cell_of(here("ymin"), F.col("_w")) == F.col("cy"))
-              & F.exists("edges", lambda e: F.exists("_edges", lambda f: g.edges_meet(e, f))))
+              & _lines_meet())
     pairs = spread_join(guests, hosts, keys, ["shape_id"], judged, PAIR_SLICE)
     met = (pairs.select(*by, F.explode(F.array(
         F.struct(F.col("shape_id").alias("shape_id"), F.col("_n_lines").alias("n")),
