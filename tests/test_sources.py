@@ -3,6 +3,8 @@
 import json
 import struct
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,3 +127,52 @@ def test_monthly_reload_replaces_only_its_months(spark, tmp_path):
     tables.write_monthly(base, path, "d")
     tables.write_monthly(base.where("v = 2").withColumn("v", F.lit(9)), path, "d")
     assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 9]
+
+
+def _plain_csv(folder):
+    """Every record of every file by Python's own reader, as name to value."""
+    import csv
+    out = []
+    for file in sorted(folder.rglob("*.csv")):
+        with open(file, newline="") as f:
+            header, *records = [r for r in csv.reader(f) if r]
+        out += [{k: v for k, v in zip(header, r) if v != ""} for r in records]
+    return sorted(out, key=str)
+
+
+def test_quoted_breaks_across_blocks(spark, tmp_path):
+    """Records over many lines and many small blocks, stray quotes, doubled quotes, files without any."""
+    rng = random.Random(5)
+    value = lambda: rng.choice(["x", "7.5", "", '"a\nb"', '"say ""hi""\n\n,ok"', 'in"ch', '"q"', '"\n"', '"' + "long\n" * rng.randint(1, 60) + '"'])
+    for k, header in enumerate(("id,a,b", "b,id", "a,c,id,b", "id")):
+        n = header.count(",") + 1
+        rows = [",".join(f"{k}-{i}" if c == "id" else value() for c in header.split(",")) for i in range(120)]
+        (tmp_path / f"f{k}.csv").write_text(header + "\n" + "\n".join(rows) + "\n")
+        assert n
+    keep = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        df = tabular.scan_csv_folder(spark, str(tmp_path))
+        assert df.columns[:4] == ["a", "b", "c", "id"]
+        got = sorted(({k: v for k, v in r.asDict().items() if k in "abcid" and v not in (None, "")} for r in df.collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
+    assert [{k: r[k] for k in sorted(r)} for r in got] == sorted(([{k: r[k] for k in sorted(r)} for r in _plain_csv(tmp_path)]), key=str)
+
+
+def test_headers_cost_one_scan(spark, tmp_path):
+    for k in range(6):
+        (tmp_path / f"f{k}.csv").write_text(f"id,c{k}\n{k},x{k}\n")
+    df = tabular.scan_csv_folder(spark, str(tmp_path))
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan text") == 1
+    assert {(r.id, r[f"c{r.id}"]) for r in df.collect()} == {(str(k), f"x{k}") for k in range(6)} and len(df.columns) == 10
+    empty = tmp_path / "none"
+    empty.mkdir()
+    (empty / "e.csv").write_text("")
+    assert tabular.scan_csv_folder(spark, str(empty)).count() == 0
+
+
+def test_missing_columns_are_reported(spark, caplog):
+    with caplog.at_level("WARNING"):
+        tabular.project(spark.range(1), ["id", "gone"])
+    assert "gone" in caplog.text

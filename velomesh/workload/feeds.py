@@ -50,13 +50,35 @@ def csv_of_years(spark: SparkSession, folder: str) -> DataFrame:
     """One CSV folder, a year in each file's name; two years are read."""
     base = shared_folder(spark, "yearly")
     rows = v.information(spark, folder).select("o_orderkey", "station_id", F.year("last_updated").alias("year"))
-    for year in (1995, 1996, 1997, 1998):
+    for (year,) in rows.select("year").distinct().collect():
         rows.where(F.col("year") == year).write.option("header", "true").csv(f"{base}/{year % 2}/{year}")
         _named(spark, f"{base}/{year % 2}/{year}", f"{year}_information")
     read = tabular.scan_csv_folder(spark, base, years=[1996, 1998])
     return read.select(F.col("o_orderkey").cast("bigint"), F.col("station_id").cast("int"), F.col("year").cast("int"))
 
 
+@register("quoted_breaks", "S1 S2 U2", """
+SELECT s_suppkey, 'line' || chr(10) || CASE WHEN s_suppkey % 3 = 0 THEN chr(10) || '"' || s_name || '", ' || s_suppkey ELSE s_name END AS note,
+  CASE WHEN s_suppkey % 2 = 1 THEN 'inch "' || s_suppkey END AS size, CASE WHEN s_suppkey % 2 = 0 THEN s_nationkey END AS nation FROM supplier""")
+def quoted_breaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Two CSV generations whose quoted values hold line breaks, empty lines, commas and quotes, as in RFC 4180."""
+    base = shared_folder(spark, "notes")
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    odd = F.concat(F.lit('\n"'), "s_name", F.lit('", '), F.col("s_suppkey").cast("string"))
+    rows = v.table(spark, folder, "supplier").select("s_suppkey", "s_nationkey", F.concat(F.lit("line\n"), F.when(
+        F.col("s_suppkey") % 3 == 0, odd).otherwise(F.col("s_name"))).alias("note"))
+    text = lambda *parts: F.concat_ws(",", *parts).alias("value")
+    key = F.col("s_suppkey").cast("string")
+    for name, header, part in (
+            ("a", "s_suppkey,note,nation", rows.where("s_suppkey % 2 = 0").select(text(key, quoted("note"), F.col("s_nationkey").cast("string")))),
+            ("b", "note,size,s_suppkey", rows.where("s_suppkey % 2 = 1").select(text(quoted("note"), quoted(F.concat(F.lit('inch "'), key)), key)))):
+        # one file a generation, the header first
+        head = spark.range(1).select(F.lit(header).alias("value"))
+        head.unionByName(part).coalesce(1).write.text(f"{base}/{name}")
+    read = tabular.scan_csv_union(spark, base, pattern="*.txt")
+    return read.select(F.col("s_suppkey").cast("bigint"), "note", "size", F.col("nation").cast("bigint"))
+
+
 # Files of 2,500 events; every fourth has no station column.
 _FILES = """SELECT event_id, event_id // 2500 AS file, CASE WHEN event_id // 2500 % 4 <> 3 THEN user_id % 3 END AS station,
   CASE WHEN event_id % 50 <> 7 THEN time_bucket(INTERVAL '10 minutes', ts) END AS bucket FROM events"""
