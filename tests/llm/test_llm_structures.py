@@ -26,7 +26,7 @@ def odd_rows(seed):
              rng.choice(["s", "s", "t", None, "Ü"]), rng.choice([None, k])) for k in range(150)]
     rows += [(k, "The cat sat on the mat.\nOf course\n\n", "en", "s", 1) for k in range(200, 260)]
     rows += [(None, None, None, None, None), (None, "a\nb", "en", "s", 2), (7, None, "en", "s", 0), (8, "", "und", "", 0),
-             (-5, "below\nzero", "en", "lone", 3), (9, "word " * 40_000 + "\n" * 500, "fr", "s", 1), rows[3], rows[3], rows[200]]
+             (-5, "below\nzero", "en", "lone", 3), (9, ("word " * 300 + "\n") * 150 + "\n" * 500, "fr", "s", 1), rows[3], rows[3], rows[200]]
     return rows
 
 
@@ -84,7 +84,7 @@ def test_saturated_sieve_changes_no_count(spark, monkeypatch):
     rows = odd_rows(6)
     monkeypatch.setattr(phrase_rollup, "BLOCK_BYTES", 2_000)
     docs = spark.createDataFrame(rows, DOCS)
-    assert len(phrase_rollup.pair_sieve(docs.selectExpr("coalesce(lang, 'und') lang", "coalesce(text, '') text"), 1)) <= 64
+    assert len(phrase_rollup.run_sieve(docs.selectExpr("coalesce(lang, 'und') lang", "coalesce(text, '') text"), 2, 1)) <= 64
     got = {(r.lang, tuple(r.words)): r.n for r in phrase_rollup.marginal_counts(docs, 3).collect() if r.n}
     assert got == {k: n for k, n in plain_counts(rows).items() if n >= 3 or (not k[1] and n)}
 

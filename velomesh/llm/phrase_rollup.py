@@ -4,10 +4,10 @@ Every word starts one window: itself and the words that lead behind it in its pi
 these longest windows are counted; ``GROUP BY lang, ROLLUP (w1, w2, w3, w4)`` then sums them up over ever
 shorter prefixes, which gives the count of every phrase, every word and every language at once.
 
-Most windows of four words are seen once. A phrase that counts holds only pairs that count, so a sieve goes first:
-pairs are counted by a 64-bit hash, and the frequent ones set bits in a map of bounded size. A window is padded
-from its first pair that is surely too rare. The map may let rare pairs through, which costs work but
-changes no result: all counts come from the windows.
+Most windows of four words are seen once. A phrase that counts holds only pairs and triples that count, so sieves go
+first: pairs are counted by a 64-bit hash, and the frequent ones set bits in a map of bounded size; then
+triples whose pairs passed. A window is padded from the first word that surely makes it too rare. The
+maps may let rare runs through, which costs work but changes no result: all counts come from the windows.
 
 Defined results: a null text is empty, a null language ``und``; words are cut at blanks and tabs, pieces at
 marks and line ends; an empty table gives an empty result; other columns are ignored.
@@ -15,7 +15,8 @@ marks and line ends; an empty table gives an empty result; other columns are ign
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import itertools
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ TOP = 4
 COLUMNS = tuple(f"w{k}" for k in range(1, TOP + 1))
 #: Text handled at once, in bytes; rows read and handed on at once.
 BLOCK_BYTES, READ_ROWS, WRITE_ROWS = 1_000_000, 64, 20_000
-#: Bits of the sieve for each frequent pair, and at most (32 MB).
+#: Bits of a sieve for each frequent run of words, and at most (32 MB).
 SIEVE_ROOM, SIEVE_BITS = 64, 1 << 28
 #: Slices in which the best phrases of a language are found before they meet.
 SLICES = 64
@@ -84,48 +85,62 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, list[str
         yield Words(texts, np.array(langs)), list(names)
 
 
-def _pair_hashes(words: Words, names: list[str]) -> np.ndarray:
-    """Hash of each word with the next one and its language, whether they are joined or not."""
+def _runs(words: Words, names: list[str], sieves: Sequence[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For two, three, ... words on from each word: whether they may be a frequent run of one piece, and their hash.
+
+    Runs of the lengths that have a sieve are tested by it; a longer one is possible where its two shorter ones are.
+    """
     own = np.fromiter(map(xxhash.xxh3_64_intdigest, words.list.to_pylist()), np.uint64, len(words.list))
     tongue = np.fromiter((xxhash.xxh3_64_intdigest(n.encode()) for n in names), np.uint64, len(names))
     own = own[words.ids]
     with np.errstate(over="ignore"):
-        x = (own[:-1] ^ tongue[words.lang[:-1]]) * np.uint64(0x9E3779B97F4A7C15) + own[1:]
-        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        return x ^ (x >> np.uint64(32))
-
-
-def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for words, names in _blocks(batches):
-        if words.joined.any():
-            pairs, n = np.unique(_pair_hashes(words, names)[words.joined], return_counts=True)
-            for at in range(0, len(pairs), WRITE_ROWS):
-                few = slice(at, at + WRITE_ROWS)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[few].view(np.int64)), pa.array(n[few].astype(np.int64))],
-                                                 names=["pair", "n"])
+        run, open_ = own ^ tongue[words.lang], words.joined
+        for k in range(1, min(TOP, len(own))):
+            run = run[:-1] * np.uint64(0x9E3779B97F4A7C15) + own[k:]
+            run = (run ^ (run >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+            run ^= run >> np.uint64(32)
+            if k > 1:
+                open_ = open_[:-1] & open_[1:]
+            if k <= len(sieves):
+                open_ = open_ & _passes(sieves[k - 1], run)
+            yield open_, run
+
+
+def _count_runs(sieves: Broadcast | None, length: int):
+    """(run, n): hashes of runs of ``length`` words that the sieves of shorter runs let through."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for words, names in _blocks(batches):
+            for open_, run in itertools.islice(_runs(words, names, sieves.value if sieves else []), length - 2, length - 1):
+                runs, n = np.unique(run[open_], return_counts=True)
+                for at in range(0, len(runs), WRITE_ROWS):
+                    few = slice(at, at + WRITE_ROWS)
+                    yield pa.RecordBatch.from_arrays([pa.array(runs[few].view(np.int64)), pa.array(n[few].astype(np.int64))],
+                                                     names=["run", "n"])
+    return count
 
 
-def pair_sieve(docs: DataFrame, least: int) -> np.ndarray:
-    """Bits by pair hash, as 64-bit words: set for every pair with ``least`` occurrences, and by chance for few others.
+def run_sieve(docs: DataFrame, length: int, least: int, shorter: Sequence[np.ndarray] = ()) -> np.ndarray:
+    """Bits by hash of ``length`` words, as 64-bit words: set for all that occur ``least`` times, and by chance for few others.
 
-    The map has ``SIEVE_ROOM`` bits for each frequent pair, up to ``SIEVE_BITS`` altogether, whatever the
+    The map has ``SIEVE_ROOM`` bits for each frequent run, up to ``SIEVE_BITS`` altogether, whatever the
     input; it is put together by the tasks and at most that large when it reaches the driver.
     """
-    pairs = docs.mapInArrow(_count_pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    frequent = stored(pairs.where(F.col("n") >= least).select("pair"), "phrase-pairs")
+    known = docs.sparkSession.sparkContext.broadcast(list(shorter)) if shorter else None
+    runs = docs.mapInArrow(_count_runs(known, length), "run long, n long").groupBy("run").agg(F.sum("n").alias("n"))
+    frequent = stored(runs.where(F.col("n") >= least).select("run"), "phrase-runs")
     bits = 1 << 12
     while bits < min(frequent.count() * SIEVE_ROOM, SIEVE_BITS):
         bits *= 2
-    place = F.col("pair").bitwiseAND(F.lit(bits - 1))
+    place = F.col("run").bitwiseAND(F.lit(bits - 1))
     cells = (frequent.groupBy(F.shiftright(place, 6).alias("cell"))
-             .agg(F.bit_or(F.expr(f"shiftleft(1L, cast((pair & {bits - 1}) & 63 AS INT))")).alias("bits")).toArrow())
+             .agg(F.bit_or(F.expr(f"shiftleft(1L, cast((run & {bits - 1}) & 63 AS INT))")).alias("bits")).toArrow())
     sieve = np.zeros(bits // 64, np.uint64)
     sieve[cells.column("cell").to_numpy()] = cells.column("bits").to_numpy().view(np.uint64)
     return sieve
 
 
-def _passes(sieve: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-    place = pairs & np.uint64(len(sieve) * 64 - 1)
+def _passes(sieve: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    place = runs & np.uint64(len(sieve) * 64 - 1)
     return (sieve[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
@@ -135,22 +150,19 @@ def _combine(left: np.ndarray, right: np.ndarray, width: int) -> tuple[np.ndarra
     return number, one
 
 
-def _windows(sieve: Broadcast):
+def _windows(sieves: Broadcast):
     """(lang, w1, w2, w3, w4, n): the padded windows of each block, counted."""
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words, names in _blocks(batches):
             if not len(words.ids):
                 continue
-            follows = words.joined & _passes(sieve.value, _pair_hashes(words, names)) if len(words.ids) > 1 else words.joined
             pad, n = len(words.list), len(words.ids)
-            leads, open_ = [words.ids], np.ones(n, bool)
-            for k in range(1, TOP):
-                # the k-th word ahead belongs to the window while every pair up to it passes
-                open_[:n - k] &= follows[k - 1:]
-                open_[n - k:] = False
+            leads = [words.ids]
+            for k, (open_, _) in enumerate(_runs(words, names, sieves.value), 1):
                 lead = np.full(n, pad, np.int64)
-                lead[:n - k] = np.where(open_[:n - k], words.ids[k:], pad)
+                lead[:n - k] = np.where(open_, words.ids[k:], pad)
                 leads.append(lead)
+            leads += [np.full(n, pad, np.int64)] * (TOP - len(leads))
             number, row = words.lang.astype(np.int64), None
             for lead in leads:
                 number, row = _combine(number, lead, pad + 1)
@@ -173,9 +185,11 @@ def marginal_counts(docs: DataFrame, least: int) -> DataFrame:
     """
     spark = docs.sparkSession
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    sieve = spark.sparkContext.broadcast(pair_sieve(texts, least))
+    sieves: list[np.ndarray] = []
+    for length in range(2, TOP):
+        sieves.append(run_sieve(texts, length, least, sieves))
     schema = f"lang string, {', '.join(f'{c} string' for c in COLUMNS)}, n long"
-    longest = texts.mapInArrow(_windows(sieve), schema).groupBy("lang", *COLUMNS).agg(F.sum("n").alias("n"))
+    longest = texts.mapInArrow(_windows(spark.sparkContext.broadcast(sieves)), schema).groupBy("lang", *COLUMNS).agg(F.sum("n").alias("n"))
     names = ", ".join(COLUMNS)
     summed = spark.sql(f"SELECT lang, {names}, {TOP} - bit_count(grouping_id()) AS size, sum(n) AS n "
                        f"FROM {{longest}} GROUP BY lang, ROLLUP ({names})", longest=longest)
