@@ -537,6 +537,16 @@ def test_thousands_of_lines_through_one_point(spark):
     assert counts.agg(F.min("partners"), F.max("partners"), F.count("*")).first() == (n - 1, n - 1, n)
 
 
+def test_density_of_a_long_lane(spark):
+    """A lane across thousands of boxes counts in those it touches; what is unfolded follows its length."""
+    rows = [("long", [(0.0, 0.0), (20.0, 20.0)]), ("short", [(3.001, 3.004), (3.012, 3.004)])]
+    df = spark.createDataFrame(rows, f"lane string, geometry {LINE}")
+    got = {(r.cell_x, r.cell_y): r.line_count for r in spatial.grid_density(df, "lane").collect()}
+    # at a corner that two diagonal boxes share, the other two may or may not be touched
+    assert got[300, 300] == 2 and got[301, 300] >= 1 and 2000 <= sum(n == 1 for n in got.values()) <= 6002
+    assert all(abs(x - y) <= 1 for x, y in got)
+
+
 def _star(n, cx=2.15, cy=41.4, r=0.2):
     """A ring with deep teeth."""
     return [(cx + (r if k % 2 else r * 0.35) * math.cos(2 * math.pi * k / n), cy + (r if k % 2 else r * 0.35) * math.sin(2 * math.pi * k / n)) for k in range(n)] + [

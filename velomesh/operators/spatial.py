@@ -222,9 +222,8 @@ def grid_density(lines: DataFrame, line_id: str, geom: str = "geometry", step: f
                  F.max("b.xmax").alias("east"), F.max("b.ymax").alias("north")))
     placed = edges.withColumn("o", corner.scalar())
     ax, ay, bx, by = (F.col(f"edge.{k}") for k in ("ax", "ay", "bx", "by"))
-    pad = grid.COVER_PAD
-    cells = grid.box_cells(F.least(ax, bx) - pad, F.least(ay, by) - pad, F.greatest(ax, bx) + pad,
-                           F.greatest(ay, by) + pad, step, F.col("o.x"), F.col("o.y"))
+    ox, oy = F.col("o.x"), F.col("o.y")
+    cells = grid.edge_cells(g.edge(ax - ox, ay - oy, bx - ox, by - oy), step)
     boxed = (placed.withColumn("c", F.explode(cells))
              .withColumn("xmin", F.col("o.x") + F.col("c.cx") * step)
              .withColumn("ymin", F.col("o.y") + F.col("c.cy") * step))

@@ -67,10 +67,14 @@ def lane_type_distribution(lanes: DataFrame) -> DataFrame:
 
 
 def clean_income(raw: DataFrame, section_width: int = 3) -> DataFrame:
-    """Tract code and income scaled to 0..1 over the whole table, all years together."""
+    """Tract code and income scaled to 0..1 over the whole table, all years together.
+
+    The neighbourhood's number, where the files have one, becomes its code of two digits.
+    """
     euros = F.col("import_euros").try_cast("double")
     span = raw.agg(F.struct(F.min(euros).alias("lo"), F.max(euros).alias("hi"))).scalar()
-    coded = raw.select("any", p.tract_code_from_income(F.col("codi_districte"), F.col("seccio_censal"),
+    places = [p.padded_code(F.col("codi_barri").try_cast("int"), 2).alias("codi_barri")] if "codi_barri" in raw.columns else []
+    coded = raw.select("any", *places, p.tract_code_from_income(F.col("codi_districte"), F.col("seccio_censal"),
                                                        section_width).alias("seccio_censal"), euros.alias("import_euros")).withColumn("_s", span)
     return coded.withColumn("income_norm", measures.min_max(
         F.col("import_euros"), F.col("_s.lo"), F.col("_s.hi")).cast("decimal(18,6)")).drop("_s")

@@ -308,6 +308,14 @@ def tract_codes(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(t.select("sec_cens", "districte", "barri", "area", code.alias("income_code")), 6, "area")
 
 
+@register("income_neighbourhoods", "P10 Q4", f"""
+SELECT strftime("any", {DAY}) AS "any", seccio_censal, lpad(CAST(1 + (seccio_censal % 10000000) // 180 AS VARCHAR), 2, '0') AS codi_barri FROM income""")
+def income_neighbourhoods(spark: SparkSession, folder: str) -> DataFrame:
+    """Incomes with the codes of tract and neighbourhood, as the boundary layers write them."""
+    raw = v.raw_income(spark, folder).withColumn("codi_barri", F.expr("CAST(1 + seccio_censal DIV 180 AS INT)"))
+    return cleaning.clean_income(raw, v.SECTION_WIDTH).select("any", "seccio_censal", "codi_barri")
+
+
 @register("income_normalised", "P18 A6 Q4", f"""
 SELECT strftime("any", {DAY}) AS "any", seccio_censal, import_euros, CAST(income_norm AS DOUBLE) AS income_norm FROM income""")
 def income_normalised(spark: SparkSession, folder: str) -> DataFrame:
