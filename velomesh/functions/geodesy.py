@@ -203,10 +203,6 @@ def utm_line(line: Column) -> Column:
     return reproject_line(line, WGS84, UTM31_WGS84)
 
 
-def utm_length(line: Column) -> Column:
-    return g.line_length(utm_line(line))
-
-
 def flat_sinuosity(flat: Column) -> Column:
     """Length over straight distance of a projected line; 1 for closed or single-vertex lines."""
     a, b = g.start_point(flat), g.end_point(flat)

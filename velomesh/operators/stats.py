@@ -192,7 +192,3 @@ def dense_fill(df: DataFrame, dim_a: DataFrame, a: str, dim_b: DataFrame, b: str
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), frames)
-
-
-def total_share(part: Column, whole: Column) -> Column:
-    return F.round(F.try_divide(100.0 * part, whole), 2)

@@ -253,9 +253,7 @@ def frame_with_all_areas(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(areas, 6, "avg_bike_availability")
 
 
-_EQUITY = """WITH capacity AS (SELECT station_id, arg_max(capacity, last_updated) AS capacity FROM (SELECT station_id, last_updated, capacity FROM information WHERE capacity IS NOT NULL
-    UNION ALL SELECT station_id, last_updated, NULL FROM information WHERE capacity IS NULL) GROUP BY 1),
-latest AS (SELECT station_id, capacity FROM (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY last_updated DESC) AS rn FROM information) WHERE rn = 1),
+_EQUITY = """WITH latest AS (SELECT station_id, capacity FROM (SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY last_updated DESC) AS rn FROM information) WHERE rn = 1),
 per_tract AS (SELECT census_tract_id, district_name, sum(capacity) AS cap FROM latest JOIN areas USING (station_id) GROUP BY 1, 2),
 da AS (SELECT district_name, sum(census_tract_area) AS area FROM location GROUP BY 1),
 m AS (SELECT p.district_name, year, CAST(sum(population) AS BIGINT) AS total_population, avg(income_euros) AS avg_income, CAST(sum(cap) AS BIGINT) AS total_capacity, area,
