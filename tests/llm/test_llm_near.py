@@ -1,6 +1,5 @@
 """Near-duplicate and substring operators against brute force."""
 
-import hashlib
 import random
 
 import numpy as np
@@ -167,28 +166,52 @@ def prose(seed, words):
 
 
 def plain_dedup(rows, least=chunk_dedup.LEAST_BYTES):
-    """Chunk by chunk: what is kept, and the stretches cut."""
-    first = {}
-    parts = {}
-    for n, (i, t) in enumerate(rows):
-        raw, start, parts[n] = (t or "").encode(), 0, []
-        for e in plain_borders(raw):
-            d = hashlib.sha256(raw[start:e]).digest()
-            parts[n].append((start, e, d))
-            first[d] = min(first.get(d, (1, 0)), (i is None, i or 0))
-            start = e
+    """Chunk by chunk: the first copy of a digest stays; each other is compared with it byte by byte to both sides.
+
+    What touches is one stretch; a stretch of ``least`` bytes or more is cut.
+    """
+    def whole(raw, at):
+        return at >= len(raw) or raw[at] & 0xC0 != 0x80
+
+    raws = [(t or "").encode() for _, t in rows]
+    # documents by identity, none last, then by the text's hash as a signed number
+    own = [(i is None, i or 0, (h := xxhash.xxh64_intdigest(raw, 42)) - (h >> 63 << 64)) for (i, _), raw in zip(rows, raws)]
+    first, parts = {}, []
+    for me, raw in zip(own, raws):
+        ends = plain_borders(raw)
+        parts.append(list(zip([0, *ends], ends)))
+        for s, e in parts[-1]:
+            first[raw[s:e]] = min(first.get(raw[s:e], (me, s)), (me, s))
+    text_of = dict(zip(own, raws))
     out = []
-    for n, (i, t) in enumerate(rows):
-        seen, cuts = set(), []
-        for s, e, d in parts[n]:
-            if first[d] < (i is None, i or 0) or d in seen:
-                cuts = cuts[:-1] + [(cuts[-1][0], e)] if cuts and cuts[-1][1] == s else cuts + [(s, e)]
-            seen.add(d)
+    for me, raw, cut, (i, t) in zip(own, raws, parts, rows):
+        wide = []
+        for s, e in cut:
+            where, there = first[raw[s:e]]
+            if (where, there) == (me, s):
+                continue
+            kept, left, right = text_of[where], 0, 0
+            while left < min(s, there, chunk_dedup.WINDOW) and raw[s - left - 1] == kept[there - left - 1]:
+                left += 1
+            far = there + e - s
+            while right < min(len(raw) - e, len(kept) - far, chunk_dedup.WINDOW) and raw[e + right] == kept[far + right]:
+                right += 1
+            while not whole(raw, s - left):
+                left -= 1
+            while not whole(raw, e + right):
+                right -= 1
+            wide.append((s - left, e + right))
+        cuts = []
+        for s, e in sorted(wide):
+            if cuts and cuts[-1][1] >= s:
+                cuts[-1] = (cuts[-1][0], max(cuts[-1][1], e))
+            else:
+                cuts.append((s, e))
         cuts = [c for c in cuts if c[1] - c[0] >= least]
-        raw = bytearray((t or "").encode())
+        left = bytearray(raw)
         for s, e in reversed(cuts):
-            del raw[s:e]
-        out.append((i, None if t is None else raw.decode(), [tuple(c) for c in cuts]))
+            del left[s:e]
+        out.append((i, None if t is None else left.decode(), cuts))
     return out
 
 
