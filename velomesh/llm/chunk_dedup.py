@@ -10,9 +10,9 @@ kept copy, up to ``WINDOW`` bytes. Two short hashes of the bytes beside each chu
 ``NEAR`` bytes at all, so that only runs that may become long enough are looked up. Runs that then touch are one stretch; stretches of at least ``least_bytes`` are
 cut out. Every byte cut equals one of an earlier place, so one copy always stays.
 
-Only a count and a least place per digest go through the first shuffle, added up before it; only
-chunks that repeat go through the second, whose hot digests Spark can split. Texts travel twice: to what is asked
-of the kept copies, and to the stretches cut from them.
+Only counts of 64 digest bits go through the first shuffle, added up before it. Chunks then meet the digests counted more
+than once in a semi-join, whose hot digests Spark can split; places and kept copies are settled, by the whole digest, among
+what is left. Texts travel twice: to what is asked of the kept copies, and to the stretches cut from them.
 
 Defined results: a null text stays null, an empty one empty, both without chunks; rows of equal identity and equal
 text are one document and get the same result; a null identity comes after all others, different texts of equal or
@@ -44,6 +44,8 @@ WINDOW, NEAR = 512, 16
 #: Stands for a null identity, after all others.
 LAST = (1 << 63) - 1
 
+#: A digest of 96 bits.
+DIGEST = np.dtype([("d1", "<i8"), ("d2", "<u4")])
 _GEAR = np.random.default_rng(2016).integers(0, 1 << 32, 256, dtype=np.uint32)
 
 
@@ -78,10 +80,28 @@ def borders(raw: bytes) -> list[int]:
     return out
 
 
+def _digests(raw: bytes, ends: list[int]) -> bytes:
+    """Digests of a text's chunks, 96 bits each."""
+    return b"".join([hashlib.blake2b(raw[s:e], digest_size=12).digest() for s, e in zip([0, *ends], ends)])
+
+
+def heads(docs: DataFrame) -> DataFrame:
+    """The first 64 bits of each chunk's digest, one row per chunk: all that is counted."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column("text").to_pylist()
+            for at in range(0, len(texts), 1000):
+                found = np.frombuffer(b"".join(_digests(raw, borders(raw)) for raw in texts[at:at + 1000] if raw), DIGEST)
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(found["d1"]))], ["d1"])
+
+    return docs.select(F.col("text").cast("string").cast("binary").alias("text")).mapInArrow(run, "d1 long")
+
+
 def chunks(docs: DataFrame) -> DataFrame:
-    """One row per chunk: place (identity), text_hash, at, size, digest as two longs.
+    """One row per chunk: place (identity), text_hash, at, d1, rest.
 
-    ``at`` holds the start in its upper half, and below it 16 bits each of the hashes of the bytes before and after.
+    ``at`` holds the start in its upper half, and below it 16 bits each of the hashes of the bytes before and after;
+    ``d1`` the first 64 bits of the digest, ``rest`` the size in its upper half and the other 32 bits of the digest.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -90,21 +110,22 @@ def chunks(docs: DataFrame) -> DataFrame:
             for at in range(0, len(texts), 1000):
                 rows, ats, sizes, digests = [], [], [], []
                 for k, raw in enumerate(texts[at:at + 1000], at):
-                    start = 0
-                    for end in borders(raw or b""):
+                    ends, start = borders(raw or b""), 0
+                    digests.append(_digests(raw or b"", ends))
+                    rows.append(np.full(len(ends), k, np.int64))
+                    for end in ends:
                         before = zlib.crc32(raw[max(0, start - NEAR):start]) & 0xFFFF
-                        rows.append(k), sizes.append(end - start)
                         ats.append(start << 32 | before << 16 | zlib.crc32(raw[end:end + NEAR]) & 0xFFFF)
-                        digests.append(hashlib.blake2b(raw[start:end], digest_size=16).digest())
+                        sizes.append(end - start)
                         start = end
-                two = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-                rows = np.array(rows, np.int64)
+                found = np.frombuffer(b"".join(digests), DIGEST)
+                row = np.concatenate(rows)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(place[rows]), pa.array(text_hash[rows]), pa.array(ats, pa.int64()), pa.array(sizes, pa.int32()),
-                     pa.array(two[:, 0]), pa.array(two[:, 1])],
-                    ["place", "text_hash", "at", "size", "d1", "d2"])
+                    [pa.array(place[row]), pa.array(text_hash[row]), pa.array(ats, pa.int64()),
+                     pa.array(np.ascontiguousarray(found["d1"])), pa.array(np.array(sizes, np.int64) << 32 | found["d2"])],
+                    ["place", "text_hash", "at", "d1", "rest"])
 
-    return _placed(docs).drop("doc_id").mapInArrow(run, "place long, text_hash long, at long, size int, d1 long, d2 long")
+    return _placed(docs).drop("doc_id").mapInArrow(run, "place long, text_hash long, at long, d1 long, rest long")
 
 
 def _placed(docs: DataFrame) -> DataFrame:
@@ -116,14 +137,14 @@ def _placed(docs: DataFrame) -> DataFrame:
 
 def repeats(docs: DataFrame) -> DataFrame:
     """Chunks that repeat an earlier one: (place, text_hash, at, size) and the kept copy's (kept_in, kept_hash, kept_at)."""
-    found = chunks(docs)
+    often = heads(docs).groupBy("d1").agg(F.count("*").alias("n")).where("n > 1").select("d1")
+    often = stored(often, "chunk-digests")
+    found = stored(chunks(docs).join(often, "d1", "left_semi"), "chunk-repeats")
     copy = F.struct("place", "text_hash", "at")
-    shared = (found.groupBy("d1", "d2").agg(F.min(copy).alias("kept"), F.count("*").alias("n"))
-              .where("n > 1").select("d1", "d2", "kept"))
-    shared = stored(shared, "chunk-digests")
-    return found.join(shared, ["d1", "d2"]).where(copy > F.col("kept")).select(
-        "place", "text_hash", "at", "size", F.col("kept.place").alias("kept_in"), F.col("kept.text_hash").alias("kept_hash"),
-        F.col("kept.at").alias("kept_at"))
+    first = found.groupBy("d1", "rest").agg(F.min(copy).alias("kept"), F.count("*").alias("n")).where("n > 1").drop("n")
+    return found.join(first, ["d1", "rest"]).where(copy > F.col("kept")).select(
+        "place", "text_hash", "at", F.shiftright("rest", 32).cast("int").alias("size"), F.col("kept.place").alias("kept_in"),
+        F.col("kept.text_hash").alias("kept_hash"), F.col("kept.at").alias("kept_at"))
 
 
 def _long_enough(found: list[list], least_bytes: int) -> Iterator[list]:
