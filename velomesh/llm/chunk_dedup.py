@@ -138,8 +138,8 @@ def _placed(docs: DataFrame) -> DataFrame:
 def repeats(docs: DataFrame) -> DataFrame:
     """Chunks that repeat an earlier one: (place, text_hash, at, size) and the kept copy's (kept_in, kept_hash, kept_at)."""
     often = heads(docs).groupBy("d1").agg(F.count("*").alias("n")).where("n > 1").select("d1")
-    often = stored(often, "chunk-digests")
-    found = stored(chunks(docs).join(often, "d1", "left_semi"), "chunk-repeats")
+    often = stored(often, "chunk-digests", release=True)
+    found = stored(chunks(docs).join(often, "d1", "left_semi"), "chunk-repeats", release=True)
     copy = F.struct("place", "text_hash", "at")
     first = found.groupBy("d1", "rest").agg(F.min(copy).alias("kept"), F.count("*").alias("n")).where("n > 1").drop("n")
     return found.join(first, ["d1", "rest"]).where(copy > F.col("kept")).select(
@@ -205,7 +205,7 @@ def edges(docs: DataFrame, found: DataFrame) -> DataFrame:
         F.struct(F.col("kept_end").alias("at"), F.lit(True).alias("after")))).alias("edge"))
     ends = ends.select("*", "edge.at", "edge.after").drop("edge")
     asked = ends.groupBy("kept_in", "kept_hash").agg(F.collect_set(F.struct("at", "after")).alias("asked"))
-    asked = stored(asked.withColumnsRenamed({"kept_in": "place", "kept_hash": "text_hash"}), "chunk-asked")
+    asked = stored(asked.withColumnsRenamed({"kept_in": "place", "kept_hash": "text_hash"}), "chunk-asked", release=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -220,7 +220,7 @@ def edges(docs: DataFrame, found: DataFrame) -> DataFrame:
     given = _placed(docs).drop("doc_id").join(asked, ["place", "text_hash"]).mapInArrow(
         run, "kept_in long, kept_hash long, at long, after boolean, beside binary")
     # rows of equal identity and equal text give the same bytes
-    given = stored(given.dropDuplicates(["kept_in", "kept_hash", "at", "after"]), "chunk-beside")
+    given = stored(given.dropDuplicates(["kept_in", "kept_hash", "at", "after"]), "chunk-beside", release=True)
     return ends.join(given, ["kept_in", "kept_hash", "at", "after"]).select(
         "place", "text_hash", "start", "end", "kept_in", "after", "beside")
 
@@ -262,10 +262,10 @@ def deduplicate(docs: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     ``spans`` are the stretches cut, in bytes of the UTF-8 text; ``kept_in`` lists the documents that
     keep what was cut.
     """
-    found = stored(runs(docs, least_bytes), "chunk-runs")
+    found = stored(runs(docs, least_bytes), "chunk-runs", release=True)
     cuts = edges(docs, found).groupBy("place", "text_hash").agg(
         F.collect_list(F.struct("start", "end", "kept_in", "after", "beside")).alias("cuts"))
-    cuts = stored(cuts, "chunk-cuts")
+    cuts = stored(cuts, "chunk-cuts", release=True)
     joined = _placed(docs).join(cuts, ["place", "text_hash"], "left").select("doc_id", "text", "cuts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

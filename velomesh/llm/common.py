@@ -14,14 +14,25 @@ from velomesh.session import checkpointed, shared_folder
 ASCII_SPACE = r"[\x20\x09-\x0D]+"
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+#: Spark drops a query's shuffle files when it ends, not when the driver's garbage is collected.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, purpose: str, release: bool = False) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
     The result is a plain scan, so a join on it gets an exchange of its own that Spark can split
-    where a key is hot; and it survives the loss of any executor.
+    where a key is hot; and it survives the loss of any executor. With ``release`` the write's shuffle
+    files, which nothing reads any more, go as soon as it ends; the session's setting is put back.
     """
-    path = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    path, conf = shared_folder(df.sparkSession, purpose), df.sparkSession.conf
+    before = conf.get(DROP_SHUFFLES)
+    if release:
+        conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(DROP_SHUFFLES, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
