@@ -150,6 +150,29 @@ def test_nearest_against_brute_force(spark):
         assert planar[i][0] == winner and planar[i][1] == pytest.approx(metres[winner], abs=0.05)
 
 
+def test_nearest_in_a_crowd(spark):
+    """Thousands of short lines in one spot, one long line across: few edges per point are met, and the results stay exact."""
+    rnd, rows = random.Random(11), []
+    for i in range(3000):
+        x, y = 2 + rnd.random() * 0.002, 41 + rnd.random() * 0.002
+        rows.append((f"l{i:04d}", "t", [(x, y), (x + rnd.random() * 1e-5, y + rnd.random() * 1e-5)]))
+    rows += [("long", "t", [(1.95, 40.95), (2.05, 41.05)]), ("dot", "t", [(2.0125, 41.0125), (2.0125, 41.0125)])]
+    pts = [(i, 2 + rnd.random() * 0.002, 41 + rnd.random() * 0.002) for i in range(30)] + [(90, 2.0125, 41.0125), (91, 2.04, 41.03)]
+    lines = spark.createDataFrame(rows, f"lane string, t string, geometry {LINE}")
+    points = spark.createDataFrame(pts, "pid int, x double, y double").select("pid", F.lit("t").alias("t"), g.point(F.col("x"), F.col("y")).alias("geometry"))
+    got = {r.pid: (r.lane, r.metres) for r in nearest.nearest_line(points, lines, "pid", "t", "lane", order="planar").collect()}
+    for i, x, y in pts:
+        flat = {n: min(py_degrees(x, y, e) for e in itertools.pairwise(p)) for n, _, p in rows if n == "long" or abs(p[0][0] - x) < 4e-4 and abs(p[0][1] - y) < 4e-4}
+        winner = min(flat, key=lambda n: (flat[n], n))
+        assert got[i][0] == winner or flat[got[i][0]] == pytest.approx(flat[winner], abs=1e-7)
+    shapes = spatial.line_shapes(lines, ["t"], "lane")
+    nodes, leaves = nearest.pyramid(grid.explode_edges(shapes, "geometry", ["t", "shape_id"]), "t", 0.1)
+    assert leaves.groupBy("level", "cx", "cy").count().agg(F.max("count")).first()[0] <= nearest.LEAF
+    start = points.select("pid", "t", F.col("geometry.x").alias("px"), F.col("geometry.y").alias("py"))
+    cells = nearest._leaves_in_reach(start, nodes, "pid", "t", 0.1)
+    assert cells.join(leaves, ["t", "level", "cx", "cy"]).count() < 150 * len(pts)
+
+
 def test_isolated_against_brute_force(spark):
     rows = random_lines(50, 3, spread=0.03) + [("far", "t", [(3.0, 42.0), (3.001, 42.0)]), ("near", "t", [(3.00111, 42.0), (3.002, 42.0)])]
     df = spark.createDataFrame(rows, f"lane string, t string, geometry {LINE}")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from velomesh.functions import geodesy, geometry as g
@@ -11,8 +11,8 @@ from velomesh.operators.skew import spread_join
 from velomesh.operators.spatial import line_shapes
 from velomesh.session import checkpointed
 
-# Fine cells per search radius and axis.
-CELLS_PER_RADIUS = 16
+# A cell with more edge pieces than this is cut into FAN x FAN cells, down to DEEPEST levels below the radius.
+LEAF, FAN, DEEPEST = 32, 4, 8
 
 
 def nearest_line(points: DataFrame, lines: DataFrame, point_id: str, by: str, line_id: str,
@@ -24,65 +24,102 @@ def nearest_line(points: DataFrame, lines: DataFrame, point_id: str, by: str, li
     ``order`` picks the winner by spheroid metres or by planar degrees (``"planar"``); metres are
     those of the winner either way. ``points`` has one row per (point_id, by).
 
-    First every point looks at the fine cells around it. It is settled when the winner is nearer in
-    metres than anything outside those cells can be. A point still open takes one known lane spot
-    per occupied cell as a bound and then compares itself with the few cells that can beat it. The
-    number of cells a point looks at is limited by the radius, not by the data.
+    Lines lie in a pyramid of cells, cut finer only where they are dense. Every point starts at the
+    cells of one radius around it and goes down level by level. Each cell names one spot on a line,
+    so the nearest spot bounds the distance; a cell that cannot beat the bound is not opened. A point
+    thus meets a few cells of few edges, however crowded its surroundings are.
     """
     if order not in ("geodesic", "planar"):
         raise ValueError(f"unknown order {order!r}")
-    fine = radius_deg / CELLS_PER_RADIUS
     shapes = line_shapes(lines, [by], line_id, geom)
-    edges = checkpointed(grid.with_edge_cells(
-        grid.explode_edges(shapes, "geometry", [by, "shape_id"]), fine))
+    nodes, leaves = pyramid(grid.explode_edges(shapes, "geometry", [by, "shape_id"]), by, radius_deg)
     start = points.select(point_id, by, F.col(f"{point}.x").alias("px"), F.col(f"{point}.y").alias("py"))
+    cells = _leaves_in_reach(start, nodes, point_id, by, radius_deg)
     px, py = F.col("px"), F.col("py")
-    floor_m = geodesy.degree_floor_m(py, 2 * radius_deg)
-
-    def winners(candidates: DataFrame) -> DataFrame:
-        """Best line per point among the edges of its candidate cells (point_id, by, px, py, cx, cy)."""
-        met = spread_join(edges, candidates, [by, "cx", "cy"], ["shape_id", "edge"])
-        per_line = met.groupBy(point_id, by, "shape_id").agg(
-            F.min(g.planar_point_edge(px, py, F.col("edge"))).alias("flat"),
-            F.min(geodesy.point_edge_distance(px, py, F.col("edge"))).alias("m"))
-        rank = ("m", "flat") if order == "geodesic" else ("flat", "m")
-        return (per_line.where(F.col("flat") <= radius_deg)
-                .groupBy(point_id, by).agg(F.min(F.struct(*rank, "shape_id")).alias("best")))
-
-    around = F.explode(grid.box_cells(px - fine, py - fine, px + fine, py + fine, fine)).alias("c")
-    close = start.select("*", around).select(point_id, by, "px", "py", "c.cx", "c.cy")
-    scored = checkpointed(start.join(winners(close), [point_id, by], "left"))
-    settled = F.coalesce(F.col("best.m") <= fine * floor_m, F.lit(False))
-    done, open_ = scored.where(settled), scored.where(~settled).drop("best")
-    if not open_.isEmpty():
-        cells = _cells_in_reach(open_, edges, point_id, by, radius_deg, fine)
-        done = done.unionByName(open_.join(winners(cells), [point_id, by], "left"))
-    return done.select(point_id, by, F.col("best.shape_id").alias(line_id), F.col("best.m").alias("metres"))
-
-
-def _cells_in_reach(points: DataFrame, edges: DataFrame, point_id: str, by: str, radius_deg: float,
-                    fine: float) -> DataFrame:
-    """(point_id, by, px, py, cx, cy): the occupied cells that can hold a point's nearest line."""
+    met = spread_join(cells, leaves, [by, "level", "cx", "cy"], [point_id])
+    per_line = met.groupBy(point_id, by, "shape_id").agg(
+        F.min(g.planar_point_edge(px, py, F.col("edge"))).alias("flat"),
+        F.min(geodesy.point_edge_distance(px, py, F.col("edge"))).alias("m"))
+    rank = ("m", "flat") if order == "geodesic" else ("flat", "m")
+    best = (per_line.where(F.col("flat") <= radius_deg)
+            .groupBy(point_id, by).agg(F.min(F.struct(*rank, "shape_id")).alias("best")))
+    return start.join(best, [point_id, by], "left").select(
+        point_id, by, F.col("best.shape_id").alias(line_id), F.col("best.m").alias("metres"))
+
+
+def _pieces(edges: DataFrame, by: str, size: float, inside: bool) -> DataFrame:
+    """Each edge's pieces in cells of a width: (by, shape_id, edge, piece, cx, cy), kept ``inside`` the cell they came from."""
+    piece = F.col("piece")
+    cut = edges.select("*", F.explode(grid.edge_pieces(piece, size)).alias("part"))
+
+    def at(t: Column, axis: str) -> Column:
+        return piece[f"a{axis}"] + t * (piece[f"b{axis}"] - piece[f"a{axis}"])
+
+    def cell(c: str) -> Column:
+        # rounding at a border never moves a piece out of the cell above
+        low = F.col(c) * FAN
+        return F.greatest(low, F.least(F.col(f"part.{c}"), low + (FAN - 1))) if inside else F.col(f"part.{c}")
+    t0, t1 = F.col("part.t0"), F.col("part.t1")
+    return cut.select(by, "shape_id", "edge", F.struct(
+        at(t0, "x").alias("ax"), at(t0, "y").alias("ay"), at(t1, "x").alias("bx"), at(t1, "y").alias("by")).alias("piece"),
+        cell("cx").alias("cx"), cell("cy").alias("cy"))
+
+
+def pyramid(edges: DataFrame, by: str, top: float) -> tuple[DataFrame, DataFrame]:
+    """Nodes (by, level, cx, cy, is_leaf, spot) and the edges of leaves (by, level, cx, cy, shape_id, edge).
+
+    Level 0 has cells as wide as ``top``, each level below is ``FAN`` times finer. Only cells of more than ``LEAF`` pieces go
+    on; an edge goes on by its piece in the cell, so a long one is never cut twice at one place.
+    """
+    key = [by, "cx", "cy"]
+    here = _pieces(edges.select(by, "shape_id", "edge", F.col("edge").alias("piece")), by, top, False)
+    nodes = leaves = None
+    for level in range(DEEPEST + 1):
+        here = checkpointed(here)
+        piece = F.col("piece")
+        spot = F.struct(((piece["ax"] + piece["bx"]) / 2).alias("x"), ((piece["ay"] + piece["by"]) / 2).alias("y"))
+        found = here.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min(spot).alias("spot"))
+        is_leaf = (F.col("n") <= LEAF) | F.lit(level == DEEPEST)
+        found = checkpointed(found.select(by, F.lit(level).alias("level"), "cx", "cy", is_leaf.alias("is_leaf"), "spot"))
+        nodes = found if nodes is None else nodes.unionByName(found)
+        ends = here.join(found.where("is_leaf").select(*key), key, "left_semi")
+        ends = ends.select(by, F.lit(level).alias("level"), "cx", "cy", "shape_id", "edge").distinct()
+        leaves = ends if leaves is None else leaves.unionByName(ends)
+        more = found.where("not is_leaf")
+        if more.isEmpty():
+            break
+        here = _pieces(here.join(more.select(*key), key, "left_semi"), by, top / FAN ** (level + 1), True)
+    return nodes, leaves
+
+
+def _leaves_in_reach(points: DataFrame, nodes: DataFrame, point_id: str, by: str, radius_deg: float) -> DataFrame:
+    """(point_id, by, px, py, level, cx, cy): the leaves that can hold a point's nearest line."""
     px, py = F.col("px"), F.col("py")
     # How much a planar order can differ from the order in metres near this latitude.
     stretch = geodesy.METRES_PER_DEGREE_CEILING / geodesy.degree_floor_m(py, 2 * radius_deg)
-    reach = radius_deg * stretch
-    block = F.lit(CELLS_PER_RADIUS)
-    occupied = edges.groupBy(by, "cx", "cy").agg(F.min(F.struct("edge.ax", "edge.ay")).alias("spot")).select(
-        "*", F.floor(F.col("cx") / block).alias("kx"), F.floor(F.col("cy") / block).alias("ky"))
-    pad = reach + fine
-    blocks = F.explode(grid.box_cells(px - pad, py - pad, px + pad, py + pad, radius_deg)).alias("k")
-    asking = points.select(point_id, by, "px", "py", blocks).select(
-        point_id, by, "px", "py", F.col("k.cx").alias("kx"), F.col("k.cy").alias("ky"))
-    pairs = spread_join(asking, occupied, [by, "kx", "ky"], [point_id])
-
-    def outside(p, cell):
-        return F.greatest(cell * fine - p, p - (cell + 1) * fine, F.lit(0.0))
-    nearest_corner = F.hypot(outside(px, F.col("cx")), outside(py, F.col("cy")))
-    to_spot = F.hypot(px - F.col("spot.ax"), py - F.col("spot.ay"))
-    # One window row per occupied cell within the radius.
-    bound = F.min("_spot").over(Window.partitionBy(point_id, by))
-    limit = F.when(bound <= radius_deg, bound * stretch).otherwise(reach) + grid.COVER_PAD
-    return (pairs.select(point_id, by, "px", "py", "cx", "cy", nearest_corner.alias("_low"), to_spot.alias("_spot"))
-            .withColumn("_limit", limit).where(F.col("_low") <= F.col("_limit"))
-            .select(point_id, by, "px", "py", "cx", "cy"))
+    mine = Window.partitionBy(point_id, by)
+    limit = F.least(F.lit(radius_deg), F.col("bound") * stretch) + grid.COVER_PAD
+    key = [by, "cx", "cy"]
+    around = F.explode(grid.box_cells(px - radius_deg, py - radius_deg, px + radius_deg, py + radius_deg, radius_deg)).alias("c")
+    asking = points.select("*", F.lit(float("inf")).alias("bound"), around).select(
+        point_id, by, "px", "py", "bound", "c.cx", "c.cy")
+    out = None
+    for level in range(nodes.agg(F.coalesce(F.max("level"), F.lit(0))).first()[0] + 1):
+        size = radius_deg / FAN ** level
+
+        def outside(p: Column, cell: str) -> Column:
+            return F.greatest(F.col(cell) * size - p, p - (F.col(cell) + 1) * size, F.lit(0.0))
+        met = spread_join(asking, nodes.where(F.col("level") == level), key, [point_id])
+        met = met.select(point_id, by, "px", "py", "level", "cx", "cy", "is_leaf",
+                         F.hypot(outside(px, "cx"), outside(py, "cy")).alias("low"),
+                         F.least("bound", F.hypot(px - F.col("spot.x"), py - F.col("spot.y"))).alias("bound"))
+        # one window row per cell still in reach; what lies beyond the radius bounds nothing
+        met = met.withColumn("bound", F.min("bound").over(mine))
+        met = checkpointed(met.where(F.col("low") <= limit))
+        ends = met.where("is_leaf").drop("is_leaf")
+        out = ends if out is None else out.unionByName(ends)
+        step = F.explode(F.sequence(F.lit(0), F.lit(FAN * FAN - 1))).alias("step")
+        asking = met.where("not is_leaf").select(point_id, by, "px", "py", "bound", "cx", "cy", step).select(
+            point_id, by, "px", "py", "bound", (F.col("cx") * FAN + F.col("step") % FAN).alias("cx"),
+            (F.col("cy") * FAN + F.floor(F.col("step") / FAN)).cast("long").alias("cy"))
+    return out.withColumn("bound", F.min("bound").over(mine)).where(F.col("low") <= limit).drop("low", "bound")
