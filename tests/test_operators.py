@@ -170,7 +170,7 @@ def test_nearest_in_a_crowd(spark):
     assert leaves.groupBy("level", "cx", "cy").count().agg(F.max("count")).first()[0] <= nearest.LEAF
     start = points.select("pid", "t", F.col("geometry.x").alias("px"), F.col("geometry.y").alias("py"))
     cells = nearest._leaves_in_reach(start, nodes, "pid", "t", 0.1)
-    assert cells.join(leaves, ["t", "level", "cx", "cy"]).count() < 150 * len(pts)
+    assert cells.join(leaves, ["t", "level", "cx", "cy"]).count() < 4 * nearest.LEAF * len(pts)
 
 
 def test_isolated_against_brute_force(spark):

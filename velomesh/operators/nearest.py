@@ -12,7 +12,7 @@ from velomesh.operators.spatial import line_shapes
 from velomesh.session import checkpointed
 
 # A cell with more edge pieces than this is cut into FAN x FAN cells, down to DEEPEST levels below the radius.
-LEAF, FAN, DEEPEST = 32, 4, 8
+LEAF, FAN, DEEPEST = 128, 4, 8
 
 
 def nearest_line(points: DataFrame, lines: DataFrame, point_id: str, by: str, line_id: str,
@@ -109,7 +109,8 @@ def _leaves_in_reach(points: DataFrame, nodes: DataFrame, point_id: str, by: str
 
         def outside(p: Column, cell: str) -> Column:
             return F.greatest(F.col(cell) * size - p, p - (F.col(cell) + 1) * size, F.lit(0.0))
-        met = spread_join(asking, nodes.where(F.col("level") == level), key, [point_id])
+        # a node is one row: Spark can split the points of a hot cell without copying anything
+        met = asking.join(nodes.where(F.col("level") == level), key)
         met = met.select(point_id, by, "px", "py", "level", "cx", "cy", "is_leaf",
                          F.hypot(outside(px, "cx"), outside(py, "cy")).alias("low"),
                          F.least("bound", F.hypot(px - F.col("spot.x"), py - F.col("spot.y"))).alias("bound"))
