@@ -33,6 +33,8 @@ from velomesh.session import checkpointed, shared_folder
 
 #: Ids in a block, bytes of an id, zstandard level.
 BLOCK_IDS, WIDTH, LEVEL = 65_536, 4, 3
+#: Words remembered by a worker; runs of letters handed to the library as one sequence, and sequences in one call.
+HELD_WORDS, RUN_WORDS, RUN_BATCH = 800_000, 200, 100
 _RUN = pa.list_(pa.struct([("doc", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int64()), ("last", pa.bool_()), ("n", pa.int64())]))
 _BLOCK = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("start", pa.int64()), ("n_ids", pa.int64()),
                     ("planes", pa.list_(pa.binary())), ("runs", _RUN)])
@@ -53,18 +55,24 @@ def library_encoder(path: str) -> TextEncoder:
         return [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast(words, add_special_tokens=False)]
 
     def runs(words: list[str]) -> list[bytes]:
-        """Runs of letters in one go: each ends at a token that carries the end-of-word mark."""
+        """Runs of letters by the sequence: each ends at a token that carries the end-of-word mark."""
         if not tok.model.end_of_word_suffix:
             return others(words)
-        ids = np.array(tok.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
-        stops = np.flatnonzero(ends[ids]) + 1
-        if len(stops) != len(words):
-            return others(words)
-        raw = ids.tobytes()
-        cuts = [0, *(stops * WIDTH).tolist()]
-        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+        out, step = [], RUN_WORDS * RUN_BATCH
+        for at in range(0, len(words), step):
+            some = words[at:at + step]
+            lines = [" ".join(some[i:i + RUN_WORDS]) for i in range(0, len(some), RUN_WORDS)]
+            ids = np.array([i for e in tok.encode_batch_fast(lines, add_special_tokens=False) for i in e.ids], "<u4")
+            stops = np.flatnonzero(ends[ids]) + 1
+            if len(stops) != len(some):
+                out += others(some)
+                continue
+            raw = ids.tobytes()
+            cuts = [0, *(stops * WIDTH).tolist()]
+            out += [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+        return out
 
-    return TextEncoder(runs, others)
+    return TextEncoder(runs, others, HELD_WORDS)
 
 
 def to_planes(raw: bytes) -> list[bytes]:
