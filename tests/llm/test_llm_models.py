@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -184,3 +185,31 @@ def test_registered_search_recall(spark):
     got, want = found(QUERIES["op10_prefix_forest"](spark, LARGE)), plain_neighbours(rows, 20)
     assert got.keys() == want.keys()
     assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want]) >= 0.9 * 20
+
+
+def test_rows_of_one_identity_are_different_rows(spark):
+    """Two vectors under one identity: two queries with ranks of their own, each a candidate of the other."""
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in np.float32(rng.normal(size=6))]) for i in [*range(40), 20, 5]]
+    got = sorted(tuple(r) for r in prefix_forest.search(vectors(spark, rows), F.col("vec_id") % 20 == 0, k=20, recall=1.0).collect())
+    want = []
+    for at, (q, v) in enumerate(rows):
+        if q % 20 == 0:
+            near = sorted((-float(np.dot(np.array(v), np.array(w))), i) for k, (i, w) in enumerate(rows) if k != at)[:20]
+            want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(near)]
+    assert [r[:3] for r in got] == [r[:3] for r in sorted(want)] and np.allclose([r[3] for r in got], [r[3] for r in sorted(want)])
+
+
+def test_cuts_let_every_query_meet_every_vector_once():
+    cuts = prefix_forest._Cuts.of(pd.DataFrame({"tree": [3, 0], "length": [1, 0], "prefix": [7, 0], "ask_cuts": [2, 1], "row_cuts": [5, 3]}))
+    asks, rows = np.arange(20), np.arange(100, 150)
+
+    def placed(entry, side, cell):
+        where = [np.full(len(entry), c) for c in cell]
+        at, first, second = cuts.blocks(*where, entry, side)
+        return list(zip(entry[at].tolist(), first.tolist(), second.tolist()))
+
+    for cell, n in (((3, 1, 7), 10), ((0, 0, 0), 3), ((3, 1, 8), 1)):
+        left, right = placed(asks, prefix_forest.ASKS, cell), placed(rows, prefix_forest.ROWS, cell)
+        met = [(q, r) for q, *a in left for r, *b in right if a == b]
+        assert len(met) == len(set(met)) == 1000 and len({tuple(b) for _, *b in right}) <= n

@@ -15,7 +15,8 @@ inner products unchanged.
 
 Defined results: vectors that are null, empty, zero, or hold a null or a value that is not finite take no part, neither
 as queries nor as candidates; equal vectors tie and go by smaller identity; rows of equal
-identity and vector are one; vectors of another length than the most frequent one take no part; a
+identity and vector are one; rows of equal identity and different vectors are different rows, each a query with
+ranks of its own and a candidate of the others; vectors of another length than the most frequent one take no part; a
 query with fewer candidates than asked for gets all; an empty table gives an empty result.
 """
 
@@ -27,11 +28,12 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from velomesh.llm.common import stored, whole_groups
+from velomesh.llm.common import numbered, stored, whole_groups
 from velomesh.session import checkpointed
 
 #: Trees; queries answered exactly to fit the number of candidates; share of neighbours to find there.
@@ -42,6 +44,8 @@ WIDTH = 16
 CELL_ROWS, CELL_QUERIES, CELL_SHARE = 4096, 1024, 1000
 #: Share of the sampled queries that may hold less than the number of candidates asked for.
 SHORT = 0.05
+#: The sides that meet in a cell, queries first.
+ASKS, ROWS = 0, 1
 SEED = 7
 
 
@@ -140,9 +144,9 @@ def build(vectors: DataFrame, k: int, trees: int = TREES) -> Forest:
     order = Window.partitionBy("v").orderBy(F.col("vec_id").asc_nulls_last())
     few = (good.where((F.size("v") == dim) & F.col("vec_id").isNotNull()).distinct()
            .withColumn("at", F.row_number().over(order)).where(F.col("at") <= k + 1))
-    entries = few.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).select(
-        F.element_at("ids", 1).alias("entry"), F.col("v").alias("vector"), "ids")
-    entries = stored(entries, "forest-entries")
+    entries = few.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).select(F.col("v").alias("vector"), "ids")
+    # numbered by least identity, so that ties between entries go as ties between identities
+    entries = stored(numbered(entries, [F.element_at("ids", 1), F.xxhash64("vector")], "entry").select("entry", "vector", "ids"), "forest-entries")
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     count, longest = entries.agg(F.count("*"), F.max(norm)).first()
     base = symbols_of(dim + 1)
@@ -280,6 +284,43 @@ def _visits(asked: DataFrame, stops: DataFrame) -> DataFrame:
     return stored(within.union(root), "forest-visits")
 
 
+@dataclass(frozen=True)
+class _Cuts:
+    """Into how many blocks of queries and of vectors the large cells are cut; all others stay whole."""
+
+    cells: np.ndarray  # sorted (tree, length, prefix)
+    ask_cuts: np.ndarray
+    row_cuts: np.ndarray
+
+    @staticmethod
+    def keys(tree: np.ndarray, length: np.ndarray, prefix: np.ndarray) -> np.ndarray:
+        out = np.empty(len(prefix), [("tree", np.int64), ("length", np.int64), ("prefix", np.int64)])
+        out["tree"], out["length"], out["prefix"] = tree, length, prefix
+        return out
+
+    @classmethod
+    def of(cls, large: pd.DataFrame) -> _Cuts:
+        cells = cls.keys(*(large[c].to_numpy(np.int64) for c in ("tree", "length", "prefix")))
+        order = np.argsort(cells)
+        return cls(cells[order], *(large[c].to_numpy(np.int64)[order] for c in ("ask_cuts", "row_cuts")))
+
+    def blocks(self, tree: np.ndarray, length: np.ndarray, prefix: np.ndarray, entry: np.ndarray,
+               side: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, query block, vector block): a query goes to its block of queries against every block of vectors; a vector likewise."""
+        ask, row = np.ones(len(entry), np.int64), np.ones(len(entry), np.int64)
+        if len(self.cells):
+            keys = self.keys(tree, length, prefix)
+            at = np.minimum(np.searchsorted(self.cells, keys), len(self.cells) - 1)
+            hit = self.cells[at] == keys
+            ask[hit], row[hit] = self.ask_cuts[at[hit]], self.row_cuts[at[hit]]
+        own, other = (ask, row) if side == ASKS else (row, ask)
+        rows = np.repeat(np.arange(len(entry)), other)
+        every = np.arange(len(rows)) - np.repeat(np.cumsum(other) - other, other)
+        mine = ((entry * 0x9E3779B1 >> 7) % own)[rows]
+        first, second = (mine, every) if side == ASKS else (every, mine)
+        return rows, first.astype(np.int32), second.astype(np.int32)
+
+
 def candidates(forest: Forest, queries: DataFrame, cells: DataFrame, visits: DataFrame, k: int) -> DataFrame:
     """(query, entry, score): the ``k + 1`` best of each query over its cells, stored."""
     shape = forest.shape
@@ -292,30 +333,28 @@ def candidates(forest: Forest, queries: DataFrame, cells: DataFrame, visits: Dat
     asks_cut = max(CELL_QUERIES, queries.count() // CELL_SHARE)
     large = cells.union(roots).join(asked, place).where((F.col("n") > rows_cut) | (F.col("asked") > asks_cut)).select(
         *place, F.ceil(F.col("n") / rows_cut).cast("int").alias("row_cuts"), F.ceil(F.col("asked") / asks_cut).cast("int").alias("ask_cuts"))
-    large = F.broadcast(checkpointed(large))
+    # a bounded list, so each task can look cuts up while it deals vectors out
+    cuts = _Cuts.of(large.toPandas())
 
-    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def dealt(batches: Iterator[pa.RecordBatch], side: int) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            p = shape.prefixes(_matrix(b.column("vector")), query=False)
-            for d in lengths:
-                for t in range(shape.trees if d else 1):
-                    yield pa.RecordBatch.from_arrays(
-                        [b.column("entry"), b.column("vector"), pa.array(np.full(len(p), t, np.int32)),
-                         pa.array(np.full(len(p), d, np.int32)), pa.array(p[:, t, d - 1] if d else np.zeros(len(p), np.int64))],
-                        ["entry", "vector", *place])
-
-    schema = f"entry long, vector {shape.kind}, tree int, length int, prefix long"
-    rows = forest.entries.select("entry", "vector").mapInArrow(placed, schema)
+            entry = b.column("entry").to_numpy()
+            if side == ASKS:
+                todo = [(b.column("tree").to_numpy(), b.column("length").to_numpy(), b.column("prefix").to_numpy())]
+            else:
+                p = shape.prefixes(_matrix(b.column("vector")), query=False)
+                todo = [(np.full(len(p), t), np.full(len(p), d), p[:, t, d - 1] if d else np.zeros(len(p), np.int64))
+                        for d in lengths for t in range(shape.trees if d else 1)]
+            for tree, length, prefix in todo:
+                at, first, second = cuts.blocks(tree, length, prefix, entry, side)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c) for c in (tree[at].astype(np.int32), length[at].astype(np.int32), prefix[at], first, second, np.full(len(at), side, np.int32))]
+                    + [b.column(c).take(pa.array(at)) for c in ("entry", "vector")], [*place, "ask_cut", "row_cut", "side", "entry", "vector"])
+
+    schema = f"tree int, length int, prefix long, ask_cut int, row_cut int, side int, entry long, vector {shape.kind}"
     asks = queries.select("entry", "vector").join(visits, "entry").select("entry", "vector", *place)
-
-    def blocks(df: DataFrame, side: int) -> DataFrame:
-        cut = df.join(large, place, "left").withColumns({c: F.coalesce(c, F.lit(1)) for c in ("row_cuts", "ask_cuts")})
-        own, other = ("ask_cuts", "row_cuts") if side == 0 else ("row_cuts", "ask_cuts")
-        mine = F.pmod(F.xxhash64("entry"), F.col(own)).cast("int")
-        every = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
-        cut = cut.withColumns({"mine": mine, "every": every})
-        pair = ("mine", "every") if side == 0 else ("every", "mine")
-        return cut.select(F.xxhash64(*place, *pair).alias("cell"), F.lit(side).alias("side"), "entry", "vector")
+    asks = asks.mapInArrow(lambda batches: dealt(batches, ASKS), schema)
+    rows = forest.entries.select("entry", "vector").mapInArrow(lambda batches: dealt(batches, ROWS), schema)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_groups(batches, "cell", 8192):
@@ -331,7 +370,8 @@ def candidates(forest: Forest, queries: DataFrame, cells: DataFrame, visits: Dat
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["query", "entry", "score"])
 
-    met = blocks(asks, 0).union(blocks(rows, 1)).repartition("cell").sortWithinPartitions("cell", "side")
+    cell = F.xxhash64(*place, "ask_cut", "row_cut").alias("cell")
+    met = asks.union(rows).select(cell, "side", "entry", "vector").repartition("cell").sortWithinPartitions("cell", "side")
     found = met.mapInArrow(meet, "query long, entry long, score double")
     best = Window.partitionBy("query").orderBy(F.desc("score"), "entry")
     found = found.groupBy("query", "entry").agg(F.max("score").alias("score")).withColumn("at", F.row_number().over(best))
@@ -369,11 +409,11 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, trees: int = TREES
     asking = stored(asking, "forest-asking")
     queries = stored(asking.select("entry", "vector").dropDuplicates(["entry"]), "forest-asked")
     found = _nearest(forest, queries, k, recall)
-    members = found.join(forest.entries.select("entry", "ids"), "entry").select("query", "score", F.explode("ids").alias("vec_id"))
-    near = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    members = found.join(forest.entries.select("entry", "ids"), "entry").select("query", "score", "entry", F.explode("ids").alias("vec_id"))
+    near = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "entry")
     members = stored(members.withColumn("at", F.row_number().over(near)).where(F.col("at") <= k + 1).drop("at"), "forest-members")
     named = (asking.select(F.col("vec_id").alias("query_id"), F.col("entry").alias("query")).join(members, "query")
-             .where("query_id <> vec_id"))
-    rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+             .where((F.col("query_id") != F.col("vec_id")) | (F.col("query") != F.col("entry"))))
+    rank = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id", "entry")
     return (named.withColumn("rank", F.row_number().over(rank).cast("int")).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
