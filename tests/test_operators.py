@@ -612,3 +612,23 @@ def test_quantiles_over_many_magnitudes(spark):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     got = quantiles.exact_quantiles(df, [], "v", [0.25, 0.5, 0.99]).first().q
     assert got == pytest.approx(np.quantile(values, [0.25, 0.5, 0.99]).tolist(), rel=1e-12)
+
+
+def test_quantiles_of_clusters_in_clusters(spark, monkeypatch):
+    """Values that lie in ever narrower clusters stay in one bin of any width; pivots of their own split them."""
+    monkeypatch.setattr(quantiles, "BINS", 4)
+    monkeypatch.setattr(quantiles, "SLOT", 40)
+    monkeypatch.setattr(quantiles, "PIVOTS", 3)
+    sizes, split = [], quantiles._split
+
+    def watched(rows, large, keys):
+        sizes.append(rows.groupBy(*keys).count().agg({"count": "max"}).first()[0])
+        return split(rows, large, keys)
+
+    monkeypatch.setattr(quantiles, "_split", watched)
+    values = {"a": [1.0, 1e9] + [1 + 1e-3 * (1 + 1e-3 * k / 900) for k in range(900)], "b": [float(k) for k in range(30)], "c": [7.0] * 500}
+    df = spark.createDataFrame([(k, v) for k, vs in values.items() for v in vs] + [("a", None)], "k string, v double")
+    probs = [0.0, 0.1, 0.5, 0.75, 1.0]
+    got = {r.k: r.q for r in quantiles.exact_quantiles(df, ["k"], "v", probs).collect()}
+    assert got.keys() == values.keys() and all(got[k] == pytest.approx(np.quantile(v, probs).tolist(), rel=1e-14) for k, v in values.items())
+    assert sizes[0] > 800 and all(b < a for a, b in zip(sizes, sizes[1:])) and len(sizes) >= 2
