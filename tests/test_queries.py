@@ -15,7 +15,7 @@ SAMPLE = ("drifting_csv_union", "typed_status", "cleaned_status", "thinned_ticks
           "station_status_fact", "availability_by_district", "capacity_equity", "slider_frames", "lane_tract",
           "tract_metrics", "lane_accessibility", "yearly_access", "grid_density", "isolated_lanes",
           "intersection_counts", "lane_profile", "area_outlines", "service_zones", "described_columns", "population_boxes",
-          "population_density_curve", "reporting_gaps", "csv_of_years", "quoted_breaks", "thinned_files", "layer_rejects", "monthly_reload",
+          "population_density_curve", "reporting_gaps", "csv_of_years", "quoted_breaks", "thinned_files", "layer_rejects", "collections_of_years", "monthly_reload",
           "stored_dimension", "clean_lane_feed", "population_pivot", "income_pivot", "income_neighbourhoods", "snapshot_correlations", "docks_histogram",
           "correlation_significance", "lane_topology", "whole_outline", "frame_with_all_areas", "merged_snapshot",
           "streamed_availability", "streamed_thinning", "availability_week", "accessibility_report", "boundary_layer_scan")

@@ -58,6 +58,44 @@ def test_geojson_collection_with_broken_file(spark, tmp_path):
     assert sorted((r.reason, r.n_features) for r in other) == [("other kind: LineString", 1), ("other kind: MultiLineString", 1)]
 
 
+def _lane(name, at, **more):
+    return {"type": "Feature", "properties": {"ID": name, "Any": "a}{\\ \"] é"}, **more,
+            "geometry": {"type": "LineString", "coordinates": [[at, 1.5], [at + 1, 2.5]]}}
+
+
+@pytest.mark.parametrize("block", [60, 1 << 20])
+@pytest.mark.parametrize("indent", [None, 2])
+def test_collections_split_anywhere(spark, tmp_path, block, indent):
+    """Features are found whatever the blocks, the order of members, and braces, quotes and objects elsewhere."""
+    many = {"name": "x } { \" y", "type": "FeatureCollection", "crs": {"type": "name", "properties": {"deep": {"name": "}"}}},
+            "other": [{"type": "Feature", "properties": {"ID": "no"}}, {"type": "Feature", "geometry": None}],
+            "features": [_lane(f"f{k}", k, **({"extra": {"features": [{"a": {}}]}} if k % 3 else {})) for k in range(20)],
+            "after": [_lane("no", 1), _lane("no", 2)], "end": {"features": []}}
+    folder = tmp_path / "deep" / "folder"
+    folder.mkdir(parents=True)
+    (folder / "lanes_2020.json").write_text(json.dumps(many, indent=indent, ensure_ascii=False) + "\n \n", "utf-8")
+    (folder / "lanes_2021.json").write_text(json.dumps({"features": [_lane("late", 3)], "type": "FeatureCollection"}, indent=indent))
+    (folder / "none_2020.json").write_text(json.dumps({"type": "FeatureCollection", "features": []}))
+    (folder / "one_2020.json").write_text(json.dumps(_lane("single", 1, extra={"features": [{"a": 1}]})))
+    (folder / "text_2020.json").write_text("words")
+    (folder / "empty_2020.json").write_text("")
+    cut = json.dumps(many, indent=indent)
+    (folder / "cut_2020.json").write_text(cut[:cut.index("f4") + 5])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    try:
+        scan = lambda **o: layers.scan_geojson(spark, str(tmp_path), "ID string, Any string", **o)
+        got = sorted((r.id, r._any, r.geometry[0].x) for r in scan(pattern="lanes*", years=[2020]).collect())
+        assert got == sorted((f"f{k}", "a}{\\ \"] é", float(k)) for k in range(20))
+        assert [r.id for r in scan(years=[2021]).collect()] == ["late"]
+        assert sorted(r.id for r in scan(pattern="cut*").collect()) == [f"f{k}" for k in range(4)]
+        lost = layers.geojson_rejects(spark, str(tmp_path), "ID string", years=[2020])
+        assert sorted(map(tuple, lost.collect())) == [("cut_2020.json", "broken", 1), ("none_2020.json", "no geometry", 1),
+                                                      ("one_2020.json", "no geometry", 1), ("text_2020.json", "broken", 1)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def _shapefile(base, rings, names):
     """Minimal polygon .shp and .dbf pair."""
     records = b""

@@ -7,12 +7,13 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from velomesh.functions import geodesy
 from velomesh.operators.stats import union_all
+from velomesh.session import checkpointed
 
 LINE_TYPE = "array<struct<x:double,y:double>>"
 POLYGON_TYPE = "array<array<struct<x:double,y:double>>>"
@@ -29,18 +30,111 @@ _KINDS = {"line": ("LineString", "MultiLineString", "array<array<double>>"),
           "polygon": ("Polygon", "MultiPolygon", "array<array<array<double>>>")}
 
 
-def _features(spark: SparkSession, paths: Sequence[str] | str, properties: str, by_line: bool) -> DataFrame:
+_BROKEN = "_broken"
+# An object that goes on an array, one that opens the features, and the text before it: scalar members only, or the end
+# of another member.
+_NEXT = r"(?s)^\s*,\s*(\{.*)$"
+_OPENING = r'(?s)^\s*(?:\{|[\]}]?\s*,)?(?:[^"{}]++|"(?:[^"\\]++|\\.)*+")*?"features"\s*:\s*\[\s*(\{.*)$'
+
+
+def _of_years(rows: DataFrame, years: Sequence[int] | None) -> DataFrame:
+    """Rows of the files whose name, folders aside, holds one of the years."""
+    return rows.where(" OR ".join(f"contains(file, '{int(y)}')" for y in years)) if years else rows
+
+
+def _pieces(spark: SparkSession, paths: Sequence[str] | str, pattern: str, years: Sequence[int] | None) -> DataFrame:
+    """Text cut behind every closing brace, with its depth: (path, file, block, no, value, size, _ends, _depth, _open).
+
+    ``_ends`` tells whether an object ends here that lies directly in the collection or in an array of it; ``_depth``
+    and ``_open`` are the depth after the piece and whether a string is open there. A block's pieces are walked in order
+    for both states a block can begin in; between blocks only the state travels, one row per block.
+    """
+    raw = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).option("lineSep", "}").text(paths)
+           .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file"),
+                   F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_block_start").alias("block"),
+                   F.monotonically_increasing_id().alias("no")))
+
+    def count(text: Column, mark: str) -> Column:
+        return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
+
+    def opened(text: Column) -> Column:
+        return count(F.regexp_replace(text, r'"[^"]*+(?:"|\z)', ""), "{")
+
+    plain = F.regexp_replace("value", r"(?s)\\.", "")
+    marks = _of_years(raw, years).select("*", F.struct(
+        count(plain, '"').alias("quotes"), opened(plain).alias("outside"),
+        opened(F.regexp_replace(plain, r'^[^"]*+(?:"|\z)', "")).alias("inside")).alias("m"))
+    inner, file = Window.partitionBy("path", "block").orderBy("no"), Window.partitionBy("path").orderBy("block")
+    before = file.rowsBetween(Window.unboundedPreceding, -1)
+    quotes = F.sum("m.quotes").over(inner)
+    steps = marks.withColumns({"_after": quotes % 2, "_at": (quotes - F.col("m.quotes")) % 2})
+
+    def step(start: int) -> Column:
+        """What a piece adds to the depth where its block begins outside (0) or inside (1) a string."""
+        opens = F.when(F.col("_at") == start, F.col("m.outside")).otherwise(F.col("m.inside"))
+        return F.sum(opens - (F.col("_after") == start).cast("int")).over(inner)
+
+    walked = checkpointed(steps.withColumns({"_deep0": step(0), "_deep1": step(1)}).drop("m", "_at"))
+    blocks = walked.groupBy("path", "block").agg(F.max_by(F.struct("_after", "_deep0", "_deep1"), "no").alias("b")).select("path", "block", "b.*")
+    blocks = blocks.withColumn("_start", F.coalesce(F.sum("_after").over(before), F.lit(0)) % 2)
+    own = F.when(F.col("_start") == 0, F.col("_deep0")).otherwise(F.col("_deep1"))
+    blocks = blocks.select("path", "block", "_start", F.coalesce(F.sum(own).over(before), F.lit(0)).alias("_base"))
+    depth = F.col("_base") + F.when(F.col("_start") == 0, F.col("_deep0")).otherwise(F.col("_deep1"))
+    inside = (F.col("_start") + F.col("_after")) % 2
+    return (walked.join(blocks, ["path", "block"]).withColumns({"_depth": depth, "_open": inside})
+            .withColumn("_ends", ((F.col("_open") == 0) & (F.col("_depth") == 1)).cast("int"))
+            .select("path", "file", "block", "no", "value", "size", "_ends", "_depth", "_open"))
+
+
+def collection_features(spark: SparkSession, paths: Sequence[str] | str, pattern: str = "*", years: Sequence[int] | None = None) -> DataFrame:
+    """(file, body, _broken): the features of GeoJSON collections as text, each file read by as many tasks as it has blocks.
+
+    A feature whose text goes over a block's border is put together. A file that ends too early, or is no JSON object, has
+    one row more with its rest in ``_broken``; one without features has a row without a body.
+    """
+    pieces = checkpointed(_pieces(spark, paths, pattern, years))
+    inner, file = Window.partitionBy("path", "block").orderBy("no"), Window.partitionBy("path").orderBy("block")
+    upto = (Window.unboundedPreceding, -1)
+    done = pieces.groupBy("path", "block").agg(F.sum("_ends").alias("_n"))
+    done = done.select("path", "block", F.coalesce(F.sum("_n").over(file.rowsBetween(*upto)), F.lit(0)).alias("_before"))
+    number = F.col("_before") + F.coalesce(F.sum("_ends").over(inner.rowsBetween(*upto)), F.lit(0))
+    parts = F.array_sort(F.collect_list(F.struct("block", "no", "value")))
+    objects = (pieces.join(done, ["path", "block"]).withColumn("_number", number).groupBy("path", "file", "_number")
+               .agg(parts.alias("p"), F.max("_ends").alias("_whole"))
+               .withColumn("text", F.array_join(F.transform("p", lambda r: F.concat(r["value"], F.lit("}"))), "")).drop("p"))
+    # members of the collection that hold objects: the features come after the one that opens them, up to the next
+    turns = (F.col("_number") == 0) | ~F.col("text").rlike(_NEXT)
+    objects = checkpointed(objects.withColumn("_opens", F.when(turns & (F.col("_whole") == 1), F.col("text").rlike(_OPENING))))
+    members = objects.where("_opens IS NOT NULL").groupBy("path").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("_number").alias("at"), F.col("_opens").alias("opens")))).alias("_members"))
+    ruled = objects.join(members, "path").withColumn("_rule", F.element_at(F.filter("_members", lambda m: m["at"] <= F.col("_number")), -1)["opens"])
+    bodies = ruled.where("_rule AND _whole = 1").select("file", F.when(F.col("_opens").isNull(), F.regexp_extract("text", _NEXT, 1))
+                                                      .otherwise(F.regexp_extract("text", _OPENING, 1)).alias("body"), F.lit(None).cast("string").alias(_BROKEN))
+    # the reader does not tell whether the last piece of a file had its brace; the file's size does
+    bytes_read = F.sum(F.octet_length("value") + 1)
+    last = F.max_by(F.struct("_depth", "_open"), F.struct("block", "no"))
+    files = pieces.groupBy("path", "file").agg((bytes_read > F.max("size")).cast("int").alias("_extra"), last.alias("l"))
+    files = files.select("path", "file", ((F.col("l._open") == 0) & (F.col("l._depth") + F.col("_extra") == 0)).alias("_complete"))
+    seen = objects.groupBy("path").agg(F.max("_opens").alias("_some"), F.max(F.when(F.col("_number") == 0, F.col("text").rlike(r"^\s*\{"))).alias("_object"),
+                                       F.max_by("text", "_number").alias("_rest"))
+    odd = files.join(seen, "path").withColumn("_good", F.col("_complete") & F.col("_object"))
+    odd = odd.where(~F.col("_good") | ~F.coalesce("_some", F.lit(False))).select(
+        "file", F.lit(None).cast("string").alias("body"), F.when(~F.col("_good"), F.col("_rest")).alias(_BROKEN))
+    return bodies.union(odd)
+
+
+def _features(spark: SparkSession, paths: Sequence[str] | str, properties: str, by_line: bool, pattern: str = "*",
+              years: Sequence[int] | None = None) -> DataFrame:
     """(type, properties, geometry, _broken, file) of every feature; broken text is kept in ``_broken``."""
     fields = [T.StructField("type", T.StringType()), T.StructField("properties", T.StructType.fromDDL(properties)),
               T.StructField("geometry", T.StructType.fromDDL("type string, coordinates string"))]
-    broken = T.StructField("_broken", T.StringType())
-    reader = spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_broken")
-    file = F.col("_metadata.file_name").alias("file")
+    feature = T.StructType([*fields, T.StructField(_BROKEN, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}
     if by_line:
-        return reader.schema(T.StructType([*fields, broken])).json(paths).select("*", file)
-    collection = T.StructType([T.StructField("features", T.ArrayType(T.StructType(fields))), broken])
-    whole = reader.schema(collection).option("multiLine", "true").json(paths).select("*", file)
-    return whole.select("_broken", "file", F.explode_outer("features").alias("f")).select("f.*", "_broken", "file")
+        lines = spark.read.options(**options).option("pathGlobFilter", pattern).schema(feature).json(paths)
+        return _of_years(lines.select("*", F.col("_metadata.file_name").alias("file")), years)
+    found = collection_features(spark, paths, pattern, years).withColumn("f", F.from_json("body", feature, options))
+    return found.select("f.type", "f.properties", "f.geometry", F.coalesce(F.col(f"f.{_BROKEN}"), F.col(_BROKEN)).alias(_BROKEN), "file")
 
 
 def _parts(kind: str) -> Column:
@@ -52,10 +146,10 @@ def _parts(kind: str) -> Column:
 
 
 def geojson_rejects(spark: SparkSession, paths: Sequence[str] | str, properties: str, kind: str = "line",
-                    by_line: bool = False) -> DataFrame:
+                    by_line: bool = False, pattern: str = "*", years: Sequence[int] | None = None) -> DataFrame:
     """(file, reason, n_features): what ``scan_geojson`` with the same arguments gives no row for."""
     parts = _parts(kind)
-    raw = _features(spark, paths, properties, by_line).where(parts.isNull() | (F.size(parts) == 0))
+    raw = _features(spark, paths, properties, by_line, pattern, years).where(parts.isNull() | (F.size(parts) == 0))
     name = F.col("geometry.type")
     reason = (F.when(F.col("_broken").isNotNull(), "broken").when(name.isNull(), "no geometry")
               .when(name.isin(*_KINDS[kind][:2]), "broken").otherwise(F.concat(F.lit("other kind: "), name)))
@@ -63,15 +157,16 @@ def geojson_rejects(spark: SparkSession, paths: Sequence[str] | str, properties:
 
 
 def scan_geojson(spark: SparkSession, paths: Sequence[str] | str, properties: str, kind: str = "line",
-                 source_crs: int = geodesy.WGS84, by_line: bool = False) -> DataFrame:
+                 source_crs: int = geodesy.WGS84, by_line: bool = False, pattern: str = "*",
+                 years: Sequence[int] | None = None) -> DataFrame:
     """Features as rows: the named properties plus ``geometry`` in longitude/latitude.
 
     ``properties`` is a DDL list (``"id string, tooltip string"``). Multi-part shapes give one row
-    per part with ``part_id``. With ``by_line`` every text line holds one feature, the form that
-    splits over tasks; a plain collection is one document per file. What cannot be read as a shape of
-    this kind gives no row here and is counted by ``geojson_rejects``.
+    per part with ``part_id``. With ``by_line`` every text line holds one feature; otherwise a file is a
+    collection. Both forms split over tasks. ``pattern`` and ``years`` choose files by name. What cannot be read
+    as a shape of this kind gives no row here and is counted by ``geojson_rejects``.
     """
-    raw = _features(spark, paths, properties, by_line)
+    raw = _features(spark, paths, properties, by_line, pattern, years)
     rows = raw.select("properties.*", F.posexplode(_parts(kind)).alias("part_id", "_c"))
     if kind == "line":
         geom = geodesy.reproject_line(_point_pairs(F.col("_c")), source_crs, geodesy.WGS84)

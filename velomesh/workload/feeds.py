@@ -143,13 +143,13 @@ def income_scan(spark: SparkSession, folder: str) -> DataFrame:
     return tabular.scan_income(spark, base, "*.csv").select("any", "codi_districte", "seccio_censal", "import_euros")
 
 
-def _write_geojson(df: DataFrame, properties: list[str], kind: str, path: str) -> None:
+def _write_geojson(df: DataFrame, properties: list[str], kind: str, path: str, by: list[str] | None = None) -> None:
     def pairs(line):
         return F.transform(line, lambda q: F.array(q["x"], q["y"]))
     coordinates = pairs(F.col("geometry")) if kind == "LineString" else F.transform("geometry", pairs)
     feature = F.struct(F.lit("Feature").alias("type"), F.struct(*properties).alias("properties"),
                        F.struct(F.lit(kind).alias("type"), coordinates.alias("coordinates")).alias("geometry"))
-    df.select(F.to_json(feature)).write.text(path)
+    df.select(F.to_json(feature).alias("value"), *(by or [])).write.partitionBy(*(by or [])).text(path)
 
 
 @register("lane_layer_scan", "S6 P32 G17", """
@@ -165,6 +165,27 @@ def lane_layer_scan(spark: SparkSession, folder: str) -> DataFrame:
                         F.round(F.element_at("geometry", -1)["y"], 9).alias("end_y"))
 
 
+@register("collections_of_years", "S6 S7 S1", """
+SELECT lane_id AS id, description AS tooltip, 3 AS num_points, round(x0, 9) AS start_x, round(y2, 9) AS end_y FROM lanes WHERE year = 1999""")
+def collections_of_years(spark: SparkSession, folder: str) -> DataFrame:
+    """Lanes as one GeoJSON collection a year, the year in the file's name; one year is read, a collection by many tasks."""
+    base = shared_folder(spark, "collections")
+    raw = v.raw_lanes(spark, folder).withColumnsRenamed({"id": "ID", "_any": "year"})
+    _write_geojson(raw, ["ID", "tooltip"], "LineString", f"{base}/lines", by=["year"])
+    head = ('{"type": "FeatureCollection", "name": "lanes {\\"drawn\\"}, [raw", "crs": {"type": "name", "properties": {"name": "CRS84"}},\n'
+            '"features": [{"type": "Feature", "properties": {"ID": "x", "tooltip": "}]"}, "geometry": null}')
+    lines = spark.read.text(f"{base}/lines")
+    one = lambda text: spark.range(1).select(F.lit(text).alias("value"))
+    for (year,) in lines.select("year").distinct().collect():
+        features = lines.where(F.col("year") == year).select(F.concat(F.lit(", "), "value").alias("value"))
+        # a collection is one file, its brackets first and last
+        one(head).unionByName(features).unionByName(one("]}")).coalesce(1).write.text(f"{base}/read/{year}")
+        _named(spark, f"{base}/read/{year}", f"{year}_lanes")
+    layer = layers.scan_geojson(spark, f"{base}/read", "ID string, tooltip string", years=[1999])
+    return layer.select("id", "tooltip", F.size("geometry").alias("num_points"), F.round(F.col("geometry")[0]["x"], 9).alias("start_x"),
+                        F.round(F.element_at("geometry", -1)["y"], 9).alias("end_y"))
+
+
 @register("boundary_layer_scan", "S7 S9 G12 G20", """
 SELECT district_code AS districte, lpad(CAST(census_tract_id % 10000000 AS VARCHAR), 7, '0') AS sec_cens, CAST(NULL AS VARCHAR) AS nom,
   'tract' AS level, round(x0, 8) AS xmin, round(y1, 8) AS ymax FROM tracts
