@@ -93,3 +93,18 @@ def test_equal_identities_lie_side_by_side(spark):
     docs = spark.createDataFrame([(1, "b c"), (1, "a"), (1, "b c"), (0, "d")], "doc_id long, text string")
     got = sorted((r.start, r.n_tokens) for r in plane_files.encode_documents(docs, tokenizer()).collect())
     assert [s for s, _ in got] == [sum(n for _, n in got[:k]) for k in range(4)]
+
+
+def test_few_texts_are_split_at_once():
+    """A worker splits no more characters at once than it is told to, and the ids do not change by that."""
+    seen = []
+
+    def raw(words):
+        seen.append(len(words))
+        return [w.encode() for w in words]
+    texts = [f"word{chr(97 + i)} other{chr(97 + i)}, {i}" for i in range(20)]
+    whole = list(TextEncoder(raw, raw).encode(texts))
+    most = max(seen)
+    seen.clear()
+    assert list(TextEncoder(raw, raw, block_chars=40).encode(texts)) == whole
+    assert max(seen) * 5 < most

@@ -35,6 +35,8 @@ from velomesh.session import checkpointed, shared_folder
 BLOCK_IDS, WIDTH, LEVEL = 65_536, 4, 3
 #: Words remembered by a worker; runs of letters handed to the library as one sequence, and sequences in one call.
 HELD_WORDS, RUN_WORDS, RUN_BATCH = 800_000, 200, 100
+#: Documents taken from a batch at once, and characters split into words at once: what a worker holds besides its words.
+BATCH_DOCS, BLOCK_CHARS = 256, 1_000_000
 _RUN = pa.list_(pa.struct([("doc", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int64()), ("last", pa.bool_()), ("n", pa.int64())]))
 _BLOCK = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("start", pa.int64()), ("n_ids", pa.int64()),
                     ("planes", pa.list_(pa.binary())), ("runs", _RUN)])
@@ -52,7 +54,9 @@ def library_encoder(path: str) -> TextEncoder:
     ends = np.array([(tok.id_to_token(i) or "").endswith(tok.model.end_of_word_suffix or "") for i in range(size)])
 
     def others(words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast(words, add_special_tokens=False)]
+        step = RUN_WORDS * RUN_BATCH
+        return [np.array(e.ids, "<u4").tobytes() for at in range(0, len(words), step)
+                for e in tok.encode_batch_fast(words[at:at + step], add_special_tokens=False)]
 
     def runs(words: list[str]) -> list[bytes]:
         """Runs of letters by the sequence: each ends at a token that carries the end-of-word mark."""
@@ -72,7 +76,7 @@ def library_encoder(path: str) -> TextEncoder:
             out += [raw[a:b] for a, b in zip(cuts, cuts[1:])]
         return out
 
-    return TextEncoder(runs, others, HELD_WORDS)
+    return TextEncoder(runs, others, HELD_WORDS, BLOCK_CHARS)
 
 
 def to_planes(raw: bytes) -> list[bytes]:
@@ -101,7 +105,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, block_ids: in
             return pa.RecordBatch.from_pylist([row], schema=_BLOCK)
 
         limit = block_ids * WIDTH
-        for b in batches:
+        for b in (whole.slice(i, BATCH_DOCS) for whole in batches for i in range(0, whole.num_rows, BATCH_DOCS)):
             texts = [t or "" for t in b.column("text").to_pylist()]
             for name, raw in zip(b.column("doc_id").to_pylist(), encoder.encode(texts)):
                 raw += end

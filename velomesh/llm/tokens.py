@@ -31,8 +31,8 @@ def letters_only(word: str) -> bool:
 class TextEncoder:
     """Encodes texts; ``runs`` encodes runs of letters, ``others`` any other words."""
 
-    def __init__(self, runs: Learn, others: Learn, held: int = HELD_WORDS):
-        self.runs, self.others, self.held = runs, others, held
+    def __init__(self, runs: Learn, others: Learn, held: int = HELD_WORDS, block_chars: int = BLOCK_CHARS):
+        self.runs, self.others, self.held, self.block_chars = runs, others, held, block_chars
         self.words: dict[str, bytes] = {}
 
     def _learn(self, new: set[str]) -> None:
@@ -56,7 +56,7 @@ class TextEncoder:
         at = 0
         while at < len(texts):
             stop, chars = at, 0
-            while stop < len(texts) and (stop == at or chars + len(texts[stop]) <= BLOCK_CHARS):
+            while stop < len(texts) and (stop == at or chars + len(texts[stop]) <= self.block_chars):
                 chars += len(texts[stop])
                 stop += 1
             block = [t.split() if not _ODD.search(t) else [w for w in _WHITE.split(t) if w] for t in texts[at:stop]]
