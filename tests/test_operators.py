@@ -6,11 +6,12 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from velomesh.functions import geodesy, geometry as g, measures
-from velomesh.operators import asof, cover, dims, dissolve, grid, history, impute, nearest, quality, quantiles, skew, spatial, stats
+from velomesh.operators import asof, cover, crossings, dims, dissolve, grid, history, impute, nearest, quality, quantiles, skew, spatial, stats
 from velomesh.plans import frames, lanes as lane_plans, stations as station_plans
 
 LINE = "array<struct<x:double,y:double>>"
@@ -105,6 +106,29 @@ def test_crossings_against_brute_force(spark, monkeypatch, limit):
     assert (share.total, share.connected) == (90, sum(1 for v in want.values() if v))
 
 
+@pytest.mark.parametrize("tile, chunk", [(2, 3), (7, 50), (1000, 10**6)])
+def test_crossings_in_tiles_and_chunks(spark, monkeypatch, tile, chunk):
+    """Cells cut into tiles of few lines, and pairs looked at few at a time, count every pair once."""
+    monkeypatch.setattr(spatial, "TILE", tile)
+    monkeypatch.setattr(crossings, "CHUNK", chunk)
+    rows = random_lines(80, 2, copies=0) + [("none", None, [(2.1, 41.4), (2.2, 41.5)])]
+    df = spark.createDataFrame(rows, f"lane string, t string, geometry {LINE}")
+    counts = {r.lane: r.partners for r in spatial.intersection_counts(df, ["t"], "lane").collect()}
+    assert counts == {k: len(v) for k, v in partners(rows[:-1]).items()}
+
+
+def test_pairs_of_a_batch_of_cells():
+    """Lines of different cells never meet, a pair of natives is asked once, and a long line needs no more room than a chunk."""
+    zigzag = [float(v) for k in range(3000) for v in (k * 1e-6, k % 2 * 1e-3, (k + 1) * 1e-6, (k + 1) % 2 * 1e-3)]
+    cut, box = [0.0, 5e-4, 3e-3, 5e-4], {"x0": 0.0, "y0": 0.0, "x1": 3e-3, "y1": 1e-3}
+    rows = [{"_w": 0.005, "cx": 0, "cy": 0, "_gs": 0, "_hs": 0, "shape_id": i, "n_lines": n, **box, "edges": e, "native": True}
+            for i, n, e in (("a", 2, zigzag), ("b", 5, cut))]
+    away = [r | {"cx": 7, "shape_id": i} for r, i in zip(rows, "cd")]
+    frame = pd.DataFrame([*rows, *away])
+    out = crossings.partner_counts([], ["_w", "cx", "cy", "_gs", "_hs"])(frame, frame.drop(columns="native"))
+    assert out.groupby("shape_id")["_met"].sum().to_dict() == {"a": 5, "b": 2}
+
+
 def test_lines_meeting_on_a_cell_border(spark):
     """Touching exactly on a grid line from both sides still counts."""
     c = grid.CELL
