@@ -108,3 +108,15 @@ def test_few_texts_are_split_at_once():
     seen.clear()
     assert list(TextEncoder(raw, raw, block_chars=40).encode(texts)) == whole
     assert max(seen) * 5 < most
+
+
+def test_marks_behind_letters_are_learnt_apart(library):
+    texts = ["ab cd,%% ab%% é)]. ab).", "don't' x'. 'y' a1% <|endoftext|>. b<|endoftext|>% %% ab", "x#", "ÉÀ*** Σ@ ǆ_ e\u0301% ab%%"]
+    asked = []
+    lib = plane_files.library_encoder(tokenizer())
+    own = TextEncoder(lambda w: lib.runs(w), lambda w: (asked.extend(w), lib.others(w))[1])
+    for text, raw in zip(texts, own.encode(texts)):
+        assert np.frombuffer(raw, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+    # each run of marks is asked for once, whatever stands before it
+    assert not {"cd,%%", "ab%%", "é)].", "ab).", "x#"} & set(asked)
+    assert len(asked) == len(set(asked)) and {",%%", "%%", ")].", ").", "#"} <= set(asked)
