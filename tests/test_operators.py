@@ -248,6 +248,26 @@ def test_isolated_against_brute_force(spark):
     assert not got["near"] and not got["far"]
 
 
+@pytest.mark.parametrize("lat", [0.0, -41.0, 69.0])
+def test_isolated_asks_for_degrees_before_metres(spark, lat):
+    """Most pairs of a cell are told apart in the plane; the metres decide on what is left, in every direction."""
+    rows, due = [], {}
+    for i, (angle, metres) in enumerate(itertools.product(np.linspace(0, 2 * math.pi, 12, endpoint=False), (9.9, 10.1))):
+        x, y = 3 + 0.01 * i, lat
+        east, north = metres * math.cos(angle) / (math.radians(1) * 6378137 * math.cos(math.radians(y))), metres * math.sin(angle) / 110900
+        rows += [(f"a{i}", [(x, y), (x - east * 9, y - north * 9)]),
+                 (f"b{i}", [(x + east - north / 10, y + north + east / 10), (x + east + north / 10, y + north - east / 10)])]
+        due[f"a{i}"] = py_metres(*rows[-2][1][0], tuple(rows[-1][1])) > 10
+    df = spark.createDataFrame(rows, f"lane string, geometry {LINE}")
+    found = spatial.isolated_lines(df, "lane")
+    got = {r.lane: r.is_isolated for r in found.collect()}
+    near = {k for k in due if abs(py_metres(*next(p for n, p in rows if n == k)[0], tuple(next(p for n, p in rows if n == "b" + k[1:]))) - 10) < 0.02}
+    assert {k: got[k] for k in due if k not in near} == {k: v for k, v in due.items() if k not in near} and len(near) < 6
+    assert {True, False} <= set(due.values())
+    plan = [j for j in joins_of(found) if "LeftSemi" in j]
+    assert plan and all("reach" in j for j in plan)
+
+
 def test_clipping_tiles_adds_up(spark):
     """Lengths over a full tiling sum to the lane; an edge lane counts on both sides."""
     cells = [(i * 10 + j, 2 + i * 0.01, 41 + j * 0.01) for i in range(8) for j in range(8)]
