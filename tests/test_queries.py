@@ -60,3 +60,11 @@ def test_query_matches_sql(spark, con, name):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_simplified_outlines_merge_each_area_once(spark, monkeypatch):
+    from velomesh.plans import frames
+    merged, plain = [], frames.dissolve
+    monkeypatch.setattr(frames, "dissolve", lambda *a, **k: merged.append(1) or plain(*a, **k))
+    rows = entry.queries()["simplified_outlines"](spark, FOLDER).collect()
+    assert len(merged) == 1 and rows and all(r.fewer_vertices for r in rows)

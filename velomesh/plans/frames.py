@@ -11,11 +11,17 @@ from velomesh.operators.dissolve import dissolve, simplify
 from velomesh.operators.history import even_sample
 
 
+def merged_areas(location: DataFrame, level: str = "neighbourhood") -> DataFrame:
+    """(code, name, part_id, geometry): merged outlines per area."""
+    keys = [f"{level}_code", f"{level}_name"]
+    return dissolve(location.select(*keys, "geometry"), keys)
+
+
 def area_shapes(location: DataFrame, level: str = "neighbourhood", tolerance: float | None = 0.0001,
-                target_crs: int = geodesy.WGS84) -> DataFrame:
-    """(code, name, part_id, geometry): merged and simplified outlines per area."""
+                target_crs: int = geodesy.WGS84, merged: DataFrame | None = None) -> DataFrame:
+    """(code, name, part_id, geometry): merged and simplified outlines per area; ``merged`` where several are drawn of one merging."""
     keys = [f"{level}_code", f"{level}_name"]
-    parts = dissolve(location.select(*keys, "geometry"), keys)
+    parts = merged_areas(location, level) if merged is None else merged
     if tolerance is not None:
         parts = simplify(parts, [*keys, "part_id"], tolerance=tolerance)
     return parts.withColumn("geometry", geodesy.reproject_polygon(F.col("geometry"), geodesy.WGS84, target_crs))
