@@ -1,6 +1,7 @@
 """Near-duplicate and substring operators against brute force."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from velomesh.llm import chunk_dedup, simhash_trie as trie
 from velomesh.llm.components import components
 from velomesh.llm.queries import QUERIES
+from velomesh.session import _shared_base
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -281,3 +283,47 @@ def test_substring_dedup_of_equal_and_null_identities(spark):
         whole = [r.text for r in got if r.removed_bytes == 0]
         assert len(set(whole)) == 1 and passage in whole[0] and whole[0] in [t for _, t in rows]
         assert all(passage not in r.text and r.kept_in == [identity] for r in got if r.removed_bytes)
+
+
+def test_substring_dedup_of_copies(spark):
+    """A document whose text an earlier one has goes as a whole, and names all that keep its chunks."""
+    passage, own = prose(1, 60), [prose(100 + k, 50) for k in range(3)]
+    rows = [(1, f"{own[0]} {passage}"), (2, passage), (5, f"{own[1]} {passage} {own[1]}"), (9, f"{own[1]} {passage} {own[1]}"),
+            (None, f"{own[1]} {passage} {own[1]}"), (6, own[2]), (7, own[2]), (7, own[2]), (5, f"{own[1]} {passage} {own[1]}"),
+            (None, passage + own[2]), (None, passage + own[2]), (3, "short text"), (4, "short text"), (8, ""), (8, None), (8, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = chunk_dedup.deduplicate(docs).collect()
+    assert sorted(((r.doc_id, r.text, [tuple(s) for s in r.spans]) for r in got), key=repr) == sorted(plain_dedup(rows), key=repr)
+    kept = sorted(((r.doc_id, r.removed_bytes, r.kept_in) for r in got if r.text == ""), key=repr)
+    whole = len(rows[2][1].encode())
+    assert kept == sorted([(2, len(passage.encode()), [1]), (7, len(own[2].encode()), [6]), (7, len(own[2].encode()), [6]),
+                           (9, whole, [1, 5]), (None, whole, [1, 5]), (8, 0, []), *[(None, len((passage + own[2]).encode()), [1, 2, 6])] * 2], key=repr)
+
+
+def test_substring_dedup_keeps_little_on_disk(spark):
+    """Texts with many short repeats and copies: what is stored between the steps stays near the size of the texts."""
+    rng, same = random.Random(3), prose(1, 400).split(" ")
+    rows = [(k, " ".join(rng.choice(same) + str(k) if i % 15 == 14 else w for i, w in enumerate(same))) for k in range(150)]
+    rows += [(1000 + k, rows[k][1]) for k in range(150)]
+    folder = Path(_shared_base(spark).removeprefix("file:"))
+    files = lambda: {f: f.stat().st_size for f in folder.rglob("*.parquet") if f.relative_to(folder).parts[0].startswith("chunk-")}
+    before = files()
+    found = chunk_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    size = sum(n for f, n in files().items() if f not in before)
+    assert size < 1.5 * sum(len(t.encode()) for _, t in rows)
+    got = sorted((r.doc_id, r.text, [tuple(s) for s in r.spans]) for r in found.collect())
+    assert got == sorted(plain_dedup(rows))
+
+
+def test_bytes_beside_a_chunk_bound_its_growth():
+    """Texts that agree in 16 or 64 bytes beside a place agree in the hashes of those bytes."""
+    rng = random.Random(4)
+    for _ in range(300):
+        common, left, right = rng.randrange(600), rng.randbytes(rng.randrange(90)), rng.randbytes(rng.randrange(90))
+        other = [rng.randbytes(rng.randrange(90)) for _ in range(2)]
+        middle = rng.randbytes(common)
+        at = rng.randrange(common + 1)
+        one = chunk_dedup.beside(left + middle + right, np.array([len(left) + at]))[0]
+        two = chunk_dedup.beside(other[0] + middle + other[1], np.array([len(other[0]) + at]))[0]
+        for k, (reach, far) in enumerate([(at, 16), (at, 64), (common - at, 16), (common - at, 64)]):
+            assert reach < far or one[k] == two[k]
